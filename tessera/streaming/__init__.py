@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream processing (no ``readStream`` / ``writeStream``,
+watermarks, windows over event time, or state), so nothing is built here.
+Every operator in this package is a plain DataFrame transformation and can be
+applied unchanged inside ``foreachBatch`` of a Structured Streaming query.
+"""
