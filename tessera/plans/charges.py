@@ -1 +1,153 @@
-"""Placeholder."""
+"""Order-charge profile and year-partitioned layout (``lineitem`` / ``orders``).
+
+Boro = ``l_returnflag``, Zip = ``l_suppkey`` as text, OMOCreateDate =
+``l_shipdate``; OrderYear = calendar year of ``o_orderdate``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions.scalar import safe_cast
+from tessera.operators import aggregates as agg
+from tessera.operators.windows import with_group_aggregate
+from tessera.plans.registry import register
+from tessera.session import scratch_path
+from tessera.sinks.files import write_parquet, write_partitioned
+from tessera.sources.files import read_parquet
+from tessera.tables import table
+
+
+def order_charges(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_returnflag").alias("Boro"),
+        F.col("l_suppkey").cast("string").alias("Zip"),
+        F.col("l_shipdate").alias("OMOCreateDate"),
+        "l_quantity",
+        "l_extendedprice",
+    )
+
+
+@register(
+    "agg_dict_count",
+    "SELECT l_returnflag AS Boro, count(l_returnflag) AS OrderFrequency FROM lineitem GROUP BY l_returnflag",
+)
+def agg_dict_count(spark: SparkSession, sf: str) -> DataFrame:
+    charges = order_charges(spark, sf)
+    # Dict-style aggregate, then the generated name is renamed.
+    return charges.groupBy("Boro").agg({"Boro": "count"}).withColumnRenamed("count(Boro)", "OrderFrequency")
+
+
+@register(
+    "zip_list_by_group",
+    """
+    SELECT l_returnflag AS Boro,
+           CAST(count(DISTINCT l_suppkey) AS BIGINT) AS ZipCount,
+           array_to_string(list_sort(list(DISTINCT l_suppkey)), ',') AS ZipList
+    FROM lineitem GROUP BY l_returnflag
+    """,
+)
+def zip_list_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    charges = order_charges(spark, sf)
+    return agg.distinct_set_by(charges, "Boro", safe_cast("Zip", "int"))
+
+
+def _daily(spark: SparkSession, sf: str) -> DataFrame:
+    charges = order_charges(spark, sf)
+    return with_group_aggregate(charges, ["OMOCreateDate"], F.count("l_orderkey"), "OMODailyFreq")
+
+
+@register(
+    "daily_freq",
+    """
+    SELECT l_orderkey, l_linenumber, l_shipdate AS OMOCreateDate,
+           count(l_orderkey) OVER (PARTITION BY l_shipdate) AS OMODailyFreq
+    FROM lineitem
+    """,
+)
+def daily_freq(spark: SparkSession, sf: str) -> DataFrame:
+    return _daily(spark, sf).select("l_orderkey", "l_linenumber", "OMOCreateDate", "OMODailyFreq")
+
+
+@register(
+    "distinct_rows",
+    "SELECT l_shipdate AS OMOCreateDate, count(l_orderkey) AS OMODailyFreq FROM lineitem GROUP BY l_shipdate",
+)
+def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return agg.distinct_rows(_daily(spark, sf), "OMOCreateDate", "OMODailyFreq")
+
+
+def _stat_sql(c: str) -> str:
+    x = f"CAST({c} AS DECIMAL(18,2))"
+    s1 = f"CAST(sum({x}) AS DOUBLE)"
+    s2 = f"CAST(sum({x} * {x}) AS DOUBLE)"
+    n = f"CAST(count({c}) AS DOUBLE)"
+    return (
+        f"count({c}) AS {c}_count, round({s1} / {n}, 6) AS {c}_mean, "
+        f"round(sqrt(({s2} - {s1} * {s1} / {n}) / ({n} - 1.0)), 6) AS {c}_stddev, "
+        f"min({c}) AS {c}_min, max({c}) AS {c}_max"
+    )
+
+
+@register(
+    "describe_stats",
+    f"""
+    SELECT {_stat_sql('l_quantity')}, {_stat_sql('l_extendedprice')},
+           count(l_returnflag) AS Boro_count, min(l_returnflag) AS Boro_min, max(l_returnflag) AS Boro_max
+    FROM lineitem
+    """,
+)
+def describe_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return agg.typed_stats(order_charges(spark, sf), ["l_quantity", "l_extendedprice"], ["Boro"])
+
+
+# --- B1, B2, C10, I17 -----------------------------------------------------
+
+
+@register("parquet_roundtrip", "SELECT * FROM orders")
+def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Write with adaptive rebalancing (not a fixed 5 files), read back."""
+    path = write_parquet(table(spark, sf, "orders"), scratch_path(spark, "orders_parquet"))
+    return read_parquet(spark, path)
+
+
+def year_partitioned_orders(spark: SparkSession, sf: str) -> str:
+    """Write orders partitioned by calendar year (``OrderYear``); return the path."""
+    o = table(spark, sf, "orders").withColumn("OrderYear", F.year("o_orderdate"))
+    return write_partitioned(o, scratch_path(spark, "orders_by_year"), ["OrderYear"])
+
+
+@register(
+    "partitioned_year_count",
+    "SELECT CAST(year(o_orderdate) AS INTEGER) AS OrderYear, count(*) AS n_orders FROM orders GROUP BY 1",
+)
+def partitioned_year_count(spark: SparkSession, sf: str) -> DataFrame:
+    by_year = read_parquet(spark, year_partitioned_orders(spark, sf))
+    return by_year.groupBy("OrderYear").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+# Fixed values of the pruning example: one year, a price threshold.
+PRUNE_YEAR = 1998
+PRUNE_PRICE = 250000.0
+
+
+def pruned_orders(by_year: DataFrame) -> DataFrame:
+    """Partition filter (directory pruning) plus a data filter pushed into the scan."""
+    return by_year.select("o_orderkey", "o_custkey", "o_orderpriority", "OrderYear", "o_totalprice").filter(
+        (F.col("OrderYear") == PRUNE_YEAR) & (F.col("o_totalprice") > PRUNE_PRICE)
+    ).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+@register(
+    "partition_pruned_filter",
+    f"""
+    SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+    WHERE year(o_orderdate) = {PRUNE_YEAR} AND o_totalprice > {PRUNE_PRICE}
+    """,
+)
+def partition_pruned_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return pruned_orders(read_parquet(spark, year_partitioned_orders(spark, sf)))

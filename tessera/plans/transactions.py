@@ -1 +1,106 @@
-"""Placeholder."""
+"""Transaction load and per-merchant totals (``lineitem`` as ``txn_fct``).
+
+The load stages the transactions as pipe-delimited text with a header line
+(``txn_id|…``) in the shared folder, then reads it the way the reference
+does: text lines, header dropped, split, positional typing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions.scalar import parse_timestamp
+from tessera.operators import aggregates as agg
+from tessera.plans.registry import register
+from tessera.plans.standins import transactions
+from tessera.session import scratch_path
+from tessera.sinks.files import write_csv
+from tessera.sources.files import enforce_not_null, fields_to_columns, read_text_fields
+
+TXN_NAMES = ["txn_id", "created_time_str", "amount", "cust_id", "status", "merchant_id", "created_time_ist"]
+# Types the untyped load gives (first field parsed as a number, the rest text).
+LOOSE_TYPES = ["long", "string", "double", "string", "string", "string", "string"]
+# The explicit schema: txn_id and created_time_str are declared non-null.
+TYPED = ["long", "long", "double", "long", "int", "long", "string"]
+NOT_NULL = ["txn_id", "created_time_str"]
+
+
+def stage_transaction_text(spark: SparkSession, sf: str) -> str:
+    """Write the transactions as ``|``-separated text with header lines."""
+    return write_csv(transactions(spark, sf), scratch_path(spark, "txn_fct"), header=True, sep="|")
+
+
+def load_transactions(spark: SparkSession, path: str) -> DataFrame:
+    fields = read_text_fields(spark, path, delimiter="|", header_prefix="txn_id")
+    return fields
+
+
+@register(
+    "text_to_columns",
+    """
+    SELECT l_orderkey AS txn_id,
+           CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR) AS created_time_string,
+           l_extendedprice AS amount,
+           CAST(l_partkey AS VARCHAR) AS cust_id,
+           CAST(l_linenumber AS VARCHAR) AS status,
+           CAST(l_suppkey AS VARCHAR) AS merchant_id,
+           strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS created_time_ist
+    FROM lineitem
+    """,
+)
+def text_to_columns(spark: SparkSession, sf: str) -> DataFrame:
+    fields = load_transactions(spark, stage_transaction_text(spark, sf))
+    names = ["txn_id", "created_time_string", "amount", "cust_id", "status", "merchant_id", "created_time_ist"]
+    return fields_to_columns(fields, LOOSE_TYPES, names)
+
+
+@register(
+    "txn_typed",
+    """
+    SELECT l_orderkey AS txn_id,
+           CAST(epoch(l_shipdate) AS BIGINT) AS created_time_str,
+           l_extendedprice AS amount,
+           l_partkey AS cust_id,
+           l_linenumber AS status,
+           l_suppkey AS merchant_id,
+           l_shipdate AS created_time_ist
+    FROM lineitem
+    """,
+)
+def txn_typed(spark: SparkSession, sf: str) -> DataFrame:
+    fields = load_transactions(spark, stage_transaction_text(spark, sf))
+    typed = enforce_not_null(fields_to_columns(fields, TYPED, TXN_NAMES), NOT_NULL)
+    return typed.withColumn("created_time_ist", parse_timestamp("created_time_ist").cast("timestamp_ntz"))
+
+
+@register(
+    "merchant_totals",
+    """
+    SELECT l_suppkey AS merchant_id,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+           count(DISTINCT l_linenumber) AS dist_status_count
+    FROM lineitem GROUP BY l_suppkey
+    """,
+)
+def merchant_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Sum per merchant and approximate distinct statuses.
+
+    No ``repartition(n, merchant_id)`` first: it would make the aggregate
+    skip its map-side partial step and shuffle every raw row.
+    """
+    t = transactions(spark, sf)
+    return t.groupBy("merchant_id").agg(
+        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amount"),
+        F.approx_count_distinct("status").alias("dist_status_count"),
+    )
+
+
+@register("approx_distinct", "SELECT count(DISTINCT l_linenumber) AS dist_status_count FROM lineitem")
+def approx_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return agg.approx_distinct(transactions(spark, sf), "status", "dist_status_count")
+
+
+@register("count_distinct_merchants", "SELECT count(DISTINCT l_suppkey) AS n_merchants FROM lineitem")
+def count_distinct_merchants(spark: SparkSession, sf: str) -> DataFrame:
+    return agg.count_distinct(transactions(spark, sf), "merchant_id", "n_merchants")
