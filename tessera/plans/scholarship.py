@@ -1 +1,104 @@
-"""Placeholder."""
+"""Scholarship recipients: three ways to write one answer, plus the course
+lookup and the practice variant.
+
+Demographics = customers with their nation as country; finance flags =
+orders keyed by customer; courses = nations.  "Switzerland" is ``NATION_5``.
+A participant appears once per matching finance record (pair-join semantics).
+All three forms compile to one plan: filters are pushed below the join and
+the equality becomes an equi-join key (never a Cartesian product).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators.joins import broadcast_if_small, join_on_condition, join_on_key
+from tessera.plans.registry import register
+from tessera.plans.standins import (
+    DEBT_STATUS,
+    DEPENDENTS_PRIORITY,
+    DIMENSION_ROWS,
+    LOANS_INCOME_OVER,
+    SWITZERLAND,
+    courses,
+    demographics,
+    finance_flags,
+)
+
+_BASE = f"""
+    SELECT c.c_custkey AS id, n.n_name AS country, c.c_acctbal < 0 AS negative_balance,
+           c.c_nationkey AS course_id, o.o_orderkey AS finance_id,
+           o.o_orderstatus = '{DEBT_STATUS}' AS has_debt,
+           o.o_orderpriority = '{DEPENDENTS_PRIORITY}' AS has_financial_dependents,
+           o.o_totalprice > {LOANS_INCOME_OVER} AS has_student_loans,
+           o.o_totalprice AS income
+    FROM customer c
+    JOIN nation n ON c.c_nationkey = n.n_nationkey
+    JOIN orders o ON o.o_custkey = c.c_custkey
+"""
+_RECIPIENTS_SQL = f"""
+    SELECT * FROM ({_BASE}) b
+    WHERE country = '{SWITZERLAND}' AND has_debt AND has_financial_dependents
+"""
+
+
+def in_country(country: str = SWITZERLAND) -> Column:
+    return F.col("country") == country
+
+
+def in_need() -> Column:
+    return F.col("has_debt") & F.col("has_financial_dependents")
+
+
+@register("scholarship_filter_join", _RECIPIENTS_SQL)
+def scholarship_filter_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Filter each side first, then join on the participant id."""
+    demo = demographics(spark, sf).filter(in_country())
+    fin = finance_flags(spark, sf).filter(in_need())
+    return join_on_key(demo, fin, "id", "inner")
+
+
+@register("scholarship_join_filter", _RECIPIENTS_SQL)
+def scholarship_join_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Join first, then filter; the optimizer pushes the filter below the join."""
+    joined = join_on_key(demographics(spark, sf), finance_flags(spark, sf), "id", "inner")
+    return joined.filter(in_country() & in_need())
+
+
+@register("scholarship_cartesian", _RECIPIENTS_SQL)
+def scholarship_cartesian(spark: SparkSession, sf: str) -> DataFrame:
+    """The "all pairs, keep equal ids, then the predicate" form, written as the
+    equi-join it amounts to."""
+    demo = demographics(spark, sf)
+    fin = finance_flags(spark, sf).withColumnRenamed("id", "fin_id")
+    pairs = join_on_condition(demo, fin, demo["id"] == fin["fin_id"], "inner")
+    return pairs.filter(in_country() & in_need()).drop("fin_id")
+
+
+@register(
+    "scholarship_course",
+    f"""
+    SELECT r.*, cn.n_name AS course_name
+    FROM ({_RECIPIENTS_SQL}) r JOIN nation cn ON r.course_id = cn.n_nationkey
+    """,
+)
+def scholarship_course(spark: SparkSession, sf: str) -> DataFrame:
+    """Recipients re-keyed on their course id, joined to courses (a small
+    dimension: broadcast under a checked bound), keyed back by participant."""
+    recipients = scholarship_filter_join(spark, sf)
+    course = broadcast_if_small(courses(spark, sf), DIMENSION_ROWS)
+    return join_on_key(recipients, course, "course_id", "inner")
+
+
+@register(
+    "scholarship_variant",
+    f"""
+    SELECT * FROM ({_BASE}) b
+    WHERE country = '{SWITZERLAND}' AND negative_balance AND has_student_loans
+    """,
+)
+def scholarship_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """Practice variant: country, a demographic flag and the student-loan flag."""
+    joined = join_on_key(demographics(spark, sf), finance_flags(spark, sf), "id", "inner")
+    return joined.filter(in_country() & F.col("negative_balance") & F.col("has_student_loans"))
