@@ -1 +1,121 @@
-"""Placeholder."""
+"""Nested JSON: companies with employee arrays, sparse documents, appends.
+
+Companies come from ``conversations``: company = ``conv_id``, employees =
+``array<struct<turn, role>>`` (chunks of at most 64 turns per record).  They
+are staged as JSON lines, read back with an explicit schema and flattened.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+
+from tessera.operators.nested import explode_field, nest_children, posexplode_field
+from tessera.plans.registry import register
+from tessera.session import scratch_path
+from tessera.sinks.files import append_json
+from tessera.sources.files import read_json
+from tessera.tables import table
+
+CHUNK = 64
+
+COMPANY_SCHEMA = StructType(
+    [
+        StructField("company", LongType()),
+        StructField(
+            "employees",
+            ArrayType(StructType([StructField("turn", LongType()), StructField("role", StringType())])),
+        ),
+    ]
+)
+
+
+def stage_companies(spark: SparkSession, sf: str) -> str:
+    conv = table(spark, sf, "conversations")
+    nested = nest_children(conv, "conv_id", "turn", ["role"], parent_alias="company", array_alias="employees",
+                           chunk_size=CHUNK)
+    path = scratch_path(spark, "companies_json")
+    nested.write.mode("overwrite").json(path)
+    return path
+
+
+def companies(spark: SparkSession, sf: str) -> DataFrame:
+    return read_json(spark, stage_companies(spark, sf), COMPANY_SCHEMA)
+
+
+@register("json_flatten", "SELECT conv_id AS company, turn, role FROM conversations")
+def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """explode, then struct fields through a column path and a SQL expression."""
+    flat = explode_field(companies(spark, sf), ["company"], "employees", "employee")
+    return flat.select("company", F.col("employee.turn").alias("turn"), F.expr("employee.role as role"))
+
+
+@register(
+    "posexplode_items",
+    f"""
+    SELECT conv_id AS company,
+           CAST(row_number() OVER (PARTITION BY conv_id, turn // {CHUNK} ORDER BY turn) - 1 AS BIGINT)
+               AS employeePosition,
+           turn, role
+    FROM conversations
+    """,
+)
+def posexplode_items(spark: SparkSession, sf: str) -> DataFrame:
+    flat = posexplode_field(companies(spark, sf), ["company"], "employees", "employeePosition", "employee")
+    return flat.select(
+        "company",
+        F.col("employeePosition").cast("long").alias("employeePosition"),
+        F.col("employee.turn").alias("turn"),
+        F.col("employee.role").alias("role"),
+    )
+
+
+DOC_SCHEMA = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("lang", StringType()),
+        StructField("source", StringType()),
+        StructField("n_chars", LongType()),
+        StructField("quality", IntegerType()),
+        StructField("toxic", IntegerType()),
+    ]
+)
+
+
+@register(
+    "documents_sparse_json",
+    """
+    SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+    """,
+)
+def documents_sparse_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents where only labelled ones carry ``quality``/``toxic``: the
+    JSON writer leaves NULL fields out, the schema brings them back as NULL."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = table(spark, sf, "labels")
+    sparse = docs.join(labels, on="doc_id", how="left")
+    path = scratch_path(spark, "documents_json")
+    sparse.write.mode("overwrite").json(path)
+    return read_json(spark, path, DOC_SCHEMA)
+
+
+STUDENT_SCHEMA = StructType(
+    [
+        StructField("c_custkey", LongType()),
+        StructField("c_name", StringType()),
+        StructField("c_mktsegment", StringType()),
+        StructField("c_acctbal", DoubleType()),
+    ]
+)
+
+
+@register("json_append", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer")
+def json_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends to one JSON-lines collection, read back as one."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    path = scratch_path(spark, "students_json")
+    append_json(c.filter(F.col("c_acctbal") >= 0), path)
+    append_json(c.filter(~(F.col("c_acctbal") >= 0) | F.col("c_acctbal").isNull()), path)
+    return read_json(spark, path, STUDENT_SCHEMA)

@@ -1 +1,65 @@
-"""Placeholder."""
+"""Product revenue ranking per category (``part``: category = ``p_type``,
+revenue = ``p_retailprice``): lag, lag with default, row_number, rank,
+dense_rank over one named ordering, in the DSL and in SQL.
+
+``p_type`` has only six values, so at scale each category is a sixth of the
+table: the automatic plan switches to the split window for hot categories.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.operators.windows import OrderSpec, with_rank_columns
+from tessera.plans.registry import register
+from tessera.plans.standins import products
+from tessera.sinks.files import register_view
+
+_PRODUCTS_SQL = """
+    SELECT p_partkey, p_name AS product, p_type AS category, p_retailprice AS revenue,
+           lag(p_retailprice, 1) OVER w AS prevRevenue,
+           lag(p_retailprice, 2, 0) OVER w AS prev2Revenue,
+           CAST(row_number() OVER w AS BIGINT) AS row_number,
+           CAST(rank() OVER v AS BIGINT) AS rev_rank,
+           CAST(dense_rank() OVER v AS BIGINT) AS rev_dense_rank
+    FROM part
+    WINDOW w AS (PARTITION BY p_type ORDER BY p_retailprice, p_partkey),
+           v AS (PARTITION BY p_type ORDER BY p_retailprice)
+"""
+
+# Ties on revenue are broken by the part key for row numbers and lags.
+CATEGORY_REVENUE = OrderSpec("revenue", tiebreak=["p_partkey"])
+
+
+def _windows(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None) -> DataFrame:
+    extra = {"max_rows_per_key": max_rows_per_key} if max_rows_per_key else {}
+    return with_rank_columns(products(spark, sf), ["category"], CATEGORY_REVENUE, "revenue", strategy=strategy, **extra)
+
+
+@register("product_windows", _PRODUCTS_SQL)
+def product_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return _windows(spark, sf, "auto")
+
+
+@register("product_windows_split", _PRODUCTS_SQL)
+def product_windows_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The hot-category plan forced on (every category split by revenue range)."""
+    return _windows(spark, sf, "split", max_rows_per_key=2)
+
+
+@register("product_windows_sql", _PRODUCTS_SQL)
+def product_windows_sql(spark: SparkSession, sf: str) -> DataFrame:
+    register_view(products(spark, sf), "products")
+    return spark.sql(
+        """
+        SELECT p_partkey, product, category, revenue,
+               lag(revenue, 1) OVER w AS prevRevenue,
+               lag(revenue, 2, 0) OVER w AS prev2Revenue,
+               CAST(row_number() OVER w AS BIGINT) AS row_number,
+               CAST(rank() OVER v AS BIGINT) AS rev_rank,
+               CAST(dense_rank() OVER v AS BIGINT) AS rev_dense_rank
+        FROM products
+        WINDOW w AS (PARTITION BY category ORDER BY revenue, p_partkey),
+               v AS (PARTITION BY category ORDER BY revenue)
+        """
+    )
