@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from tessera.operators.layout import partition_sizes
+from tessera.plans import charges
+from tessera.plans.finances_csv import FIN_NAMES, FIN_SCHEMA
+from tessera.plans.inspect import partition_filters, plan_text, pushed_filters, read_schemas
+from tessera.sinks.files import append_json, write_csv, write_format, write_parquet, write_partitioned
+from tessera.sources.files import (
+    enforce_not_null,
+    fields_to_columns,
+    read_csv,
+    read_delimited,
+    read_format,
+    read_json,
+    read_parquet,
+    read_text_fields,
+    sql_on_file,
+)
+from tessera.sources.jdbc import stride_predicates
+from tests.conftest import SF_SMALL
+
+BAD_CSV = "1,true,false,true,100.5\n2,maybe,false,true,200\n3,true,true\n4,TRUE,true,false,abc\n"
+
+
+def _write(path, text):
+    with open(path, "w") as fh:
+        fh.write(text)
+    return path
+
+
+def test_csv_permissive_keeps_rows_with_null_cells(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "fin.csv"), BAD_CSV)
+    rows = {r.id: tuple(r) for r in read_csv(spark, p, FIN_SCHEMA, mode="PERMISSIVE").collect()}
+    assert rows == {
+        1: (1, True, False, True, 100.5),
+        2: (2, None, False, True, 200.0),
+        3: (3, True, True, None, None),
+        4: (4, True, True, False, None),
+    }
+
+
+def test_csv_dropmalformed_with_schema_and_inferred(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "fin.csv"), BAD_CSV)
+    strict = read_csv(spark, p, FIN_SCHEMA, mode="DROPMALFORMED", names=FIN_NAMES)
+    assert [r.id for r in strict.collect()] == [1]
+    inferred = read_csv(spark, p, None, mode="DROPMALFORMED", infer_schema=True, names=FIN_NAMES)
+    assert sorted(r.id for r in inferred.collect()) == [1, 2, 4]
+    types = dict(inferred.dtypes)
+    assert types["has_debt"] == "string" and types["income"] == "string"
+
+
+def test_csv_filter_pushed_to_scan(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "fin.csv"), BAD_CSV)
+    df = read_csv(spark, p, FIN_SCHEMA).select("id", "income", "has_debt").filter("has_debt = true").select(
+        "id", "income"
+    )
+    assert any("EqualTo(has_debt,true)" in f for f in pushed_filters(df))
+    assert sorted(r.id for r in df.collect()) == [1, 3, 4]
+
+
+def test_partitioned_csv_roundtrip_partition_column_last(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a", 2.5), (2, "b", 3.0), (3, "a", 1.0)], "id long, k string, v double")
+    path = write_csv(df, os.path.join(tmp_dir, "out"), header=True, sep="~", partition_cols=["k"])
+    back = read_delimited(spark, path, sep="~", header=True)
+    assert back.columns == ["id", "v", "k"]
+    assert dict(back.dtypes) == {"id": "string", "v": "string", "k": "string"}
+    assert sorted(tuple(r) for r in back.collect()) == [("1", "2.5", "a"), ("2", "3.0", "b"), ("3", "1.0", "a")]
+
+
+def test_text_lines_to_typed_columns(spark, tmp_dir):
+    text = "txn_id|amount|when\n1|2.5|2020-01-01 00:00:00\nx|oops|bad\ntxn_id|amount|when\n3|4|2020-01-02 10:00:00\n"
+    p = _write(os.path.join(tmp_dir, "t.txt"), text)
+    fields = read_text_fields(spark, p, delimiter="|", header_prefix="txn_id")
+    loose = fields_to_columns(fields, ["long", "string", "string"])
+    assert loose.columns == ["_1", "_2", "_3"]
+    typed = enforce_not_null(fields_to_columns(fields, ["long", "double", "string"], ["id", "amt", "w"]), ["id"])
+    assert sorted((r.id, r.amt) for r in typed.collect()) == [(1, 2.5), (3, 4.0)]
+
+
+def test_sparse_documents_missing_field_is_null(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "students.json")
+    with open(p, "w") as fh:
+        fh.write(json.dumps({"firstname": "A", "lastname": "B", "school": "X", "studentno": 1}) + "\n")
+        fh.write(json.dumps({"firstname": "C", "lastname": "D", "studentno": 2}) + "\n")
+    schema = "firstname string, lastname string, school string, studentno int"
+    rows = {r.studentno: r.school for r in read_json(spark, p, schema).collect()}
+    assert rows == {1: "X", 2: None}
+
+
+def test_json_append_accumulates(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, s string")
+    path = os.path.join(tmp_dir, "coll")
+    append_json(df, path)
+    append_json(df, path)
+    back = read_json(spark, path, "id long, s string")
+    assert back.count() == 4 and back.filter(F.col("s").isNull()).count() == 2
+
+
+def test_orc_roundtrip_with_pushdown(spark, tmp_dir):
+    df = spark.createDataFrame([(1, True, 10.0), (2, False, 20.0)], "id int, has_debt boolean, income double")
+    path = write_format(df, os.path.join(tmp_dir, "fin_orc"), "orc")
+    back = read_format(spark, path, "orc")
+    q = back.select("id", "income", "has_debt").filter("has_debt = true").select("id", "income")
+    assert [tuple(r) for r in q.collect()] == [(1, 10.0)]
+    assert pushed_filters(q)
+
+
+def test_parquet_roundtrip_and_sql_on_file(spark, tmp_dir):
+    df = read_parquet(spark, f"{SF_SMALL}/nation.parquet")
+    path = write_parquet(df, os.path.join(tmp_dir, "nation"), num_files=2)
+    assert sql_on_file(spark, path).count() == df.count()
+    assert read_schemas(read_parquet(spark, path, ["n_name"]))[0] == "struct<n_name:string>"
+
+
+def test_year_partitioning_prunes_and_pushes(spark, tmp_dir):
+    orders = read_parquet(spark, f"{SF_SMALL}/orders.parquet").withColumn("OrderYear", F.year("o_orderdate"))
+    path = write_partitioned(orders, os.path.join(tmp_dir, "by_year"), ["OrderYear"])
+    q = charges.pruned_orders(read_parquet(spark, path))
+    assert any("OrderYear" in f and "1998" in f for f in partition_filters(q))
+    assert any("GreaterThan(o_totalprice" in f for f in pushed_filters(q))
+    assert "Exchange" not in plan_text(q, "simple")
+    want = orders.filter((F.col("OrderYear") == 1998) & (F.col("o_totalprice") > 250000)).count()
+    assert q.count() == want
+
+
+def test_partition_sizes(spark):
+    df = spark.range(100).repartition(4)
+    sizes = partition_sizes(df).collect()
+    assert len(sizes) == 4 and sum(r.rows for r in sizes) == 100
+
+
+def test_jdbc_stride_keeps_out_of_bound_rows():
+    preds = stride_predicates("id", 1, 100, 2)
+    assert preds == ["id < 50 OR id IS NULL", "id >= 50"]
+    ids = range(1, 301)
+    first = sum(1 for i in ids if i < 50)
+    second = sum(1 for i in ids if i >= 50)
+    assert (first, second) == (49, 251)
