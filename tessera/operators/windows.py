@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.scalar import money
 from tessera.operators.joins import broadcast_if_small
+from tessera.session import ensure_checkpoint_dir
 
 # A key with more rows than this is split (about one comfortable task).
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
@@ -49,6 +50,18 @@ def hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame
     return counts.filter(F.col("_n") > max_rows_per_key).select(*keys)
 
 
+def materialized_hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
+    """Hot keys computed once and checkpointed to the shared checkpoint folder.
+
+    The table is bounded (at most ``rows / max_rows_per_key`` keys); cutting
+    its lineage lets the strategy check, the broadcast check and the split
+    plan reuse it without re-aggregating the input, and it survives the loss
+    of an executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return hot_keys(df, keys, max_rows_per_key).checkpoint(eager=True)
+
+
 def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> str:
     """``"split"`` when some key is hot, else ``"window"``.  One pass over the key columns."""
     return "split" if hot_keys(df, keys, max_rows_per_key).limit(1).count() > 0 else "window"
@@ -95,22 +108,54 @@ def _as_number(c: Column, dtype: T.DataType) -> Column:
 # Key normalisation for the split plan: null-safe, plain equi-join columns.
 # --------------------------------------------------------------------------
 
+def _null_stand_in(dtype: T.DataType) -> Column:
+    """A value of the key's own type to stand in for NULL (paired with an is-null flag)."""
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.DateType):
+        return F.to_date(F.lit("1970-01-01"))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    return None
+
+
 def _norm_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Null-safe key columns of the key's own type: ``coalesce(k, stand-in)`` plus ``k is null``.
+
+    They join and partition like ordinary columns, while NULL keys still form
+    their own group, as in a window partition.
+    """
     cols = {}
     names = []
     for i, k in enumerate(keys):
-        cols[f"_kv{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        dtype = df.schema[k].dataType
+        stand_in = _null_stand_in(dtype)
+        value = F.coalesce(F.col(k), stand_in) if stand_in is not None else F.coalesce(
+            F.col(k).cast("string"), F.lit("")
+        )
+        cols[f"_kv{i}"] = value
         cols[f"_kn{i}"] = F.col(k).isNull()
         names += [f"_kv{i}", f"_kn{i}"]
     return df.withColumns(cols), names
 
 
 def _with_buckets(
-    df: DataFrame, keys: list[str], order: OrderSpec, max_rows_per_key: int, n_buckets: int
+    df: DataFrame,
+    keys: list[str],
+    order: OrderSpec,
+    max_rows_per_key: int,
+    n_buckets: int,
+    hot: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Add ``_bucket`` (0 for ordinary keys, a value-range index for hot keys)."""
     normed, nk = _norm_keys(df, keys)
-    hot, hk = _norm_keys(hot_keys(df, keys, max_rows_per_key), keys)
+    if hot is None:
+        hot = materialized_hot_keys(df, keys, max_rows_per_key)
+    hot, hk = _norm_keys(hot, keys)
     hot = broadcast_if_small(hot.select(*hk).withColumn("_hot", F.lit(True)), MAX_HOT_KEYS)
     tagged = normed.join(hot, on=nk, how="left").withColumn("_x", order.sort_value(df))
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -144,8 +189,9 @@ def _split_frame(
     n_buckets: int,
     need_rank: bool,
     need_dense: bool,
+    hot: DataFrame | None = None,
 ) -> _SplitFrame:
-    bucketed, nk = _with_buckets(df, keys, order, max_rows_per_key, n_buckets)
+    bucketed, nk = _with_buckets(df, keys, order, max_rows_per_key, n_buckets, hot)
     part = nk + ["_bucket"]
     w_rows = Window.partitionBy(*part).orderBy(*order.full_exprs())
     w_vals = Window.partitionBy(*part).orderBy(*order.value_exprs())
@@ -217,12 +263,14 @@ def _drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def _resolve(df, keys, strategy, max_rows_per_key):
+def _resolve(df, keys, strategy, max_rows_per_key) -> tuple[str, DataFrame | None]:
+    """Pick the plan.  ``auto`` materialises the hot keys once and reuses them."""
     if strategy == "auto":
-        return choose_strategy(df, keys, max_rows_per_key)
+        hot = materialized_hot_keys(df, keys, max_rows_per_key)
+        return ("split" if hot.limit(1).count() > 0 else "window"), hot
     if strategy not in ("window", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    return strategy
+    return strategy, None
 
 
 # --------------------------------------------------------------------------
@@ -249,7 +297,7 @@ def with_rank_columns(
     Row numbers and lags follow the full order (value, then tie-breakers);
     ``rank`` and ``dense_rank`` follow the value alone, so ties share a rank.
     """
-    plan = _resolve(df, keys, strategy, max_rows_per_key)
+    plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
     v = F.col(value)
     if plan == "window":
         w_rows = Window.partitionBy(*keys).orderBy(*order.full_exprs())
@@ -262,7 +310,7 @@ def with_rank_columns(
         cols[dense_rank_alias] = F.dense_rank().over(w_vals).cast("long")
         return df.withColumns(cols)
 
-    frame = _split_frame(df, keys, order, [], max_rows_per_key, n_buckets, need_rank=True, need_dense=True)
+    frame = _split_frame(df, keys, order, [], max_rows_per_key, n_buckets, need_rank=True, need_dense=True, hot=hot)
     offsets = [k for k, _ in lags]
     w_rows = Window.partitionBy(*frame.nk, "_bucket").orderBy(*order.full_exprs())
     local_lags = {f"_llag_{k}": F.lag(v, k).over(w_rows) for k in offsets}
@@ -295,7 +343,7 @@ def with_rolling_mean(
 
     The sum is exact (decimal); the mean is ``double(sum) / rows in frame``.
     """
-    plan = _resolve(df, keys, strategy, max_rows_per_key)
+    plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
     if plan == "window":
         w = Window.partitionBy(*keys).orderBy(*order.full_exprs()).rowsBetween(-preceding, 0)
         s = F.sum(money(value)).over(w)
@@ -303,7 +351,7 @@ def with_rolling_mean(
         return df.withColumn(alias, s.cast("double") / n.cast("double"))
 
     # Prefix sums S(r) and prefix non-null counts C(r); frame = S(r) - S(r-p-1).
-    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False)
+    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot)
     w_rows = Window.partitionBy(*frame.nk, "_bucket").orderBy(*order.full_exprs())
     frame.df = frame.df.withColumns(
         {
@@ -342,7 +390,7 @@ def with_income_ranking(
 
     Totals are exact decimals returned as double.
     """
-    plan = _resolve(df, keys, strategy, max_rows_per_key)
+    plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
     if plan == "window":
         w_rows = Window.partitionBy(*keys).orderBy(*order.full_exprs())
         w_vals = Window.partitionBy(*keys).orderBy(*order.value_exprs())
@@ -354,7 +402,7 @@ def with_income_ranking(
                 running_alias: F.sum(money(value)).over(w_vals).cast("double"),
             }
         )
-    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False)
+    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot)
     out = frame.df.withColumns(
         {
             row_number_alias: F.col("_grn").cast("long"),
@@ -368,23 +416,19 @@ def with_income_ranking(
     return _drop_internal(out)
 
 
-def with_group_aggregate(
-    df: DataFrame,
-    keys: list[str],
-    agg: Column,
-    alias: str,
-    *,
-    max_broadcast_rows: int = 1_000_000,
-) -> DataFrame:
+def with_group_aggregate(df: DataFrame, keys: list[str], agg: Column, alias: str) -> DataFrame:
     """A whole-partition aggregate (``count(x) over (partition by k)``) on every row.
 
     Planned as ``groupBy(k).agg`` (partial aggregation, so hot keys are
-    reduced map-side) joined back on the key.  The aggregate has one row per
-    key: it is broadcast when its row count is under the bound, otherwise the
-    join is shuffled and adaptive execution splits skewed partitions.
-    NULL keys are matched null-safely, as a window partition would.
+    reduced map-side) joined back on the key with null-safe equality, as a
+    window partition groups NULL keys.  The aggregate has one row per key;
+    adaptive execution broadcasts it when its measured size is small, and
+    otherwise splits skewed partitions of the shuffled join.
     """
-    normed, nk = _norm_keys(df, keys)
-    per_key = normed.groupBy(*nk).agg(agg.alias(alias))
-    per_key = broadcast_if_small(per_key, max_broadcast_rows)
-    return normed.join(per_key, on=nk, how="inner").drop(*nk)
+    per_key = df.groupBy(*keys).agg(agg.alias(alias))
+    renamed = per_key.select(*[F.col(k).alias(f"_g_{k}") for k in keys], alias)
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(renamed[f"_g_{k}"])
+        cond = c if cond is None else cond & c
+    return df.join(renamed, on=cond, how="inner").drop(*[f"_g_{k}" for k in keys])
