@@ -43,18 +43,29 @@ def read_csv(
     """CSV read.
 
     ``PERMISSIVE`` keeps every line and sets cells that do not parse (or are
-    missing) to NULL; ``DROPMALFORMED`` drops lines with any bad or missing
-    cell.  Column pruning of the CSV parser is bypassed for ``DROPMALFORMED``
-    by keeping the whole schema in the projection, so a bad cell in a column
-    the caller later drops still drops the line.  ``names`` renames all
-    columns by position (``toDF``).
+    missing) to NULL.  ``DROPMALFORMED`` drops lines with any bad or missing
+    cell, whatever the caller later selects: CSV column pruning would
+    otherwise parse only the selected cells, so ``count()`` or a narrow
+    projection would keep bad lines.  ``names`` renames all columns by
+    position (``toDF``).
     """
-    reader = spark.read.format("csv").option("mode", mode).option("header", header).option("sep", sep)
+    base = spark.read.format("csv").option("header", header).option("sep", sep)
+    mode = mode.upper()
+    if schema is None and infer_schema:
+        # One extra pass to infer types; then read with the inferred schema.
+        schema = base.option("inferSchema", True).load(path).schema
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    reader = base.option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
-    elif infer_schema:
-        reader = reader.option("inferSchema", True)
     df = reader.load(path)
+    if mode == "DROPMALFORMED" and schema is not None:
+        # Always true, but it references every column, so every cell of every
+        # line is parsed and a line with any bad cell is dropped whatever the
+        # caller selects later.
+        every = F.array(*[F.col(f.name).isNull() for f in schema.fields])
+        df = df.filter(F.size(every) >= 0)
     if names:
         df = df.toDF(*names)
     return df

@@ -141,3 +141,12 @@ def test_jdbc_stride_keeps_out_of_bound_rows():
     first = sum(1 for i in ids if i < 50)
     second = sum(1 for i in ids if i >= 50)
     assert (first, second) == (49, 251)
+
+
+def test_dropmalformed_independent_of_projection(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "fin.csv"), BAD_CSV)
+    strict = read_csv(spark, p, FIN_SCHEMA, mode="DROPMALFORMED", names=FIN_NAMES)
+    assert strict.count() == 1
+    assert strict.select("id").count() == 1
+    assert [r.id for r in strict.select("id").collect()] == [1]
+    assert strict.columns == FIN_NAMES
