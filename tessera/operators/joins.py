@@ -36,8 +36,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven under the bound."""
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *, materialize: bool = False) -> DataFrame:
+    """Mark ``df`` for broadcast only when its row count is proven under the bound.
+
+    For a side that is itself computed (an aggregate, a join), pass
+    ``materialize=True``: it is checkpointed once to the shared checkpoint
+    folder, so the size check and the join read the stored rows instead of
+    computing the side twice.  Past the bound the side is returned unmarked
+    and the optimizer plans a shuffled join.
+    """
+    if materialize:
+        from tessera.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
@@ -50,6 +62,7 @@ def join_on_key(
     *,
     broadcast_right: bool = False,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    materialize_right: bool = False,
 ) -> DataFrame:
     """Equi-join on one key column that appears once in the result.
 
@@ -61,7 +74,7 @@ def join_on_key(
     if right_key and right_key != key:
         right = right.withColumnRenamed(right_key, key)
     if broadcast_right:
-        right = broadcast_if_small(right, max_broadcast_rows)
+        right = broadcast_if_small(right, max_broadcast_rows, materialize=materialize_right)
     return left.join(right, on=key, how=join_type)
 
 

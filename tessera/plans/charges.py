@@ -110,7 +110,8 @@ def describe_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("parquet_roundtrip", "SELECT * FROM orders")
 def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Write with adaptive rebalancing (not a fixed 5 files), read back."""
+    """Write (one file per scan partition, no extra shuffle; a fixed count such
+    as the reference's 5 is the ``num_files`` parameter), read back."""
     path = write_parquet(table(spark, sf, "orders"), scratch_path(spark, "orders_parquet"))
     return read_parquet(spark, path)
 

@@ -39,8 +39,10 @@ def join_inner(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("join_broadcast", _INNER)
 def join_broadcast(spark: SparkSession, sf: str) -> DataFrame:
-    """Roles broadcast only when their row count is proven under the bound."""
-    return join_on_key(employees(spark, sf), roles(spark, sf), "id", "inner", broadcast_right=True)
+    """Roles (an aggregate, materialised once) broadcast only when their row
+    count is proven under the bound."""
+    return join_on_key(employees(spark, sf), roles(spark, sf), "id", "inner", broadcast_right=True,
+                       materialize_right=True)
 
 
 @register("join_left", _sql("SELECT emp.id, firstName, lastName, jobRole FROM emp LEFT JOIN role ON emp.id = role.id"))

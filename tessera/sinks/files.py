@@ -1,9 +1,13 @@
 """File sinks and view registration.
 
-Output file counts are set by adaptive rebalancing (``hint("rebalance")``)
-instead of a fixed ``repartition(n)``: Spark sizes the output partitions from
-the data, so the same job writes sensible files at any scale.  A fixed count
-or a single partition is still available as an explicit parameter.
+A plain write adds no shuffle: one file per input partition, and input
+partitions are already sized by the scan (``maxPartitionBytes``) or by
+adaptive coalescing after a shuffle.  ``rebalance=True`` asks for an adaptive
+rebalance (``hint("rebalance")``) when upstream partitions are small or
+uneven.  Partitioned writes always rebalance on the partition columns, so each
+task writes few directories and adaptive execution splits a large partition
+value into many files.  A fixed count or one partition stays available as an
+explicit parameter (``num_files``).
 """
 
 from __future__ import annotations
@@ -11,16 +15,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def _shape(df: DataFrame, num_files: int | None, rebalance_cols: list[str] | None = None) -> DataFrame:
+def _shape(
+    df: DataFrame, num_files: int | None, rebalance_cols: list[str] | None = None, rebalance: bool = False
+) -> DataFrame:
     if num_files == 1:
         return df.coalesce(1)
     if num_files:
         return df.repartition(num_files, *rebalance_cols) if rebalance_cols else df.repartition(num_files)
-    return df.hint("rebalance", *rebalance_cols) if rebalance_cols else df.hint("rebalance")
+    if rebalance_cols:
+        return df.hint("rebalance", *rebalance_cols)
+    return df.hint("rebalance") if rebalance else df
 
 
-def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", num_files: int | None = None) -> str:
-    _shape(df, num_files).write.mode(mode).parquet(path)
+def write_parquet(
+    df: DataFrame, path: str, *, mode: str = "overwrite", num_files: int | None = None, rebalance: bool = False
+) -> str:
+    _shape(df, num_files, rebalance=rebalance).write.mode(mode).parquet(path)
     return path
 
 
