@@ -40,16 +40,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
     """Mark ``df`` for broadcast only when its row count is proven under the bound.
 
     For a side that is itself computed (an aggregate, a join), pass
-    ``materialize=True``: it is checkpointed once to the shared checkpoint
-    folder, so the size check and the join read the stored rows instead of
-    computing the side twice.  Past the bound the side is returned unmarked
-    and the optimizer plans a shuffled join.
+    ``materialize=True``: it is stored once as a table in the shared
+    checkpoint folder, so the size check and the join read the stored rows
+    instead of computing the side twice.  Past the bound the side is returned
+    unmarked and the optimizer plans a shuffled join.
     """
     if materialize:
-        from tessera.session import ensure_checkpoint_dir
+        from tessera.session import materialize as store
 
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = store(df, "broadcast_side")
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.scalar import money
 from tessera.operators.joins import broadcast_if_small
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import materialize
 
 # A key with more rows than this is split (about one comfortable task).
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
@@ -51,15 +51,14 @@ def hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame
 
 
 def materialized_hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
-    """Hot keys computed once and checkpointed to the shared checkpoint folder.
+    """Hot keys computed once and stored as a table in the shared checkpoint folder.
 
-    The table is bounded (at most ``rows / max_rows_per_key`` keys); cutting
-    its lineage lets the strategy check, the broadcast check and the split
-    plan reuse it without re-aggregating the input, and it survives the loss
-    of an executor.
+    The table is bounded (at most ``rows / max_rows_per_key`` keys); storing
+    it lets the strategy check, the broadcast check and the split plan reuse
+    it without re-aggregating the input, and it survives the loss of an
+    executor.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return hot_keys(df, keys, max_rows_per_key).checkpoint(eager=True)
+    return materialize(hot_keys(df, keys, max_rows_per_key), "hot_keys")
 
 
 def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> str:
@@ -264,10 +263,13 @@ def _drop_internal(df: DataFrame) -> DataFrame:
 
 
 def _resolve(df, keys, strategy, max_rows_per_key) -> tuple[str, DataFrame | None]:
-    """Pick the plan.  ``auto`` materialises the hot keys once and reuses them."""
+    """Pick the plan.  ``auto`` checks for a hot key first (one aggregate over
+    the key columns, nothing stored); only when one exists are the hot keys
+    stored for the split plan to reuse."""
     if strategy == "auto":
-        hot = materialized_hot_keys(df, keys, max_rows_per_key)
-        return ("split" if hot.limit(1).count() > 0 else "window"), hot
+        if choose_strategy(df, keys, max_rows_per_key) == "window":
+            return "window", None
+        return "split", materialized_hot_keys(df, keys, max_rows_per_key)
     if strategy not in ("window", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return strategy, None

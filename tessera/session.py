@@ -82,3 +82,17 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts lineage in one pass over the input (a reliable ``checkpoint()``
+    of an uncached frame computes it twice), and the stored table survives
+    the loss of an executor.  Use it for bounded intermediates that are read
+    more than once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
