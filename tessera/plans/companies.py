@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 
 from tessera.operators.nested import explode_field, nest_children, posexplode_field
 from tessera.plans.registry import register
-from tessera.session import scratch_path
+from tessera.session import scratch_path, staged
 from tessera.sinks.files import append_json
 from tessera.sources.files import read_json
 from tessera.tables import table
@@ -35,9 +35,7 @@ def stage_companies(spark: SparkSession, sf: str) -> str:
     conv = table(spark, sf, "conversations")
     nested = nest_children(conv, "conv_id", "turn", ["role"], parent_alias="company", array_alias="employees",
                            chunk_size=CHUNK)
-    path = scratch_path(spark, "companies_json")
-    nested.write.mode("overwrite").json(path)
-    return path
+    return staged(spark, sf, "companies_json", lambda path: nested.write.mode("overwrite").json(path))
 
 
 def companies(spark: SparkSession, sf: str) -> DataFrame:

@@ -18,7 +18,7 @@ from tessera.operators.filters import where_sql
 from tessera.operators.windows import OrderSpec, with_income_ranking
 from tessera.plans.registry import register
 from tessera.plans.standins import DEBT_STATUS, DEPENDENTS_PRIORITY, LOANS_INCOME_OVER
-from tessera.session import scratch_path
+from tessera.session import scratch_path, staged
 from tessera.sinks.files import write_csv, write_text_lines
 from tessera.sources.files import read_csv, read_delimited
 from tessera.tables import table
@@ -58,7 +58,7 @@ def stage_finance_csv(spark: SparkSession, sf: str) -> str:
     line = F.when(
         F.col("o_orderpriority") == SHORT_LINE_PRIORITY, F.concat_ws(",", key, debt, deps)
     ).otherwise(F.concat_ws(",", key, debt, deps, loans, income))
-    return write_text_lines(o.select(line.alias("value")), scratch_path(spark, "finances_csv"))
+    return staged(spark, sf, "finances_csv", lambda path: write_text_lines(o.select(line.alias("value")), path))
 
 
 def finances_permissive(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,8 +96,8 @@ def csv_permissive(spark: SparkSession, sf: str) -> DataFrame:
 )
 def csv_dropmalformed(spark: SparkSession, sf: str) -> DataFrame:
     """Lines with any bad or missing cell are dropped; columns renamed by position."""
-    staged = stage_finance_csv(spark, sf)
-    return read_csv(spark, staged, FIN_SCHEMA, mode="DROPMALFORMED", names=FIN_NAMES)
+    path = stage_finance_csv(spark, sf)
+    return read_csv(spark, path, FIN_SCHEMA, mode="DROPMALFORMED", names=FIN_NAMES)
 
 
 @register(

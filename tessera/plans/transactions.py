@@ -14,7 +14,7 @@ from tessera.functions.scalar import parse_timestamp
 from tessera.operators import aggregates as agg
 from tessera.plans.registry import register
 from tessera.plans.standins import transactions
-from tessera.session import scratch_path
+from tessera.session import staged
 from tessera.sinks.files import write_csv
 from tessera.sources.files import enforce_not_null, fields_to_columns, read_text_fields
 
@@ -28,7 +28,9 @@ NOT_NULL = ["txn_id", "created_time_str"]
 
 def stage_transaction_text(spark: SparkSession, sf: str) -> str:
     """Write the transactions as ``|``-separated text with header lines."""
-    return write_csv(transactions(spark, sf), scratch_path(spark, "txn_fct"), header=True, sep="|")
+    return staged(
+        spark, sf, "txn_fct", lambda path: write_csv(transactions(spark, sf), path, header=True, sep="|")
+    )
 
 
 def load_transactions(spark: SparkSession, path: str) -> DataFrame:

@@ -96,3 +96,30 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Stage an input file once per application and reuse it.
+
+    ``write(path)`` writes the input (a CSV or text rendering of a driver
+    table, standing in for a landed file) under the shared folder.  Later
+    queries of the same application over the same tables read the same
+    files instead of writing them again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _STAGED.get(key)
+    if path is None or not _exists(spark, path):
+        path = scratch_path(spark, name)
+        write(path)
+        _STAGED[key] = path
+    return path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path)
