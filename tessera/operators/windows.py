@@ -42,6 +42,8 @@ DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
 DEFAULT_BUCKETS = 256
 # Upper bound on hot keys broadcast for tagging (hot keys <= rows / max_rows_per_key).
 MAX_HOT_KEYS = 200_000
+# Row bound under which the per-(key, bucket) summary of hot keys is broadcast.
+SUMMARY_BROADCAST_ROWS = 2_000_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
@@ -81,6 +83,11 @@ class OrderSpec:
     def full_exprs(self) -> list[Column]:
         return self.value_exprs() + [F.col(t).asc() for t in self.tiebreak]
 
+    def reversed_exprs(self) -> list[Column]:
+        """The exact reverse of :meth:`full_exprs` (NULL placement flips too)."""
+        c = F.col(self.column)
+        return [c.asc() if self.descending else c.desc()] + [F.col(t).desc() for t in self.tiebreak]
+
     def sort_value(self, df: DataFrame) -> Column:
         """The ordering column as a double that sorts ascending like the window does.
 
@@ -167,7 +174,7 @@ def _with_buckets(
     bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(tagged)
     bucketed = bucketed.withColumn(
         "_bucket", F.when(F.col("_hot"), F.col("_b")).otherwise(F.lit(0.0)).cast("int")
-    ).drop("_b", "_hot")
+    ).withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False))).drop("_b")
     return bucketed, nk
 
 
@@ -177,6 +184,9 @@ class _SplitFrame:
 
     df: DataFrame
     nk: list[str]
+    summary: DataFrame
+    bucketed: DataFrame
+    order: OrderSpec
 
 
 def _split_frame(
@@ -207,9 +217,16 @@ def _split_frame(
         # Default RANGE frame: rows tied on the value share one running total.
         local[f"_lrange_{s}"] = F.coalesce(F.sum(money(s)).over(w_vals), zero)
         local[f"_lrangen_{s}"] = F.count(F.col(s)).over(w_vals)
+    # Whole-bucket values from the same partitioning (no extra shuffle).
+    w_part = Window.partitionBy(*part)
+    local["_cnt"] = F.count(F.lit(1)).over(w_part)
+    for s in sums:
+        local[f"_ltot_{s}"] = F.sum(money(s)).over(w_part)
     with_local = bucketed.withColumns(local)
 
-    # Per (key, bucket) summary; small: at most keys x buckets rows, <= buckets per key.
+    # Per (key, bucket) summary of the hot keys only: at most hot keys x
+    # buckets rows.  Stored once (read by three consumers) and broadcast
+    # under a checked bound.  Ordinary keys have one bucket and no carries.
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     if need_dense:
         aggs.append(
@@ -217,45 +234,92 @@ def _split_frame(
         )
     for s in sums:
         aggs += [F.sum(money(s)).alias(f"_bsum_{s}"), F.count(F.col(s)).alias(f"_bnn_{s}")]
-    summary = bucketed.groupBy(*part).agg(*aggs)
+    summary = bucketed.filter(F.col("_hot")).groupBy(*part).agg(*aggs)
     wk = Window.partitionBy(*nk).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*nk)
-    carry = {"_ccnt": F.coalesce(F.sum("_cnt").over(wk), F.lit(0)), "_tcnt": F.sum("_cnt").over(wall)}
+    carry = {"_ccnt": F.coalesce(F.sum("_cnt").over(wk), F.lit(0))}
     if need_dense:
         carry["_cndv"] = F.coalesce(F.sum("_ndv").over(wk), F.lit(0))
     for s in sums:
         carry[f"_csum_{s}"] = F.coalesce(F.sum(f"_bsum_{s}").over(wk), zero)
         carry[f"_cnn_{s}"] = F.coalesce(F.sum(f"_bnn_{s}").over(wk), F.lit(0))
         carry[f"_tsum_{s}"] = F.sum(f"_bsum_{s}").over(wall)
-    summary = summary.withColumns(carry)
-    joined = with_local.join(summary, on=part, how="inner")
-    joined = joined.withColumn("_grn", F.col("_ccnt") + F.col("_lrn"))
-    return _SplitFrame(joined, nk)
+    summary = broadcast_if_small(summary.withColumns(carry), SUMMARY_BROADCAST_ROWS, materialize=True)
+    carry_cols = [c for c in summary.columns if c.startswith(("_ccnt", "_cndv", "_csum_", "_cnn_", "_tsum_"))]
+    joined = with_local.join(summary.select(*part, *carry_cols), on=part, how="left")
+    fill = {"_ccnt": F.coalesce(F.col("_ccnt"), F.lit(0).cast("long"))}
+    if need_dense:
+        fill["_cndv"] = F.coalesce(F.col("_cndv"), F.lit(0).cast("long"))
+    for s in sums:
+        fill[f"_csum_{s}"] = F.coalesce(F.col(f"_csum_{s}"), zero)
+        fill[f"_cnn_{s}"] = F.coalesce(F.col(f"_cnn_{s}"), F.lit(0).cast("long"))
+        fill[f"_tsum_{s}"] = F.when(F.col("_hot"), F.col(f"_tsum_{s}")).otherwise(F.col(f"_ltot_{s}"))
+    joined = joined.withColumns(fill).withColumn("_grn", F.col("_ccnt") + F.col("_lrn"))
+    return _SplitFrame(joined, nk, summary, bucketed, order)
+
 
+def _tails(frame: _SplitFrame, kmax: int, values: dict[str, Column], prefix_sums: list[str]) -> DataFrame:
+    """The last ``kmax`` rows of every bucket with their global row numbers.
 
-def _halo_lags(frame: _SplitFrame, value_cols: dict[str, Column], offsets: list[int]) -> DataFrame:
+    Taken with a reverse ``row_number() <= kmax``, which Spark plans as a
+    window group limit applied before the shuffle, so only ``kmax`` rows per
+    bucket and task move.  A row's prefix sum (``_P_{s}``) and non-null count
+    (``_Pn_{s}``) are the carry plus the bucket total minus what follows the
+    row, and what follows it is inside the same ``kmax`` rows.
+    """
+    part = frame.nk + ["_bucket"]
+    w_rev = Window.partitionBy(*part).orderBy(*frame.order.reversed_exprs())
+    hot_rows = frame.bucketed.filter(F.col("_hot"))
+    t = hot_rows.withColumn("_rrn", F.row_number().over(w_rev)).filter(F.col("_rrn") <= kmax)
+    after = w_rev.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("decimal(38,2)")
+    extra = {}
+    for s in prefix_sums:
+        extra[f"_after_{s}"] = F.coalesce(F.sum(money(s)).over(after), zero)
+        extra[f"_aftern_{s}"] = F.coalesce(F.count(F.col(s)).over(after), F.lit(0))
+    t = t.withColumns(extra) if extra else t
+    t = t.join(frame.summary, on=part, how="inner")
+    cols = [*frame.nk, (F.col("_ccnt") + F.col("_cnt") - F.col("_rrn") + 1).alias("_tgrn")]
+    cols += [e.alias(f"_t_{n}") for n, e in values.items()]
+    for s in prefix_sums:
+        total = F.coalesce(F.col(f"_bsum_{s}"), zero)
+        cols.append((F.col(f"_csum_{s}") + total - F.col(f"_after_{s}")).alias(f"_t__P_{s}"))
+        cols.append((F.col(f"_cnn_{s}") + F.col(f"_bnn_{s}") - F.col(f"_aftern_{s}")).alias(f"_t__Pn_{s}"))
+    return t.select(*cols)
+
+
+def _halo_lags(
+    frame: _SplitFrame, values: dict[str, Column], offsets: list[int], prefix_sums: list[str] = ()
+) -> DataFrame:
     """Attach ``_halo_{name}_{k}``: the value ``k`` rows back, for the first rows of each bucket.
 
-    ``value_cols`` maps a name to the per-row expression to carry.  Only the
-    first ``K`` and last ``K`` rows of each bucket take part (K = max offset).
+    ``values`` are per-row expressions on the input; ``prefix_sums`` names
+    columns whose running sum / non-null count (``_P_{s}`` / ``_Pn_{s}``) are
+    wanted.  For every bucket, the (at most K = max offset) rows just before
+    its first row are gathered into a small array, by equi-joining the needed
+    global row numbers (from the per-bucket summary) with the last K rows of
+    every bucket.  The array table has one row per bucket and is joined on
+    ``(key, bucket)``, the partitioning the rows already have, so the big side
+    is not shuffled again.
     """
     kmax = max(offsets)
     part = frame.nk + ["_bucket"]
-    base = frame.df
-    heads = base.filter(F.col("_lrn") <= kmax).select(*part, "_lrn", "_grn")
-    tails = base.filter(F.col("_lrn") > F.col("_cnt") - kmax).select(
-        *frame.nk, F.col("_grn").alias("_tgrn"), *[e.alias(f"_t_{n}") for n, e in value_cols.items()]
-    )
-    halo = heads
+    names = list(values) + [f"_P_{s}" for s in prefix_sums] + [f"_Pn_{s}" for s in prefix_sums]
+    tails = _tails(frame, kmax, values, list(prefix_sums))
+    needed = frame.summary.select(
+        *part, F.explode(F.sequence(F.col("_ccnt") + 1 - kmax, F.col("_ccnt"))).alias("_tgrn")
+    ).filter(F.col("_tgrn") >= 1)
+    found = needed.join(tails, on=frame.nk + ["_tgrn"], how="inner")
+    element = F.struct(F.col("_tgrn"), *[F.col(f"_t_{n}") for n in names])
+    halo = found.groupBy(*part).agg(F.collect_list(element).alias("_halo"))
+    out = frame.df.join(halo, on=part, how="left")
+    cols = {}
     for k in offsets:
-        shifted = tails.select(
-            *frame.nk,
-            (F.col("_tgrn") + F.lit(k)).alias("_grn"),
-            *[F.col(f"_t_{n}").alias(f"_halo_{n}_{k}") for n in value_cols],
-        )
-        halo = halo.join(shifted, on=frame.nk + ["_grn"], how="left")
-    halo = halo.drop("_grn")
-    return base.join(halo, on=part + ["_lrn"], how="left")
+        target = F.col("_grn") - F.lit(k)
+        hit = F.try_element_at(F.filter(F.col("_halo"), lambda x: x["_tgrn"] == target), F.lit(1))
+        for n in names:
+            cols[f"_halo_{n}_{k}"] = F.when(F.col("_lrn") <= k, hit[f"_t_{n}"])
+    return out.withColumns(cols)
 
 
 def _drop_internal(df: DataFrame) -> DataFrame:
@@ -365,10 +429,18 @@ def with_rolling_mean(
     frame.df = frame.df.withColumns(
         {"_llag_S": F.lag("_S", k).over(w_rows), "_llag_C": F.lag("_C", k).over(w_rows)}
     )
-    out = _halo_lags(frame, {"S": F.col("_S"), "C": F.col("_C")}, [k])
+    out = _halo_lags(frame, {}, [k], prefix_sums=[value])
     zero = F.lit(0).cast("decimal(38,2)")
-    back_s = F.when(F.col("_grn") <= k, zero).when(F.col("_lrn") > k, F.col("_llag_S")).otherwise(F.col(f"_halo_S_{k}"))
-    back_c = F.when(F.col("_grn") <= k, F.lit(0)).when(F.col("_lrn") > k, F.col("_llag_C")).otherwise(F.col(f"_halo_C_{k}"))
+    back_s = (
+        F.when(F.col("_grn") <= k, zero)
+        .when(F.col("_lrn") > k, F.col("_llag_S"))
+        .otherwise(F.col(f"_halo__P_{value}_{k}"))
+    )
+    back_c = (
+        F.when(F.col("_grn") <= k, F.lit(0))
+        .when(F.col("_lrn") > k, F.col("_llag_C"))
+        .otherwise(F.col(f"_halo__Pn_{value}_{k}"))
+    )
     s = F.col("_S") - back_s
     n = F.col("_C") - back_c
     mean = F.when(n > 0, s.cast("double") / n.cast("double"))
