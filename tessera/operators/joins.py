@@ -89,3 +89,43 @@ def cross_with_equality(left: DataFrame, right: DataFrame, left_key: str, right_
     ever planned.
     """
     return left.join(right, on=left[left_key] == right[right_key], how="inner")
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    *,
+    hot_keys: DataFrame | None = None,
+    max_rows_per_key: int = 2_000_000,
+    salts: int = 32,
+) -> DataFrame:
+    """Equi-join that spreads hot keys of ``big`` over ``salts`` tasks.
+
+    Rows of ``big`` whose key is hot get a salt in ``[0, salts)``; the rows of
+    ``small`` with a hot key are repeated once per salt (a bounded copy: at
+    most hot keys x salts rows); all other rows use salt 0.  Adaptive
+    execution already splits skewed partitions of inner sort-merge joins;
+    this covers the joins it cannot split (the preserved side of an outer
+    join, or when its thresholds are not met).  ``how`` is one of inner,
+    left (``big`` preserved) or left_anti.  Filter both inputs before calling:
+    the salt is a random draw, and the optimizer does not push predicates
+    below it.
+    """
+    from tessera.session import materialize
+
+    if how not in ("inner", "left", "left_outer", "left_anti"):
+        raise ValueError("salted_join supports inner, left and left_anti joins")
+    if hot_keys is None:
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        hot_keys = materialize(counts.filter(F.col("_n") > max_rows_per_key).select(*keys), "join_hot_keys")
+    hot = broadcast_if_small(hot_keys.select(*keys).withColumn("_hot", F.lit(True)), DEFAULT_BROADCAST_ROWS)
+    # The salt only has to spread rows; a seeded per-partition random draw is
+    # repeatable on task retry because file scans give rows in a fixed order.
+    salted_big = big.join(hot, on=keys, how="left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.floor(F.rand(17) * salts).cast("int")).otherwise(F.lit(0))
+    ).drop("_hot")
+    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = small.join(hot, on=keys, how="left").withColumn("_salt", F.explode(spread)).drop("_hot")
+    return salted_big.join(salted_small, on=[*keys, "_salt"], how=JOIN_TYPES[how]).drop("_salt")

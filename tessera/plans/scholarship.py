@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import broadcast_if_small, join_on_condition, join_on_key
+from tessera.operators.joins import broadcast_if_small, join_on_condition, join_on_key, salted_join
 from tessera.plans.registry import register
 from tessera.plans.standins import (
     DEBT_STATUS,
@@ -102,3 +102,15 @@ def scholarship_variant(spark: SparkSession, sf: str) -> DataFrame:
     """Practice variant: country, a demographic flag and the student-loan flag."""
     joined = join_on_key(demographics(spark, sf), finance_flags(spark, sf), "id", "inner")
     return joined.filter(in_country() & F.col("negative_balance") & F.col("has_student_loans"))
+
+
+@register("scholarship_join_salted", _RECIPIENTS_SQL)
+def scholarship_join_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """Filter both sides, then join with explicit salting of busy
+    participants: every participant with more than 5 matching finance records
+    is spread over 8 tasks (the demographics row is repeated per salt).
+    Filters go first because the salt (a random draw) stops the optimizer
+    from pushing predicates below it."""
+    fin = finance_flags(spark, sf).filter(in_need())
+    demo = demographics(spark, sf).filter(in_country())
+    return salted_join(fin, demo, ["id"], "inner", max_rows_per_key=5, salts=8)

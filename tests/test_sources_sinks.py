@@ -150,3 +150,27 @@ def test_dropmalformed_independent_of_projection(spark, tmp_dir):
     assert strict.select("id").count() == 1
     assert [r.id for r in strict.select("id").collect()] == [1]
     assert strict.columns == FIN_NAMES
+
+
+def test_entry_and_schema_check(spark):
+    import __spark_entry__ as entry
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+    from tessera.plans.inspect import schema_matches
+
+    out = entry.entry(spark)
+    expected = StructType([
+        StructField("AccountNumber", LongType()), StructField("AverageTransaction", DoubleType()),
+        StructField("TotalTransaction", DoubleType()), StructField("NumberOfTransaction", LongType()),
+        StructField("MaxTransaction", DoubleType()), StructField("MinTransaction", DoubleType()),
+        StructField("UniqueTransactionDescriptions", StringType()),
+    ])
+    assert schema_matches(out, expected)
+    assert out.count() > 0
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_merge_partitions(spark):
+    from tessera.operators.layout import merge_partitions
+
+    assert merge_partitions(spark.range(100).repartition(4), 1).rdd.getNumPartitions() == 1
