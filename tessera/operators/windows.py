@@ -25,6 +25,8 @@ Sums of money are exact decimals, so both plans give identical results.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
@@ -38,8 +40,11 @@ from tessera.session import materialize
 
 # A key with more rows than this is split (about one comfortable task).
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
-# Upper bound on ordering-value buckets per query (bounds travel to the driver).
-DEFAULT_BUCKETS = 256
+# Upper bound on ordering-value buckets per query (bounds travel to the driver);
+# the count used grows with the hot rows, about max_rows_per_key / 2 per bucket.
+DEFAULT_BUCKETS = 1024
+# Upper bound on second-level buckets inside one heavy ordering value.
+MAX_SUB_BUCKETS = 64
 # Upper bound on hot keys broadcast for tagging (hot keys <= rows / max_rows_per_key).
 MAX_HOT_KEYS = 200_000
 # Row bound under which the per-(key, bucket) summary of hot keys is broadcast.
@@ -49,7 +54,7 @@ SUMMARY_BROADCAST_ROWS = 2_000_000
 def hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
     """Keys holding more than ``max_rows_per_key`` rows (partial aggregation first)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > max_rows_per_key).select(*keys)
+    return counts.filter(F.col("_n") > max_rows_per_key)
 
 
 def materialized_hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
@@ -157,25 +162,83 @@ def _with_buckets(
     n_buckets: int,
     hot: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Add ``_bucket`` (0 for ordinary keys, a value-range index for hot keys)."""
+    """Add ``_bucket`` (0 for ordinary keys) and ``_hot``.
+
+    For hot keys the bucket follows the window order: value ranges from
+    ``approxQuantile`` (about ``max_rows_per_key / 2`` rows each, at most
+    ``n_buckets``), and an ordering value that alone fills more than one range
+    (a heavy tie group, e.g. many copies of one row) gets ranges of its own,
+    cut by quantiles of the first tie-breaker.  Bucket numbers never decrease
+    along the window order, so every bucket is a contiguous run of its key.
+    """
     normed, nk = _norm_keys(df, keys)
     if hot is None:
         hot = materialized_hot_keys(df, keys, max_rows_per_key)
-    hot, hk = _norm_keys(hot, keys)
-    hot = broadcast_if_small(hot.select(*hk).withColumn("_hot", F.lit(True)), MAX_HOT_KEYS)
-    tagged = normed.join(hot, on=nk, how="left").withColumn("_x", order.sort_value(df))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = tagged.filter(F.col("_hot")).approxQuantile("_x", probs, 1.0 / (4 * n_buckets))
-    inner = sorted({b for b in bounds if b not in (float("inf"), float("-inf"))})
-    splits = [float("-inf")] + inner + [float("inf")]
+    hot_rows = hot.agg(F.sum("_n")).first()[0] or 0
+    hotn, hk = _norm_keys(hot.select(*keys), keys)
+    tag = broadcast_if_small(hotn.select(*hk).withColumn("_hot", F.lit(True)), MAX_HOT_KEYS)
+    tagged = (
+        normed.join(tag, on=nk, how="left")
+        .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+        .withColumn("_x", order.sort_value(df))
+    )
+    target = max(1, max_rows_per_key // 2)
+    nb = int(min(n_buckets, max(2, -(-hot_rows // target))))
+    probs = [i / nb for i in range(1, nb)]
+    bounds = tagged.filter(F.col("_hot")).approxQuantile("_x", probs, 1.0 / (4 * nb))
+    finite = [b for b in bounds if math.isfinite(b)]
+    slots = Counter(finite)
+    heavy = sorted(v for v, c in slots.items() if c >= 2)
+    split_vals = sorted(set(finite) | {math.nextafter(h, math.inf) for h in heavy})
+    splits = [-math.inf] + split_vals + [math.inf]
     if len(splits) < 3:
-        # A hot key whose ordering column is constant cannot be split by value.
-        splits = [float("-inf"), 0.0, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep").transform(tagged)
-    bucketed = bucketed.withColumn(
-        "_bucket", F.when(F.col("_hot"), F.col("_b")).otherwise(F.lit(0.0)).cast("int")
-    ).withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False))).drop("_b")
-    return bucketed, nk
+        splits = [-math.inf, 0.0, math.inf]
+    bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_vb", handleInvalid="keep").transform(tagged)
+    sub = F.lit(0)
+    if heavy and _sub_splittable(df, order):
+        sub, bucketed = _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target)
+    bucket = F.col("_vb").cast("long") * F.lit(MAX_SUB_BUCKETS + 1) + sub
+    bucketed = bucketed.withColumn("_bucket", F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("long")))
+    return bucketed.drop("_vb", "_subs"), nk
+
+
+def _sub_splittable(df: DataFrame, order: OrderSpec) -> bool:
+    """A heavy value can be cut by its first tie-breaker when both map exactly
+    (or monotonically) to doubles: value of a non-long type, numeric/date/time tie-breaker."""
+    if not order.tiebreak:
+        return False
+    vtype = df.schema[order.column].dataType
+    ttype = df.schema[order.tiebreak[0]].dataType
+    exact_value = isinstance(vtype, (T.IntegerType, T.ShortType, T.ByteType, T.FloatType, T.DoubleType,
+                                      T.DateType, T.TimestampType, T.TimestampNTZType))
+    ordered_tb = isinstance(ttype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    return exact_value and ordered_tb
+
+
+def _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target):
+    """Second-level buckets inside heavy ordering values, by the first tie-breaker.
+
+    One grouped ``percentile_approx`` pass over the heavy rows gives, per
+    heavy value, at most ``MAX_SUB_BUCKETS - 1`` bounds (a bounded table,
+    joined by broadcast).  The sub-bucket is the number of bounds at or below
+    the row's tie-breaker, so it rises with the tie-breaker (NULLs first).
+    """
+    tb_name = order.tiebreak[0]
+    tb = _as_number(F.col(tb_name), df.schema[tb_name].dataType)
+    biggest = max(slots[h] for h in heavy) * hot_rows / nb
+    m = int(min(MAX_SUB_BUCKETS, max(2, -(-biggest // target))))
+    probs = F.array(*[F.lit(i / m) for i in range(1, m)])
+    heavy_rows = bucketed.filter(F.col("_hot") & F.col("_x").isin(heavy)).withColumn("_tb", tb)
+    sub_bounds = heavy_rows.groupBy("_x").agg(
+        F.percentile_approx("_tb", probs, 4 * m).alias("_subs")
+    )
+    sub_bounds = broadcast_if_small(sub_bounds, MAX_HOT_KEYS, materialize=True)
+    joined = bucketed.join(sub_bounds, on="_x", how="left")
+    sub = F.when(
+        F.col("_subs").isNotNull(),
+        F.size(F.filter(F.col("_subs"), lambda b: b <= tb)),
+    ).otherwise(F.lit(0))
+    return sub, joined
 
 
 @dataclass
@@ -199,6 +262,7 @@ def _split_frame(
     need_rank: bool,
     need_dense: bool,
     hot: DataFrame | None = None,
+    need_range: bool = False,
 ) -> _SplitFrame:
     bucketed, nk = _with_buckets(df, keys, order, max_rows_per_key, n_buckets, hot)
     part = nk + ["_bucket"]
@@ -224,38 +288,127 @@ def _split_frame(
         local[f"_ltot_{s}"] = F.sum(money(s)).over(w_part)
     with_local = bucketed.withColumns(local)
 
-    # Per (key, bucket) summary of the hot keys only: at most hot keys x
-    # buckets rows.  Stored once (read by three consumers) and broadcast
-    # under a checked bound.  Ordinary keys have one bucket and no carries.
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    summary = _bucket_summary(bucketed, nk, order, sums, need_rank, need_dense, need_range)
+    summary = broadcast_if_small(summary, SUMMARY_BROADCAST_ROWS, materialize=True)
+    carry_prefixes = ("_ccnt", "_cndv", "_cont", "_tbefore", "_bfv", "_blv", "_csum_", "_cnn_", "_tsum_", "_aft")
+    carry_cols = [c for c in summary.columns if c.startswith(carry_prefixes)]
+    joined = with_local.join(summary.select(*part, *carry_cols), on=part, how="left")
+    long0 = F.lit(0).cast("long")
+    fill = {"_ccnt": F.coalesce(F.col("_ccnt"), long0)}
     if need_dense:
-        aggs.append(
-            (F.count_distinct(F.col(order.column)) + F.max(F.col(order.column).isNull().cast("int"))).alias("_ndv")
-        )
+        fill["_cndv"] = F.coalesce(F.col("_cndv"), long0)
+        fill["_cont"] = F.coalesce(F.col("_cont"), long0)
+    if need_rank:
+        fill["_tbefore"] = F.coalesce(F.col("_tbefore"), long0)
+    for s in sums:
+        fill[f"_csum_{s}"] = F.coalesce(F.col(f"_csum_{s}"), zero)
+        fill[f"_cnn_{s}"] = F.coalesce(F.col(f"_cnn_{s}"), long0)
+        fill[f"_tsum_{s}"] = F.when(F.col("_hot"), F.col(f"_tsum_{s}")).otherwise(F.col(f"_ltot_{s}"))
+        if need_range:
+            fill[f"_aft_{s}"] = F.coalesce(F.col(f"_aft_{s}"), zero)
+            fill[f"_aftn_{s}"] = F.coalesce(F.col(f"_aftn_{s}"), long0)
+    joined = joined.withColumns(fill).withColumn("_grn", F.col("_ccnt") + F.col("_lrn"))
+    return _SplitFrame(joined, nk, summary, bucketed, order)
+
+
+def _null_safe_lookup(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], take: list[str]) -> DataFrame:
+    """Left-join a small table on null-safe equality of column pairs, adding ``take``."""
+    r = right.select(*[F.col(c).alias(f"_r{c}") for c in right.columns])
+    cond = None
+    for lc, rc in on:
+        c = left[lc].eqNullSafe(r[f"_r{rc}"])
+        cond = c if cond is None else cond & c
+    joined = left.join(r, on=cond, how="left")
+    return joined.select(*left.columns, *[F.col(f"_r{c}").alias(c) for c in take])
+
+
+def _bucket_summary(bucketed, nk, order, sums, need_rank, need_dense, need_range) -> DataFrame:
+    """Per (key, bucket) summary of the hot rows and what earlier/later buckets contribute.
+
+    At most hot keys x buckets rows.  Besides counts and sums it records each
+    bucket's first and last ordering value, so ties that run across a bucket
+    edge are exact: ``_tbefore`` counts rows equal to the first value in
+    earlier buckets (for ``rank``), ``_cont`` marks a first value continuing
+    from the previous bucket (for ``dense_rank``), and ``_aft_{s}`` sums rows
+    equal to the last value in later buckets (for RANGE running totals).
+    """
+    part = nk + ["_bucket"]
+    v = F.col(order.column)
+    src = bucketed.filter(F.col("_hot")).select(*part, order.column, *order.tiebreak, *sums)
+    w_b = Window.partitionBy(*part).orderBy(*order.full_exprs()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    src = src.withColumns({"_bfv": F.first(v).over(w_b), "_blv": F.last(v).over(w_b)})
+    is_f = v.eqNullSafe(F.col("_bfv"))
+    is_l = v.eqNullSafe(F.col("_blv"))
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.first("_bfv").alias("_bfv"), F.first("_blv").alias("_blv")]
+    if need_rank:
+        aggs.append(F.count(F.when(is_l, F.lit(1))).alias("_cnt_lv"))
+    if need_dense:
+        aggs.append((F.count_distinct(v) + F.max(v.isNull().cast("int"))).alias("_ndv"))
     for s in sums:
         aggs += [F.sum(money(s)).alias(f"_bsum_{s}"), F.count(F.col(s)).alias(f"_bnn_{s}")]
-    summary = bucketed.filter(F.col("_hot")).groupBy(*part).agg(*aggs)
-    wk = Window.partitionBy(*nk).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        if need_range:
+            aggs += [
+                F.sum(F.when(is_f, money(s))).alias(f"_sfv_{s}"),
+                F.count(F.when(is_f, F.col(s))).alias(f"_nfv_{s}"),
+            ]
+    summary = src.groupBy(*part).agg(*aggs)
+
+    zero = F.lit(0).cast("decimal(38,2)")
+    wo = Window.partitionBy(*nk).orderBy("_bucket")
+    wk = wo.rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*nk)
-    carry = {"_ccnt": F.coalesce(F.sum("_cnt").over(wk), F.lit(0))}
+    single = F.col("_bfv").eqNullSafe(F.col("_blv"))
+    carry = {"_ccnt": F.coalesce(F.sum("_cnt").over(wk), F.lit(0).cast("long"))}
     if need_dense:
-        carry["_cndv"] = F.coalesce(F.sum("_ndv").over(wk), F.lit(0))
+        prev_last = F.lag("_blv").over(wo)
+        has_prev = F.lag("_bucket").over(wo).isNotNull()
+        summary = summary.withColumn(
+            "_cont", F.when(has_prev & prev_last.eqNullSafe(F.col("_bfv")), F.lit(1)).otherwise(F.lit(0)).cast("long")
+        )
+        carry["_cndv"] = F.coalesce(F.sum(F.col("_ndv") - F.col("_cont")).over(wk), F.lit(0).cast("long"))
     for s in sums:
         carry[f"_csum_{s}"] = F.coalesce(F.sum(f"_bsum_{s}").over(wk), zero)
-        carry[f"_cnn_{s}"] = F.coalesce(F.sum(f"_bnn_{s}").over(wk), F.lit(0))
+        carry[f"_cnn_{s}"] = F.coalesce(F.sum(f"_bnn_{s}").over(wk), F.lit(0).cast("long"))
         carry[f"_tsum_{s}"] = F.sum(f"_bsum_{s}").over(wall)
-    summary = broadcast_if_small(summary.withColumns(carry), SUMMARY_BROADCAST_ROWS, materialize=True)
-    carry_cols = [c for c in summary.columns if c.startswith(("_ccnt", "_cndv", "_csum_", "_cnn_", "_tsum_"))]
-    joined = with_local.join(summary.select(*part, *carry_cols), on=part, how="left")
-    fill = {"_ccnt": F.coalesce(F.col("_ccnt"), F.lit(0).cast("long"))}
-    if need_dense:
-        fill["_cndv"] = F.coalesce(F.col("_cndv"), F.lit(0).cast("long"))
-    for s in sums:
-        fill[f"_csum_{s}"] = F.coalesce(F.col(f"_csum_{s}"), zero)
-        fill[f"_cnn_{s}"] = F.coalesce(F.col(f"_cnn_{s}"), F.lit(0).cast("long"))
-        fill[f"_tsum_{s}"] = F.when(F.col("_hot"), F.col(f"_tsum_{s}")).otherwise(F.col(f"_ltot_{s}"))
-    joined = joined.withColumns(fill).withColumn("_grn", F.col("_ccnt") + F.col("_lrn"))
-    return _SplitFrame(joined, nk, summary, bucketed, order)
+    summary = summary.withColumns(carry)
+
+    if need_rank:
+        # Rows equal to this bucket's first value in earlier buckets: those
+        # buckets end with that value.  A bucket holding one value sees only
+        # the earlier ones (running sum); otherwise all of them are earlier.
+        w_lv = Window.partitionBy(*nk, "_blv").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        summary = summary.withColumn("_tb_run", F.coalesce(F.sum("_cnt_lv").over(w_lv), F.lit(0).cast("long")))
+        lv_tot = summary.groupBy(*nk, "_blv").agg(F.sum("_cnt_lv").alias("_lv_tot"))
+        summary = _null_safe_lookup(summary, lv_tot, [*[(k, k) for k in nk], ("_bfv", "_blv")], ["_lv_tot"])
+        summary = summary.withColumn(
+            "_tbefore", F.when(single, F.col("_tb_run")).otherwise(F.coalesce(F.col("_lv_tot"), F.lit(0).cast("long")))
+        )
+    if need_range:
+        # Rows equal to this bucket's last value in later buckets: those
+        # buckets start with that value.
+        w_fv = Window.partitionBy(*nk, "_bfv").orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
+        fv_tot = summary.groupBy(*nk, "_bfv").agg(
+            *[F.sum(f"_sfv_{s}").alias(f"_fvs_{s}") for s in sums],
+            *[F.sum(f"_nfv_{s}").alias(f"_fvn_{s}") for s in sums],
+        )
+        summary = _null_safe_lookup(
+            summary, fv_tot, [*[(k, k) for k in nk], ("_blv", "_bfv")],
+            [f"_fvs_{s}" for s in sums] + [f"_fvn_{s}" for s in sums],
+        )
+        for s in sums:
+            run_s = F.coalesce(F.sum(f"_sfv_{s}").over(w_fv), zero)
+            run_n = F.coalesce(F.sum(f"_nfv_{s}").over(w_fv), F.lit(0).cast("long"))
+            summary = summary.withColumns(
+                {
+                    f"_aft_{s}": F.when(single, run_s).otherwise(F.coalesce(F.col(f"_fvs_{s}"), zero)),
+                    f"_aftn_{s}": F.when(single, run_n).otherwise(
+                        F.coalesce(F.col(f"_fvn_{s}"), F.lit(0).cast("long"))
+                    ),
+                }
+            )
+    return summary
 
 
 def _tails(frame: _SplitFrame, kmax: int, values: dict[str, Column], prefix_sums: list[str]) -> DataFrame:
@@ -388,8 +541,10 @@ def with_rank_columns(
         dflt = F.lit(default) if default is not None else F.lit(None)
         cols[alias] = F.when(F.col("_grn") > k, inside).otherwise(dflt.cast(df.schema[value].dataType))
     cols[row_number_alias] = F.col("_grn").cast("long")
-    cols[rank_alias] = (F.col("_ccnt") + F.col("_lrank")).cast("long")
-    cols[dense_rank_alias] = (F.col("_cndv") + F.col("_ldense")).cast("long")
+    # Rows tied with the bucket's first value may continue from earlier buckets.
+    tied_before = F.when(v.eqNullSafe(F.col("_bfv")), F.col("_tbefore")).otherwise(F.lit(0))
+    cols[rank_alias] = (F.col("_ccnt") + F.col("_lrank") - tied_before).cast("long")
+    cols[dense_rank_alias] = (F.col("_cndv") + F.col("_ldense") - F.col("_cont")).cast("long")
     return _drop_internal(out.withColumns(cols))
 
 
@@ -476,14 +631,19 @@ def with_income_ranking(
                 running_alias: F.sum(money(value)).over(w_vals).cast("double"),
             }
         )
-    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot)
+    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot,
+                         need_range=True)
+    # Rows tied with the bucket's last value may continue into later buckets.
+    on_last = F.col(value).eqNullSafe(F.col("_blv"))
+    tied_after = F.when(on_last, F.col(f"_aft_{value}")).otherwise(F.lit(0).cast("decimal(38,2)"))
+    tied_after_n = F.when(on_last, F.col(f"_aftn_{value}")).otherwise(F.lit(0))
     out = frame.df.withColumns(
         {
             row_number_alias: F.col("_grn").cast("long"),
             total_alias: F.col(f"_tsum_{value}").cast("double"),
             running_alias: F.when(
-                F.col(f"_cnn_{value}") + F.col(f"_lrangen_{value}") > 0,
-                F.col(f"_csum_{value}") + F.col(f"_lrange_{value}"),
+                F.col(f"_cnn_{value}") + F.col(f"_lrangen_{value}") + tied_after_n > 0,
+                F.col(f"_csum_{value}") + F.col(f"_lrange_{value}") + tied_after,
             ).cast("double"),
         }
     )

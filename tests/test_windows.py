@@ -121,3 +121,48 @@ def test_same_key_windows_share_one_exchange(products_df):
     out = with_rank_columns(products_df, ["category"], OrderSpec("revenue", tiebreak=["product"]), "revenue",
                             strategy="window")
     assert count_nodes(out, "Exchange") == 1
+
+
+def _copies_frame(spark, n=3000, seed=11):
+    """One key holds ~40% of rows and ~2/3 of those share one value (copies)."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        r = rnd.random()
+        if r < 0.4:
+            key = "hot"
+            value = 10.0 if rnd.random() < 0.67 else float(rnd.randint(0, 40))
+        else:
+            key = None if r < 0.43 else f"k{rnd.randint(0, 30)}"
+            value = None if rnd.random() < 0.05 else float(rnd.randint(0, 40))
+        rows.append((i, key, value))
+    return spark.createDataFrame(rows, "id long, key string, value double")
+
+
+def test_heavy_tie_group_is_split_and_exact(spark):
+    from tessera.operators.windows import _with_buckets
+
+    df = _copies_frame(spark)
+    order = OrderSpec("value", tiebreak=["id"])
+    bucketed, _ = _with_buckets(df, ["key"], order, 100, 64)
+    copies = bucketed.filter((F.col("key") == "hot") & (F.col("value") == 10.0))
+    assert copies.select("_bucket").distinct().count() >= 4
+    biggest = bucketed.groupBy("key", "_bucket").count().agg(F.max("count")).first()[0]
+    assert biggest < 300  # the copies alone are ~800 rows
+
+    cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
+    a = with_rank_columns(df, ["key"], order, "value", strategy="window")
+    b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+    assert _as_set(a, cols) == _as_set(b, cols)
+
+    for desc in (False, True):
+        o = OrderSpec("value", descending=desc, tiebreak=["id"])
+        cols = ["id", "ranked", "windowedSum", "windowedRunningTotal"]
+        a = with_income_ranking(df, ["key"], o, "value", strategy="window")
+        b = with_income_ranking(df, ["key"], o, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+        assert _as_set(a, cols) == _as_set(b, cols)
+
+    a = with_rolling_mean(df, ["key"], order, "value", preceding=4, strategy="window")
+    b = with_rolling_mean(df, ["key"], order, "value", preceding=4, strategy="split", max_rows_per_key=100,
+                          n_buckets=64)
+    assert _as_set(a, ["id", "RollingAvg"]) == _as_set(b, ["id", "RollingAvg"])
