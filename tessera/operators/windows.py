@@ -100,7 +100,9 @@ class OrderSpec:
         """
         x = _as_number(F.col(self.column), df.schema[self.column].dataType)
         if self.descending:
-            return F.coalesce(-x, F.lit(float("inf")))
+            # NaN sorts above every number, so it comes first when descending.
+            return F.when(F.isnan(x), F.lit(float("-inf"))).otherwise(F.coalesce(-x, F.lit(float("inf"))))
+        # Ascending, NaN lands in the bucket after +inf (Bucketizer "keep").
         return F.coalesce(x, F.lit(float("-inf")))
 
 

@@ -166,3 +166,14 @@ def test_heavy_tie_group_is_split_and_exact(spark):
     b = with_rolling_mean(df, ["key"], order, "value", preceding=4, strategy="split", max_rows_per_key=100,
                           n_buckets=64)
     assert _as_set(a, ["id", "RollingAvg"]) == _as_set(b, ["id", "RollingAvg"])
+
+
+def test_nan_and_infinities_keep_order_in_split_plan(spark):
+    vals = [float("nan"), float("inf"), float("-inf"), None, 1.0, 2.0, 2.0, -3.0] * 40
+    df = spark.createDataFrame([(i, "k", v) for i, v in enumerate(vals)], "id long, key string, value double")
+    for desc in (False, True):
+        o = OrderSpec("value", descending=desc, tiebreak=["id"])
+        cols = ["id", "row_number", "rev_rank", "rev_dense_rank"]
+        a = with_rank_columns(df, ["key"], o, "value", strategy="window")
+        b = with_rank_columns(df, ["key"], o, "value", strategy="split", max_rows_per_key=10, n_buckets=16)
+        assert _as_set(a, cols) == _as_set(b, cols)
