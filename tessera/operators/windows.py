@@ -176,9 +176,12 @@ def _with_buckets(
     normed, nk = _norm_keys(df, keys)
     if hot is None:
         hot = materialized_hot_keys(df, keys, max_rows_per_key)
-    hot_rows = hot.agg(F.sum("_n")).first()[0] or 0
+    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")).first()
+    hot_rows = stats["n"] or 0
     hotn, hk = _norm_keys(hot.select(*keys), keys)
-    tag = broadcast_if_small(hotn.select(*hk).withColumn("_hot", F.lit(True)), MAX_HOT_KEYS)
+    tag = hotn.select(*hk).withColumn("_hot", F.lit(True))
+    # The hot-key table is stored and counted: broadcast it when under the bound.
+    tag = F.broadcast(tag) if stats["k"] <= MAX_HOT_KEYS else tag
     tagged = (
         normed.join(tag, on=nk, how="left")
         .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
