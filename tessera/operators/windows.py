@@ -9,18 +9,18 @@ operator here therefore has two plans, picked by :func:`choose_strategy`:
     holds more than ``max_rows_per_key`` rows;
 
 ``"split"``
-    the rows of *hot* keys are cut into value ranges of the ordering column
-    (bucket bounds from ``approxQuantile``; a fixed number, so the list the
-    driver sees is bounded).  Windows then run per ``(key, bucket)``, which
-    spreads a hot key over many tasks, and a small per-``(key, bucket)``
-    aggregate supplies what earlier buckets contribute (row offsets, distinct
-    counts, running sums, key totals).  Offsets that reach back across a
-    bucket edge (``lag``, a ``rows`` frame) read a "halo": the first and last
-    few rows of every bucket, a table bounded by ``K x buckets``.
-
-Equal ordering values always fall in the same bucket, so ``rank``,
-``dense_rank`` and RANGE frames (ties share one running total) stay exact.
-Sums of money are exact decimals, so both plans give identical results.
+    the rows of *hot* keys are cut into buckets that follow the window order
+    (value ranges from ``approxQuantile``, about ``max_rows_per_key / 2`` rows
+    each; a heavy tie group gets ranges of its own, cut by its first
+    tie-breaker).  Windows then run per ``(key, bucket)``, which spreads a hot
+    key over many tasks, and a small per-``(key, bucket)`` summary of the hot
+    rows supplies what other buckets contribute (row offsets, running sums,
+    distinct counts, key totals, ties running across a bucket edge).  Offsets
+    that reach back across a bucket edge (``lag``, a ROWS frame) read a
+    "halo": per bucket, the at most K rows just before it.
+
+Both plans give identical results: sums of money are exact decimals and ties
+are handled exactly.
 """
 
 from __future__ import annotations
@@ -106,14 +106,29 @@ class OrderSpec:
         return F.coalesce(x, F.lit(float("-inf")))
 
 
+# Code points run up to 0x10FFFF; two of them fit exactly in a double.
+_CODE_POINTS = 0x110000
+
+
 def _as_number(c: Column, dtype: T.DataType) -> Column:
-    """Dates and times order like their epoch numbers; numbers like themselves."""
+    """A double that never decreases along the column's sort order.
+
+    Numbers map to themselves, dates and times to epoch numbers, booleans to
+    0/1, and strings to their first two code points (strings sharing that
+    prefix map to one number, so they stay in one bucket range).
+    """
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("int").cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.StringType):
+        first = F.ascii(c).cast("double")
+        second = F.ascii(F.substring(c, 2, 1)).cast("double")
+        return F.when(c.isNull(), F.lit(None)).otherwise(first * F.lit(float(_CODE_POINTS)) + second)
     raise TypeError(f"cannot split a window ordered by {dtype.simpleString()}")
 
 

@@ -177,3 +177,19 @@ def test_nan_and_infinities_keep_order_in_split_plan(spark):
         a = with_rank_columns(df, ["key"], o, "value", strategy="window")
         b = with_rank_columns(df, ["key"], o, "value", strategy="split", max_rows_per_key=10, n_buckets=16)
         assert _as_set(a, cols) == _as_set(b, cols)
+
+
+def test_string_and_boolean_orders_split_exactly(spark):
+    rnd = random.Random(3)
+    words = ["", "a", "aa", "ab", "b", "ba", "é", "zz", None]
+    rows = [(i, "hot" if i % 3 else "x", rnd.choice(words), rnd.random() < 0.5) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, key string, word string, flag boolean")
+    for col in ("word", "flag"):
+        for desc in (False, True):
+            o = OrderSpec(col, descending=desc, tiebreak=["id"])
+            cols = ["id", "row_number", "rev_rank", "rev_dense_rank", "prevRevenue"]
+            lags = [(1, None), (2, None)]
+            a = with_rank_columns(df, ["key"], o, col, lags=lags, strategy="window")
+            b = with_rank_columns(df, ["key"], o, col, lags=lags, strategy="split", max_rows_per_key=20,
+                                  n_buckets=16)
+            assert _as_set(a, cols) == _as_set(b, cols)
