@@ -54,3 +54,54 @@ def test_document_store(spark, tmp_dir):
                                      "firstname string, lastname string, school string, studentno int")
     back = jobs.document_store(students, os.path.join(tmp_dir, "students"), students.schema)
     assert sorted((r.studentno, r.school) for r in back.collect()) == [(100, None), (200, "ITER")]
+
+
+def test_account_report_and_rolling_accounts(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.plans.standins import finances
+    from tests.conftest import SF_SMALL
+
+    fin = finances(spark, SF_SMALL)
+    rep = jobs.account_report(fin, movies_label="1-URGENT")
+    assert rep["top5"].count() == 5
+    assert rep["summary"].count() == fin.select("AccountNumber").distinct().count()
+    assert set(rep["arrays"].columns) >= {"CountOfUniqueTransactionTypes", "WentToMovies"}
+    raw = fin.withColumn("Date", F.date_format("Date", "M/d/yyyy"))
+    rolled = jobs.rolling_accounts(raw)
+    assert rolled.count() == fin.count()
+    assert rolled.filter(F.col("RollingAvg").isNull()).count() == 0
+
+
+def test_order_charge_profile_and_layout(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from tessera.plans.charges import order_charges
+    from tests.conftest import SF_SMALL
+
+    charges = order_charges(spark, SF_SMALL).withColumn("OMOID", F.col("l_orderkey"))
+    out = jobs.order_charge_profile(charges, os.path.join(tmp_dir, "daily"))
+    assert out["count"].first()[0] == charges.count()
+    assert out["frequency"].count() == 3
+    assert spark.read.parquet(os.path.join(tmp_dir, "daily")).count() == charges.count()
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    laid = jobs.year_layout(orders, "o_orderdate", os.path.join(tmp_dir, "years"))
+    assert laid.count() == orders.count() and "OrderYear" in laid.columns
+
+
+def test_transaction_load_and_scholarship(spark, tmp_dir):
+    from tessera.plans import standins
+    from tessera.plans.transactions import stage_transaction_text
+    from tessera.sources.files import read_text_fields
+    from tests.conftest import SF_SMALL
+
+    fields = read_text_fields(spark, stage_transaction_text(spark, SF_SMALL), delimiter="|", header_prefix="txn_id")
+    out = jobs.transaction_load(fields)
+    n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert out["count"].first()[0] == n
+    assert out["totals"].count() == out["merchants"].first()[0]
+    sch = jobs.scholarship_recipients(
+        standins.demographics(spark, SF_SMALL), standins.finance_flags(spark, SF_SMALL),
+        standins.courses(spark, SF_SMALL), standins.SWITZERLAND,
+    )
+    assert sch["with_course"].count() == sch["recipients"].count()
