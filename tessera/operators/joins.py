@@ -27,8 +27,9 @@ JOIN_TYPES = {
     "left_semi": "left_semi",
 }
 
-# Row bound under which a side may be broadcast on purpose.
+# Bounds under which a side may be broadcast on purpose: rows and bytes.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -36,20 +37,38 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *, materialize: bool = False) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven under the bound.
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows whose encoded size is at most ``max_bytes``.
+
+    One job over at most ``max_rows + 1`` rows; the size is the length of
+    each row written as JSON, a close stand-in for its in-memory size.
+    """
+    head = df.limit(max_rows + 1)
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    stats = head.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    *,
+    materialize: bool = False,
+    max_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """Mark ``df`` for broadcast only when its row count and size are proven under the bounds.
 
     For a side that is itself computed (an aggregate, a join), pass
     ``materialize=True``: it is stored once as a table in the shared
     checkpoint folder, so the size check and the join read the stored rows
-    instead of computing the side twice.  Past the bound the side is returned
+    instead of computing the side twice.  Past either bound the side is returned
     unmarked and the optimizer plans a shuffled join.
     """
     if materialize:
         from tessera.session import materialize as store
 
         df = store(df, "broadcast_side")
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def join_on_key(

@@ -83,3 +83,12 @@ def test_salted_join_matches_plain_join_on_skewed_keys(spark):
         assert sorted(got.columns) == sorted(want.columns)
         cols = want.columns
         assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_broadcast_check_bounds_bytes(spark):
+    from tessera.operators.joins import fits_broadcast
+
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 10_000).alias("blob"))
+    assert fits_broadcast(wide, 1000, max_bytes=10 * 1024 * 1024)
+    assert not fits_broadcast(wide, 1000, max_bytes=100_000)
+    assert broadcast_if_small(wide, 1000, max_bytes=100_000) is wide
