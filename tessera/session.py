@@ -123,3 +123,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hadoop_path)
+
+
+def scale_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings that keep shuffle partitions and file splits near ``partition_bytes``.
+
+    The initial shuffle width follows the input size (and is at least three
+    waves of the cluster's cores); adaptive execution then coalesces small
+    partitions toward the advisory size and splits skewed ones, so tasks fit
+    in executor memory instead of spilling.  Example: 100 TB on 1000 executors
+    x 8 cores gives about 400k shuffle partitions and 256 MB splits.
+    """
+    width = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }

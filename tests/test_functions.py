@@ -59,3 +59,11 @@ def test_capitalize_words_other_delimiter(spark):
 def test_tidy_name(spark):
     df = spark.createDataFrame([(" sam",), ("Sam ",), ("kIM",)], "n string")
     assert [r.n for r in df.select(tidy_name("n").alias("n")).collect()] == ["Sam", "Sam", "Kim"]
+
+
+def test_scale_conf():
+    from tessera.session import scale_conf
+
+    conf = scale_conf(100 * 1024**4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "24"
