@@ -42,9 +42,13 @@ from tessera.session import materialize
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
 # Upper bound on ordering-value buckets per query (bounds travel to the driver);
 # the count used grows with the hot rows, about max_rows_per_key / 2 per bucket.
-DEFAULT_BUCKETS = 1024
-# Upper bound on second-level buckets inside one heavy ordering value.
-MAX_SUB_BUCKETS = 64
+DEFAULT_BUCKETS = 16_384
+# Upper bound on second-level buckets inside one heavy ordering value, and on
+# all second-level bounds together (they travel to the driver).
+MAX_SUB_BUCKETS = 4_096
+MAX_SUB_BOUNDS = 1_000_000
+# Bucket id = value bucket * SUB_SPAN + second-level bucket.
+SUB_SPAN = 1 << 21
 # Upper bound on hot keys broadcast for tagging (hot keys <= rows / max_rows_per_key).
 MAX_HOT_KEYS = 200_000
 # Row bound under which the per-(key, bucket) summary of hot keys is broadcast.
@@ -214,12 +218,12 @@ def _with_buckets(
     if len(splits) < 3:
         splits = [-math.inf, 0.0, math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_vb", handleInvalid="keep").transform(tagged)
-    sub = F.lit(0)
+    sub = F.lit(0).cast("long")
     if heavy and _sub_splittable(df, order):
         sub, bucketed = _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target)
-    bucket = F.col("_vb").cast("long") * F.lit(MAX_SUB_BUCKETS + 1) + sub
+    bucket = F.col("_vb").cast("long") * F.lit(SUB_SPAN) + sub
     bucketed = bucketed.withColumn("_bucket", F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("long")))
-    return bucketed.drop("_vb", "_subs"), nk
+    return bucketed.drop("_vb", "_subb"), nk
 
 
 def _sub_splittable(df: DataFrame, order: OrderSpec) -> bool:
@@ -238,27 +242,60 @@ def _sub_splittable(df: DataFrame, order: OrderSpec) -> bool:
 def _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target):
     """Second-level buckets inside heavy ordering values, by the first tie-breaker.
 
-    One grouped ``percentile_approx`` pass over the heavy rows gives, per
-    heavy value, at most ``MAX_SUB_BUCKETS - 1`` bounds (a bounded table,
-    joined by broadcast).  The sub-bucket is the number of bounds at or below
-    the row's tie-breaker, so it rises with the tie-breaker (NULLs first).
+    One grouped pass over the heavy rows gives, per heavy value, the
+    tie-breaker's range and up to ``MAX_SUB_BUCKETS - 1`` quantile bounds (a
+    bounded table on the driver).  Each heavy row is then placed on one
+    number line: value index + its tie-breaker's position in that value's
+    range (in [0, 1)).  A single ``Bucketizer`` (binary search) over all
+    values' bounds gives a sub-bucket that rises with the tie-breaker (NULLs
+    first) and never mixes two values.
     """
     tb_name = order.tiebreak[0]
     tb = _as_number(F.col(tb_name), df.schema[tb_name].dataType)
     biggest = max(slots[h] for h in heavy) * hot_rows / nb
-    m = int(min(MAX_SUB_BUCKETS, max(2, -(-biggest // target))))
+    m = int(min(MAX_SUB_BUCKETS, max(2, -(-biggest // target)), max(2, MAX_SUB_BOUNDS // len(heavy))))
     probs = F.array(*[F.lit(i / m) for i in range(1, m)])
     heavy_rows = bucketed.filter(F.col("_hot") & F.col("_x").isin(heavy)).withColumn("_tb", tb)
-    sub_bounds = heavy_rows.groupBy("_x").agg(
-        F.percentile_approx("_tb", probs, 4 * m).alias("_subs")
+    ranges = heavy_rows.groupBy("_x").agg(
+        F.min("_tb").alias("lo"), F.max("_tb").alias("hi"), F.percentile_approx("_tb", probs, 4 * m).alias("q")
+    ).collect()
+    index = {h: i for i, h in enumerate(heavy)}
+    span = 0.999_999
+
+    def position(i, lo, hi, t):
+        return i + (0.0 if hi <= lo else min(max((t - lo) / (hi - lo), 0.0), 1.0) * span)
+
+    line_splits = set()
+    lookup = []
+    for r in ranges:
+        i, lo, hi = index[r["_x"]], r["lo"], r["hi"]
+        if lo is None:  # every tie-breaker NULL: one sub-bucket
+            continue
+        lookup.append((r["_x"], float(i), float(lo), float(hi)))
+        for q in sorted(set(r["q"] or [])):
+            if lo < q <= hi:
+                line_splits.add(position(i, lo, hi, q))
+    if not line_splits:
+        return F.lit(0).cast("long"), bucketed
+    spark = bucketed.sparkSession
+    table = spark.createDataFrame(lookup, "_x double, _hi_idx double, _hi_lo double, _hi_hi double")
+    joined = bucketed.join(F.broadcast(table), on="_x", how="left")
+    norm = F.when(
+        F.col("_hi_hi") > F.col("_hi_lo"),
+        F.least(F.greatest((tb - F.col("_hi_lo")) / (F.col("_hi_hi") - F.col("_hi_lo")), F.lit(0.0)), F.lit(1.0))
+        * F.lit(span),
+    ).otherwise(F.lit(0.0))
+    # NULL tie-breakers sort first: place them at the start of their value.
+    line = F.col("_hi_idx") + F.coalesce(norm, F.lit(0.0))
+    joined = joined.withColumn("_line", F.when(F.col("_hi_idx").isNotNull(), line).otherwise(F.lit(-1.0)))
+    splits = [-math.inf] + sorted(line_splits) + [math.inf]
+    if len(splits) < 3:
+        splits = [-math.inf, -0.5, math.inf]
+    joined = Bucketizer(splits=splits, inputCol="_line", outputCol="_sub", handleInvalid="keep").transform(joined)
+    joined = joined.withColumn(
+        "_subb", F.when(F.col("_hi_idx").isNotNull(), F.col("_sub").cast("long")).otherwise(F.lit(0).cast("long"))
     )
-    sub_bounds = broadcast_if_small(sub_bounds, MAX_HOT_KEYS, materialize=True)
-    joined = bucketed.join(sub_bounds, on="_x", how="left")
-    sub = F.when(
-        F.col("_subs").isNotNull(),
-        F.size(F.filter(F.col("_subs"), lambda b: b <= tb)),
-    ).otherwise(F.lit(0))
-    return sub, joined
+    return F.col("_subb"), joined.drop("_hi_idx", "_hi_lo", "_hi_hi", "_line", "_sub")
 
 
 @dataclass

@@ -222,9 +222,12 @@ _ROLLING_SQL = """
 """
 
 
-def _rolling(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None) -> DataFrame:
+def _rolling(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None,
+             n_buckets: int | None = None) -> DataFrame:
     f = finances(spark, sf).withColumn("Date", F.to_date("Date"))
     extra = {"max_rows_per_key": max_rows_per_key} if max_rows_per_key else {}
+    if n_buckets:
+        extra["n_buckets"] = n_buckets
     return with_rolling_mean(
         f, ["AccountNumber"], OrderSpec("Date", tiebreak=["TxnId"]), "Amount", preceding=4, strategy=strategy, **extra
     )
@@ -239,7 +242,7 @@ def rolling_avg(spark: SparkSession, sf: str) -> DataFrame:
 def rolling_avg_split(spark: SparkSession, sf: str) -> DataFrame:
     """The hot-key plan forced on (every key with more than 2 rows is split
     into ordering-value buckets), checked against the same oracle."""
-    return _rolling(spark, sf, "split", max_rows_per_key=2)
+    return _rolling(spark, sf, "split", max_rows_per_key=2, n_buckets=256)
 
 
 @register("rolling_avg_sql", _ROLLING_SQL)

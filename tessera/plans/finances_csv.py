@@ -124,8 +124,11 @@ _RANKED_SQL = f"""
 """
 
 
-def _ranked(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None) -> DataFrame:
+def _ranked(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None,
+             n_buckets: int | None = None) -> DataFrame:
     extra = {"max_rows_per_key": max_rows_per_key} if max_rows_per_key else {}
+    if n_buckets:
+        extra["n_buckets"] = n_buckets
     return with_income_ranking(
         finances_permissive(spark, sf),
         ["has_debt"],
@@ -146,7 +149,7 @@ def ranked_income(spark: SparkSession, sf: str) -> DataFrame:
 def ranked_income_split(spark: SparkSession, sf: str) -> DataFrame:
     """Same, with the hot-key plan forced on: the debt flag has only three
     values, so at scale each flag is a third of the table."""
-    return _ranked(spark, sf, "split", max_rows_per_key=2)
+    return _ranked(spark, sf, "split", max_rows_per_key=2, n_buckets=256)
 
 
 # --- A5, A12, B3 ----------------------------------------------------------

@@ -31,8 +31,11 @@ _PRODUCTS_SQL = """
 CATEGORY_REVENUE = OrderSpec("revenue", tiebreak=["p_partkey"])
 
 
-def _windows(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None) -> DataFrame:
+def _windows(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None,
+             n_buckets: int | None = None) -> DataFrame:
     extra = {"max_rows_per_key": max_rows_per_key} if max_rows_per_key else {}
+    if n_buckets:
+        extra["n_buckets"] = n_buckets
     return with_rank_columns(products(spark, sf), ["category"], CATEGORY_REVENUE, "revenue", strategy=strategy, **extra)
 
 
@@ -44,7 +47,7 @@ def product_windows(spark: SparkSession, sf: str) -> DataFrame:
 @register("product_windows_split", _PRODUCTS_SQL)
 def product_windows_split(spark: SparkSession, sf: str) -> DataFrame:
     """The hot-category plan forced on (every category split by revenue range)."""
-    return _windows(spark, sf, "split", max_rows_per_key=2)
+    return _windows(spark, sf, "split", max_rows_per_key=2, n_buckets=256)
 
 
 @register("product_windows_sql", _PRODUCTS_SQL)
