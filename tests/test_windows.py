@@ -146,9 +146,9 @@ def test_heavy_tie_group_is_split_and_exact(spark):
     order = OrderSpec("value", tiebreak=["id"])
     bucketed, _ = _with_buckets(df, ["key"], order, 100, 64)
     copies = bucketed.filter((F.col("key") == "hot") & (F.col("value") == 10.0))
-    assert copies.select("_bucket").distinct().count() >= 4
+    assert copies.select("_bucket").distinct().count() >= 10
     biggest = bucketed.groupBy("key", "_bucket").count().agg(F.max("count")).first()[0]
-    assert biggest < 300  # the copies alone are ~800 rows
+    assert biggest < 120  # the copies alone are ~800 rows; buckets aim at 50
 
     cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
     a = with_rank_columns(df, ["key"], order, "value", strategy="window")
