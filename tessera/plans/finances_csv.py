@@ -196,3 +196,24 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         partition_cols=["l_returnflag"],
     )
     return read_delimited(spark, path, sep="~", header=True)
+
+
+@register(
+    "csv_dropmalformed_inferred",
+    f"""
+    SELECT CAST(o_orderkey AS INTEGER) AS id,
+           CASE WHEN o_orderstatus = '{BAD_FLAG_STATUS}' THEN 'maybe'
+                WHEN o_orderstatus = '{DEBT_STATUS}' THEN 'true' ELSE 'false' END AS has_debt,
+           o_orderpriority = '{DEPENDENTS_PRIORITY}' AS has_financial_dependents,
+           o_totalprice > {LOANS_INCOME_OVER} AS has_student_loans,
+           CASE WHEN o_orderpriority = '{BAD_INCOME_PRIORITY}' THEN 'n/a'
+                ELSE CAST(o_totalprice AS VARCHAR) END AS income
+    FROM orders
+    WHERE o_orderpriority <> '{SHORT_LINE_PRIORITY}'
+    """,
+)
+def csv_dropmalformed_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Types inferred from the data (one extra pass): columns holding ``maybe``
+    or ``n/a`` become text, so only the short lines are malformed."""
+    path = stage_finance_csv(spark, sf)
+    return read_csv(spark, path, None, mode="DROPMALFORMED", infer_schema=True, names=FIN_NAMES)
