@@ -111,20 +111,13 @@ def staged(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _STAGED.get(key)
-    if path is None or not _exists(spark, path):
+    if path is None:
         path = scratch_path(spark, name)
         write(path)
         _STAGED[key] = path
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
-
-
 def scale_conf(input_bytes: int, total_cores: int, *, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings that keep shuffle partitions and file splits near ``partition_bytes``.
 
