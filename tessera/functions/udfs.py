@@ -8,12 +8,20 @@ in Arrow batches, never row by row, and return NULL for NULL input.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+# Ship this module's functions by value, so Python workers (local or on a
+# cluster) need pandas and pyspark only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _cap_words(text, delimiter: str):
     if text is None or delimiter is None:
         return None
