@@ -10,8 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column as _Column
 
-ColumnOrName = "Column | str"
-
 # The boolean words accepted by the classic Python ``strtobool``
 # parser, matched case-insensitively.
 TRUE_WORDS = ["y", "yes", "t", "true", "on", "1"]

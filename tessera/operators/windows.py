@@ -79,7 +79,8 @@ def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int = DEFA
 
 @dataclass
 class OrderSpec:
-    """Ordering of a window: one numeric/date/time column plus unique tie-breakers."""
+    """Ordering of a window: one value column (number, date, time, boolean or
+    text) plus tie-breakers that make the order unique (row numbers, lags)."""
 
     column: str
     descending: bool = False
