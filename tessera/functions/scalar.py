@@ -29,8 +29,9 @@ def safe_cast(c, to_type: str) -> Column:
 
 
 def parse_bool(c) -> Column:
-    """Boolean words to true/false; any other text (and NULL) gives NULL."""
-    word = F.lower(F.trim(_col(c)))
+    """Boolean words to true/false, case-insensitively and without trimming
+    (``" true "`` is not a word); any other text (and NULL) gives NULL."""
+    word = F.lower(_col(c))
     return (
         F.when(word.isin(TRUE_WORDS), F.lit(True))
         .when(word.isin(FALSE_WORDS), F.lit(False))

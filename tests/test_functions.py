@@ -9,9 +9,10 @@ from tessera.functions.udfs import register_text_udfs, title_case, title_case_de
 
 
 def test_parse_bool_words(spark):
-    df = spark.createDataFrame([(w,) for w in ["true", "Yes", "on", "0", "t", "N", "maybe", None]], "w string")
+    words = ["true", "Yes", "on", "0", "t", "N", "maybe", None, " true", "OFF"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
     got = [r.b for r in df.select(parse_bool("w").alias("b")).collect()]
-    assert got == [True, True, True, False, True, False, None, None]
+    assert got == [True, True, True, False, True, False, None, None, None, False]
 
 
 def test_parse_date_padded_unpadded_and_bad(spark):
