@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import array_profile
-from tessera.functions.scalar import parse_bool, parse_date, parse_timestamp, tidy_name
+from tessera.functions.scalar import money, parse_bool, parse_date, parse_timestamp, tidy_name
 from tessera.operators import aggregates as agg
 from tessera.operators import filters, sorting
 from tessera.operators.joins import broadcast_if_small, join_on_key
@@ -93,7 +93,8 @@ def transaction_load(text_fields: DataFrame) -> dict[str, DataFrame]:
         "count": agg.row_count(typed),
         "merchants": agg.count_distinct(typed, "merchant_id", "n_merchants"),
         "totals": typed.groupBy("merchant_id").agg(
-            F.sum("amount").alias("total_amount"), F.approx_count_distinct("status").alias("dist_status_count")
+            F.sum(money("amount")).cast("double").alias("total_amount"),
+            F.approx_count_distinct("status").alias("dist_status_count"),
         ),
     }
 
