@@ -200,8 +200,8 @@ def _with_buckets(
     hot_rows = stats["n"] or 0
     hotn, hk = _norm_keys(hot.select(*keys), keys)
     tag = hotn.select(*hk).withColumn("_hot", F.lit(True))
-    # The hot-key table is stored and counted: broadcast it when under the bound.
-    tag = F.broadcast(tag) if stats["k"] <= MAX_HOT_KEYS else tag
+    # The hot-key table is stored: broadcast it when its rows and bytes are under the bounds.
+    tag = broadcast_if_small(tag, MAX_HOT_KEYS) if stats["k"] <= MAX_HOT_KEYS else tag
     tagged = (
         normed.join(tag, on=nk, how="left")
         .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
@@ -280,6 +280,7 @@ def _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target):
         return F.lit(0).cast("long"), bucketed
     spark = bucketed.sparkSession
     table = spark.createDataFrame(lookup, "_x double, _hi_idx double, _hi_lo double, _hi_hi double")
+    # At most one row of four numbers per heavy value (<= n_buckets / 2 rows).
     joined = bucketed.join(F.broadcast(table), on="_x", how="left")
     norm = F.when(
         F.col("_hi_hi") > F.col("_hi_lo"),
