@@ -55,8 +55,11 @@ def money(c) -> Column:
 
 
 def exact_mean(sum_col: Column, count_col: Column) -> Column:
-    """Mean as double(exact sum) / count; identical on any engine doing IEEE division."""
-    return sum_col.cast("double") / count_col.cast("double")
+    """Mean as double(exact sum) / count; identical on any engine doing IEEE division.
+
+    NULL when nothing was counted (as ``avg``), never a division by zero.
+    """
+    return F.when(count_col > 0, sum_col.cast("double") / count_col.cast("double"))
 
 
 def capitalize_words(c, delimiter: str = " ") -> Column:

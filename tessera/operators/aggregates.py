@@ -132,10 +132,12 @@ def typed_stats(df: DataFrame, numeric: list[str], text: list[str] = ()) -> Data
         n = F.col(f"{c}_count").cast("double")
         s1 = F.col(f"_{c}_s1").cast("double")
         s2 = F.col(f"_{c}_s2").cast("double")
+        # NULL mean without values, NULL sample deviation below two values
+        # (as ``avg`` / ``stddev_samp``), never a division by zero.
         out += [
             F.col(f"{c}_count"),
-            F.round(s1 / n, 6).alias(f"{c}_mean"),
-            F.round(F.sqrt((s2 - s1 * s1 / n) / (n - F.lit(1.0))), 6).alias(f"{c}_stddev"),
+            F.when(n > 0, F.round(s1 / n, 6)).alias(f"{c}_mean"),
+            F.when(n > 1, F.round(F.sqrt((s2 - s1 * s1 / n) / (n - F.lit(1.0))), 6)).alias(f"{c}_stddev"),
             F.col(f"{c}_min"),
             F.col(f"{c}_max"),
         ]

@@ -628,7 +628,7 @@ def with_rolling_mean(
         w = Window.partitionBy(*keys).orderBy(*order.full_exprs()).rowsBetween(-preceding, 0)
         s = F.sum(money(value)).over(w)
         n = F.count(F.col(value)).over(w)
-        return df.withColumn(alias, s.cast("double") / n.cast("double"))
+        return df.withColumn(alias, F.when(n > 0, s.cast("double") / n.cast("double")))
 
     # Prefix sums S(r) and prefix non-null counts C(r); frame = S(r) - S(r-p-1).
     frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot)

@@ -78,3 +78,17 @@ def test_approx_distinct_low_cardinality_exact(spark):
     df = spark.createDataFrame([(s,) for s in "ABCABCAAA"], "s string")
     assert agg.approx_distinct(df, "s", "n").first().n == 3
     assert agg.count_distinct(df, "s", "n").first().n == 3
+
+
+def test_all_null_groups_give_null_not_errors(spark):
+    from tessera.operators.windows import OrderSpec, with_rolling_mean
+
+    df = spark.createDataFrame([(1, 1, None), (1, 2, None), (2, 1, 5.0)], "k long, t long, v double")
+    summary = {r.AccountNumber: r.AverageTransaction for r in agg.summarize_by_key(df, "k", "v", "k").collect()}
+    assert summary == {1: None, 2: 5.0}
+    stats = agg.typed_stats(df.filter("k = 2"), ["v"]).first()
+    assert stats.v_mean == 5.0 and stats.v_stddev is None
+    assert agg.typed_stats(df.filter("k = 1"), ["v"]).first().v_mean is None
+    rolled = {(r.k, r.t): r.RollingAvg for r in with_rolling_mean(df, ["k"], OrderSpec("t"), "v",
+                                                                 strategy="window").collect()}
+    assert rolled == {(1, 1): None, (1, 2): None, (2, 1): 5.0}
