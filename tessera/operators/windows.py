@@ -26,6 +26,7 @@ are handled exactly.
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -115,6 +116,21 @@ class OrderSpec:
 _CODE_POINTS = 0x110000
 
 
+def _collision_class(order: OrderSpec, df: DataFrame) -> Column:
+    """Orders values that share a number on the line: NULL and -inf (ascending),
+    NaN and +inf, -inf and NULL (descending).  0 sorts before 1."""
+    c = F.col(order.column)
+    if not order.descending:
+        return F.when(c.isNull(), F.lit(0)).otherwise(F.lit(1))
+    x = _as_number(c, df.schema[order.column].dataType)
+    return (
+        F.when(c.isNull(), F.lit(1))
+        .when(F.isnan(x), F.lit(0))
+        .when(x == F.lit(float("-inf")), F.lit(0))
+        .otherwise(F.lit(1))
+    )
+
+
 def _as_number(c: Column, dtype: T.DataType) -> Column:
     """A double that never decreases along the column's sort order.
 
@@ -206,16 +222,22 @@ def _with_buckets(
         normed.join(tag, on=nk, how="left")
         .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
         .withColumn("_x", order.sort_value(df))
+        .withColumn("_xc", _collision_class(order, df))
     )
     target = max(1, max_rows_per_key // 2)
     nb = int(min(n_buckets, max(2, -(-hot_rows // target))))
     probs = [i / nb for i in range(1, nb)]
     bounds = tagged.filter(F.col("_hot")).approxQuantile("_x", probs, 1.0 / (4 * nb))
     finite = [b for b in bounds if math.isfinite(b)]
-    slots = Counter(finite)
+    # NULL ordering values sit at -inf / +inf; many NULLs make a heavy group too.
+    slots = Counter(b for b in bounds if not math.isnan(b))
     heavy = sorted(v for v, c in slots.items() if c >= 2)
-    split_vals = sorted(set(finite) | {math.nextafter(h, math.inf) for h in heavy})
-    splits = [-math.inf] + split_vals + [math.inf]
+    split_vals = set(finite) | {math.nextafter(h, math.inf) for h in heavy if math.isfinite(h)}
+    if -math.inf in heavy:
+        split_vals.add(-sys.float_info.max)  # bucket [-inf, -max) holds only -inf
+    if math.inf in heavy:
+        split_vals.add(sys.float_info.max)  # bucket [max, +inf] holds +inf (and max itself)
+    splits = [-math.inf] + sorted(split_vals) + [math.inf]
     if len(splits) < 3:
         splits = [-math.inf, 0.0, math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_vb", handleInvalid="keep").transform(tagged)
@@ -257,10 +279,11 @@ def _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target):
     m = int(min(MAX_SUB_BUCKETS, max(2, -(-biggest // target)), max(2, MAX_SUB_BOUNDS // len(heavy))))
     probs = F.array(*[F.lit(i / m) for i in range(1, m)])
     heavy_rows = bucketed.filter(F.col("_hot") & F.col("_x").isin(heavy)).withColumn("_tb", tb)
-    ranges = heavy_rows.groupBy("_x").agg(
+    ranges = heavy_rows.groupBy("_x", "_xc").agg(
         F.min("_tb").alias("lo"), F.max("_tb").alias("hi"), F.percentile_approx("_tb", probs, 4 * m).alias("q")
     ).collect()
-    index = {h: i for i, h in enumerate(heavy)}
+    # One stretch of the line per (value, class), in window order.
+    index = {k: i for i, k in enumerate(sorted((r["_x"], r["_xc"]) for r in ranges))}
     span = 0.999_999
 
     def position(i, lo, hi, t):
@@ -269,19 +292,22 @@ def _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target):
     line_splits = set()
     lookup = []
     for r in ranges:
-        i, lo, hi = index[r["_x"]], r["lo"], r["hi"]
-        if lo is None:  # every tie-breaker NULL: one sub-bucket
+        i, lo, hi = index[(r["_x"], r["_xc"])], r["lo"], r["hi"]
+        if lo is None:  # every tie-breaker NULL: the stretch's start
+            lookup.append((r["_x"], r["_xc"], float(i), 0.0, 0.0))
+            line_splits.add(float(i))
             continue
-        lookup.append((r["_x"], float(i), float(lo), float(hi)))
+        lookup.append((r["_x"], r["_xc"], float(i), float(lo), float(hi)))
+        line_splits.add(float(i))
         for q in sorted(set(r["q"] or [])):
             if lo < q <= hi:
                 line_splits.add(position(i, lo, hi, q))
     if not line_splits:
         return F.lit(0).cast("long"), bucketed
     spark = bucketed.sparkSession
-    table = spark.createDataFrame(lookup, "_x double, _hi_idx double, _hi_lo double, _hi_hi double")
-    # At most one row of four numbers per heavy value (<= n_buckets / 2 rows).
-    joined = bucketed.join(F.broadcast(table), on="_x", how="left")
+    table = spark.createDataFrame(lookup, "_x double, _xc int, _hi_idx double, _hi_lo double, _hi_hi double")
+    # At most one row of five numbers per heavy (value, class).
+    joined = bucketed.join(F.broadcast(table), on=["_x", "_xc"], how="left")
     norm = F.when(
         F.col("_hi_hi") > F.col("_hi_lo"),
         F.least(F.greatest((tb - F.col("_hi_lo")) / (F.col("_hi_hi") - F.col("_hi_lo")), F.lit(0.0)), F.lit(1.0))

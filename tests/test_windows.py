@@ -193,3 +193,28 @@ def test_string_and_boolean_orders_split_exactly(spark):
             b = with_rank_columns(df, ["key"], o, col, lags=lags, strategy="split", max_rows_per_key=20,
                                   n_buckets=16)
             assert _as_set(a, cols) == _as_set(b, cols)
+
+
+def test_null_ordering_values_as_heavy_group_are_split(spark):
+    from tessera.operators.windows import _with_buckets
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(2400):
+        key = "hot" if i % 2 else f"k{i % 7}"
+        value = None if (key == "hot" and rnd.random() < 0.6) else float(rnd.randint(0, 500))
+        rows.append((i, key, value))
+    df = spark.createDataFrame(rows, "id long, key string, value double")
+    for desc in (False, True):
+        order = OrderSpec("value", descending=desc, tiebreak=["id"])
+        bucketed, _ = _with_buckets(df, ["key"], order, 100, 64)
+        nulls = bucketed.filter((F.col("key") == "hot") & F.col("value").isNull())
+        assert nulls.select("_bucket").distinct().count() >= 8  # ~720 NULL rows, ~50 per bucket
+        cols = ["id", "ranked", "windowedSum", "windowedRunningTotal"]
+        a = with_income_ranking(df, ["key"], order, "value", strategy="window")
+        b = with_income_ranking(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+        assert _as_set(a, cols) == _as_set(b, cols)
+        cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
+        a = with_rank_columns(df, ["key"], order, "value", strategy="window")
+        b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+        assert _as_set(a, cols) == _as_set(b, cols)
