@@ -240,9 +240,10 @@ def rolling_avg(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("rolling_avg_split", _ROLLING_SQL)
 def rolling_avg_split(spark: SparkSession, sf: str) -> DataFrame:
-    """The hot-key plan forced on (every key with more than 2 rows is split
-    into ordering-value buckets), checked against the same oracle."""
-    return _rolling(spark, sf, "split", max_rows_per_key=2, n_buckets=256)
+    """The hot-key plan forced on: accounts with more than 10 orders are split
+    into ordering buckets, the rest take the ordinary path; checked against
+    the same oracle."""
+    return _rolling(spark, sf, "split", max_rows_per_key=10, n_buckets=256)
 
 
 @register("rolling_avg_sql", _ROLLING_SQL)
