@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.scalar import money
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 from tessera.session import materialize
 
 # A key with more rows than this is split (about one comfortable task).
@@ -212,12 +212,15 @@ def _with_buckets(
     normed, nk = _norm_keys(df, keys)
     if hot is None:
         hot = materialized_hot_keys(df, keys, max_rows_per_key)
-    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")).first()
+    # One job over the stored hot-key table: its rows, the rows they cover,
+    # and its encoded size (for the broadcast bound).
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])))
+    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n"), F.sum(size).alias("b")).first()
     hot_rows = stats["n"] or 0
     hotn, hk = _norm_keys(hot.select(*keys), keys)
     tag = hotn.select(*hk).withColumn("_hot", F.lit(True))
-    # The hot-key table is stored: broadcast it when its rows and bytes are under the bounds.
-    tag = broadcast_if_small(tag, MAX_HOT_KEYS) if stats["k"] <= MAX_HOT_KEYS else tag
+    if stats["k"] <= MAX_HOT_KEYS and (stats["b"] or 0) <= DEFAULT_BROADCAST_BYTES:
+        tag = F.broadcast(tag)
     tagged = (
         normed.join(tag, on=nk, how="left")
         .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
