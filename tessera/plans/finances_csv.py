@@ -149,7 +149,7 @@ def ranked_income(spark: SparkSession, sf: str) -> DataFrame:
 def ranked_income_split(spark: SparkSession, sf: str) -> DataFrame:
     """Same, with the hot-key plan forced on: the debt flag has only three
     values, so at scale each flag is a third of the table."""
-    return _ranked(spark, sf, "split", max_rows_per_key=100, n_buckets=256)
+    return _ranked(spark, sf, "split", max_rows_per_key=1000, n_buckets=256)
 
 
 # --- A5, A12, B3 ----------------------------------------------------------

@@ -47,7 +47,7 @@ def product_windows(spark: SparkSession, sf: str) -> DataFrame:
 @register("product_windows_split", _PRODUCTS_SQL)
 def product_windows_split(spark: SparkSession, sf: str) -> DataFrame:
     """The hot-category plan forced on (every category split by revenue range)."""
-    return _windows(spark, sf, "split", max_rows_per_key=100, n_buckets=256)
+    return _windows(spark, sf, "split", max_rows_per_key=200, n_buckets=256)
 
 
 @register("product_windows_sql", _PRODUCTS_SQL)
