@@ -25,8 +25,10 @@ def nest_children(
 ) -> DataFrame:
     """Group child rows under their parent as ``array<struct<order, fields…>>``.
 
-    Children are chunked by ``order div chunk_size`` so each record holds at
-    most ``chunk_size`` elements, sorted by ``order`` inside the record.
+    Children are chunked by ``order div chunk_size`` and sorted by ``order``
+    inside the record.  With ``(parent, order)`` unique (a turn number within
+    a conversation), each record holds at most ``chunk_size`` elements, so no
+    parent is ever gathered whole, however many children it has.
     """
     chunk = F.floor(F.col(order) / F.lit(chunk_size))
     element = F.struct(F.col(order), *[F.col(f) for f in fields])

@@ -22,6 +22,8 @@ TWINS = [
     ("title_case", "title_case_sql"),
     ("account_arrays", "sql_view_chain"),
     ("scholarship_filter_join", "scholarship_join_salted"),
+    ("scholarship_filter_join", "scholarship_join_filter"),
+    ("posexplode_items", "json_flatten"),
 ]
 
 
@@ -36,3 +38,11 @@ def test_twins_agree(spark, a, b):
     common = sorted(set(da.columns) & set(db.columns))
     assert set(db.columns) <= set(da.columns)
     assert _rows(da, common) == _rows(db, common)
+
+
+def test_dropmalformed_is_permissive_without_bad_cells(spark):
+    qs = entry.queries()
+    permissive = qs["csv_permissive"](spark, SF_SMALL)
+    strict = qs["csv_dropmalformed"](spark, SF_SMALL)
+    cols = permissive.columns
+    assert _rows(strict, cols) == _rows(permissive.dropna(), cols)
