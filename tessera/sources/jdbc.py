@@ -83,7 +83,13 @@ def column_bounds(
         spark, url, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}",
         user=user, password=password, driver=driver,
     ).first()
-    return int(row["LO"] if "LO" in row else row["lo"]), int(row["HI"] if "HI" in row else row["hi"])
+    return bounds_from_row(row)
+
+
+def bounds_from_row(row) -> tuple[int, int]:
+    """``(lo, hi)`` from a one-row result; databases may upper-case the names."""
+    fields = {k.lower(): v for k, v in row.asDict().items()}
+    return int(fields["lo"]), int(fields["hi"])
 
 
 def stride_predicates(column: str, lower: int, upper: int, num_partitions: int) -> list[str]:

@@ -174,3 +174,12 @@ def test_merge_partitions(spark):
     from tessera.operators.layout import merge_partitions
 
     assert merge_partitions(spark.range(100).repartition(4), 1).rdd.getNumPartitions() == 1
+
+
+def test_jdbc_bounds_from_row_any_case():
+    from pyspark.sql import Row
+
+    from tessera.sources.jdbc import bounds_from_row
+
+    assert bounds_from_row(Row(LO=1, HI=300)) == (1, 300)
+    assert bounds_from_row(Row(lo=5, hi=9)) == (5, 9)
