@@ -183,3 +183,28 @@ def test_jdbc_bounds_from_row_any_case():
 
     assert bounds_from_row(Row(LO=1, HI=300)) == (1, 300)
     assert bounds_from_row(Row(lo=5, hi=9)) == (5, 9)
+
+
+def test_layout_helpers(spark):
+    from tessera.operators.layout import hash_partition, rebalance, round_robin
+
+    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    hashed = hash_partition(df, 5, "k")
+    assert hashed.rdd.getNumPartitions() == 5
+    # Every key lands in exactly one partition.
+    tagged = hashed.withColumn("pid", F.spark_partition_id())
+    per_key = tagged.groupBy("k").agg(F.countDistinct("pid").alias("p"))
+    assert per_key.agg(F.max("p")).first()[0] == 1
+    assert round_robin(df, 3).rdd.getNumPartitions() == 3
+    assert rebalance(df, "k").count() == 1000
+
+
+def test_job_helpers(spark):
+    from tessera.plans import jobs
+
+    df = spark.createDataFrame([("yes", "off"), ("x", "1")], "a string, b string")
+    flags = jobs.parse_flags(df, ["a", "b"]).collect()
+    assert [(r.a, r.b) for r in flags] == [(True, False), (None, True)]
+    views = jobs.register_views({"tessera_test_view": df})
+    assert spark.sql("SELECT count(*) AS n FROM tessera_test_view").first().n == 2
+    assert views["tessera_test_view"].count() == 2
