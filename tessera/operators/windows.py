@@ -39,8 +39,17 @@ from tessera.functions.scalar import money
 from tessera.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 from tessera.session import materialize
 
-# A key with more rows than this is split (about one comfortable task).
+# A key with more rows than this is split (about one comfortable task).  A
+# session can set its own with the ``spark.tessera.maxRowsPerKey`` conf.
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
+MAX_ROWS_CONF = "spark.tessera.maxRowsPerKey"
+
+
+def max_rows_per_key_for(df: DataFrame, value: int | None = None) -> int:
+    """The hot-key bound: the argument, else the session conf, else the default."""
+    if value is not None:
+        return int(value)
+    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
 # Upper bound on ordering-value buckets per query (bounds travel to the driver);
 # the count used grows with the hot rows, about max_rows_per_key / 2 per bucket.
 DEFAULT_BUCKETS = 16_384
@@ -73,9 +82,10 @@ def materialized_hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int)
     return materialize(hot_keys(df, keys, max_rows_per_key), "hot_keys")
 
 
-def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> str:
+def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int | None = None) -> str:
     """``"split"`` when some key is hot, else ``"window"``.  One pass over the key columns."""
-    return "split" if hot_keys(df, keys, max_rows_per_key).limit(1).count() > 0 else "window"
+    bound = max_rows_per_key_for(df, max_rows_per_key)
+    return "split" if hot_keys(df, keys, bound).limit(1).count() > 0 else "window"
 
 
 @dataclass
@@ -596,7 +606,7 @@ def with_rank_columns(
     rank_alias: str = "rev_rank",
     dense_rank_alias: str = "rev_dense_rank",
     strategy: str = "auto",
-    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
+    max_rows_per_key: int | None = None,
     n_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """``lag`` (with defaults), ``row_number``, ``rank``, ``dense_rank`` over one key.
@@ -604,6 +614,7 @@ def with_rank_columns(
     Row numbers and lags follow the full order (value, then tie-breakers);
     ``rank`` and ``dense_rank`` follow the value alone, so ties share a rank.
     """
+    max_rows_per_key = max_rows_per_key_for(df, max_rows_per_key)
     plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
     v = F.col(value)
     if plan == "window":
@@ -645,13 +656,14 @@ def with_rolling_mean(
     preceding: int = 4,
     alias: str = "RollingAvg",
     strategy: str = "auto",
-    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
+    max_rows_per_key: int | None = None,
     n_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Mean over the current row and ``preceding`` earlier rows (a ROWS frame).
 
     The sum is exact (decimal); the mean is ``double(sum) / rows in frame``.
     """
+    max_rows_per_key = max_rows_per_key_for(df, max_rows_per_key)
     plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
     if plan == "window":
         w = Window.partitionBy(*keys).orderBy(*order.full_exprs()).rowsBetween(-preceding, 0)
@@ -700,13 +712,14 @@ def with_income_ranking(
     total_alias: str = "windowedSum",
     running_alias: str = "windowedRunningTotal",
     strategy: str = "auto",
-    max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
+    max_rows_per_key: int | None = None,
     n_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Row number, partition total and RANGE running total (ties share) on one key.
 
     Totals are exact decimals returned as double.
     """
+    max_rows_per_key = max_rows_per_key_for(df, max_rows_per_key)
     plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
     if plan == "window":
         w_rows = Window.partitionBy(*keys).orderBy(*order.full_exprs())

@@ -218,3 +218,17 @@ def test_null_ordering_values_as_heavy_group_are_split(spark):
         a = with_rank_columns(df, ["key"], order, "value", strategy="window")
         b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
         assert _as_set(a, cols) == _as_set(b, cols)
+
+
+def test_hot_key_bound_from_session_conf(spark):
+    from tessera.operators.windows import MAX_ROWS_CONF, max_rows_per_key_for
+
+    df = _skewed_frame(spark)
+    try:
+        spark.conf.set(MAX_ROWS_CONF, "500")
+        assert max_rows_per_key_for(df) == 500
+        assert choose_strategy(df, ["key"]) == "split"
+        assert max_rows_per_key_for(df, 7) == 7
+    finally:
+        spark.conf.unset(MAX_ROWS_CONF)
+    assert choose_strategy(df, ["key"]) == "window"
