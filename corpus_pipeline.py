@@ -1 +1,73 @@
-"""Corpus pipeline (stages follow)."""
+"""The corpus pipeline: quality, line dedup, near-dedup, decontamination, mixing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
+written and read again as the next stage's ``docs``.  All stages but the last
+return the columns of ``documents``.  Two stages are models or approximate in
+their candidates, so SQL cannot express the run (``ORACLE_SQL`` is None).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm.common import ship_package, store
+from tessera.llm.decontaminate import drop_contaminated
+from tessera.llm.line_dedup import dedup_lines
+from tessera.llm.minhash_dedup import near_duplicates
+from tessera.llm.mixing import mix_sources
+from tessera.llm.quality import THRESHOLD, fit_quality, score_quality
+from tessera.tables import table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+ORACLE_SQL = None
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose quality score reaches the threshold."""
+    net = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return score_quality(docs, net).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated lines; a document that lost all its lines of ten characters and more to others goes.
+
+    ``n_chars`` is the length of the new text.
+    """
+    out = dedup_lines(docs, keep=("lang", "source")).where("not emptied")
+    return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest doc_id of every group of near-duplicates (five-word shingles, similarity 0.8)."""
+    gone = near_duplicates(docs, shingle_words=5, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold ten words in a row (or a whole shorter item) of the benchmark."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mix the sources: every document at least once, small sources repeated up to twice."""
+    mixed = mix_sources(docs, keep=("text", "lang", "n_chars"))
+    return mixed.select(*COLUMNS, "n_tokens", "pass", "block", "slot")
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared checkpoint folder and read again."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    for name, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ship_package
+from tessera.llm.decontaminate import find_contamination
 from tessera.llm.line_dedup import dedup_lines
+from tessera.llm.minhash_dedup import near_duplicates
+from tessera.llm.mixing import mix_sources
+from tessera.llm.quality import THRESHOLD, fit_quality, score_quality
 from tessera.tables import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +65,120 @@ def oracle_sql() -> dict[str, str]:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op2_minhash_near_dedup")
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
+_HASH = "('0x' || substr(md5(concat_ws('/', {})), 1, 15))::BIGINT"
+_H = "(ln(list_sum(list_transform(l, lambda t: exp({a} * ln(t / total))))) - list_sum(list_transform(l, lambda t: exp({a} * ln(t / total)) * {a} * ln(t / total))) / list_sum(list_transform(l, lambda t: exp({a} * ln(t / total)))))"
+
+
+@_query(
+    "op5_mix_sources",
+    rf"""
+    WITH RECURSIVE toks AS (
+      SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n_tokens FROM documents),
+    per AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM toks GROUP BY source),
+    one AS (SELECT list(tokens::DOUBLE) AS l, sum(tokens)::DOUBLE AS total, count(*) AS n,
+                   max(tokens) AS most, min(tokens) AS fewest FROM per WHERE tokens > 0),
+    halved AS (
+      SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+      UNION ALL
+      SELECT i + 1, CASE WHEN ok THEN mid ELSE lo END, CASE WHEN ok THEN hi ELSE mid END
+      FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, {_H.format(a="((lo + hi) / 2)")} >= 0.92 * ln(n) AS ok
+            FROM halved, one WHERE i < 40)),
+    expo AS (
+      SELECT one.*, round(greatest(
+               CASE WHEN {_H.format(a="1.0")} >= 0.92 * ln(n) THEN 1.0 ELSE (SELECT lo FROM halved WHERE i = 40) END,
+               CASE WHEN ln(most / fewest) <= ln(2.0) THEN 0.0 ELSE 1.0 - ln(2.0) / ln(most / fewest) END), 6) AS a
+      FROM one),
+    plan AS (
+      SELECT source, tokens, CASE WHEN tokens = most THEN tokens WHEN tokens = 0 THEN 0
+               ELSE round(most * exp(a * ln(tokens / total)) / exp(a * ln(most / total)))::BIGINT END AS budget
+      FROM per, expo),
+    sized AS (
+      SELECT source, tokens, CASE WHEN tokens > 0 THEN budget // tokens ELSE 1 END AS full_passes,
+             CASE WHEN tokens > 0 THEN budget - (budget // tokens) * tokens ELSE 0 END AS rest,
+             greatest(1, ceil(tokens / 1000000))::BIGINT AS blocks
+      FROM plan),
+    wide AS (
+      SELECT t.*, full_passes, rest, {_HASH.format("'1', 'home', coalesce(doc_id::VARCHAR, 'null')")} % blocks AS home
+      FROM toks t JOIN sized s ON t.source IS NOT DISTINCT FROM s.source),
+    per_block AS (
+      SELECT source, home, full_passes, rest, sum(n_tokens) AS n FROM wide WHERE rest > 0 GROUP BY ALL),
+    ranked AS (
+      SELECT *, coalesce(sum(n) OVER (PARTITION BY source ORDER BY
+        {_HASH.format("'1', 'block', full_passes::VARCHAR, coalesce(source, 'null'), home::VARCHAR")}, home
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM per_block),
+    part AS (
+      SELECT w.*, r.rest - r.before AS room, r.n FROM wide w JOIN ranked r
+        ON w.source IS NOT DISTINCT FROM r.source AND w.home = r.home WHERE r.before < r.rest),
+    inside AS (
+      SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, home ORDER BY
+        {_HASH.format("'1', 'doc', full_passes::VARCHAR, coalesce(doc_id::VARCHAR, 'null')")}, doc_id, n_tokens
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM part),
+    mixed AS (
+      SELECT doc_id, source, n_tokens, home, full_passes AS pass FROM inside WHERE before < room
+      UNION ALL
+      SELECT doc_id, source, n_tokens, home, unnest(range(full_passes)) AS pass FROM wide WHERE full_passes > 0)
+    SELECT doc_id, source, n_tokens, pass,
+           {_HASH.format("'1', 'block', pass::VARCHAR, coalesce(source, 'null'), home::VARCHAR")} AS block,
+           {_HASH.format("'1', 'doc', pass::VARCHAR, coalesce(doc_id::VARCHAR, 'null')")} AS slot
+    FROM mixed
+    """,
+)
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@_query(
+    "op7_decontaminate",
+    r"""
+    WITH dw AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    bw AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    wins AS (
+      SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS win, least(10, len(w)) AS size
+      FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM bw WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT size FROM wins),
+    spots AS (
+      SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM dw, sizes WHERE len(w) >= size),
+    hits AS (
+      SELECT s.doc_id, s.i, s.size, x.item_id FROM spots s
+      JOIN wins x ON x.size = s.size AND x.win = array_to_string(list_slice(s.w, s.i, s.i + s.size - 1), ' ')),
+    covered AS (
+      SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM hits)) GROUP BY doc_id),
+    named AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, len(d.w) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
+           sha256(coalesce(n.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+    FROM dw d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN named n ON d.doc_id = n.doc_id
+    """,
+)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
+@_query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = fit_quality(docs, table(spark, sf_dir, "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    out = score_quality(docs, net)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this package's operators
+
+    return corpus_pipeline.run(spark, sf_dir)
