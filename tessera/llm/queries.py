@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ship_package
 from tessera.llm.decontaminate import find_contamination
 from tessera.llm.line_dedup import dedup_lines
+from tessera.llm.lm_score import score_texts
 from tessera.llm.minhash_dedup import near_duplicates
 from tessera.llm.mixing import mix_sources
 from tessera.llm.quality import THRESHOLD, fit_quality, score_quality
+from tessera.llm.token_count import count_tokens
 from tessera.tables import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,9 +174,27 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = fit_quality(docs, table(spark, sf_dir, "labels"))
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     out = score_quality(docs, net)
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def _remainder(divisor: int):
+    """crc32 of the id as text, modulo ``divisor``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@_query("op9_lm_score")
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_texts(table(spark, sf_dir, "documents"), learn_from=_remainder(7) != 2)
+    return out.select("doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query("op10_token_count")
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
 @_query("pipeline")
