@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ship_package
 from tessera.llm.decontaminate import find_contamination
+from tessera.llm.licenses import TEMPLATES, license_report
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.lm_score import score_texts
 from tessera.llm.minhash_dedup import near_duplicates
 from tessera.llm.mixing import mix_sources
+from tessera.llm.pii import find_pii, fit_trees
 from tessera.llm.quality import THRESHOLD, fit_quality, score_quality
 from tessera.llm.token_count import count_tokens
+from tessera.llm.vector_dedup import near_vectors
 from tessera.tables import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +77,51 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+@_query("op3_embedding_near_dedup")
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def _text_rows(rows) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return ", ".join(f"({quoted(name)}, {i}, {quoted(text)})" for name, i, text in rows)
+
+
+_LICENSE_ROWS = _text_rows((name, i, text) for name, texts in TEMPLATES.items() for i, text in enumerate(texts))
+
+
+@_query(
+    "op4_license_scan",
+    rf"""
+    WITH templates(license, variant, text) AS (VALUES {_LICENSE_ROWS}),
+    segments AS (
+      SELECT doc_id, 'line' AS kind, unnest(range(len(p))) AS pos, unnest(p) AS segment
+      FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)
+      UNION ALL
+      SELECT * FROM (
+        SELECT doc_id, 'paragraph' AS kind, unnest(range(len(p))) AS pos, unnest(p) AS segment
+        FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\n[ \t\r]*\n') AS p FROM documents))
+      WHERE contains(segment, chr(10))),
+    worded AS (
+      SELECT *, regexp_extract_all(translate(segment, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM segments),
+    grams AS (
+      SELECT doc_id, kind, pos, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM worded WHERE len(w) > 0),
+    known AS (
+      SELECT license, variant, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS t
+      FROM (SELECT license, variant, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM templates)),
+    hits AS (
+      SELECT doc_id, kind, pos, license, max(round(2.0 * len(list_intersect(g, t)) / (len(g) + len(t)), 6)::DOUBLE) AS dice
+      FROM grams, known WHERE 2 * len(list_intersect(g, t)) >= 0.8 * (len(g) + len(t)) GROUP BY ALL),
+    found AS (
+      SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice FROM hits GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, coalesce(best_dice, 0.0)::DOUBLE AS best_dice
+    FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
+    """,
+)
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 _HASH = "('0x' || substr(md5(concat_ws('/', {})), 1, 15))::BIGINT"
 _H = "(ln(list_sum(list_transform(l, lambda t: exp({a} * ln(t / total))))) - list_sum(list_transform(l, lambda t: exp({a} * ln(t / total)) * {a} * ln(t / total))) / list_sum(list_transform(l, lambda t: exp({a} * ln(t / total)))))"
 
@@ -136,6 +184,14 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+@_query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = find_pii(docs, fit_trees(docs))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256)
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest.alias("base_sha256"), "spans")
+
+
 @_query(
     "op7_decontaminate",
     r"""
