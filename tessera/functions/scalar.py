@@ -15,9 +15,6 @@ from pyspark.sql.column import Column as _Column
 TRUE_WORDS = ["y", "yes", "t", "true", "on", "1"]
 FALSE_WORDS = ["n", "no", "f", "false", "off", "0"]
 
-# Fixed value: money columns are summed exactly as decimals of this type.
-MONEY_TYPE = "decimal(18,2)"
-
 
 def _col(c) -> Column:
     return c if isinstance(c, _Column) else F.col(c)
@@ -49,9 +46,10 @@ def parse_timestamp(c, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     return F.try_to_timestamp(_col(c), F.lit(fmt))
 
 
-def money(c) -> Column:
-    """A double amount as an exact decimal, so sums do not depend on row order."""
-    return _col(c).cast(MONEY_TYPE)
+def exact(c, scale: int | None) -> Column:
+    """The column itself, or with ``scale`` an exact decimal of that scale, whose
+    sums do not depend on row order."""
+    return _col(c) if scale is None else _col(c).cast(f"decimal(28,{scale})")
 
 
 def exact_mean(sum_col: Column, count_col: Column) -> Column:

@@ -1,49 +1,43 @@
 """User-defined text functions for SQL and the DataFrame DSL.
 
-The native column form (:func:`tessera.functions.scalar.capitalize_words`) is
-the one to prefer: it stays in the JVM.  The vectorised pandas UDFs below are
-the registered-function surface (callable from ``spark.sql``); they move data
-in Arrow batches, never row by row, and return NULL for NULL input.
+They are SQL functions: the optimizer puts their body in place of the call, so
+they run as built-in expressions, without Python.  A NULL argument gives NULL.
 """
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
 
-# Ship this module's functions by value, so Python workers (local or on a
-# cluster) need pandas and pyspark only, not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_CAPITAL = "w -> concat(upper(substring(w, 1, 1)), lower(substring(w, 2)))"
 
+#: Name -> (parameters, body).  The delimiter is taken literally, not as a pattern.
+TEXT_FUNCTIONS = {
+    "title_case": ("text STRING", f"array_join(transform(split(text, ' ', -1), {_CAPITAL}), ' ')"),
+    "title_case_delim": (
+        "text STRING, delimiter STRING",
+        f"array_join(transform(split(text, concat('\\\\Q', delimiter, '\\\\E'), -1), {_CAPITAL}), delimiter)",
+    ),
+}
 
-def _cap_words(text, delimiter: str):
-    if text is None or delimiter is None:
-        return None
-    return delimiter.join(piece[:1].upper() + piece[1:].lower() for piece in text.split(delimiter))
 
+def register_function(spark: SparkSession, name: str, parameters: str, body: str, returns: str = "STRING") -> None:
+    """Register a SQL function for the session; a name registered again is replaced (the last one wins)."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {returns} RETURN {body}")
 
-@F.pandas_udf(StringType())
-def title_case(text: pd.Series) -> pd.Series:
-    """Capitalise every space-separated word, lower-case the rest."""
-    return text.map(lambda t: _cap_words(t, " "), na_action="ignore")
 
+def register_text_udfs(spark: SparkSession) -> None:
+    """Register the text functions under names of our own, never over a built-in such as ``initcap``."""
+    for name, (parameters, body) in TEXT_FUNCTIONS.items():
+        register_function(spark, name, parameters, body)
 
-@F.pandas_udf(StringType())
-def title_case_delim(text: pd.Series, delimiter: pd.Series) -> pd.Series:
-    """Two-argument form: the delimiter comes in as a column (usually ``lit``)."""
-    return pd.Series([_cap_words(t, d) for t, d in zip(text, delimiter)], dtype=object)
 
+def title_case(text) -> Column:
+    """Capitalise every space-separated word, lower-case the rest (after :func:`register_text_udfs`)."""
+    return F.call_function("title_case", F.col(text) if isinstance(text, str) else text)
 
-def register_text_udfs(spark: SparkSession) -> None:
-    """Register under names of our own; never shadow a built-in such as ``initcap``.
 
-    Registering a name again replaces the earlier function (last one wins).
-    """
-    spark.udf.register("title_case", title_case)
-    spark.udf.register("title_case_delim", title_case_delim)
+def title_case_delim(text, delimiter) -> Column:
+    """Two-argument form: the delimiter comes in as a column (usually ``lit``)."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in (text, delimiter)]
+    return F.call_function("title_case_delim", *cols)

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from tessera.functions.arrays import sorted_text
-from tessera.functions.scalar import exact_mean, money
+from tessera.functions.scalar import exact, exact_mean
 
 
 def summarize_by_key(
@@ -25,19 +26,22 @@ def summarize_by_key(
     key_alias: str = "AccountNumber",
     with_mean: bool = True,
     set_as_text: bool = True,
+    scale: int | None = None,
 ) -> DataFrame:
     """Per-key mean, total, count, max, min of an amount and the set of labels.
 
-    Totals are exact (decimal) and returned as double; the mean is
-    ``double(total) / count``.
+    Plain ``avg`` and ``sum`` by default.  With ``scale`` the amounts are summed
+    as exact decimals of that scale, the total is returned as double and the
+    mean is ``double(total) / count``, so results do not depend on row order.
     """
-    total = F.sum(money(amount))
+    total = F.sum(exact(amount, scale))
     n = F.count(amount)
     aggs: list[Column] = []
     if with_mean:
-        aggs.append(exact_mean(total, n).alias("AverageTransaction"))
+        mean = F.avg(amount) if scale is None else exact_mean(total, n)
+        aggs.append(mean.alias("AverageTransaction"))
     aggs += [
-        total.cast("double").alias("TotalTransaction"),
+        (total if scale is None else total.cast("double")).alias("TotalTransaction"),
         n.alias("NumberOfTransaction"),
         F.max(amount).alias("MaxTransaction"),
         F.min(amount).alias("MinTransaction"),
@@ -54,10 +58,19 @@ def count_by(df: DataFrame, key: str, alias: str = "OrderFrequency") -> DataFram
     return df.groupBy(key).agg(F.count(key).alias(alias))
 
 
+def distinct_values_by(df: DataFrame, key: str, value: Column, *, alias: str = "Zip") -> DataFrame:
+    """The distinct values of each key, one row per (key, value).
+
+    A list per key would gather an unbounded set in one task; rows stay spread.
+    """
+    return df.select(key, value.alias(alias)).distinct()
+
+
 def distinct_set_by(
     df: DataFrame, key: str, value: Column, *, list_alias: str = "ZipList", count_alias: str = "ZipCount"
 ) -> DataFrame:
-    """Distinct values per key as sorted text plus their number."""
+    """Distinct values per key as sorted text plus their number, for values of a
+    bounded domain (postal codes of a district); see :func:`distinct_values_by`."""
     grouped = df.groupBy(key).agg(F.collect_set(value).alias("_set"))
     return grouped.select(
         key,
@@ -107,43 +120,35 @@ def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
 
-def typed_stats(df: DataFrame, numeric: list[str], text: list[str] = ()) -> DataFrame:
-    """Typed counterpart of ``describe()``: count, mean, stddev, min, max.
+def column_stats(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """What ``describe()`` tells, typed: one row per numeric or text column.
 
-    Mean and sample standard deviation come from exact decimal sums
-    (Σx and Σx²), then the same IEEE steps, so results do not depend on row
-    order.  Values are rounded to 6 decimals.
+    ``column, n, mean, stddev, min_value, max_value`` (numbers) and ``min_text,
+    max_text`` (text); n counts values that are not NULL, stddev is the sample
+    deviation.  One aggregate over one scan; ``digits`` rounds mean and stddev.
     """
-    aggs: list[Column] = []
-    for c in numeric:
-        x = money(c)
-        aggs += [
-            F.count(c).alias(f"{c}_count"),
-            F.sum(x).alias(f"_{c}_s1"),
-            F.sum(x * x).alias(f"_{c}_s2"),
-            F.min(c).alias(f"{c}_min"),
-            F.max(c).alias(f"{c}_max"),
-        ]
-    for c in text:
-        aggs += [F.count(c).alias(f"{c}_count"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    raw = df.agg(*aggs)
-    out: list[Column] = []
-    for c in numeric:
-        n = F.col(f"{c}_count").cast("double")
-        s1 = F.col(f"_{c}_s1").cast("double")
-        s2 = F.col(f"_{c}_s2").cast("double")
-        # NULL mean without values, NULL sample deviation below two values
-        # (as ``avg`` / ``stddev_samp``), never a division by zero.
-        out += [
-            F.col(f"{c}_count"),
-            F.when(n > 0, F.round(s1 / n, 6)).alias(f"{c}_mean"),
-            F.when(n > 1, F.round(F.sqrt((s2 - s1 * s1 / n) / (n - F.lit(1.0))), 6)).alias(f"{c}_stddev"),
-            F.col(f"{c}_min"),
-            F.col(f"{c}_max"),
-        ]
-    for c in text:
-        out += [F.col(f"{c}_count"), F.col(f"{c}_min"), F.col(f"{c}_max")]
-    return raw.select(*out)
+    rounded = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
+    stats = []
+    for f in df.schema.fields:
+        c, number = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType)
+        if not number and not isinstance(f.dataType, StringType):
+            continue
+        none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+        stats.append(
+            F.struct(
+                F.lit(f.name).alias("column"),
+                F.count(c).alias("n"),
+                (rounded(F.avg(c).cast("double")) if number else none).alias("mean"),
+                (rounded(F.stddev_samp(c)) if number else none).alias("stddev"),
+                (F.min(c).cast("double") if number else none).alias("min_value"),
+                (F.max(c).cast("double") if number else none).alias("max_value"),
+                (text if number else F.min(c)).alias("min_text"),
+                (text if number else F.max(c)).alias("max_text"),
+            )
+        )
+    if not stats:
+        raise ValueError("no numeric or text column")
+    return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
 
 
 def describe_table(df: DataFrame, *cols: str) -> DataFrame:

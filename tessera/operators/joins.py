@@ -4,14 +4,17 @@ Joins go through Catalyst: it chooses broadcast-hash, shuffle-hash or
 sort-merge from table statistics, and adaptive execution re-plans at run time
 (switching to a broadcast when a shuffled side turns out small, and splitting
 skewed partitions of a sort-merge join).  A broadcast is only *forced* behind a
-bounded row-count check (:func:`broadcast_if_small`); past the bound the join
+checked row count and size (:func:`broadcast_if_small`); past the bound the join
 falls back to the shuffled plan.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 JOIN_TYPES = {
     "inner": "inner",
@@ -32,20 +35,15 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.  Reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True if ``df`` has at most ``max_rows`` rows whose encoded size is at most ``max_bytes``.
 
-    One job over at most ``max_rows + 1`` rows; the size is the length of
-    each row written as JSON, a close stand-in for its in-memory size.
+    One aggregate, summed in the tasks that read the rows: no rows move, and
+    none are gathered in one task.  The size is the length of each row written
+    as JSON, a close stand-in for its in-memory size.
     """
-    head = df.limit(max_rows + 1)
     size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    stats = head.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
     return stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
 
 
@@ -124,27 +122,27 @@ def salted_join(
 
     Rows of ``big`` whose key is hot get a salt in ``[0, salts)``; the rows of
     ``small`` with a hot key are repeated once per salt (a bounded copy: at
-    most hot keys x salts rows); all other rows use salt 0.  Adaptive
-    execution already splits skewed partitions of inner sort-merge joins;
-    this covers the joins it cannot split (the preserved side of an outer
-    join, or when its thresholds are not met).  ``how`` is one of inner,
-    left (``big`` preserved) or left_anti.  Filter both inputs before calling:
-    the salt is a random draw, and the optimizer does not push predicates
-    below it.
+    most hot keys x salts rows); all other rows use salt 0.  Rows of ``big``
+    with a NULL in the key match nothing and are spread over all salts.  The
+    salt is a hash of the row, so a task that runs again draws the same.
+    Adaptive execution already splits skewed partitions of inner sort-merge
+    joins; this covers the joins it cannot split (the preserved side of an
+    outer join, or when its thresholds are not met).  ``how`` is one of inner,
+    left (``big`` preserved) or left_anti.
     """
     from tessera.session import materialize
 
     if how not in ("inner", "left", "left_outer", "left_anti"):
         raise ValueError("salted_join supports inner, left and left_anti joins")
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if hot_keys is None:
-        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        hot_keys = materialize(counts.filter(F.col("_n") > max_rows_per_key).select(*keys), "join_hot_keys")
-    hot = broadcast_if_small(hot_keys.select(*keys).withColumn("_hot", F.lit(True)), DEFAULT_BROADCAST_ROWS)
-    # The salt only has to spread rows; a seeded per-partition random draw is
-    # repeatable on task retry because file scans give rows in a fixed order.
-    salted_big = big.join(hot, on=keys, how="left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.floor(F.rand(17) * salts).cast("int")).otherwise(F.lit(0))
-    ).drop("_hot")
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_small = small.join(hot, on=keys, how="left").withColumn("_salt", F.explode(spread)).drop("_hot")
-    return salted_big.join(salted_small, on=[*keys, "_salt"], how=JOIN_TYPES[how]).drop("_salt")
+        counts = big.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        hot_keys = materialize(counts.where(F.col("__n") > max_rows_per_key).select(*keys), "join_hot_keys")
+    hot = broadcast_if_small(hot_keys.select(*keys).withColumn("__hot", F.lit(True)), DEFAULT_BROADCAST_ROWS)
+    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)).cast("int")
+    salted_big = big.withColumn("__row_salt", row_salt).join(hot, on=keys, how="left")
+    salted_big = salted_big.withColumn("__salt", F.when(F.col("__hot") | ~present, F.col("__row_salt")).otherwise(F.lit(0))).drop("__hot", "__row_salt")
+    spread = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = small.join(hot, on=keys, how="left").withColumn("__salt", F.explode(spread)).drop("__hot")
+    return salted_big.join(salted_small, on=[*keys, "__salt"], how=JOIN_TYPES[how]).drop("__salt")

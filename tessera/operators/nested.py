@@ -4,14 +4,17 @@ Flattening (``explode`` / ``posexplode``) is a narrow, per-row generator: no
 shuffle.  Building nested records from flat rows needs a ``groupBy``; to keep
 any one record bounded when a parent key has very many children, children
 are packed into chunks of at most ``chunk_size`` elements (one record per
-chunk), so no single group is ever collected whole.
+chunk, with the position of its first element), so no single group is ever
+collected whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.windows import OrderSpec, with_rank_columns
+
 
 def nest_children(
     df: DataFrame,
@@ -21,20 +24,24 @@ def nest_children(
     *,
     parent_alias: str,
     array_alias: str,
+    first_alias: str = "first_position",
     chunk_size: int = 64,
+    **window_options,
 ) -> DataFrame:
     """Group child rows under their parent as ``array<struct<order, fields…>>``.
 
-    Children are chunked by ``order div chunk_size`` and sorted by ``order``
-    inside the record.  With ``(parent, order)`` unique (a turn number within
-    a conversation), each record holds at most ``chunk_size`` elements, so no
-    parent is ever gathered whole, however many children it has.
+    Children are numbered per parent by ``order`` (hot parents are split, see
+    :mod:`tessera.operators.windows`) and packed ``chunk_size`` to a record, so
+    no parent is gathered whole.  ``first_alias`` is the position of a record's
+    first child in the whole parent.
     """
-    chunk = F.floor(F.col(order) / F.lit(chunk_size))
+    numbered = with_rank_columns(df, [parent], OrderSpec(order, tiebreak=fields), order, lags=[], row_number_alias="__position", **window_options)
+    first = F.floor((F.col("__position") - 1) / chunk_size) * chunk_size
     element = F.struct(F.col(order), *[F.col(f) for f in fields])
-    return df.groupBy(F.col(parent).alias(parent_alias), chunk.alias("_chunk")).agg(
-        F.array_sort(F.collect_list(element)).alias(array_alias)
-    ).drop("_chunk")
+    packed = numbered.groupBy(F.col(parent).alias(parent_alias), first.alias(first_alias)).agg(
+        F.array_sort(F.collect_list(F.struct("__position", element.alias("child")))).alias("__children")
+    )
+    return packed.select(parent_alias, first_alias, F.transform("__children", lambda x: x["child"]).alias(array_alias))
 
 
 def explode_field(df: DataFrame, keep: list[str], array_col: str, alias: str) -> DataFrame:
@@ -42,11 +49,15 @@ def explode_field(df: DataFrame, keep: list[str], array_col: str, alias: str) ->
     return df.select(*keep, F.explode(F.col(array_col)).alias(alias))
 
 
-def posexplode_field(df: DataFrame, keep: list[str], array_col: str, pos_alias: str, alias: str) -> DataFrame:
-    """One row per element with its 0-based position."""
-    return df.select(*keep, F.posexplode(F.col(array_col)).alias(pos_alias, alias))
-
+def posexplode_field(
+    df: DataFrame, keep: list[str], array_col: str, pos_alias: str, alias: str, *, first: str | None = None
+) -> DataFrame:
+    """One row per element with its 0-based position.
 
-def struct_fields(struct_col: str, fields: list[str]) -> list[Column]:
-    """``struct.field`` accessors, each aliased to the field name."""
-    return [F.col(f"{struct_col}.{f}").alias(f) for f in fields]
+    Where a parent is kept in several records, ``first`` names the column that
+    holds the position of the record's first element in the whole parent.
+    """
+    if first is None:
+        return df.select(*keep, F.posexplode(F.col(array_col)).alias(pos_alias, alias))
+    rows = df.select(*keep, F.col(first).alias("__first"), F.posexplode(F.col(array_col)).alias("__at", alias))
+    return rows.select(*keep, (F.col("__first") + F.col("__at")).cast("long").alias(pos_alias), alias)

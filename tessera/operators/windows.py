@@ -2,41 +2,39 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if
 one key holds a third of the table, one task does a third of the work.  Each
-operator here therefore has two plans, picked by :func:`choose_strategy`:
+operator here therefore has two plans:
 
 ``"window"``
     the ordinary Spark window (one shuffle on the key), used when no key
     holds more than ``max_rows_per_key`` rows;
 
 ``"split"``
-    the rows of *hot* keys are cut into buckets that follow the window order
-    (value ranges from ``approxQuantile``, about ``max_rows_per_key / 2`` rows
-    each; a heavy tie group gets ranges of its own, cut by its first
-    tie-breaker).  Windows then run per ``(key, bucket)``, which spreads a hot
-    key over many tasks, and a small per-``(key, bucket)`` summary of the hot
-    rows supplies what other buckets contribute (row offsets, running sums,
-    distinct counts, key totals, ties running across a bucket edge).  Offsets
-    that reach back across a bucket edge (``lag``, a ROWS frame) read a
-    "halo": per bucket, the at most K rows just before it.
-
-Both plans give identical results: sums of money are exact decimals and ties
-are handled exactly.
+    the rows of *hot* keys are range-partitioned on (key, window order,
+    tie-breakers), so a hot key and even a heavy tie group is cut into ordered
+    parts whatever the column types, and stored.  Windows then run per
+    ``(key, part)``.  One aggregate per (key, part, order value) gives a small
+    summary per part: rows, sums, distinct order values, the first and last
+    order value and what is tied with them.  Windows over that summary supply
+    what other parts contribute.  Offsets that reach back across a part's edge
+    (``lag``, a ROWS frame) read a "halo": the at most K rows just before it.
+
+Both plans give the same results.  Floating-point sums may differ in the last
+bits, as they do between two runs of any plan; with ``scale`` given, amounts
+are summed as exact decimals of that scale.  The order must be unique for row
+numbers and lags to be defined: where tie-breakers leave rows tied, the split
+plan orders them by a hash of the row.
 """
 
 from __future__ import annotations
 
-import math
-import sys
-from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.scalar import money
-from tessera.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from tessera.functions.scalar import exact
 from tessera.session import materialize
 
 # A key with more rows than this is split (about one comfortable task).  A
@@ -50,48 +48,12 @@ def max_rows_per_key_for(df: DataFrame, value: int | None = None) -> int:
     if value is not None:
         return int(value)
     return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
-# Upper bound on ordering-value buckets per query (bounds travel to the driver);
-# the count used grows with the hot rows, about max_rows_per_key / 2 per bucket.
-DEFAULT_BUCKETS = 16_384
-# Upper bound on second-level buckets inside one heavy ordering value, and on
-# all second-level bounds together (they travel to the driver).
-MAX_SUB_BUCKETS = 4_096
-MAX_SUB_BOUNDS = 1_000_000
-# Bucket id = value bucket * SUB_SPAN + second-level bucket.
-SUB_SPAN = 1 << 21
-# Upper bound on hot keys broadcast for tagging (hot keys <= rows / max_rows_per_key).
-MAX_HOT_KEYS = 200_000
-# Row bound under which the per-(key, bucket) summary of hot keys is broadcast.
-SUMMARY_BROADCAST_ROWS = 2_000_000
-
-
-def hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
-    """Keys holding more than ``max_rows_per_key`` rows (partial aggregation first)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > max_rows_per_key)
-
-
-def materialized_hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int) -> DataFrame:
-    """Hot keys computed once and stored as a table in the shared checkpoint folder.
-
-    The table is bounded (at most ``rows / max_rows_per_key`` keys); storing
-    it lets the strategy check, the broadcast check and the split plan reuse
-    it without re-aggregating the input, and it survives the loss of an
-    executor.
-    """
-    return materialize(hot_keys(df, keys, max_rows_per_key), "hot_keys")
-
-
-def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int | None = None) -> str:
-    """``"split"`` when some key is hot, else ``"window"``.  One pass over the key columns."""
-    bound = max_rows_per_key_for(df, max_rows_per_key)
-    return "split" if hot_keys(df, keys, bound).limit(1).count() > 0 else "window"
 
 
 @dataclass
 class OrderSpec:
-    """Ordering of a window: one value column (number, date, time, boolean or
-    text) plus tie-breakers that make the order unique (row numbers, lags)."""
+    """Ordering of a window: one value column of any sortable type plus
+    tie-breakers that make the order unique (row numbers, lags)."""
 
     column: str
     descending: bool = False
@@ -109,490 +71,134 @@ class OrderSpec:
         c = F.col(self.column)
         return [c.asc() if self.descending else c.desc()] + [F.col(t).desc() for t in self.tiebreak]
 
-    def sort_value(self, df: DataFrame) -> Column:
-        """The ordering column as a double that sorts ascending like the window does.
-
-        NULLs sort first ascending and last descending (Spark's defaults).
-        """
-        x = _as_number(F.col(self.column), df.schema[self.column].dataType)
-        if self.descending:
-            # NaN sorts above every number, so it comes first when descending.
-            return F.when(F.isnan(x), F.lit(float("-inf"))).otherwise(F.coalesce(-x, F.lit(float("inf"))))
-        # Ascending, NaN lands in the bucket after +inf (Bucketizer "keep").
-        return F.coalesce(x, F.lit(float("-inf")))
-
-
-# Code points run up to 0x10FFFF; two of them fit exactly in a double.
-_CODE_POINTS = 0x110000
-
 
-def _collision_class(order: OrderSpec, df: DataFrame) -> Column:
-    """Orders values that share a number on the line: NULL and -inf (ascending),
-    NaN and +inf, -inf and NULL (descending).  0 sorts before 1."""
-    c = F.col(order.column)
-    if not order.descending:
-        return F.when(c.isNull(), F.lit(0)).otherwise(F.lit(1))
-    x = _as_number(c, df.schema[order.column].dataType)
-    return (
-        F.when(c.isNull(), F.lit(1))
-        .when(F.isnan(x), F.lit(0))
-        .when(x == F.lit(float("-inf")), F.lit(0))
-        .otherwise(F.lit(1))
-    )
-
-
-def _as_number(c: Column, dtype: T.DataType) -> Column:
-    """A double that never decreases along the column's sort order.
-
-    Numbers map to themselves, dates and times to epoch numbers, booleans to
-    0/1, and strings to their first two code points (strings sharing that
-    prefix map to one number, so they stay in one bucket range).
-    """
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("int").cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.StringType):
-        first = F.ascii(c).cast("double")
-        second = F.ascii(F.substring(c, 2, 1)).cast("double")
-        return F.when(c.isNull(), F.lit(None)).otherwise(first * F.lit(float(_CODE_POINTS)) + second)
-    raise TypeError(f"cannot split a window ordered by {dtype.simpleString()}")
-
-
-# --------------------------------------------------------------------------
-# Key normalisation for the split plan: null-safe, plain equi-join columns.
-# --------------------------------------------------------------------------
-
-def _null_stand_in(dtype: T.DataType) -> Column:
-    """A value of the key's own type to stand in for NULL (paired with an is-null flag)."""
-    if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype)
-    if isinstance(dtype, T.StringType):
-        return F.lit("")
-    if isinstance(dtype, T.DateType):
-        return F.to_date(F.lit("1970-01-01"))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01 00:00:00").cast(dtype)
-    return None
-
-
-def _norm_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    """Null-safe key columns of the key's own type: ``coalesce(k, stand-in)`` plus ``k is null``.
-
-    They join and partition like ordinary columns, while NULL keys still form
-    their own group, as in a window partition.
-    """
-    cols = {}
-    names = []
-    for i, k in enumerate(keys):
-        dtype = df.schema[k].dataType
-        stand_in = _null_stand_in(dtype)
-        value = F.coalesce(F.col(k), stand_in) if stand_in is not None else F.coalesce(
-            F.col(k).cast("string"), F.lit("")
-        )
-        cols[f"_kv{i}"] = value
-        cols[f"_kn{i}"] = F.col(k).isNull()
-        names += [f"_kv{i}", f"_kn{i}"]
-    return df.withColumns(cols), names
-
-
-def _with_buckets(
-    df: DataFrame,
-    keys: list[str],
-    order: OrderSpec,
-    max_rows_per_key: int,
-    n_buckets: int,
-    hot: DataFrame | None = None,
-) -> tuple[DataFrame, list[str]]:
-    """Add ``_bucket`` (0 for ordinary keys) and ``_hot``.
-
-    For hot keys the bucket follows the window order: value ranges from
-    ``approxQuantile`` (about ``max_rows_per_key / 2`` rows each, at most
-    ``n_buckets``), and an ordering value that alone fills more than one range
-    (a heavy tie group, e.g. many copies of one row) gets ranges of its own,
-    cut by quantiles of the first tie-breaker.  Bucket numbers never decrease
-    along the window order, so every bucket is a contiguous run of its key.
-    """
-    normed, nk = _norm_keys(df, keys)
-    if hot is None:
-        hot = materialized_hot_keys(df, keys, max_rows_per_key)
-    # One job over the stored hot-key table: its rows, the rows they cover,
-    # and its encoded size (for the broadcast bound).
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])))
-    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n"), F.sum(size).alias("b")).first()
-    hot_rows = stats["n"] or 0
-    hotn, hk = _norm_keys(hot.select(*keys), keys)
-    tag = hotn.select(*hk).withColumn("_hot", F.lit(True))
-    if stats["k"] <= MAX_HOT_KEYS and (stats["b"] or 0) <= DEFAULT_BROADCAST_BYTES:
-        tag = F.broadcast(tag)
-    tagged = (
-        normed.join(tag, on=nk, how="left")
-        .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-        .withColumn("_x", order.sort_value(df))
-        .withColumn("_xc", _collision_class(order, df))
-    )
-    target = max(1, max_rows_per_key // 2)
-    nb = int(min(n_buckets, max(2, -(-hot_rows // target))))
-    probs = [i / nb for i in range(1, nb)]
-    bounds = tagged.filter(F.col("_hot")).approxQuantile("_x", probs, 1.0 / (4 * nb))
-    finite = [b for b in bounds if math.isfinite(b)]
-    # NULL ordering values sit at -inf / +inf; many NULLs make a heavy group too.
-    slots = Counter(b for b in bounds if not math.isnan(b))
-    heavy = sorted(v for v, c in slots.items() if c >= 2)
-    split_vals = set(finite) | {math.nextafter(h, math.inf) for h in heavy if math.isfinite(h)}
-    if -math.inf in heavy:
-        split_vals.add(-sys.float_info.max)  # bucket [-inf, -max) holds only -inf
-    if math.inf in heavy:
-        split_vals.add(sys.float_info.max)  # bucket [max, +inf] holds +inf (and max itself)
-    splits = [-math.inf] + sorted(split_vals) + [math.inf]
-    if len(splits) < 3:
-        splits = [-math.inf, 0.0, math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_vb", handleInvalid="keep").transform(tagged)
-    sub = F.lit(0).cast("long")
-    if heavy and _sub_splittable(df, order):
-        sub, bucketed = _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target)
-    bucket = F.col("_vb").cast("long") * F.lit(SUB_SPAN) + sub
-    bucketed = bucketed.withColumn("_bucket", F.when(F.col("_hot"), bucket).otherwise(F.lit(0).cast("long")))
-    return bucketed.drop("_vb", "_subb"), nk
-
-
-def _sub_splittable(df: DataFrame, order: OrderSpec) -> bool:
-    """A heavy value can be cut by its first tie-breaker when both map exactly
-    (or monotonically) to doubles: value of a non-long type, numeric/date/time tie-breaker."""
-    if not order.tiebreak:
-        return False
-    vtype = df.schema[order.column].dataType
-    ttype = df.schema[order.tiebreak[0]].dataType
-    exact_value = isinstance(vtype, (T.IntegerType, T.ShortType, T.ByteType, T.FloatType, T.DoubleType,
-                                      T.DateType, T.TimestampType, T.TimestampNTZType))
-    ordered_tb = isinstance(ttype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-    return exact_value and ordered_tb
-
-
-def _heavy_sub_buckets(bucketed, df, order, heavy, slots, hot_rows, nb, target):
-    """Second-level buckets inside heavy ordering values, by the first tie-breaker.
-
-    One grouped pass over the heavy rows gives, per heavy value, the
-    tie-breaker's range and up to ``MAX_SUB_BUCKETS - 1`` quantile bounds (a
-    bounded table on the driver).  Each heavy row is then placed on one
-    number line: value index + its tie-breaker's position in that value's
-    range (in [0, 1)).  A single ``Bucketizer`` (binary search) over all
-    values' bounds gives a sub-bucket that rises with the tie-breaker (NULLs
-    first) and never mixes two values.
-    """
-    tb_name = order.tiebreak[0]
-    tb = _as_number(F.col(tb_name), df.schema[tb_name].dataType)
-    biggest = max(slots[h] for h in heavy) * hot_rows / nb
-    m = int(min(MAX_SUB_BUCKETS, max(2, -(-biggest // target)), max(2, MAX_SUB_BOUNDS // len(heavy))))
-    probs = F.array(*[F.lit(i / m) for i in range(1, m)])
-    heavy_rows = bucketed.filter(F.col("_hot") & F.col("_x").isin(heavy)).withColumn("_tb", tb)
-    ranges = heavy_rows.groupBy("_x", "_xc").agg(
-        F.min("_tb").alias("lo"), F.max("_tb").alias("hi"), F.percentile_approx("_tb", probs, 4 * m).alias("q")
-    ).collect()
-    # One stretch of the line per (value, class), in window order.
-    index = {k: i for i, k in enumerate(sorted((r["_x"], r["_xc"]) for r in ranges))}
-    span = 0.999_999
-
-    def position(i, lo, hi, t):
-        return i + (0.0 if hi <= lo else min(max((t - lo) / (hi - lo), 0.0), 1.0) * span)
-
-    line_splits = set()
-    lookup = []
-    for r in ranges:
-        i, lo, hi = index[(r["_x"], r["_xc"])], r["lo"], r["hi"]
-        if lo is None:  # every tie-breaker NULL: the stretch's start
-            lookup.append((r["_x"], r["_xc"], float(i), 0.0, 0.0))
-            line_splits.add(float(i))
-            continue
-        lookup.append((r["_x"], r["_xc"], float(i), float(lo), float(hi)))
-        line_splits.add(float(i))
-        for q in sorted(set(r["q"] or [])):
-            if lo < q <= hi:
-                line_splits.add(position(i, lo, hi, q))
-    if not line_splits:
-        return F.lit(0).cast("long"), bucketed
-    spark = bucketed.sparkSession
-    table = spark.createDataFrame(lookup, "_x double, _xc int, _hi_idx double, _hi_lo double, _hi_hi double")
-    # At most one row of five numbers per heavy (value, class).
-    joined = bucketed.join(F.broadcast(table), on=["_x", "_xc"], how="left")
-    norm = F.when(
-        F.col("_hi_hi") > F.col("_hi_lo"),
-        F.least(F.greatest((tb - F.col("_hi_lo")) / (F.col("_hi_hi") - F.col("_hi_lo")), F.lit(0.0)), F.lit(1.0))
-        * F.lit(span),
-    ).otherwise(F.lit(0.0))
-    # NULL tie-breakers sort first: place them at the start of their value.
-    line = F.col("_hi_idx") + F.coalesce(norm, F.lit(0.0))
-    joined = joined.withColumn("_line", F.when(F.col("_hi_idx").isNotNull(), line).otherwise(F.lit(-1.0)))
-    splits = [-math.inf] + sorted(line_splits) + [math.inf]
-    if len(splits) < 3:
-        splits = [-math.inf, -0.5, math.inf]
-    joined = Bucketizer(splits=splits, inputCol="_line", outputCol="_sub", handleInvalid="keep").transform(joined)
-    joined = joined.withColumn(
-        "_subb", F.when(F.col("_hi_idx").isNotNull(), F.col("_sub").cast("long")).otherwise(F.lit(0).cast("long"))
-    )
-    return F.col("_subb"), joined.drop("_hi_idx", "_hi_lo", "_hi_hi", "_line", "_sub")
-
-
-@dataclass
-class _SplitFrame:
-    """Rows with local (per key/bucket) window values and carries from earlier buckets."""
-
-    df: DataFrame
-    nk: list[str]
-    summary: DataFrame
-    bucketed: DataFrame
-    order: OrderSpec
+def hot_keys(df: DataFrame, keys: list[str], max_rows_per_key: int, count: str = "n_rows") -> DataFrame:
+    """Keys holding more than ``max_rows_per_key`` rows (partial aggregation first)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).where(F.col(count) > max_rows_per_key)
 
 
-def _split_frame(
-    df: DataFrame,
-    keys: list[str],
-    order: OrderSpec,
-    sums: list[str],
-    max_rows_per_key: int,
-    n_buckets: int,
-    need_rank: bool,
-    need_dense: bool,
-    hot: DataFrame | None = None,
-    need_range: bool = False,
-) -> _SplitFrame:
-    bucketed, nk = _with_buckets(df, keys, order, max_rows_per_key, n_buckets, hot)
-    part = nk + ["_bucket"]
-    w_rows = Window.partitionBy(*part).orderBy(*order.full_exprs())
-    w_vals = Window.partitionBy(*part).orderBy(*order.value_exprs())
-    local = {"_lrn": F.row_number().over(w_rows)}
-    if need_rank:
-        local["_lrank"] = F.rank().over(w_vals)
-    if need_dense:
-        local["_ldense"] = F.dense_rank().over(w_vals)
-    zero = F.lit(0).cast("decimal(38,2)")
-    w_prefix = w_rows.rowsBetween(Window.unboundedPreceding, 0)
-    for s in sums:
-        local[f"_lrows_{s}"] = F.coalesce(F.sum(money(s)).over(w_prefix), zero)
-        local[f"_lrowsn_{s}"] = F.count(F.col(s)).over(w_prefix)
-        # Default RANGE frame: rows tied on the value share one running total.
-        local[f"_lrange_{s}"] = F.coalesce(F.sum(money(s)).over(w_vals), zero)
-        local[f"_lrangen_{s}"] = F.count(F.col(s)).over(w_vals)
-    # Whole-bucket values from the same partitioning (no extra shuffle).
-    w_part = Window.partitionBy(*part)
-    local["_cnt"] = F.count(F.lit(1)).over(w_part)
-    for s in sums:
-        local[f"_ltot_{s}"] = F.sum(money(s)).over(w_part)
-    with_local = bucketed.withColumns(local)
-
-    summary = _bucket_summary(bucketed, nk, order, sums, need_rank, need_dense, need_range)
-    summary = broadcast_if_small(summary, SUMMARY_BROADCAST_ROWS, materialize=True)
-    carry_prefixes = ("_ccnt", "_cndv", "_cont", "_tbefore", "_bfv", "_blv", "_csum_", "_cnn_", "_tsum_", "_aft")
-    carry_cols = [c for c in summary.columns if c.startswith(carry_prefixes)]
-    joined = with_local.join(summary.select(*part, *carry_cols), on=part, how="left")
-    long0 = F.lit(0).cast("long")
-    fill = {"_ccnt": F.coalesce(F.col("_ccnt"), long0)}
-    if need_dense:
-        fill["_cndv"] = F.coalesce(F.col("_cndv"), long0)
-        fill["_cont"] = F.coalesce(F.col("_cont"), long0)
-    if need_rank:
-        fill["_tbefore"] = F.coalesce(F.col("_tbefore"), long0)
-    for s in sums:
-        fill[f"_csum_{s}"] = F.coalesce(F.col(f"_csum_{s}"), zero)
-        fill[f"_cnn_{s}"] = F.coalesce(F.col(f"_cnn_{s}"), long0)
-        fill[f"_tsum_{s}"] = F.when(F.col("_hot"), F.col(f"_tsum_{s}")).otherwise(F.col(f"_ltot_{s}"))
-        if need_range:
-            fill[f"_aft_{s}"] = F.coalesce(F.col(f"_aft_{s}"), zero)
-            fill[f"_aftn_{s}"] = F.coalesce(F.col(f"_aftn_{s}"), long0)
-    joined = joined.withColumns(fill).withColumn("_grn", F.col("_ccnt") + F.col("_lrn"))
-    return _SplitFrame(joined, nk, summary, bucketed, order)
-
-
-def _null_safe_lookup(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], take: list[str]) -> DataFrame:
-    """Left-join a small table on null-safe equality of column pairs, adding ``take``."""
-    r = right.select(*[F.col(c).alias(f"_r{c}") for c in right.columns])
-    cond = None
-    for lc, rc in on:
-        c = left[lc].eqNullSafe(r[f"_r{rc}"])
-        cond = c if cond is None else cond & c
-    joined = left.join(r, on=cond, how="left")
-    return joined.select(*left.columns, *[F.col(f"_r{c}").alias(c) for c in take])
-
-
-def _bucket_summary(bucketed, nk, order, sums, need_rank, need_dense, need_range) -> DataFrame:
-    """Per (key, bucket) summary of the hot rows and what earlier/later buckets contribute.
-
-    At most hot keys x buckets rows.  Besides counts and sums it records each
-    bucket's first and last ordering value, so ties that run across a bucket
-    edge are exact: ``_tbefore`` counts rows equal to the first value in
-    earlier buckets (for ``rank``), ``_cont`` marks a first value continuing
-    from the previous bucket (for ``dense_rank``), and ``_aft_{s}`` sums rows
-    equal to the last value in later buckets (for RANGE running totals).
-    """
-    part = nk + ["_bucket"]
-    v = F.col(order.column)
-    src = bucketed.filter(F.col("_hot")).select(*part, order.column, *order.tiebreak, *sums)
-    w_b = Window.partitionBy(*part).orderBy(*order.full_exprs()).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    src = src.withColumns({"_bfv": F.first(v).over(w_b), "_blv": F.last(v).over(w_b)})
-    is_f = v.eqNullSafe(F.col("_bfv"))
-    is_l = v.eqNullSafe(F.col("_blv"))
-    aggs = [F.count(F.lit(1)).alias("_cnt"), F.first("_bfv").alias("_bfv"), F.first("_blv").alias("_blv")]
-    if need_rank:
-        aggs.append(F.count(F.when(is_l, F.lit(1))).alias("_cnt_lv"))
-    if need_dense:
-        aggs.append((F.count_distinct(v) + F.max(v.isNull().cast("int"))).alias("_ndv"))
-    for s in sums:
-        aggs += [F.sum(money(s)).alias(f"_bsum_{s}"), F.count(F.col(s)).alias(f"_bnn_{s}")]
-        if need_range:
-            aggs += [
-                F.sum(F.when(is_f, money(s))).alias(f"_sfv_{s}"),
-                F.count(F.when(is_f, F.col(s))).alias(f"_nfv_{s}"),
-            ]
-    summary = src.groupBy(*part).agg(*aggs)
-
-    zero = F.lit(0).cast("decimal(38,2)")
-    wo = Window.partitionBy(*nk).orderBy("_bucket")
-    wk = wo.rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*nk)
-    single = F.col("_bfv").eqNullSafe(F.col("_blv"))
-    carry = {"_ccnt": F.coalesce(F.sum("_cnt").over(wk), F.lit(0).cast("long"))}
-    if need_dense:
-        prev_last = F.lag("_blv").over(wo)
-        has_prev = F.lag("_bucket").over(wo).isNotNull()
-        summary = summary.withColumn(
-            "_cont", F.when(has_prev & prev_last.eqNullSafe(F.col("_bfv")), F.lit(1)).otherwise(F.lit(0)).cast("long")
-        )
-        carry["_cndv"] = F.coalesce(F.sum(F.col("_ndv") - F.col("_cont")).over(wk), F.lit(0).cast("long"))
-    for s in sums:
-        carry[f"_csum_{s}"] = F.coalesce(F.sum(f"_bsum_{s}").over(wk), zero)
-        carry[f"_cnn_{s}"] = F.coalesce(F.sum(f"_bnn_{s}").over(wk), F.lit(0).cast("long"))
-        carry[f"_tsum_{s}"] = F.sum(f"_bsum_{s}").over(wall)
-    summary = summary.withColumns(carry)
-
-    if need_rank:
-        # Rows equal to this bucket's first value in earlier buckets: those
-        # buckets end with that value.  A bucket holding one value sees only
-        # the earlier ones (running sum); otherwise all of them are earlier.
-        w_lv = Window.partitionBy(*nk, "_blv").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        summary = summary.withColumn("_tb_run", F.coalesce(F.sum("_cnt_lv").over(w_lv), F.lit(0).cast("long")))
-        lv_tot = summary.groupBy(*nk, "_blv").agg(F.sum("_cnt_lv").alias("_lv_tot"))
-        summary = _null_safe_lookup(summary, lv_tot, [*[(k, k) for k in nk], ("_bfv", "_blv")], ["_lv_tot"])
-        summary = summary.withColumn(
-            "_tbefore", F.when(single, F.col("_tb_run")).otherwise(F.coalesce(F.col("_lv_tot"), F.lit(0).cast("long")))
-        )
-    if need_range:
-        # Rows equal to this bucket's last value in later buckets: those
-        # buckets start with that value.
-        w_fv = Window.partitionBy(*nk, "_bfv").orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
-        fv_tot = summary.groupBy(*nk, "_bfv").agg(
-            *[F.sum(f"_sfv_{s}").alias(f"_fvs_{s}") for s in sums],
-            *[F.sum(f"_nfv_{s}").alias(f"_fvn_{s}") for s in sums],
-        )
-        summary = _null_safe_lookup(
-            summary, fv_tot, [*[(k, k) for k in nk], ("_blv", "_bfv")],
-            [f"_fvs_{s}" for s in sums] + [f"_fvn_{s}" for s in sums],
+def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int | None = None) -> str:
+    """``"split"`` when some key is hot, else ``"window"``.  One pass over the key columns."""
+    return "window" if hot_keys(df, keys, max_rows_per_key_for(df, max_rows_per_key)).isEmpty() else "split"
+
+
+def _prefix(df: DataFrame) -> str:
+    """A name prefix that no column of ``df`` has (names are case-insensitive)."""
+    taken, prefix = [c.lower() for c in df.columns], "__w_"
+    while any(c.startswith(prefix) for c in taken):
+        prefix = "_" + prefix
+    return prefix
+
+
+def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    """Null-safe equality of column pairs, as a window partition groups NULL keys."""
+    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
+
+
+class _Split:
+    """Rows of hot keys cut into ordered parts, the other rows, and the summary of the parts."""
+
+    def __init__(self, df: DataFrame, keys: list[str], order: OrderSpec, bound: int, hot: DataFrame, prefix: str):
+        self.df, self.keys, self.order, self.p = df, keys, order, prefix
+        renamed = hot.select(*[F.col(k).alias(f"{prefix}k{i}") for i, k in enumerate(keys)])
+        pairs = [(k, f"{prefix}k{i}") for i, k in enumerate(keys)]
+        self.cold = df.join(renamed, _same(df, renamed, pairs), "left_anti")
+        hot_rows = hot.agg(F.coalesce(F.sum(f"{prefix}n"), F.lit(0))).first()[0]
+        parts = max(1, -(-2 * int(hot_rows) // max(1, bound)))
+        sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        tie = f"{prefix}tie"
+        rows = df.join(renamed, _same(df, renamed, pairs), "left_semi").withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in sortable]))
+        self.full = [*order.full_exprs(), F.col(tie).asc()]
+        self.back = [*order.reversed_exprs(), F.col(tie).desc()]
+        ranged = rows.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *self.full)
+        # Stored, so that the parts stay what they are when a task runs again.
+        self.rows = materialize(ranged.withColumn(f"{prefix}part", F.spark_partition_id()), "ordered_parts")
+        self.group = [*keys, f"{prefix}part"]
+        self.by_row = Window.partitionBy(*self.group).orderBy(*self.full)
+        self.by_value = Window.partitionBy(*self.group).orderBy(*order.value_exprs())
+
+    def col(self, name: str) -> Column:
+        return F.col(self.p + name)
+
+    def summary(self, amount: Column | None, halo: Column | None = None, reach: int = 0) -> DataFrame:
+        """One row per (key, part) with what the parts before and after it contribute."""
+        p, order = self.p, self.order
+        s = F.sum(amount) if amount is not None else F.sum(F.lit(0))
+        c = F.count(amount) if amount is not None else F.count(F.lit(1))
+        values = self.rows.groupBy(*self.group, F.struct(F.col(order.column).alias("o")).alias(f"{p}o")).agg(
+            F.count(F.lit(1)).alias(f"{p}n"), s.alias(f"{p}s"), c.alias(f"{p}c")
         )
-        for s in sums:
-            run_s = F.coalesce(F.sum(f"_sfv_{s}").over(w_fv), zero)
-            run_n = F.coalesce(F.sum(f"_nfv_{s}").over(w_fv), F.lit(0).cast("long"))
-            summary = summary.withColumns(
-                {
-                    f"_aft_{s}": F.when(single, run_s).otherwise(F.coalesce(F.col(f"_fvs_{s}"), zero)),
-                    f"_aftn_{s}": F.when(single, run_n).otherwise(
-                        F.coalesce(F.col(f"_fvn_{s}"), F.lit(0).cast("long"))
-                    ),
-                }
-            )
-    return summary
-
-
-def _tails(frame: _SplitFrame, kmax: int, values: dict[str, Column], prefix_sums: list[str]) -> DataFrame:
-    """The last ``kmax`` rows of every bucket with their global row numbers.
-
-    Taken with a reverse ``row_number() <= kmax``, which Spark plans as a
-    window group limit applied before the shuffle, so only ``kmax`` rows per
-    bucket and task move.  A row's prefix sum (``_P_{s}``) and non-null count
-    (``_Pn_{s}``) are the carry plus the bucket total minus what follows the
-    row, and what follows it is inside the same ``kmax`` rows.
-    """
-    part = frame.nk + ["_bucket"]
-    w_rev = Window.partitionBy(*part).orderBy(*frame.order.reversed_exprs())
-    hot_rows = frame.bucketed.filter(F.col("_hot"))
-    t = hot_rows.withColumn("_rrn", F.row_number().over(w_rev)).filter(F.col("_rrn") <= kmax)
-    after = w_rev.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("decimal(38,2)")
-    extra = {}
-    for s in prefix_sums:
-        extra[f"_after_{s}"] = F.coalesce(F.sum(money(s)).over(after), zero)
-        extra[f"_aftern_{s}"] = F.coalesce(F.count(F.col(s)).over(after), F.lit(0))
-    t = t.withColumns(extra) if extra else t
-    t = t.join(frame.summary, on=part, how="inner")
-    cols = [*frame.nk, (F.col("_ccnt") + F.col("_cnt") - F.col("_rrn") + 1).alias("_tgrn")]
-    cols += [e.alias(f"_t_{n}") for n, e in values.items()]
-    for s in prefix_sums:
-        total = F.coalesce(F.col(f"_bsum_{s}"), zero)
-        cols.append((F.col(f"_csum_{s}") + total - F.col(f"_after_{s}")).alias(f"_t__P_{s}"))
-        cols.append((F.col(f"_cnn_{s}") + F.col(f"_bnn_{s}") - F.col(f"_aftern_{s}")).alias(f"_t__Pn_{s}"))
-    return t.select(*cols)
-
-
-def _halo_lags(
-    frame: _SplitFrame, values: dict[str, Column], offsets: list[int], prefix_sums: list[str] = ()
-) -> DataFrame:
-    """Attach ``_halo_{name}_{k}``: the value ``k`` rows back, for the first rows of each bucket.
-
-    ``values`` are per-row expressions on the input; ``prefix_sums`` names
-    columns whose running sum / non-null count (``_P_{s}`` / ``_Pn_{s}``) are
-    wanted.  For every bucket, the (at most K = max offset) rows just before
-    its first row are gathered into a small array, by equi-joining the needed
-    global row numbers (from the per-bucket summary) with the last K rows of
-    every bucket.  The array table has one row per bucket and is joined on
-    ``(key, bucket)``, the partitioning the rows already have, so the big side
-    is not shuffled again.
-    """
-    kmax = max(offsets)
-    part = frame.nk + ["_bucket"]
-    names = list(values) + [f"_P_{s}" for s in prefix_sums] + [f"_Pn_{s}" for s in prefix_sums]
-    tails = _tails(frame, kmax, values, list(prefix_sums))
-    needed = frame.summary.select(
-        *part, F.explode(F.sequence(F.col("_ccnt") + 1 - kmax, F.col("_ccnt"))).alias("_tgrn")
-    ).filter(F.col("_tgrn") >= 1)
-    found = needed.join(tails, on=frame.nk + ["_tgrn"], how="inner")
-    element = F.struct(F.col("_tgrn"), *[F.col(f"_t_{n}") for n in names])
-    halo = found.groupBy(*part).agg(F.collect_list(element).alias("_halo"))
-    out = frame.df.join(halo, on=part, how="left")
-    cols = {}
-    for k in offsets:
-        target = F.col("_grn") - F.lit(k)
-        hit = F.try_element_at(F.filter(F.col("_halo"), lambda x: x["_tgrn"] == target), F.lit(1))
-        for n in names:
-            cols[f"_halo_{n}_{k}"] = F.when(F.col("_lrn") <= k, hit[f"_t_{n}"])
-    return out.withColumns(cols)
-
-
-def _drop_internal(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_")])
-
-
-def _resolve(df, keys, strategy, max_rows_per_key) -> tuple[str, DataFrame | None]:
-    """Pick the plan.  ``auto`` checks for a hot key first (one aggregate over
-    the key columns, nothing stored); only when one exists are the hot keys
-    stored for the split plan to reuse."""
-    if strategy == "auto":
-        if choose_strategy(df, keys, max_rows_per_key) == "window":
-            return "window", None
-        return "split", materialized_hot_keys(df, keys, max_rows_per_key)
-    if strategy not in ("window", "split"):
+        tied = F.struct(f"{p}n", f"{p}s", f"{p}c")
+        low, high = F.min_by(tied, f"{p}o"), F.max_by(tied, f"{p}o")
+        low_o, high_o = F.min(f"{p}o"), F.max(f"{p}o")
+        if order.descending:
+            low, high, low_o, high_o = high, low, high_o, low_o
+        parts = values.groupBy(*self.group).agg(
+            F.sum(f"{p}n").alias(f"{p}n"), F.sum(f"{p}s").alias(f"{p}s"), F.sum(f"{p}c").alias(f"{p}c"), F.count(F.lit(1)).alias(f"{p}d"),
+            low_o.alias(f"{p}first"), high_o.alias(f"{p}last"), low.alias(f"{p}first_tied"), high.alias(f"{p}last_tied"),
+        )
+        if reach:
+            r = f"{p}r"
+            tails = self.rows.withColumn(r, F.row_number().over(Window.partitionBy(*self.group).orderBy(*self.back))).where(F.col(r) <= reach)
+            tails = tails.select(*self.group, r, F.struct(halo.alias("v")).alias(f"{p}v"))
+            back = Window.partitionBy(*self.keys).orderBy(f"{p}part", F.col(r).desc()).rowsBetween(-(reach - 1), 0)
+            ends = tails.withColumn(f"{p}h", F.collect_list(f"{p}v").over(back)).where(F.col(r) == 1).drop(r, f"{p}v")
+            renamed = ends.select(*[F.col(k).alias(f"{p}e{i}") for i, k in enumerate(self.group)], f"{p}h")
+            pairs = [(k, f"{p}e{i}") for i, k in enumerate(self.group)]
+            parts = parts.join(renamed, _same(parts, renamed, pairs)).drop(*[y for _, y in pairs])
+        w = Window.partitionBy(*self.keys).orderBy(f"{p}part")
+        earlier, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*self.keys)
+        same_last = Window.partitionBy(*self.keys, f"{p}last").orderBy(f"{p}part").rowsBetween(Window.unboundedPreceding, 0)
+        same_first = Window.partitionBy(*self.keys, f"{p}first").orderBy(F.col(f"{p}part").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        parts = parts.withColumns({
+            f"{p}tied_upto": F.sum(f"{p}last_tied.{p}n").over(same_last),
+            f"{p}tied_s_from": F.sum(f"{p}first_tied.{p}s").over(same_first),
+            f"{p}tied_c_from": F.sum(f"{p}first_tied.{p}c").over(same_first),
+            f"{p}goes_on": F.lag(f"{p}last").over(w).eqNullSafe(F.col(f"{p}first")),
+            f"{p}goes_after": F.lead(f"{p}first").over(w).eqNullSafe(F.col(f"{p}last")),
+        })
+        none = F.lit(0)
+        out = parts.select(
+            *[F.col(k).alias(f"{p}j{i}") for i, k in enumerate(self.group)],
+            F.coalesce(F.sum(f"{p}n").over(earlier), none).alias(f"{p}n_before"),
+            F.sum(f"{p}s").over(earlier).alias(f"{p}s_before"), F.coalesce(F.sum(f"{p}c").over(earlier), none).alias(f"{p}c_before"),
+            (F.coalesce(F.sum(f"{p}d").over(earlier), none) - F.sum(F.col(f"{p}goes_on").cast("long")).over(upto)).alias(f"{p}d_before"),
+            F.when(F.col(f"{p}goes_on"), F.lag(f"{p}tied_upto").over(w)).otherwise(none).alias(f"{p}tied_before"),
+            F.when(F.col(f"{p}goes_after"), F.lead(f"{p}tied_s_from").over(w)).alias(f"{p}s_after"),
+            F.when(F.col(f"{p}goes_after"), F.lead(f"{p}tied_c_from").over(w)).otherwise(none).alias(f"{p}c_after"),
+            F.sum(f"{p}s").over(whole).alias(f"{p}s_all"), f"{p}last",
+            *([F.lag(f"{p}h").over(w).alias(f"{p}halo")] if reach else []),
+        )
+        return materialize(out, "part_summary")
+
+    def joined(self, local: DataFrame, summary: DataFrame) -> DataFrame:
+        return local.join(summary, _same(local, summary, [(k, f"{self.p}j{i}") for i, k in enumerate(self.group)]))
+
+    def finish(self, hot: DataFrame, cold: DataFrame, added: list[str]) -> DataFrame:
+        """The user's columns and the added ones, of both halves."""
+        names = [f"`{c}`" for c in self.df.columns if c not in added] + [f"`{c}`" for c in added]
+        return hot.select(*names).unionByName(cold.select(*names))
+
+
+def _plan(df: DataFrame, keys: list[str], order: OrderSpec, strategy: str, max_rows_per_key: int | None) -> _Split | None:
+    """None for the plain window plan, else the split rows.  The keys are counted once."""
+    if strategy not in ("auto", "window", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    return strategy, None
+    if strategy == "window":
+        return None
+    bound, prefix = max_rows_per_key_for(df, max_rows_per_key), _prefix(df)
+    hot = materialize(hot_keys(df, keys, bound, f"{prefix}n"), "hot_keys")
+    if strategy == "auto" and hot.isEmpty():
+        return None
+    return _Split(df, keys, order, bound, hot, prefix)
+
 
+def _plus(*parts: Column) -> Column:
+    """Sum of the parts that are not NULL; NULL if none is."""
+    total = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)) for x in parts])
+    return F.when(F.coalesce(*parts).isNotNull(), total)
 
-# --------------------------------------------------------------------------
-# Public operators
-# --------------------------------------------------------------------------
 
 def with_rank_columns(
     df: DataFrame,
@@ -607,44 +213,46 @@ def with_rank_columns(
     dense_rank_alias: str = "rev_dense_rank",
     strategy: str = "auto",
     max_rows_per_key: int | None = None,
-    n_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """``lag`` (with defaults), ``row_number``, ``rank``, ``dense_rank`` over one key.
+    """``lag`` of ``value`` (with defaults), ``row_number``, ``rank``, ``dense_rank`` over one key.
 
-    Row numbers and lags follow the full order (value, then tie-breakers);
-    ``rank`` and ``dense_rank`` follow the value alone, so ties share a rank.
+    Row numbers and lags follow the full order (order column, then
+    tie-breakers); ``rank`` and ``dense_rank`` follow the order column alone,
+    so ties share a rank.
     """
-    max_rows_per_key = max_rows_per_key_for(df, max_rows_per_key)
-    plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
-    v = F.col(value)
-    if plan == "window":
+    lags, added = list(lags), [*lag_aliases, row_number_alias, rank_alias, dense_rank_alias]
+
+    def plain(rows: DataFrame) -> DataFrame:
         w_rows = Window.partitionBy(*keys).orderBy(*order.full_exprs())
         w_vals = Window.partitionBy(*keys).orderBy(*order.value_exprs())
-        cols = {}
-        for (k, default), alias in zip(lags, lag_aliases):
-            cols[alias] = F.lag(v, k, default).over(w_rows)
+        cols = {a: F.lag(F.col(value), k, default).over(w_rows) for (k, default), a in zip(lags, lag_aliases, strict=False)}
         cols[row_number_alias] = F.row_number().over(w_rows).cast("long")
         cols[rank_alias] = F.rank().over(w_vals).cast("long")
         cols[dense_rank_alias] = F.dense_rank().over(w_vals).cast("long")
-        return df.withColumns(cols)
-
-    frame = _split_frame(df, keys, order, [], max_rows_per_key, n_buckets, need_rank=True, need_dense=True, hot=hot)
-    offsets = [k for k, _ in lags]
-    w_rows = Window.partitionBy(*frame.nk, "_bucket").orderBy(*order.full_exprs())
-    local_lags = {f"_llag_{k}": F.lag(v, k).over(w_rows) for k in offsets}
-    frame.df = frame.df.withColumns(local_lags)
-    out = _halo_lags(frame, {"v": v}, offsets)
-    cols = {}
-    for (k, default), alias in zip(lags, lag_aliases):
-        inside = F.when(F.col("_lrn") > k, F.col(f"_llag_{k}")).otherwise(F.col(f"_halo_v_{k}"))
-        dflt = F.lit(default) if default is not None else F.lit(None)
-        cols[alias] = F.when(F.col("_grn") > k, inside).otherwise(dflt.cast(df.schema[value].dataType))
-    cols[row_number_alias] = F.col("_grn").cast("long")
-    # Rows tied with the bucket's first value may continue from earlier buckets.
-    tied_before = F.when(v.eqNullSafe(F.col("_bfv")), F.col("_tbefore")).otherwise(F.lit(0))
-    cols[rank_alias] = (F.col("_ccnt") + F.col("_lrank") - tied_before).cast("long")
-    cols[dense_rank_alias] = (F.col("_cndv") + F.col("_ldense") - F.col("_cont")).cast("long")
-    return _drop_internal(out.withColumns(cols))
+        return rows.withColumns(cols)
+
+    split = _plan(df, keys, order, strategy, max_rows_per_key)
+    if split is None:
+        return plain(df)
+    p, reach = split.p, max((k for k, _ in lags), default=0)
+    local = split.rows.withColumns({
+        f"{p}rn": F.row_number().over(split.by_row), f"{p}rank": F.rank().over(split.by_value), f"{p}dense": F.dense_rank().over(split.by_value),
+        **{f"{p}lag{k}": F.lag(value, k).over(split.by_row) for k, _ in lags},
+    })
+    out = split.joined(local, split.summary(None, F.col(value), reach))
+    cols, rn = {}, split.col("rn")
+    kind = df.schema[value].dataType
+    for (k, default), alias in zip(lags, lag_aliases, strict=False):
+        back = F.lit(k) - rn + 1  # k rows back is so far from the halo's end
+        held = F.coalesce(F.size(split.col("halo")), F.lit(0))
+        outside = F.when(held >= back, F.try_element_at(split.col("halo"), -back)["v"]).otherwise(F.lit(default).cast(kind))
+        cols[alias] = F.when(rn > k, split.col(f"lag{k}")).otherwise(outside)
+    cols[row_number_alias] = (split.col("n_before") + rn).cast("long")
+    # Rows tied with the part's first may continue a tie of earlier parts.
+    tied = F.when(split.col("rank") == 1, split.col("tied_before")).otherwise(F.lit(0))
+    cols[rank_alias] = (split.col("n_before") + split.col("rank") - tied).cast("long")
+    cols[dense_rank_alias] = (split.col("d_before") + split.col("dense")).cast("long")
+    return split.finish(out.withColumns(cols), plain(split.cold), added)
 
 
 def with_rolling_mean(
@@ -655,51 +263,37 @@ def with_rolling_mean(
     *,
     preceding: int = 4,
     alias: str = "RollingAvg",
+    scale: int | None = None,
     strategy: str = "auto",
     max_rows_per_key: int | None = None,
-    n_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """Mean over the current row and ``preceding`` earlier rows (a ROWS frame).
+    """Mean over the current row and ``preceding`` earlier rows (a ROWS frame)."""
+    amount = exact(value, scale)
 
-    The sum is exact (decimal); the mean is ``double(sum) / rows in frame``.
-    """
-    max_rows_per_key = max_rows_per_key_for(df, max_rows_per_key)
-    plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
-    if plan == "window":
+    def mean(s: Column, n: Column) -> Column:
+        return F.when(n > 0, s.cast("double") / n.cast("double"))
+
+    def plain(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order.full_exprs()).rowsBetween(-preceding, 0)
-        s = F.sum(money(value)).over(w)
-        n = F.count(F.col(value)).over(w)
-        return df.withColumn(alias, F.when(n > 0, s.cast("double") / n.cast("double")))
-
-    # Prefix sums S(r) and prefix non-null counts C(r); frame = S(r) - S(r-p-1).
-    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot)
-    w_rows = Window.partitionBy(*frame.nk, "_bucket").orderBy(*order.full_exprs())
-    frame.df = frame.df.withColumns(
-        {
-            "_S": F.col(f"_csum_{value}") + F.col(f"_lrows_{value}"),
-            "_C": F.col(f"_cnn_{value}") + F.col(f"_lrowsn_{value}"),
-        }
-    )
-    k = preceding + 1
-    frame.df = frame.df.withColumns(
-        {"_llag_S": F.lag("_S", k).over(w_rows), "_llag_C": F.lag("_C", k).over(w_rows)}
-    )
-    out = _halo_lags(frame, {}, [k], prefix_sums=[value])
-    zero = F.lit(0).cast("decimal(38,2)")
-    back_s = (
-        F.when(F.col("_grn") <= k, zero)
-        .when(F.col("_lrn") > k, F.col("_llag_S"))
-        .otherwise(F.col(f"_halo__P_{value}_{k}"))
-    )
-    back_c = (
-        F.when(F.col("_grn") <= k, F.lit(0))
-        .when(F.col("_lrn") > k, F.col("_llag_C"))
-        .otherwise(F.col(f"_halo__Pn_{value}_{k}"))
-    )
-    s = F.col("_S") - back_s
-    n = F.col("_C") - back_c
-    mean = F.when(n > 0, s.cast("double") / n.cast("double"))
-    return _drop_internal(out.withColumn(alias, mean))
+        return rows.withColumn(alias, mean(F.sum(amount).over(w), F.count(amount).over(w)))
+
+    split = _plan(df, keys, order, strategy, max_rows_per_key)
+    if split is None:
+        return plain(df)
+    p, frame = split.p, split.by_row.rowsBetween(-preceding, 0)
+    local = split.rows.withColumns({f"{p}rn": F.row_number().over(split.by_row), f"{p}s": F.sum(amount).over(frame), f"{p}n": F.count(amount).over(frame)})
+    out = split.joined(local, split.summary(None, amount, preceding))
+    out = out.withColumn(f"{p}halo", F.coalesce(split.col("halo"), F.array().cast(out.schema[f"{p}halo"].dataType))) if preceding else out
+    if preceding:
+        size, need = F.size(split.col("halo")), F.greatest(F.lit(preceding + 1) - split.col("rn"), F.lit(0))
+        seen = F.transform(F.slice(split.col("halo"), F.greatest(size - need, F.lit(0)) + 1, need), lambda x: x["v"])
+        seen = F.filter(seen, lambda x: x.isNotNull())
+        kind = local.schema[f"{p}s"].dataType
+        before = F.aggregate(seen, F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
+        out = out.withColumn(alias, mean(F.coalesce(split.col("s"), F.lit(0)) + before, split.col("n") + F.size(seen)))
+    else:
+        out = out.withColumn(alias, mean(split.col("s"), split.col("n")))
+    return split.finish(out, plain(split.cold), [alias])
 
 
 def with_income_ranking(
@@ -711,44 +305,43 @@ def with_income_ranking(
     row_number_alias: str = "ranked",
     total_alias: str = "windowedSum",
     running_alias: str = "windowedRunningTotal",
+    scale: int | None = None,
     strategy: str = "auto",
     max_rows_per_key: int | None = None,
-    n_buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """Row number, partition total and RANGE running total (ties share) on one key.
+    """Row number, partition total and RANGE running total (ties share) of ``value`` on one key.
 
-    Totals are exact decimals returned as double.
+    Totals have the type ``sum`` gives; with ``scale`` they are exact decimals
+    returned as double.
     """
-    max_rows_per_key = max_rows_per_key_for(df, max_rows_per_key)
-    plan, hot = _resolve(df, keys, strategy, max_rows_per_key)
-    if plan == "window":
-        w_rows = Window.partitionBy(*keys).orderBy(*order.full_exprs())
+    amount, added = exact(value, scale), [row_number_alias, total_alias, running_alias]
+
+    def typed(c: Column) -> Column:
+        return c.cast("double") if scale is not None else c
+
+    def plain(rows: DataFrame) -> DataFrame:
         w_vals = Window.partitionBy(*keys).orderBy(*order.value_exprs())
-        w_all = Window.partitionBy(*keys)
-        return df.withColumns(
-            {
-                row_number_alias: F.row_number().over(w_rows).cast("long"),
-                total_alias: F.sum(money(value)).over(w_all).cast("double"),
-                running_alias: F.sum(money(value)).over(w_vals).cast("double"),
-            }
-        )
-    frame = _split_frame(df, keys, order, [value], max_rows_per_key, n_buckets, need_rank=False, need_dense=False, hot=hot,
-                         need_range=True)
-    # Rows tied with the bucket's last value may continue into later buckets.
-    on_last = F.col(value).eqNullSafe(F.col("_blv"))
-    tied_after = F.when(on_last, F.col(f"_aft_{value}")).otherwise(F.lit(0).cast("decimal(38,2)"))
-    tied_after_n = F.when(on_last, F.col(f"_aftn_{value}")).otherwise(F.lit(0))
-    out = frame.df.withColumns(
-        {
-            row_number_alias: F.col("_grn").cast("long"),
-            total_alias: F.col(f"_tsum_{value}").cast("double"),
-            running_alias: F.when(
-                F.col(f"_cnn_{value}") + F.col(f"_lrangen_{value}") + tied_after_n > 0,
-                F.col(f"_csum_{value}") + F.col(f"_lrange_{value}") + tied_after,
-            ).cast("double"),
-        }
-    )
-    return _drop_internal(out)
+        return rows.withColumns({
+            row_number_alias: F.row_number().over(Window.partitionBy(*keys).orderBy(*order.full_exprs())).cast("long"),
+            total_alias: typed(F.sum(amount).over(Window.partitionBy(*keys))),
+            running_alias: typed(F.sum(amount).over(w_vals)),
+        })
+
+    split = _plan(df, keys, order, strategy, max_rows_per_key)
+    if split is None:
+        return plain(df)
+    p = split.p
+    local = split.rows.withColumns({f"{p}rn": F.row_number().over(split.by_row), f"{p}s": F.sum(amount).over(split.by_value)})
+    out = split.joined(local, split.summary(amount))
+    # Rows tied with the part's last may go on into later parts.
+    on_last = F.struct(F.col(order.column).alias("o")).eqNullSafe(split.col("last"))
+    cold = plain(split.cold)
+    out = out.withColumns({
+        row_number_alias: (split.col("n_before") + split.col("rn")).cast("long"),
+        total_alias: typed(split.col("s_all")).cast(cold.schema[total_alias].dataType),
+        running_alias: typed(_plus(split.col("s_before"), split.col("s"), F.when(on_last, split.col("s_after")))).cast(cold.schema[running_alias].dataType),
+    })
+    return split.finish(out, cold, added)
 
 
 def with_group_aggregate(df: DataFrame, keys: list[str], agg: Column, alias: str) -> DataFrame:
@@ -760,10 +353,7 @@ def with_group_aggregate(df: DataFrame, keys: list[str], agg: Column, alias: str
     adaptive execution broadcasts it when its measured size is small, and
     otherwise splits skewed partitions of the shuffled join.
     """
+    p = _prefix(df)
     per_key = df.groupBy(*keys).agg(agg.alias(alias))
-    renamed = per_key.select(*[F.col(k).alias(f"_g_{k}") for k in keys], alias)
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(renamed[f"_g_{k}"])
-        cond = c if cond is None else cond & c
-    return df.join(renamed, on=cond, how="inner").drop(*[f"_g_{k}" for k in keys])
+    renamed = per_key.select(*[F.col(k).alias(f"{p}g{i}") for i, k in enumerate(keys)], alias)
+    return df.join(renamed, _same(df, renamed, [(k, f"{p}g{i}") for i, k in enumerate(keys)]), "inner").drop(*[f"{p}g{i}" for i in range(len(keys))])

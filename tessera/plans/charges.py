@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalar import safe_cast
 from tessera.operators import aggregates as agg
+from tessera.operators.layout import hash_partition
 from tessera.operators.windows import with_group_aggregate
 from tessera.plans.registry import register
 from tessera.session import scratch_path, staged
@@ -42,18 +43,18 @@ def agg_dict_count(spark: SparkSession, sf: str) -> DataFrame:
     return charges.groupBy("Boro").agg({"Boro": "count"}).withColumnRenamed("count(Boro)", "OrderFrequency")
 
 
+@register("zip_list_by_group", "SELECT DISTINCT l_returnflag AS Boro, l_suppkey AS Zip FROM lineitem")
+def zip_list_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    """The zip codes of each district, one row each: a district's list has no bound at scale."""
+    return agg.distinct_values_by(order_charges(spark, sf), "Boro", safe_cast("Zip", "long"))
+
+
 @register(
-    "zip_list_by_group",
-    """
-    SELECT l_returnflag AS Boro,
-           CAST(count(DISTINCT l_suppkey) AS BIGINT) AS ZipCount,
-           array_to_string(list_sort(list(DISTINCT l_suppkey)), ',') AS ZipList
-    FROM lineitem GROUP BY l_returnflag
-    """,
+    "zip_count_by_group",
+    "SELECT l_returnflag AS Boro, count(DISTINCT l_suppkey) AS ZipCount FROM lineitem GROUP BY l_returnflag",
 )
-def zip_list_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    charges = order_charges(spark, sf)
-    return agg.distinct_set_by(charges, "Boro", safe_cast("Zip", "int"))
+def zip_count_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    return order_charges(spark, sf).groupBy("Boro").agg(F.count_distinct(safe_cast("Zip", "long")).alias("ZipCount"))
 
 
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,31 +79,28 @@ def daily_freq(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT l_shipdate AS OMOCreateDate, count(l_orderkey) AS OMODailyFreq FROM lineitem GROUP BY l_shipdate",
 )
 def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return agg.distinct_rows(_daily(spark, sf), "OMOCreateDate", "OMODailyFreq")
-
-
-def _stat_sql(c: str) -> str:
-    x = f"CAST({c} AS DECIMAL(18,2))"
-    s1 = f"CAST(sum({x}) AS DOUBLE)"
-    s2 = f"CAST(sum({x} * {x}) AS DOUBLE)"
-    n = f"CAST(count({c}) AS DOUBLE)"
-    return (
-        f"count({c}) AS {c}_count, round({s1} / {n}, 6) AS {c}_mean, "
-        f"round(sqrt(({s2} - {s1} * {s1} / {n}) / ({n} - 1.0)), 6) AS {c}_stddev, "
-        f"min({c}) AS {c}_min, max({c}) AS {c}_max"
-    )
+    """(date, frequency) without repeats: the per-key aggregate itself."""
+    charges = order_charges(spark, sf)
+    daily = charges.groupBy("OMOCreateDate").agg(F.count("l_orderkey").alias("OMODailyFreq"))
+    return agg.distinct_rows(daily, "OMOCreateDate", "OMODailyFreq")
 
 
-@register(
-    "describe_stats",
-    f"""
-    SELECT {_stat_sql('l_quantity')}, {_stat_sql('l_extendedprice')},
-           count(l_returnflag) AS Boro_count, min(l_returnflag) AS Boro_min, max(l_returnflag) AS Boro_max
-    FROM lineitem
-    """,
-)
+_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_TEXT = ["l_returnflag", "l_linestatus"]
+
+
+def _stat_sql(c: str, number: bool) -> str:
+    low, high = f"min({c})", f"max({c})"
+    numbers = f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, CAST({low} AS DOUBLE) AS min_value, CAST({high} AS DOUBLE) AS max_value"
+    none = ", ".join(f"CAST(NULL AS DOUBLE) AS {a}" for a in ("mean", "stddev", "min_value", "max_value"))
+    texts = f"CAST({'NULL' if number else low} AS VARCHAR) AS min_text, CAST({'NULL' if number else high} AS VARCHAR) AS max_text"
+    return f"SELECT '{c}' AS \"column\", count({c}) AS n, {numbers if number else none}, {texts} FROM lineitem"
+
+
+@register("describe_stats", " UNION ALL ".join([_stat_sql(c, True) for c in _NUMERIC] + [_stat_sql(c, False) for c in _TEXT]))
 def describe_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return agg.typed_stats(order_charges(spark, sf), ["l_quantity", "l_extendedprice"], ["Boro"])
+    """Every numeric and text column described in one pass."""
+    return agg.column_stats(table(spark, sf, "lineitem"), digits=4)
 
 
 # --- B1, B2, C10, I17 -----------------------------------------------------
@@ -116,6 +114,20 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
+@register("hash_repartition", "SELECT l_suppkey AS merchant_id, count(*) AS n_rows FROM lineitem GROUP BY l_suppkey")
+def hash_repartition(spark: SparkSession, sf: str) -> DataFrame:
+    """``repartition(n, key)``, then an aggregate on the key: one shuffle, reused by the aggregate."""
+    li = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("merchant_id"))
+    return hash_partition(li, 10, "merchant_id").groupBy("merchant_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("round_robin_write", "SELECT * FROM part")
+def round_robin_write(spark: SparkSession, sf: str) -> DataFrame:
+    """A fixed number of files by ``repartition(n)``, read back."""
+    path = write_parquet(table(spark, sf, "part"), scratch_path(spark, "part_parquet"), num_files=5)
+    return read_parquet(spark, path)
+
+
 def _write_year_layout(spark: SparkSession, sf: str, path: str) -> str:
     o = table(spark, sf, "orders").withColumn("OrderYear", F.year("o_orderdate"))
     return write_partitioned(o, path, ["OrderYear"])
@@ -155,6 +167,6 @@ def pruned_orders(by_year: DataFrame) -> DataFrame:
     """,
 )
 def partition_pruned_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """Reads the year layout (written once per application) with pruning."""
-    path = staged(spark, sf, "orders_by_year_layout", lambda p: _write_year_layout(spark, sf, p))
+    """Reads the year layout with pruning."""
+    path = staged(spark, "orders_by_year_layout", lambda p: _write_year_layout(spark, sf, p))
     return pruned_orders(read_parquet(spark, path))

@@ -1,8 +1,8 @@
 """Nested JSON: companies with employee arrays, sparse documents, appends.
 
 Companies come from ``conversations``: company = ``conv_id``, employees =
-``array<struct<turn, role>>`` (chunks of at most 64 turns per record).  They
-are staged as JSON lines, read back with an explicit schema and flattened.
+``array<struct<turn, role>>`` (at most 64 turns per record, with the position
+of the first).  They are staged as JSON lines, read back with an explicit schema and flattened.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ CHUNK = 64
 COMPANY_SCHEMA = StructType(
     [
         StructField("company", LongType()),
+        StructField("first_position", LongType()),
         StructField(
             "employees",
             ArrayType(StructType([StructField("turn", LongType()), StructField("role", StringType())])),
@@ -35,7 +36,7 @@ def stage_companies(spark: SparkSession, sf: str) -> str:
     conv = table(spark, sf, "conversations")
     nested = nest_children(conv, "conv_id", "turn", ["role"], parent_alias="company", array_alias="employees",
                            chunk_size=CHUNK)
-    return staged(spark, sf, "companies_json", lambda path: nested.write.mode("overwrite").json(path))
+    return staged(spark, "companies_json", lambda path: nested.write.mode("overwrite").json(path))
 
 
 def companies(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,26 +50,49 @@ def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return flat.select("company", F.col("employee.turn").alias("turn"), F.expr("employee.role as role"))
 
 
+@register("json_inferred", "SELECT conv_id AS company, turn, role FROM conversations")
+def json_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """The same records read without a schema (inferred in one extra pass)."""
+    flat = explode_field(read_json(spark, stage_companies(spark, sf)), ["company"], "employees", "employee")
+    return flat.select("company", F.col("employee.turn").alias("turn"), F.col("employee.role").alias("role"))
+
+
 @register(
     "posexplode_items",
-    f"""
+    """
     SELECT conv_id AS company,
-           CAST(row_number() OVER (PARTITION BY conv_id, turn // {CHUNK} ORDER BY turn) - 1 AS BIGINT)
-               AS employeePosition,
+           CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS BIGINT) AS employeePosition,
            turn, role
     FROM conversations
     """,
 )
 def posexplode_items(spark: SparkSession, sf: str) -> DataFrame:
-    flat = posexplode_field(companies(spark, sf), ["company"], "employees", "employeePosition", "employee")
+    flat = posexplode_field(companies(spark, sf), ["company"], "employees", "employeePosition", "employee", first="first_position")
     return flat.select(
         "company",
-        F.col("employeePosition").cast("long").alias("employeePosition"),
+        "employeePosition",
         F.col("employee.turn").alias("turn"),
         F.col("employee.role").alias("role"),
     )
 
 
+@register(
+    "posexplode_events",
+    """
+    SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS BIGINT) AS event_position,
+           event_id, event_type
+    FROM events
+    """,
+)
+def posexplode_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Users have more events than a record holds (16), so positions run on across records."""
+    nested = nest_children(
+        table(spark, sf, "events"), "user_id", "event_id", ["event_type"], parent_alias="user_id", array_alias="events", chunk_size=16
+    )
+    flat = posexplode_field(nested, ["user_id"], "events", "event_position", "event", first="first_position")
+    return flat.select("user_id", "event_position", F.col("event.event_id").alias("event_id"), F.col("event.event_type").alias("event_type"))
+
+
 DOC_SCHEMA = StructType(
     [
         StructField("doc_id", LongType()),
@@ -94,7 +118,7 @@ def documents_sparse_json(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf, "labels")
     sparse = docs.join(labels, on="doc_id", how="left")
-    path = staged(spark, sf, "documents_json", lambda p: sparse.write.mode("overwrite").json(p))
+    path = staged(spark, "documents_json", lambda p: sparse.write.mode("overwrite").json(p))
     return read_json(spark, path, DOC_SCHEMA)
 
 

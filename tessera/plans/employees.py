@@ -1,8 +1,9 @@
 """Employee/role joins: inner, broadcast, left, right outer, left anti, full,
 and the "cross join with a condition" (which is an inner join).
 
-Employees = customers outside the HOUSEHOLD segment; roles = one row per event
-user.  Some event users are HOUSEHOLD customers, so right-only rows exist.
+Employees = customers; roles = one row per event user.  The right and full
+joins take the employees outside the HOUSEHOLD segment, so that some roles have
+no employee.
 """
 
 from __future__ import annotations
@@ -11,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.joins import cross_with_equality, join_on_key
 from tessera.plans.registry import register
-from tessera.plans.standins import EXCLUDED_SEGMENT, employees, roles
+from tessera.plans.standins import EXCLUDED_SEGMENT, employees, office_employees, roles
 
 _CTE = f"""
     WITH emp AS (
         SELECT c_custkey AS id, c_name AS firstName, c_mktsegment AS lastName
-        FROM customer WHERE c_mktsegment <> '{EXCLUDED_SEGMENT}'
+        FROM customer
     ),
+    office AS (SELECT * FROM emp WHERE lastName <> '{EXCLUDED_SEGMENT}'),
     role AS (
         SELECT user_id AS id, arg_min(event_type, (ts, event_id)) AS jobRole
         FROM events GROUP BY user_id
@@ -52,10 +54,10 @@ def join_left(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "join_right_outer",
-    _sql("SELECT role.id, firstName, lastName, jobRole FROM emp RIGHT JOIN role ON emp.id = role.id"),
+    _sql("SELECT role.id, firstName, lastName, jobRole FROM office RIGHT JOIN role ON office.id = role.id"),
 )
 def join_right_outer(spark: SparkSession, sf: str) -> DataFrame:
-    return join_on_key(employees(spark, sf), roles(spark, sf), "id", "right_outer")
+    return join_on_key(office_employees(spark, sf), roles(spark, sf), "id", "right_outer")
 
 
 @register("join_left_anti", _sql("SELECT * FROM emp WHERE NOT EXISTS (SELECT 1 FROM role WHERE role.id = emp.id)"))
@@ -66,12 +68,12 @@ def join_left_anti(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "join_full",
     _sql(
-        "SELECT coalesce(emp.id, role.id) AS id, firstName, lastName, jobRole "
-        "FROM emp FULL OUTER JOIN role ON emp.id = role.id"
+        "SELECT coalesce(office.id, role.id) AS id, firstName, lastName, jobRole "
+        "FROM office FULL OUTER JOIN role ON office.id = role.id"
     ),
 )
 def join_full(spark: SparkSession, sf: str) -> DataFrame:
-    return join_on_key(employees(spark, sf), roles(spark, sf), "id", "full")
+    return join_on_key(office_employees(spark, sf), roles(spark, sf), "id", "full")
 
 
 @register(

@@ -23,7 +23,8 @@ from tessera.sinks.files import write_csv, write_text_lines
 from tessera.sources.files import read_csv, read_delimited
 from tessera.tables import table
 
-# Explicit finance schema (id widened to long: order keys exceed int at scale).
+# The finance layout's names and types (id widened to long: order
+# keys exceed int at scale).
 FIN_SCHEMA = (
     StructType()
     .add("id", LongType(), True)
@@ -58,7 +59,7 @@ def stage_finance_csv(spark: SparkSession, sf: str) -> str:
     line = F.when(
         F.col("o_orderpriority") == SHORT_LINE_PRIORITY, F.concat_ws(",", key, debt, deps)
     ).otherwise(F.concat_ws(",", key, debt, deps, loans, income))
-    return staged(spark, sf, "finances_csv", lambda path: write_text_lines(o.select(line.alias("value")), path))
+    return staged(spark, "finances_csv", lambda path: write_text_lines(o.select(line.alias("value")), path))
 
 
 def finances_permissive(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,18 +125,15 @@ _RANKED_SQL = f"""
 """
 
 
-def _ranked(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None,
-             n_buckets: int | None = None) -> DataFrame:
-    extra = {"max_rows_per_key": max_rows_per_key} if max_rows_per_key else {}
-    if n_buckets:
-        extra["n_buckets"] = n_buckets
+def _ranked(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None) -> DataFrame:
     return with_income_ranking(
         finances_permissive(spark, sf),
         ["has_debt"],
         OrderSpec("income", descending=True, tiebreak=["id"]),
         "income",
+        scale=2,
         strategy=strategy,
-        **extra,
+        max_rows_per_key=max_rows_per_key,
     )
 
 
@@ -149,7 +147,7 @@ def ranked_income(spark: SparkSession, sf: str) -> DataFrame:
 def ranked_income_split(spark: SparkSession, sf: str) -> DataFrame:
     """Same, with the hot-key plan forced on: the debt flag has only three
     values, so at scale each flag is a third of the table."""
-    return _ranked(spark, sf, "split", max_rows_per_key=1000, n_buckets=256)
+    return _ranked(spark, sf, "split", max_rows_per_key=1000)
 
 
 # --- A5, A12, B3 ----------------------------------------------------------
@@ -173,7 +171,7 @@ def _receipts(spark: SparkSession, sf: str) -> DataFrame:
 @register("csv_delimited", _DELIM_SQL)
 def csv_delimited(spark: SparkSession, sf: str) -> DataFrame:
     """A landed ``|``-delimited file with header: every column read as text."""
-    path = staged(spark, sf, "receipts", lambda p: write_csv(_receipts(spark, sf), p, header=True, sep="|"))
+    path = staged(spark, "receipts", lambda p: write_csv(_receipts(spark, sf), p, header=True, sep="|"))
     return read_delimited(spark, path, sep="|", header=True)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import array_profile
-from tessera.functions.scalar import money, parse_bool, parse_date, parse_timestamp, tidy_name
+from tessera.functions.scalar import exact, parse_bool, parse_date, parse_timestamp, tidy_name
 from tessera.operators import aggregates as agg
 from tessera.operators import filters, sorting
 from tessera.operators.joins import broadcast_if_small, join_on_key
@@ -25,14 +25,16 @@ from tessera.operators.windows import (
     with_rolling_mean,
 )
 from tessera.sinks.files import register_view, write_csv, write_format, write_parquet, write_partitioned
-from tessera.sources.files import enforce_not_null, fields_to_columns, read_csv, read_delimited, read_format
+from tessera.sources.files import load_audit, read_csv, read_delimited, read_format, typed_load
 
 
-def account_report(finances: DataFrame, movies_label: str = "Movies") -> dict[str, DataFrame]:
+def account_report(
+    finances: DataFrame, movies_label: str = "Movies", *, tiebreak: str = "TxnId", scale: int | None = None
+) -> dict[str, DataFrame]:
     """M1: top amounts, details text, per-account summary and its array report."""
-    summary = agg.summarize_by_key(finances, "AccountNumber", "Amount", "Description", set_as_text=False)
+    summary = agg.summarize_by_key(finances, "AccountNumber", "Amount", "Description", set_as_text=False, scale=scale)
     return {
-        "top5": sorting.top_k(finances, [F.col("Amount").desc()], 5),
+        "top5": sorting.top_k(finances, [F.col("Amount").desc(), F.col(tiebreak).asc()], 5),
         "details": finances.select(F.concat_ws(" - ", "AccountNumber", "Description").alias("AccountDetails")),
         "summary": summary,
         "arrays": summary.select(
@@ -71,29 +73,33 @@ def order_charge_profile(charges: DataFrame, out_path: str | None = None) -> dic
     daily = with_group_aggregate(charges, ["OMOCreateDate"], F.count("OMOID"), "OMODailyFreq")
     out = {
         "count": agg.row_count(charges),
-        "describe": agg.describe_table(charges),
+        "describe": agg.column_stats(charges),
         "frequency": agg.count_by(charges, "Boro", "OrderFrequency"),
-        "zips": agg.distinct_set_by(charges, "Boro", F.col("Zip").try_cast("int")),
+        "zips": agg.distinct_values_by(charges, "Boro", F.col("Zip").try_cast("int")),
         "daily": daily,
-        "daily_distinct": agg.distinct_rows(daily, "OMOCreateDate", "OMODailyFreq"),
+        "daily_distinct": charges.groupBy("OMOCreateDate").agg(F.count("OMOID").alias("OMODailyFreq")),
     }
     if out_path:
         write_parquet(daily, out_path)
     return out
 
 
-def transaction_load(text_fields: DataFrame) -> dict[str, DataFrame]:
-    """M6: positional fields to typed transactions, then counts and merchant totals."""
+def transaction_load(text_fields: DataFrame, *, scale: int | None = None) -> dict[str, DataFrame]:
+    """M6: positional fields to typed transactions with every line accounted for, then counts and merchant totals."""
+    # The transaction file's field names and types.
     names = ["txn_id", "created_time_str", "amount", "cust_id", "status", "merchant_id", "created_time_ist"]
     types = ["long", "long", "double", "long", "int", "long", "string"]
-    typed = enforce_not_null(fields_to_columns(text_fields, types, names), ["txn_id", "created_time_str"])
-    typed = typed.withColumn("created_time_ist", parse_timestamp("created_time_ist"))
+    good, rejects = typed_load(text_fields, types, names, ["txn_id", "created_time_str"])
+    total = F.sum(exact("amount", scale))
+    typed = good.withColumn("created_time_ist", parse_timestamp("created_time_ist"))
     return {
         "typed": typed,
+        "rejects": rejects,
+        "audit": load_audit(good, rejects),
         "count": agg.row_count(typed),
         "merchants": agg.count_distinct(typed, "merchant_id", "n_merchants"),
         "totals": typed.groupBy("merchant_id").agg(
-            F.sum(money("amount")).cast("double").alias("total_amount"),
+            (total if scale is None else total.cast("double")).alias("total_amount"),
             F.approx_count_distinct("status").alias("dist_status_count"),
         ),
     }
@@ -114,20 +120,28 @@ def scholarship_recipients(
     return {"recipients": recipients, "with_course": with_course}
 
 
-def people_cleaning(people: DataFrame) -> dict[str, DataFrame]:
-    """M8: first/max/min per normalised name, name cleaning, text predicates."""
+def people_cleaning(
+    people: DataFrame, *, order: list[str], needle: str, listed: list[str], missing_weight: float = 0.0
+) -> dict[str, DataFrame]:
+    """M8: first, first non-null, max and min per normalised name, tidy names, text predicates on the job.
+
+    ``order`` makes "first" well defined; the words looked for are the caller's.
+    """
     key = agg.normalized_key("firstName").alias("name_key")
-    clean = (
-        people.withColumn("firstName", tidy_name("firstName"))
-        .withColumn("fullName", F.format_string("%s %s", "firstName", "lastName"))
-        .withColumn("weightInLbs", F.coalesce("weightInLbs", F.lit(0.0)))
-    )
+    name = tidy_name("firstName")
+    clean = people.withColumns({
+        "firstName": name,
+        "fullName": F.format_string("%s %s", name, F.col("lastName")),
+        "weightInLbs": F.coalesce("weightInLbs", F.lit(missing_weight)),
+    })
     return {
+        "first": agg.first_by(people, key, "weightInLbs", order, "first_weight"),
+        "first_non_null": agg.first_non_null_by(people, key, "weightInLbs", order, "first_weight"),
         "max_min": agg.max_min_by(people, key, "weightInLbs", max_alias="max_weight", min_alias="min_weight"),
         "clean": clean,
-        "engineers": filters.where_contains(clean, "jobType", "engineer"),
-        "listed": filters.where_in(clean, "jobType", ["chemical engineer", "teacher"]),
-        "not_listed": filters.where_not_in(clean, "jobType", ["chemical engineer", "teacher"]),
+        "matching": filters.where_contains(clean, "jobType", needle),
+        "listed": filters.where_in(clean, "jobType", listed),
+        "not_listed": filters.where_not_in(clean, "jobType", listed),
     }
 
 

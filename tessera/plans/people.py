@@ -16,7 +16,6 @@ from tessera.functions.scalar import FALSE_WORDS, TRUE_WORDS, parse_bool, parse_
 from tessera.operators import aggregates as agg
 from tessera.operators import filters, sorting
 from tessera.plans.registry import register
-from tessera.sinks.files import register_view
 from tessera.tables import table
 
 # The event type whose value is treated as missing, and the
@@ -121,19 +120,15 @@ MISSING_WEIGHT_SIZE = 40
     """,
 )
 def people_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """``initcap`` + ``ltrim``/``trim``, ``format_string``, ``coalesce`` with a literal."""
+    """Tidy names, a formatted full name, a default weight: one projection."""
     p = table(spark, sf, "part")
     raw = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" "), F.col("p_name"))).otherwise(
         F.concat(F.col("p_name"), F.lit(" "))
     )
     weight = F.when(F.col("p_size") > MISSING_WEIGHT_SIZE, F.lit(None)).otherwise(F.col("p_retailprice"))
-    df = p.select("p_partkey", "p_brand", raw.alias("firstName"), weight.alias("weightInLbs"))
-    df = df.withColumn("firstName", F.initcap("firstName"))
-    df = df.withColumn("firstName", F.ltrim(F.initcap("firstName")))
-    df = df.withColumn("firstName", tidy_name("firstName"))
-    df = df.withColumn("fullName", F.format_string("%s %s", "firstName", "p_brand"))
-    df = df.withColumn("weightInLbs", F.coalesce("weightInLbs", F.lit(0.0)))
-    return df.select("p_partkey", "firstName", "fullName", "weightInLbs")
+    name = tidy_name(raw)
+    full = F.format_string("%s %s", name, F.col("p_brand"))
+    return p.select("p_partkey", name.alias("firstName"), full.alias("fullName"), F.coalesce(weight, F.lit(0.0)).alias("weightInLbs"))
 
 
 # --- C11-C13 --------------------------------------------------------------
@@ -150,7 +145,7 @@ def filter_contains(spark: SparkSession, sf: str) -> DataFrame:
 )
 def filter_isin(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    listed = filters.where_in(c, "c_mktsegment", ["building", "machinery", "abc"])
+    listed = filters.where_in(c, "c_mktsegment", ["BUILDING", "Machinery", "abc"])
     # The varargs form gives the same rows.
     return listed.filter(F.lower("c_mktsegment").isin("building", "machinery", "abc"))
 
@@ -240,20 +235,16 @@ def parse_date_dsl(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("parse_date_sql", _DATE_TEXT_SQL)
 def parse_date_sql(spark: SparkSession, sf: str) -> DataFrame:
-    register_view(_date_text(spark, sf), "raw_dates")
     return spark.sql(
-        "SELECT o_orderkey, date_text, CAST(try_to_timestamp(date_text, 'M/d/yyyy') AS DATE) AS Date FROM raw_dates"
+        "SELECT o_orderkey, date_text, CAST(try_to_timestamp(date_text, 'M/d/yyyy') AS DATE) AS Date FROM {raw}",
+        raw=_date_text(spark, sf),
     )
 
 
 # --- G3 -------------------------------------------------------------------
 
 
-@register(
-    "sort_nulls_last",
-    f"SELECT * FROM ({_PEOPLE_SQL}) p ORDER BY weightInLbs ASC NULLS LAST, event_id LIMIT 10",
-)
+@register("sort_nulls_last", f"SELECT * FROM ({_PEOPLE_SQL}) p ORDER BY weightInLbs ASC NULLS LAST, event_id")
 def sort_nulls_last(spark: SparkSession, sf: str) -> DataFrame:
-    """Top 10 by weight ascending with missing weights last."""
-    ordered = sorting.sort_nulls_last(people(spark, sf), "weightInLbs", tiebreak=["event_id"])
-    return ordered.limit(10)
+    """All people by weight ascending, missing weights last."""
+    return sorting.sort_nulls_last(people(spark, sf), "weightInLbs", tiebreak=["event_id"])

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.operators.windows import OrderSpec, with_rank_columns
 from tessera.plans.registry import register
 from tessera.plans.standins import products
-from tessera.sinks.files import register_view
 
 _PRODUCTS_SQL = """
     SELECT p_partkey, p_name AS product, p_type AS category, p_retailprice AS revenue,
@@ -31,12 +30,10 @@ _PRODUCTS_SQL = """
 CATEGORY_REVENUE = OrderSpec("revenue", tiebreak=["p_partkey"])
 
 
-def _windows(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None,
-             n_buckets: int | None = None) -> DataFrame:
-    extra = {"max_rows_per_key": max_rows_per_key} if max_rows_per_key else {}
-    if n_buckets:
-        extra["n_buckets"] = n_buckets
-    return with_rank_columns(products(spark, sf), ["category"], CATEGORY_REVENUE, "revenue", strategy=strategy, **extra)
+def _windows(spark: SparkSession, sf: str, strategy: str, max_rows_per_key: int | None = None) -> DataFrame:
+    return with_rank_columns(
+        products(spark, sf), ["category"], CATEGORY_REVENUE, "revenue", strategy=strategy, max_rows_per_key=max_rows_per_key
+    )
 
 
 @register("product_windows", _PRODUCTS_SQL)
@@ -47,12 +44,13 @@ def product_windows(spark: SparkSession, sf: str) -> DataFrame:
 @register("product_windows_split", _PRODUCTS_SQL)
 def product_windows_split(spark: SparkSession, sf: str) -> DataFrame:
     """The hot-category plan forced on (every category split by revenue range)."""
-    return _windows(spark, sf, "split", max_rows_per_key=200, n_buckets=256)
+    return _windows(spark, sf, "split", max_rows_per_key=200)
 
 
 @register("product_windows_sql", _PRODUCTS_SQL)
 def product_windows_sql(spark: SparkSession, sf: str) -> DataFrame:
-    register_view(products(spark, sf), "products")
+    """SQL text keeps Spark's plain window plan: each category in one task.  Where
+    categories are large, use the operator form (``product_windows``)."""
     return spark.sql(
         """
         SELECT p_partkey, product, category, revenue,
@@ -61,8 +59,9 @@ def product_windows_sql(spark: SparkSession, sf: str) -> DataFrame:
                CAST(row_number() OVER w AS BIGINT) AS row_number,
                CAST(rank() OVER v AS BIGINT) AS rev_rank,
                CAST(dense_rank() OVER v AS BIGINT) AS rev_dense_rank
-        FROM products
+        FROM {products}
         WINDOW w AS (PARTITION BY category ORDER BY revenue, p_partkey),
                v AS (PARTITION BY category ORDER BY revenue)
-        """
+        """,
+        products=products(spark, sf),
     )

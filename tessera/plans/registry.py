@@ -42,6 +42,7 @@ def _load_all() -> None:
         employees,
         finance,
         finances_csv,
+        job_queries,
         people,
         products,
         scholarship,

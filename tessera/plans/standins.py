@@ -69,14 +69,18 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "customer")
-    return c.filter(F.col("c_mktsegment") != EXCLUDED_SEGMENT).select(
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("firstName"),
         F.col("c_mktsegment").alias("lastName"),
     )
 
 
+def office_employees(spark: SparkSession, sf: str) -> DataFrame:
+    """Employees outside one segment, so that some roles have no employee (right and full joins)."""
+    return employees(spark, sf).filter(F.col("lastName") != EXCLUDED_SEGMENT)
+
+
 def roles(spark: SparkSession, sf: str) -> DataFrame:
     """One row per event user: the type of the user's first event is the role."""
     e = table(spark, sf, "events")

@@ -1,4 +1,4 @@
-"""Title-casing part names: registered UDF (DSL and SQL) and the native form.
+"""Title-casing part names: registered SQL function (DSL and SQL) and the column form.
 
 Python's ``str.capitalize`` upper-cases the first character and lower-cases
 the rest of each space-separated piece; the oracle spells that out.
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import capitalize_words
 from tessera.functions.udfs import register_text_udfs, title_case, title_case_delim
 from tessera.plans.registry import register
-from tessera.sinks.files import register_view
 from tessera.tables import table
 
 _TITLE_SQL = """
@@ -32,8 +31,7 @@ def title_case_dsl(spark: SparkSession, sf: str) -> DataFrame:
 @register("title_case_sql", _TITLE_SQL)
 def title_case_sql(spark: SparkSession, sf: str) -> DataFrame:
     register_text_udfs(spark)
-    register_view(table(spark, sf, "part"), "parts")
-    return spark.sql("SELECT p_partkey, title_case(p_name) AS title FROM parts")
+    return spark.sql("SELECT p_partkey, title_case(p_name) AS title FROM {parts}", parts=table(spark, sf, "part"))
 
 
 @register(
@@ -48,7 +46,8 @@ def title_case_sql(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def title_case_with_delimiter(spark: SparkSession, sf: str) -> DataFrame:
-    """Delimiter passed as a literal column: native JVM form and the two-argument UDF."""
+    """Delimiter passed as a literal column: the column form and the two-argument SQL function."""
+    register_text_udfs(spark)
     p = table(spark, sf, "part")
     return p.select(
         "p_partkey",

@@ -15,9 +15,10 @@ from tessera.operators import aggregates as agg
 from tessera.plans.registry import register
 from tessera.plans.standins import transactions
 from tessera.session import staged
-from tessera.sinks.files import write_csv
-from tessera.sources.files import enforce_not_null, fields_to_columns, read_text_fields
+from tessera.sinks.files import write_csv, write_text_lines
+from tessera.sources.files import fields_to_columns, load_audit, read_text_fields, typed_load
 
+# The transaction file's field names and types.
 TXN_NAMES = ["txn_id", "created_time_str", "amount", "cust_id", "status", "merchant_id", "created_time_ist"]
 # Types the untyped load gives (first field parsed as a number, the rest text).
 LOOSE_TYPES = ["long", "string", "double", "string", "string", "string", "string"]
@@ -28,9 +29,7 @@ NOT_NULL = ["txn_id", "created_time_str"]
 
 def stage_transaction_text(spark: SparkSession, sf: str) -> str:
     """Write the transactions as ``|``-separated text with header lines."""
-    return staged(
-        spark, sf, "txn_fct", lambda path: write_csv(transactions(spark, sf), path, header=True, sep="|")
-    )
+    return staged(spark, "txn_fct", lambda path: write_csv(transactions(spark, sf), path, header=True, sep="|"))
 
 
 def load_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -72,10 +71,52 @@ def text_to_columns(spark: SparkSession, sf: str) -> DataFrame:
 )
 def txn_typed(spark: SparkSession, sf: str) -> DataFrame:
     fields = load_transactions(spark, stage_transaction_text(spark, sf))
-    typed = enforce_not_null(fields_to_columns(fields, TYPED, TXN_NAMES), NOT_NULL)
+    typed, _ = typed_load(fields, TYPED, TXN_NAMES, NOT_NULL)
     return typed.withColumn("created_time_ist", parse_timestamp("created_time_ist").cast("timestamp_ntz"))
 
 
+@register(
+    "text_unnamed",
+    """
+    SELECT l_orderkey AS _1, CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR) AS _2, l_extendedprice AS _3,
+           CAST(l_partkey AS VARCHAR) AS _4, CAST(l_linenumber AS VARCHAR) AS _5, CAST(l_suppkey AS VARCHAR) AS _6,
+           strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS _7
+    FROM lineitem
+    """,
+)
+def text_unnamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Positional columns without names (``_1`` to ``_7``)."""
+    return fields_to_columns(load_transactions(spark, stage_transaction_text(spark, sf)), LOOSE_TYPES)
+
+
+@register(
+    "txn_load_audit",
+    """
+    SELECT count(*) AS total,
+           count(*) FILTER (WHERE l_linenumber NOT IN (4, 5, 6, 7)) AS good,
+           count(*) FILTER (WHERE l_linenumber = 7) AS short_line,
+           count(*) FILTER (WHERE l_linenumber = 6) AS long_line,
+           count(*) FILTER (WHERE l_linenumber = 5) AS null_key,
+           count(*) FILTER (WHERE l_linenumber = 4) AS bad_value
+    FROM lineitem
+    """,
+)
+def txn_load_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed load accounts for every line of a file with injected bad lines:
+    short (line 7), too long (6), no key (5), a number that is none (4)."""
+    t, n = transactions(spark, sf), F.col("status")
+    fields = [F.col(c).cast("string") for c in TXN_NAMES]
+    no_key = [F.lit(""), *fields[1:]]
+    bad = [*fields[:2], F.lit("n/a"), *fields[3:]]
+    join = lambda cols: F.concat_ws("|", *cols)
+    line = (
+        F.when(n == 7, join(fields[:4])).when(n == 6, join([*fields, F.lit("more")])).when(n == 5, join(no_key)).when(n == 4, join(bad)).otherwise(join(fields))
+    )
+    path = staged(spark, "txn_bad_lines", lambda p: write_text_lines(t.select(line.alias("value")), p))
+    good, rejects = typed_load(read_text_fields(spark, path, delimiter="|"), TYPED, TXN_NAMES, NOT_NULL)
+    return load_audit(good, rejects)
+
+
 @register(
     "merchant_totals",
     """

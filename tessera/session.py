@@ -9,7 +9,6 @@ default); operators use ``try_*`` forms instead of switching it off.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,24 +18,36 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(
-    master: str = "local[8]",
+    master: str | None = None,
     app_name: str = "tessera",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    *,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-    )
-    for key, value in (extra_conf or {}).items():
+    """A session with the settings above.
+
+    Master and shuffle width are left to spark-submit unless given.  With
+    ``input_bytes`` and ``total_cores`` the widths come from :func:`scale_conf`.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    conf = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    if input_bytes is not None and total_cores is not None:
+        conf |= scale_conf(input_bytes, total_cores)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in (conf | (extra_conf or {})).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,12 +55,18 @@ def build_session(
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` (or one already set on the
-    context) is used as is.  Only when none is configured, as in local tests,
-    a fresh local folder is made and registered.
+    context) is used as is.  Only a local master, as in tests, may go without:
+    there a fresh local folder is made and registered.  On a cluster executors
+    would write to their own disks, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,31 +74,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not configured:
+        if not _is_local(spark):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder for staged tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera-stage/{name}-{uuid.uuid4().hex[:12]}"
-
+_CLEANED: set[str] = set()
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder under the shared checkpoint folder for staged tables.
 
-def default_parallelism(spark: SparkSession) -> int:
-    return max(int(spark.sparkContext.defaultParallelism), 1)
+    All of an application's folders lie in one, which is deleted when the
+    driver's JVM ends (results are read lazily, so not before).
+    """
+    app = spark.sparkContext.applicationId
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-stage/{app}"
+    if base not in _CLEANED:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _CLEANED.add(base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's staged tables now; results not yet read can't be read afterwards."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-stage/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str):
@@ -98,23 +121,14 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-_STAGED: dict[tuple[str, str, str], str] = {}
+def staged(spark: SparkSession, name: str, write) -> str:
+    """Stage an input file: ``write(path)`` writes a rendering of a driver table
+    (CSV, text, JSON), standing in for a landed file.
 
-
-def staged(spark: SparkSession, sf_dir: str, name: str, write) -> str:
-    """Stage an input file once per application and reuse it.
-
-    ``write(path)`` writes the input (a CSV or text rendering of a driver
-    table, standing in for a landed file) under the shared folder.  Later
-    queries of the same application over the same tables read the same
-    files instead of writing them again.
+    Every call writes anew, so a query never reads a rendering of older data.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    path = _STAGED.get(key)
-    if path is None:
-        path = scratch_path(spark, name)
-        write(path)
-        _STAGED[key] = path
+    path = scratch_path(spark, name)
+    write(path)
     return path
 
 

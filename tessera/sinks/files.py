@@ -42,18 +42,19 @@ def write_partitioned(
     fmt: str = "parquet",
     mode: str = "overwrite",
     options: dict[str, str] | None = None,
+    dynamic: bool = False,
 ) -> str:
     """Directory-per-value layout (``partitionBy``) for partition pruning.
 
     Rows are rebalanced on the partition columns first, so each task writes
     few directories.  Choose low-cardinality columns (a year, a flag): one
-    directory per id does not scale.  Reruns replace only the partitions they
-    write (dynamic partition overwrite).
+    directory per id does not scale.  ``overwrite`` replaces the whole layout;
+    with ``dynamic`` only the partitions that the new rows have.
     """
     writer = (
         _shape(df, None, partition_cols)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partition_cols)
         .format(fmt)
     )

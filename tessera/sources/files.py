@@ -9,7 +9,10 @@ over the data and is only used when asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -57,15 +60,12 @@ def read_csv(
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     reader = base.option("mode", mode)
+    if mode == "DROPMALFORMED":
+        # Every cell of every line is parsed, whatever the caller selects later.
+        reader = reader.option("columnPruning", False)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
-    if mode == "DROPMALFORMED" and schema is not None:
-        # Always true, but it references every column, so every cell of every
-        # line is parsed and a line with any bad cell is dropped whatever the
-        # caller selects later.
-        every = F.array(*[F.col(f.name).isNull() for f in schema.fields])
-        df = df.filter(F.size(every) >= 0)
     if names:
         df = df.toDF(*names)
     return df
@@ -116,23 +116,55 @@ def fields_to_columns(
 ) -> DataFrame:
     """Positional fields to typed columns (``toDF()`` gives ``_1.._n``; ``names`` renames).
 
-    Each field is cast with ``try_cast``: text that does not fit the type
-    becomes NULL instead of failing the job.
+    A field that a short line lacks, or whose text does not fit the type, is
+    NULL instead of failing the job; :func:`typed_load` tells which.
     """
-    cols = []
-    for i, t in enumerate(types):
-        name = names[i] if names else f"_{i + 1}"
-        field = F.col("fields").getItem(i)
-        cols.append((field if t == "string" else field.try_cast(t)).alias(name))
-    return fields_df.select(*cols)
+    names = names or [f"_{i + 1}" for i in range(len(types))]
+    return fields_df.select(*[_typed(i, t).alias(n) for i, (t, n) in enumerate(zip(types, names, strict=True))])
 
 
-def enforce_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Keep rows whose declared non-null columns are present.
+def _typed(i: int, to_type: str) -> Column:
+    field = F.get("fields", F.lit(i))
+    return field if to_type == "string" else field.try_cast(to_type)
+
 
-    File readers relax nullability, so a ``nullable=False`` schema field is
-    enforced here as a row filter.
+def typed_load(fields_df: DataFrame, types: list[str], names: list[str], not_null: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)``: every line is in one of them.
+
+    ``rejects`` has the raw ``fields`` and a ``reason``, the first that holds:
+    ``short_line``, ``long_line`` (number of fields), ``null_key`` (a declared
+    non-null field is missing or empty), ``bad_value`` (a non-empty field that
+    does not fit its type).
     """
+    empty = lambda i: F.coalesce(F.trim(F.get("fields", F.lit(i))), F.lit("")) == ""
+    missing = [empty(names.index(c)) for c in not_null]
+    unfit = [~empty(i) & _typed(i, t).isNull() for i, t in enumerate(types) if t != "string"]
+    no = F.lit(False)
+    reason = (
+        F.when(F.size("fields") < len(types), "short_line")
+        .when(F.size("fields") > len(types), "long_line")
+        .when(reduce(or_, missing, no), "null_key")
+        .when(reduce(or_, unfit, no), "bad_value")
+    )
+    judged = fields_df.select("fields", reason.alias("reason"))
+    good = fields_to_columns(judged.where("reason is null").select("fields"), types, names)
+    return good, judged.where("reason is not null")
+
+
+#: Reasons of :func:`typed_load`, in the order they are tested.
+REJECT_REASONS = ("short_line", "long_line", "null_key", "bad_value")
+
+
+def load_audit(good: DataFrame, rejects: DataFrame) -> DataFrame:
+    """One row: ``total, good`` and the number of lines rejected for each reason."""
+    by_reason = [F.count_if(F.col("reason") == r).alias(r) for r in REJECT_REASONS]
+    counts = good.select(F.lit(None).cast("string").alias("reason")).unionByName(rejects.select("reason"))
+    return counts.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("reason").isNull()).alias("good"), *by_reason)
+
+
+def enforce_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Keep rows whose declared non-null columns are present (a plain filter;
+    :func:`typed_load` keeps and counts what it rejects)."""
     cond = F.lit(True)
     for c in columns:
         cond = cond & F.col(c).isNotNull()

@@ -11,8 +11,6 @@ Credentials travel as reader options and are never logged or returned.
 
 from __future__ import annotations
 
-from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Context, Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -92,41 +90,6 @@ def bounds_from_row(row) -> tuple[int, int]:
     return int(fields["lo"]), int(fields["hi"])
 
 
-def stride_predicates(column: str, lower: int, upper: int, num_partitions: int) -> list[str]:
-    """The WHERE clauses a partitioned read issues, one per partition.
-
-    The stride is computed in fixed-point decimals and the first bound is
-    shifted by half of the strides lost to truncation, as Spark 3.2+ does.
-    First and last partitions are open-ended (so out-of-bound rows are kept)
-    and the first also takes NULLs.  Useful to check balance before reading.
-    """
-    n = num_partitions if upper - lower >= num_partitions else upper - lower
-    if n <= 1:
-        return ["1=1"]
-    q = Decimal(10) ** -18
-    upper_stride = (Decimal(upper) / Decimal(n)).quantize(q, rounding=ROUND_HALF_EVEN)
-    lower_stride = (Decimal(lower) / Decimal(n)).quantize(q, rounding=ROUND_HALF_EVEN)
-    precise = upper_stride - lower_stride
-    stride = int(precise)
-    # Intermediate division at 34 significant digits, half-even (decimal128).
-    ctx = Context(prec=34, rounding=ROUND_HALF_EVEN)
-    lost = ctx.divide(ctx.multiply(precise - stride, Decimal(n)), Decimal(stride))
-    shift = ctx.multiply(ctx.divide(lost, Decimal(2)), Decimal(stride)).quantize(Decimal(1), rounding=ROUND_HALF_UP)
-    current = lower + int(shift)
-    preds = []
-    for i in range(n):
-        lo = None if i == 0 else current
-        current += stride
-        hi = None if i == n - 1 else current
-        if lo is None:
-            preds.append(f"{column} < {hi} OR {column} IS NULL")
-        elif hi is None:
-            preds.append(f"{column} >= {lo}")
-        else:
-            preds.append(f"{column} >= {lo} AND {column} < {hi}")
-    return preds
-
-
 def write_table(
     df: DataFrame,
     url: str,

@@ -28,37 +28,37 @@ def tmp_dir():
 
 @pytest.fixture(scope="session")
 def employees_df(spark):
-    return spark.createDataFrame(
-        [(1, "Ana", "Ray"), (2, "Bo", "Sol"), (3, "Cy", "Pra"), (4, "Di", "Bha"), (5, "Ed", "Mes"), (7, "Fa", "Kir")],
-        "id long, firstName string, lastName string",
-    )
+    rows = [
+        (108, "Yuki", "Hartmann"), (101, "Mara", "Quist"), (112, "Odo", "Varga"), (105, "Pavel", "Duarte"),
+        (102, "Theo", "Lindqvist"), (111, "Rin", "Castellano"), (104, "Ines", "Okafor"), (109, "Sol", "Achterberg"),
+    ]
+    return spark.createDataFrame(rows, "id long, firstName string, lastName string")
 
 
 @pytest.fixture(scope="session")
 def roles_df(spark):
-    return spark.createDataFrame(
-        [(1, "Architect"), (2, "Programmer"), (3, "Analyst"), (4, "Programmer"), (5, "Architect"), (6, "CEO")],
-        "id long, jobRole string",
-    )
+    rows = [(109, "Archivist"), (106, "Pilot"), (102, "Welder"), (113, "Cook"), (105, "Welder"), (110, "Pilot"), (104, "Botanist")]
+    return spark.createDataFrame(rows, "id long, jobRole string")
 
 
 @pytest.fixture(scope="session")
 def products_df(spark):
     rows = [
-        ("A1", "Cell", 6000), ("B1", "Tab", 1500), ("B2", "Tab", 5500), ("A2", "Cell", 5000), ("A3", "Cell", 6000),
-        ("B3", "Tab", 2500), ("A4", "Cell", 3000), ("A5", "Cell", 3000), ("B4", "Tab", 4500), ("B5", "Tab", 6500),
-    ]
+        ("kettle", "kitchen", 40), ("rake", "garden", 25), ("ladle", "kitchen", 12), ("hose", "garden", 60),
+        ("stool", "home", 75), ("spade", "garden", 25), ("whisk", "kitchen", 12), ("pan", "kitchen", 55),
+        ("trowel", "garden", 18), ("shelf", "home", 120), ("rug", "home", 75), ("sieve", "kitchen", 12),
+    ]
     return spark.createDataFrame(rows, "product string, category string, revenue long")
 
 
 @pytest.fixture(scope="session")
 def people_df(spark):
     rows = [
-        ("Pat", "Lee", 32, None, "Programmer"),
-        ("Kim", "Roe", 22, 176.7, None),
-        ("Sam ", "Day", 62, None, None),
-        (" sam", "Day", 42, 125.3, "Chemical Engineer"),
-        ("Kim", "Roe", 22, 222.2, "Teacher"),
+        ("Ula ", "Brandt", 51, 88.0, "Beekeeper"),
+        ("Nadia", "Roth", 38, None, "Surveyor"),
+        ("ula", "Brandt", 19, None, "Glass Blower"),
+        (" Timo", "Esser", 27, None, None),
+        ("ULA", "Moss", 33, 64.5, None),
+        ("Timo", "Esser", 45, 101.2, "beekeeper"),
     ]
-    schema = "firstName string, lastName string, age long, weightInLbs double, jobType string"
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, "firstName string, lastName string, age long, weightInLbs double, jobType string")

@@ -68,3 +68,84 @@ def test_scale_conf():
     conf = scale_conf(100 * 1024**4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_text_functions_are_inlined(spark):
+    from tessera.plans.inspect import plan_text
+
+    register_text_udfs(spark)
+    df = spark.range(3).select(F.col("id").cast("string").alias("t"))
+    plan = plan_text(df.select(title_case("t"), title_case_delim("t", F.lit("|"))))
+    assert "Python" not in plan and "title_case" not in plan.split("== Physical Plan ==")[-1].split("AS")[0]
+
+
+def test_delimiter_is_literal_and_null_gives_null(spark):
+    register_text_udfs(spark)
+    df = spark.createDataFrame([("a.bC.d", "."), ("a|b", "|"), (None, "."), ("x", None)], "t string, d string")
+    assert [r.o for r in df.select(title_case_delim("t", "d").alias("o")).collect()] == ["A.Bc.D", "A|B", None, None]
+
+
+def test_registering_again_replaces(spark):
+    from tessera.functions.udfs import register_function
+
+    register_function(spark, "tessera_tmp", "x STRING", "concat(x, '1')")
+    register_function(spark, "tessera_tmp", "x STRING", "concat(x, '2')")
+    assert spark.sql("SELECT tessera_tmp('a') AS v").first().v == "a2"
+
+
+def test_session_leaves_master_and_width_to_the_caller(monkeypatch):
+    """Nothing is set that was not asked for."""
+    from pyspark.sql import SparkSession
+
+    from tessera import session
+
+    set_conf = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def master(self, m):
+            set_conf["master"] = m
+            return self
+
+        def config(self, k, v):
+            set_conf[k] = v
+            return self
+
+        def getOrCreate(self):
+            raise StopIteration
+
+    monkeypatch.setattr(SparkSession, "builder", Builder())
+    for asked, wanted in (({}, {}), ({"input_bytes": 1 << 40, "total_cores": 100}, {"spark.sql.shuffle.partitions": "4096"})):
+        set_conf.clear()
+        try:
+            session.build_session(**asked)
+        except StopIteration:
+            pass
+        assert "master" not in set_conf and set_conf.get("spark.sql.shuffle.partitions") == wanted.get("spark.sql.shuffle.partitions")
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from tessera import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

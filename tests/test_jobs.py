@@ -23,12 +23,15 @@ def test_company_tiers(spark, tmp_dir):
 
 
 def test_people_cleaning(people_df):
-    out = jobs.people_cleaning(people_df)
-    assert out["engineers"].count() == 1
-    assert out["listed"].count() == 2
-    assert out["not_listed"].count() == 1
-    names = sorted({r.firstName for r in out["clean"].collect()})
-    assert names == ["Kim", "Pat", "Sam"]
+    out = jobs.people_cleaning(people_df, order=["age"], needle="keeper", listed=["Beekeeper", "Surveyor"])
+    assert out["matching"].count() == 2
+    assert out["listed"].count() == 3
+    assert [r.fullName for r in out["not_listed"].collect()] == ["Ula Brandt"]
+    assert sorted((r.firstName, r.weightInLbs) for r in out["clean"].collect()) == [
+        ("Nadia", 0.0), ("Timo", 0.0), ("Timo", 101.2), ("Ula", 0.0), ("Ula", 64.5), ("Ula", 88.0),
+    ]
+    assert {r.name_key: r.first_weight for r in out["first"].collect()} == {"ula": None, "timo": None, "nadia": None}
+    assert {r.name_key: r.first_weight for r in out["first_non_null"].collect()} == {"ula": 64.5, "timo": 101.2, "nadia": None}
 
 
 def test_product_ranking_both_plans(products_df):
@@ -64,7 +67,8 @@ def test_account_report_and_rolling_accounts(spark):
 
     fin = finances(spark, SF_SMALL)
     rep = jobs.account_report(fin, movies_label="1-URGENT")
-    assert rep["top5"].count() == 5
+    top = [tuple(r) for r in fin.orderBy(F.col("Amount").desc(), "TxnId").limit(5).select("TxnId", "Amount").collect()]
+    assert [(r.TxnId, r.Amount) for r in rep["top5"].collect()] == top
     assert rep["summary"].count() == fin.select("AccountNumber").distinct().count()
     assert set(rep["arrays"].columns) >= {"CountOfUniqueTransactionTypes", "WentToMovies"}
     raw = fin.withColumn("Date", F.date_format("Date", "M/d/yyyy"))
@@ -83,6 +87,8 @@ def test_order_charge_profile_and_layout(spark, tmp_dir):
     out = jobs.order_charge_profile(charges, os.path.join(tmp_dir, "daily"))
     assert out["count"].first()[0] == charges.count()
     assert out["frequency"].count() == 3
+    assert out["zips"].count() == charges.select("Boro", "Zip").distinct().count()
+    assert out["daily_distinct"].agg({"OMODailyFreq": "sum"}).first()[0] == charges.count()
     assert spark.read.parquet(os.path.join(tmp_dir, "daily")).count() == charges.count()
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     laid = jobs.year_layout(orders, "o_orderdate", os.path.join(tmp_dir, "years"))
@@ -99,6 +105,11 @@ def test_transaction_load_and_scholarship(spark, tmp_dir):
     out = jobs.transaction_load(fields)
     n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert out["count"].first()[0] == n
+    audit = out["audit"].first()
+    assert (audit.total, audit.good) == (n, n) and out["rejects"].count() == 0
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy("l_suppkey").sum("l_extendedprice").collect()
+    totals = {r.merchant_id: r.total_amount for r in out["totals"].collect()}
+    assert all(abs(totals[r[0]] - r[1]) < 1e-6 * r[1] for r in li)
     assert out["totals"].count() == out["merchants"].first()[0]
     sch = jobs.scholarship_recipients(
         standins.demographics(spark, SF_SMALL), standins.finance_flags(spark, SF_SMALL),

@@ -24,6 +24,10 @@ TWINS = [
     ("scholarship_filter_join", "scholarship_join_salted"),
     ("scholarship_filter_join", "scholarship_join_filter"),
     ("posexplode_items", "json_flatten"),
+    ("json_inferred", "json_flatten"),
+    ("account_rank_by_date", "account_rank_by_date_split"),
+    ("account_running_by_date", "account_running_by_date_split"),
+    ("job_product_ranking", "product_windows"),
 ]
 
 

@@ -21,7 +21,6 @@ from tessera.sources.files import (
     read_text_fields,
     sql_on_file,
 )
-from tessera.sources.jdbc import stride_predicates
 from tests.conftest import SF_SMALL
 
 BAD_CSV = "1,true,false,true,100.5\n2,maybe,false,true,200\n3,true,true\n4,TRUE,true,false,abc\n"
@@ -132,15 +131,65 @@ def test_partition_sizes(spark):
     df = spark.range(100).repartition(4)
     sizes = partition_sizes(df).collect()
     assert len(sizes) == 4 and sum(r.rows for r in sizes) == 100
+    few = partition_sizes(spark.range(2).repartition(6)).collect()
+    assert len(few) == 6 and sorted(r.rows for r in few)[:4] == [0, 0, 0, 0]  # empty partitions count
 
 
-def test_jdbc_stride_keeps_out_of_bound_rows():
-    preds = stride_predicates("id", 1, 100, 2)
-    assert preds == ["id < 50 OR id IS NULL", "id >= 50"]
-    ids = range(1, 301)
-    first = sum(1 for i in ids if i < 50)
-    second = sum(1 for i in ids if i >= 50)
-    assert (first, second) == (49, 251)
+def test_overwrite_replaces_old_partitions(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "layout")
+    write_partitioned(spark.createDataFrame([(1, "a"), (2, "b")], "id long, k string"), path, ["k"])
+    write_partitioned(spark.createDataFrame([(3, "a")], "id long, k string"), path, ["k"])
+    assert [tuple(r) for r in read_parquet(spark, path).collect()] == [(3, "a")]
+    write_partitioned(spark.createDataFrame([(4, "c")], "id long, k string"), path, ["k"], dynamic=True)
+    assert sorted(tuple(r) for r in read_parquet(spark, path).collect()) == [(3, "a"), (4, "c")]
+
+
+def test_staging_sees_new_rows_and_is_cleared(spark, tmp_dir):
+    from tessera.session import scratch_path, staged
+
+    source = os.path.join(tmp_dir, "source")
+    write = lambda p: read_parquet(spark, source).write.json(p)
+    spark.range(3).write.parquet(source)
+    first = staged(spark, "numbers", write)
+    spark.range(6).write.mode("append").parquet(source)
+    second = staged(spark, "numbers", write)
+    assert (spark.read.json(first).count(), spark.read.json(second).count()) == (3, 9)
+    base = os.path.dirname(scratch_path(spark, "x"))
+    assert first.startswith(base)  # one folder per application, deleted with it
+
+
+def test_typed_load_accounts_for_every_line(spark, tmp_dir):
+    from tessera.sources.files import load_audit, typed_load
+
+    lines = ["1|2.5|x", "2|oops|x", "|3|y", "4|5", "5|6|z|more", "6||w", "7|1e3|", ""]
+    p = _write(os.path.join(tmp_dir, "t.txt"), "\n".join(lines) + "\n")
+    fields = read_text_fields(spark, p, delimiter="|")
+    good, rejects = typed_load(fields, ["long", "double", "string"], ["id", "amount", "note"], ["id"])
+    assert sorted((r.id, r.amount, r.note) for r in good.collect()) == [(1, 2.5, "x"), (6, None, "w"), (7, 1000.0, "")]
+    assert sorted(("|".join(r.fields), r.reason) for r in rejects.collect()) == [
+        ("", "short_line"), ("2|oops|x", "bad_value"), ("4|5", "short_line"), ("5|6|z|more", "long_line"), ("|3|y", "null_key"),
+    ]
+    audit = load_audit(good, rejects).first()
+    assert (audit.total, audit.good, audit.short_line, audit.long_line, audit.null_key, audit.bad_value) == (8, 3, 2, 1, 1, 1)
+
+
+def test_short_lines_give_null_fields(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "s.txt"), "1|2\n3\n")
+    got = fields_to_columns(read_text_fields(spark, p), ["long", "long"]).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 2), (3, None)]
+
+
+def test_positions_run_on_across_records(spark):
+    from tessera.operators.nested import nest_children, posexplode_field
+
+    rows = [("p", 10 * i, f"c{i}") for i in range(130)] + [("q", 5, "only")]
+    df = spark.createDataFrame(rows, "parent string, turn long, name string")
+    for options in ({}, {"strategy": "split", "max_rows_per_key": 20}):
+        nested = nest_children(df, "parent", "turn", ["name"], parent_alias="parent", array_alias="kids", chunk_size=64, **options)
+        assert sorted((r.parent, r.first_position, len(r.kids)) for r in nested.collect()) == [("p", 0, 64), ("p", 64, 64), ("p", 128, 2), ("q", 0, 1)]
+        flat = posexplode_field(nested, ["parent"], "kids", "at", "kid", first="first_position")
+        got = {(r.parent, r["at"]): (r.kid.turn, r.kid.name) for r in flat.collect()}
+        assert got == {("p", i): (10 * i, f"c{i}") for i in range(130)} | {("q", 0): (5, "only")}
 
 
 def test_dropmalformed_independent_of_projection(spark, tmp_dir):
@@ -156,6 +205,7 @@ def test_entry_and_schema_check(spark):
     import __spark_entry__ as entry
     from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+    from tessera.plans import registry
     from tessera.plans.inspect import schema_matches
 
     out = entry.entry(spark)
@@ -167,7 +217,7 @@ def test_entry_and_schema_check(spark):
     ])
     assert schema_matches(out, expected)
     assert out.count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
 def test_merge_partitions(spark):

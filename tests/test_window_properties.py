@@ -24,7 +24,7 @@ def test_split_plan_equals_window_plan(spark, rows, desc, bound):
 
     def same(fn, cols, **kw):
         a = fn(df, ["key"], order, "value", strategy="window", **kw)
-        b = fn(df, ["key"], order, "value", strategy="split", max_rows_per_key=bound, n_buckets=8, **kw)
+        b = fn(df, ["key"], order, "value", strategy="split", max_rows_per_key=bound, **kw)
         assert Counter(tuple(r) for r in a.select(*cols).collect()) == Counter(
             tuple(r) for r in b.select(*cols).collect()
         )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tessera.operators import windows
 from tessera.operators.windows import (
     OrderSpec,
     choose_strategy,
@@ -18,16 +19,18 @@ from tessera.plans.inspect import count_nodes
 
 EXPECTED_PRODUCTS = {
     # product: (lag1, lag2 default 0, row_number, rank, dense_rank)
-    "A4": (None, 0, 1, 1, 1),
-    "A5": (3000, 0, 2, 1, 1),
-    "A2": (3000, 3000, 3, 3, 2),
-    "A1": (5000, 3000, 4, 4, 3),
-    "A3": (6000, 5000, 5, 4, 3),
-    "B1": (None, 0, 1, 1, 1),
-    "B3": (1500, 0, 2, 2, 2),
-    "B4": (2500, 1500, 3, 3, 3),
-    "B2": (4500, 2500, 4, 4, 4),
-    "B5": (5500, 4500, 5, 5, 5),
+    "ladle": (None, 0, 1, 1, 1),
+    "sieve": (12, 0, 2, 1, 1),
+    "whisk": (12, 12, 3, 1, 1),
+    "kettle": (12, 12, 4, 4, 2),
+    "pan": (40, 12, 5, 5, 3),
+    "trowel": (None, 0, 1, 1, 1),
+    "rake": (18, 0, 2, 2, 2),
+    "spade": (25, 18, 3, 2, 2),
+    "hose": (25, 25, 4, 4, 3),
+    "rug": (None, 0, 1, 1, 1),
+    "stool": (75, 0, 2, 1, 1),
+    "shelf": (75, 75, 3, 3, 2),
 }
 
 
@@ -77,31 +80,33 @@ def test_split_equals_window_on_skewed_data(spark):
     order = OrderSpec("value", tiebreak=["id"])
     cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
     a = with_rank_columns(df, ["key"], order, "value", strategy="window")
-    b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=16)
+    b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100)
     assert _as_set(a, cols) == _as_set(b, cols)
 
     desc = OrderSpec("value", descending=True, tiebreak=["id"])
     cols = ["id", "ranked", "windowedSum", "windowedRunningTotal"]
     a = with_income_ranking(df, ["key"], desc, "value", strategy="window")
-    b = with_income_ranking(df, ["key"], desc, "value", strategy="split", max_rows_per_key=100, n_buckets=16)
+    b = with_income_ranking(df, ["key"], desc, "value", strategy="split", max_rows_per_key=100)
     assert _as_set(a, cols) == _as_set(b, cols)
 
     by_day = OrderSpec("day", tiebreak=["id"])
     a = with_rolling_mean(df, ["key"], by_day, "value", preceding=4, strategy="window")
-    b = with_rolling_mean(df, ["key"], by_day, "value", preceding=4, strategy="split", max_rows_per_key=100,
-                          n_buckets=16)
+    b = with_rolling_mean(df, ["key"], by_day, "value", preceding=4, strategy="split", max_rows_per_key=100)
     assert _as_set(a, ["id", "RollingAvg"]) == _as_set(b, ["id", "RollingAvg"])
 
 
+def _parts(df, keys, order, bound):
+    """Rows per (key, part) of the hot keys."""
+    split = windows._plan(df, keys, order, "split", bound)
+    return split, split.rows.groupBy(*split.group).count()
+
+
 def test_split_spreads_hot_key(spark):
     df = _skewed_frame(spark)
-    from tessera.operators.windows import _with_buckets
-
-    bucketed, _ = _with_buckets(df, ["key"], OrderSpec("value", tiebreak=["id"]), 100, 16)
-    hot_buckets = bucketed.filter(F.col("key") == "hot").select("_bucket").distinct().count()
-    assert hot_buckets >= 8
-    biggest = bucketed.groupBy("key", "_bucket").count().agg(F.max("count")).first()[0]
-    assert biggest < 400  # the hot key alone has ~1050 rows
+    split, parts = _parts(df, ["key"], OrderSpec("value", tiebreak=["id"]), 100)
+    assert parts.where("key = 'hot'").count() >= 8
+    assert parts.agg(F.max("count")).first()[0] < 200  # the hot key alone has ~1050 rows
+    assert split.cold.where("key = 'hot'").isEmpty()
 
 
 def test_choose_strategy(spark):
@@ -140,31 +145,27 @@ def _copies_frame(spark, n=3000, seed=11):
 
 
 def test_heavy_tie_group_is_split_and_exact(spark):
-    from tessera.operators.windows import _with_buckets
-
     df = _copies_frame(spark)
     order = OrderSpec("value", tiebreak=["id"])
-    bucketed, _ = _with_buckets(df, ["key"], order, 100, 64)
-    copies = bucketed.filter((F.col("key") == "hot") & (F.col("value") == 10.0))
-    assert copies.select("_bucket").distinct().count() >= 10
-    biggest = bucketed.groupBy("key", "_bucket").count().agg(F.max("count")).first()[0]
-    assert biggest < 120  # the copies alone are ~800 rows; buckets aim at 50
+    split, parts = _parts(df, ["key"], order, 100)
+    copies = split.rows.where((F.col("key") == "hot") & (F.col("value") == 10.0))
+    assert copies.select(split.group[-1]).distinct().count() >= 8
+    assert parts.agg(F.max("count")).first()[0] < 200  # the copies alone are ~800 rows; parts aim at 50
 
     cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
     a = with_rank_columns(df, ["key"], order, "value", strategy="window")
-    b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+    b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100)
     assert _as_set(a, cols) == _as_set(b, cols)
 
     for desc in (False, True):
         o = OrderSpec("value", descending=desc, tiebreak=["id"])
         cols = ["id", "ranked", "windowedSum", "windowedRunningTotal"]
         a = with_income_ranking(df, ["key"], o, "value", strategy="window")
-        b = with_income_ranking(df, ["key"], o, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+        b = with_income_ranking(df, ["key"], o, "value", strategy="split", max_rows_per_key=100)
         assert _as_set(a, cols) == _as_set(b, cols)
 
     a = with_rolling_mean(df, ["key"], order, "value", preceding=4, strategy="window")
-    b = with_rolling_mean(df, ["key"], order, "value", preceding=4, strategy="split", max_rows_per_key=100,
-                          n_buckets=64)
+    b = with_rolling_mean(df, ["key"], order, "value", preceding=4, strategy="split", max_rows_per_key=100)
     assert _as_set(a, ["id", "RollingAvg"]) == _as_set(b, ["id", "RollingAvg"])
 
 
@@ -175,7 +176,7 @@ def test_nan_and_infinities_keep_order_in_split_plan(spark):
         o = OrderSpec("value", descending=desc, tiebreak=["id"])
         cols = ["id", "row_number", "rev_rank", "rev_dense_rank"]
         a = with_rank_columns(df, ["key"], o, "value", strategy="window")
-        b = with_rank_columns(df, ["key"], o, "value", strategy="split", max_rows_per_key=10, n_buckets=16)
+        b = with_rank_columns(df, ["key"], o, "value", strategy="split", max_rows_per_key=10)
         assert _as_set(a, cols) == _as_set(b, cols)
 
 
@@ -190,14 +191,11 @@ def test_string_and_boolean_orders_split_exactly(spark):
             cols = ["id", "row_number", "rev_rank", "rev_dense_rank", "prevRevenue"]
             lags = [(1, None), (2, None)]
             a = with_rank_columns(df, ["key"], o, col, lags=lags, strategy="window")
-            b = with_rank_columns(df, ["key"], o, col, lags=lags, strategy="split", max_rows_per_key=20,
-                                  n_buckets=16)
+            b = with_rank_columns(df, ["key"], o, col, lags=lags, strategy="split", max_rows_per_key=20)
             assert _as_set(a, cols) == _as_set(b, cols)
 
 
 def test_null_ordering_values_as_heavy_group_are_split(spark):
-    from tessera.operators.windows import _with_buckets
-
     rnd = random.Random(5)
     rows = []
     for i in range(2400):
@@ -207,16 +205,16 @@ def test_null_ordering_values_as_heavy_group_are_split(spark):
     df = spark.createDataFrame(rows, "id long, key string, value double")
     for desc in (False, True):
         order = OrderSpec("value", descending=desc, tiebreak=["id"])
-        bucketed, _ = _with_buckets(df, ["key"], order, 100, 64)
-        nulls = bucketed.filter((F.col("key") == "hot") & F.col("value").isNull())
-        assert nulls.select("_bucket").distinct().count() >= 8  # ~720 NULL rows, ~50 per bucket
+        split, _ = _parts(df, ["key"], order, 100)
+        nulls = split.rows.where((F.col("key") == "hot") & F.col("value").isNull())
+        assert nulls.select(split.group[-1]).distinct().count() >= 6  # ~720 NULL rows, ~50 per part
         cols = ["id", "ranked", "windowedSum", "windowedRunningTotal"]
         a = with_income_ranking(df, ["key"], order, "value", strategy="window")
-        b = with_income_ranking(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+        b = with_income_ranking(df, ["key"], order, "value", strategy="split", max_rows_per_key=100)
         assert _as_set(a, cols) == _as_set(b, cols)
         cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
         a = with_rank_columns(df, ["key"], order, "value", strategy="window")
-        b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100, n_buckets=64)
+        b = with_rank_columns(df, ["key"], order, "value", strategy="split", max_rows_per_key=100)
         assert _as_set(a, cols) == _as_set(b, cols)
 
 
@@ -232,3 +230,77 @@ def test_hot_key_bound_from_session_conf(spark):
     finally:
         spark.conf.unset(MAX_ROWS_CONF)
     assert choose_strategy(df, ["key"]) == "window"
+
+
+def _both(df, keys, order, value, bound=40, **options):
+    """Rows of each operator under the plain and the split plan."""
+    for fn, kw in (
+        (with_rank_columns, {"lags": [(1, None), (5, None)]}),
+        (with_income_ranking, {"scale": options.get("scale")}),
+        (with_rolling_mean, {"preceding": 3, "scale": options.get("scale")}),
+    ):
+        a = fn(df, keys, order, value, strategy="window", **kw)
+        b = fn(df, keys, order, value, strategy="split", max_rows_per_key=bound, **kw)
+        assert a.columns == b.columns and a.dtypes == b.dtypes
+        rows = [sorted((tuple(repr(v) for v in r) for r in x.collect())) for x in (a, b)]
+        assert rows[0] == rows[1], fn.__name__
+
+
+def test_value_other_than_the_order_column(spark):
+    rnd = random.Random(4)
+    rows = [(i, "hot" if i % 3 else "x", rnd.randint(0, 40), rnd.randint(-500, 500)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, key string, day int, amount long")
+    for descending in (False, True):
+        _both(df, ["key"], OrderSpec("day", descending, ["id"]), "amount")
+        _both(df.withColumn("day", F.date_add(F.lit("2020-01-01").cast("date"), F.col("day"))), ["key"], OrderSpec("day", descending, ["id"]), "amount")
+
+
+def test_user_columns_with_underscores_stay(spark):
+    rows = [(i, i % 2, i % 7, float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "_1 long, _2 long, __w_x long, _lrn double")
+    _both(df, ["_2"], OrderSpec("__w_x", tiebreak=["_1"]), "_lrn", scale=2)
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "boolean", "decimal(10,2)", "binary"])
+def test_heavy_ties_of_any_type(spark, kind):
+    """Long texts with a common prefix, and a value that most rows share."""
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, "hot", rnd.choice([1, 1, 1, 1, 0, 2])) for i in range(1200)], "id long, key string, n int")
+    value = {"string": F.concat(F.lit("Customer#00000000"), F.col("n")), "boolean": F.col("n") > 0}.get(kind, F.col("n").cast("string" if kind == "binary" else kind).cast(kind))
+    df = df.select("id", "key", value.alias("v"), F.concat(F.lit("tie-breaker-"), F.col("id")).alias("name"), F.col("n").alias("amount"))
+    order = OrderSpec("v", tiebreak=["name"])
+    _, parts = _parts(df, ["key"], order, 100)
+    assert parts.agg(F.max("count")).first()[0] < 200
+    _both(df, ["key"], order, "amount", bound=100)
+
+
+def test_times_without_zone_across_a_clock_change(spark):
+    """240 times around a spring clock change of the session's zone."""
+    df = spark.range(240).select(
+        F.lit("k").alias("key"), "id", (F.col("id") * 37 % 101).alias("amount"),
+        F.expr("timestampadd(MINUTE, cast(id * 7 as int), TIMESTAMP_NTZ'2021-03-14 00:00:00')").alias("at"),
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        _both(df, ["key"], OrderSpec("at", tiebreak=["id"]), "amount", bound=20)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_rows_alike_in_every_column(spark):
+    df = spark.createDataFrame([("k", 1, 2.0)] * 300 + [("k", 2, 1.0)] * 100, "key string, day int, amount double")
+    _both(df, ["key"], OrderSpec("day"), "amount", bound=30, scale=2)
+
+
+def test_several_keys_with_nulls(spark):
+    rows = [(i, None if i % 5 == 0 else "a", i % 2 if i % 7 else None, i % 11, float(i % 13)) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, k1 string, k2 int, day int, amount double")
+    _both(df, ["k1", "k2"], OrderSpec("day", tiebreak=["id"]), "amount", scale=2)
+
+
+def test_plain_means_are_not_rounded(spark):
+    df = spark.createDataFrame([(1, i, 0.004) for i in range(50)] + [(2, 0, 1e17), (2, 1, 1e17)], "k long, t long, v double")
+    for strategy in ("window", "split"):
+        got = with_rolling_mean(df, ["k"], OrderSpec("t"), "v", preceding=1, strategy=strategy, max_rows_per_key=10).collect()
+        assert all(abs(r.RollingAvg - r.v) < 1e-9 * r.v for r in got)
