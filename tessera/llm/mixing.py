@@ -86,13 +86,14 @@ def source_plan(
     by_passes = F.when(spread <= F.log(F.lit(float(max_passes))), F.lit(0.0)).otherwise(1.0 - F.log(F.lit(float(max_passes))) / spread)
     one = one.select("g", "all", "most", F.round(F.greatest(by_entropy, by_passes), DIGITS).alias("exponent"))
     one = one.withColumn("z", _total("g", lambda g: g["sources"] * _pow(g["tokens"] / F.col("all"), F.col("exponent")))).drop("g")
-    one = store(one, "mix-exponent").select("all", "most", "exponent", "z")
+    found = one.select("all", "most", "exponent", "z").first()  # four numbers
+    whole, most, exponent, z = (F.lit(float(x or 1)) for x in (found["all"], found["most"], found["exponent"], found["z"]))
 
-    least = F.col("most") / (_pow(F.col("most") / F.col("all"), F.col("exponent")) / F.col("z"))
-    planned = per.join(F.broadcast(one))  # one row
-    weight = F.when(F.col("tokens") > 0, _pow(F.col("tokens") / F.col("all"), F.col("exponent")) / F.col("z")).otherwise(0.0)
+    least = most / (_pow(most / whole, exponent) / z)
+    planned = per
+    weight = F.when(F.col("tokens") > 0, _pow(F.col("tokens") / whole, exponent) / z).otherwise(0.0)
     budget = F.round(weight * (F.lit(float(total_tokens)) if total_tokens else least))
-    budget = F.when(F.col("tokens") == F.col("most"), F.greatest(budget, F.col("tokens"))).otherwise(budget) if not total_tokens else budget
+    budget = F.when(F.col("tokens") == most, F.greatest(budget, F.col("tokens"))).otherwise(budget) if not total_tokens else budget
     planned = planned.select("source", "tokens", F.round(weight, DIGITS).alias("weight"), budget.cast("long").alias("budget"))
     planned = planned.withColumn("full_passes", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(1))
     return planned.select(
