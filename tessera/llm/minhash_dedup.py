@@ -31,7 +31,7 @@ from tessera.llm.graph import connected_components
 from tessera.llm.text import BLANK_WORDS, U64, mix, text_bytes, words
 
 BANDS, ROWS, SAMPLES, SKETCH_BITS = 24, 4, 128, 512
-BLOCK = 512  # members of a bucket that one task compares with as many others
+BLOCK = 256  # members of a bucket that one task compares with as many others
 
 _rng = np.random.default_rng(20240229)
 _MUL = (_rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64) | U64(1)).astype(np.uint32)[:, None]
