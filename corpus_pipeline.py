@@ -41,6 +41,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of every group of near-duplicates (five-word shingles, similarity 0.8)."""
     gone = near_duplicates(docs, shingle_words=5, percent=80).where("not kept").select("doc_id").distinct()
+    gone = store(gone, "near-duplicates")  # of known size, so that a short list is not joined by a shuffle of the texts
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

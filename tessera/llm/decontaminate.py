@@ -186,5 +186,6 @@ def find_contamination(
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` (all their columns) without an occurrence of a benchmark window."""
     bad = find_contamination(docs, items, id_col, text_col, **options).where("contaminated")
-    bad = bad.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
+    # Stored, so that its size is known and the texts are not shuffled for a short list.
+    bad = store(bad.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")), "contaminated")
     return docs.join(bad, (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))) & (F.xxhash64(F.col(text_col)) == F.col("__mark")), "left_anti")
