@@ -45,7 +45,7 @@ def blocks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """(classes padded per text to whole blocks plus the filter's reach, blocks per text)."""
     lens = np.diff(offsets)
     step = BLOCK * STRIDE
-    n_blocks = np.maximum(1, -(-lens // step))
+    n_blocks = -(-(lens + WIDTH - STRIDE) // step)  # the windows that reach past a text's last block hold padding only
     out = np.zeros(int(n_blocks.sum()) * step + WIDTH, dtype=np.uint8)
     at = (np.cumsum(n_blocks) - n_blocks) * step
     out[np.arange(len(data)) + np.repeat(at - offsets[:-1], lens)] = BYTE_CLASS[data]
@@ -73,15 +73,17 @@ class ByteConvNet:
         """Filter weights of two neighbouring bytes in one look-up."""
         return [(self.conv[j][:, None] + self.conv[j + 1][None]).reshape(CLASSES * CLASSES, FILTERS) for j in range(0, WIDTH, 2)]
 
-    def pooled(self, classes: np.ndarray, n: int, tables=None, where: bool = False):
-        """Largest response of every filter in each of ``n`` blocks (and its place)."""
+    def pooled(self, classes: np.ndarray, n_blocks: np.ndarray, tables=None, where: bool = False):
+        """Largest response of every filter in each block (and its place)."""
         tables = tables or self.tables()
         pair = classes[:-1].astype(np.int32) * CLASSES + classes[1:]
+        n = int(n_blocks.sum())
         m = n * BLOCK
         r = tables[0][pair[0 : STRIDE * m : STRIDE]]
         r += tables[1][pair[2 : 2 + STRIDE * m : STRIDE]]
         r += tables[2][pair[4 : 4 + STRIDE * m : STRIDE]]
         r = r.reshape(n, BLOCK, FILTERS)
+        r[np.cumsum(n_blocks) - 1, BLOCK - (WIDTH - STRIDE) // STRIDE :] = -np.inf  # they reach into the next text
         return (r.max(axis=1), r.argmax(axis=1)) if where else r.max(axis=1)
 
     def forward(self, block_max: np.ndarray, n_blocks: np.ndarray):
@@ -99,7 +101,7 @@ class ByteConvNet:
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
         classes, n_blocks = blocks(data, offsets)
-        logit, _ = self.forward(self.pooled(classes, int(n_blocks.sum()), tables), n_blocks)
+        logit, _ = self.forward(self.pooled(classes, n_blocks, tables), n_blocks)
         return 1.0 / (1.0 + np.exp(-(logit.astype(np.float64) + self.shift)))
 
     def fit(self, texts: list[bytes], labels: np.ndarray, steps: int = 900, rate: float = 0.008, batch: int = 64, seed: int = 11) -> None:
@@ -108,6 +110,10 @@ class ByteConvNet:
             self.constant = float((labels.sum() + 1) / (len(labels) + 2))
             return
         rng, params = np.random.default_rng(seed), self.params()
+        # Short pieces of every text, so that short texts are judged as surely as long ones.
+        starts = [int(rng.integers(0, max(1, len(t) - 16))) for t in texts]
+        texts = texts + [t[a : a + int(rng.integers(16, 160))] for t, a in zip(texts, starts, strict=True)]
+        labels = np.concatenate([labels, labels])
         m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         order = np.zeros(0, np.int64)
         for t in range(1, steps + 1):
@@ -126,7 +132,7 @@ class ByteConvNet:
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
         classes, n_blocks = blocks(data, offsets)
         n = int(n_blocks.sum())
-        top, place = self.pooled(classes, n, where=True)
+        top, place = self.pooled(classes, n_blocks, where=True)
         logit, (h, first, after, chunk, x, z) = self.forward(top, n_blocks)
         d = ((1.0 / (1.0 + np.exp(-logit)) - labels) / len(labels)).astype(np.float32)
         dz = d[:, None] * self.w2 * (1 - z * z)
