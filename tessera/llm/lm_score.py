@@ -35,8 +35,8 @@ END, BEGIN = U64(0x5E9D_0F7E_17A1_0001), U64(0x5E9D_0F7E_17A1_0002)  # stand for
 #: Feature rows of the four templates: previous word, the one before, both, both classes.
 ROWS = (4096, 2048, 4096, CLASSES * CLASSES)
 FIRST = np.concatenate([[0], np.cumsum(ROWS)])
-#: Most words whose counts and classes every task holds (16 bytes each); rarer ones are joined.
-MAX_WORDS = 2_000_000
+#: Most words whose counts and classes every task holds (17 bytes each); the counts of rarer ones are joined.
+MAX_WORDS = 500_000
 ROUNDS, RATE = 3, 0.4
 FIXED = 1 << 16  # gradients are added up as whole numbers of 1 / FIXED, so that the order of addition doesn't matter
 PART = 1 << 15  # tokens handled by one softmax step
@@ -119,8 +119,8 @@ def _count(batches):
         yield row(*merged())
 
 
-def read_vocabulary(texts: DataFrame, max_words: int = MAX_WORDS) -> tuple[Vocabulary, DataFrame, bool]:
-    """Counts of all tokens of ``texts (text)``: (what tasks hold, the table (hash, n), whether the table has more)."""
+def read_vocabulary(texts: DataFrame, max_words: int = MAX_WORDS) -> tuple[Vocabulary, DataFrame]:
+    """Counts of all tokens of ``texts (text)``: (what tasks hold, the table (hash, n) of all words)."""
     counts = store(texts.mapInArrow(_count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")), "lm-counts")
     floors = [1 << k for k in range(48)]
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), *[F.count_if(F.col("n") >= m).alias(f"from_{m}") for m in floors]).first()
@@ -139,7 +139,7 @@ def read_vocabulary(texts: DataFrame, max_words: int = MAX_WORDS) -> tuple[Vocab
     class_tokens[RARE_CLASS] = tokens - n.sum()
     class_mass[RARE_CLASS] = class_tokens[RARE_CLASS] + distinct - len(n) + 1
     at = np.argsort(keys)
-    return Vocabulary(keys[at], n[at], cls[at], class_mass, class_tokens, tokens, distinct), counts, distinct > len(n)
+    return Vocabulary(keys[at], n[at], cls[at], class_mass, class_tokens, tokens, distinct), counts
 
 
 def _gradient(vocabulary, weights, bias):
@@ -186,7 +186,15 @@ def train(texts: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float
     return weights, bias
 
 
-def _score(vocabulary, weights, bias, held_all: bool):
+def _repeats(row: np.ndarray, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one token of each (row, word), how often the row has the word)."""
+    order = np.lexsort((seq, row))
+    r, h = row[order], seq[order]
+    first = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (h[1:] != h[:-1]))) if len(r) else np.zeros(0, np.int64)
+    return order[first], np.diff(np.append(first, len(r)))
+
+
+def _score(vocabulary, weights, bias):
     names = ["doc_id", "mark", "n_tokens", "n_known", "base", "model", "hash", "times"]
 
     def scan(batches):
@@ -209,12 +217,11 @@ def _score(vocabulary, weights, bias, held_all: bool):
                 sums.append(np.bincount(row, weights=model, minlength=k))
                 none = pa.nulls(k, pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, marks, *[pa.array(x) for x in sums], none, none], names)
-                if not held_all:  # rare words whose counts are in the table only
-                    rest = np.flatnonzero(n == 0)
-                    pairs, times = np.unique(np.stack([row[rest].astype(U64), seq[rest]]), axis=1, return_counts=True)
-                    pick = pa.array(pairs[0].astype(np.int64))
-                    nothing = [pa.nulls(len(times), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    yield pa.RecordBatch.from_arrays([ids.take(pick), marks.take(pick), *nothing, pa.array(pairs[1].view(np.int64)), pa.array(times)], names)
+                rest = np.flatnonzero(n == 0)  # rare words, whose counts are in the table only, and unknown ones
+                words_in, times = _repeats(row[rest], seq[rest])
+                pick = pa.array(row[rest][words_in])
+                nothing = [pa.nulls(len(times), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([ids.take(pick), marks.take(pick), *nothing, pa.array(seq[rest][words_in].view(np.int64)), pa.array(times)], names)
 
     return scan
 
@@ -235,16 +242,16 @@ def score_texts(
     ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(learn_from, F.lit(True)).alias("learn"))
     texts = rows.where("learn").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).alias("part"))
-    vocab, counts, more = read_vocabulary(texts.select("text"), max_words)
+    vocab, counts = read_vocabulary(texts.select("text"), max_words)
     weights, bias = train(texts, vocab, rounds)
     cast = spark.sparkContext.broadcast
     schema = "doc_id long, mark long, n_tokens long, n_known long, base double, model double, hash long, times long"
-    scored = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_score(cast(vocab), cast(weights), bias, not more), schema)
-    if more:
-        scored = store(scored, "lm-scored")
-        rest = scored.where("hash is not null").distinct().join(counts, "hash")
-        rest = rest.groupBy("doc_id", "mark").agg(F.sum("times").alias("k"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("s")).alias("r")
-        own = scored.where("hash is null").alias("o").join(rest, F.expr("o.doc_id <=> r.doc_id and o.mark = r.mark"), "left")
-        known, add = F.col("n_known") + F.coalesce("k", F.lit(0)), F.coalesce("s", F.lit(0.0))
-        scored = own.select("o.doc_id", "n_tokens", known.alias("n_known"), (F.col("base") + add).alias("base"), (F.col("model") + add).alias("model"))
+    scored = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_score(cast(vocab), cast(weights), bias), schema)
+    scored = store(scored, "lm-scored")
+    # A word that tasks don't hold adds log10(count + 1) to both scores; its other terms are in already.
+    rest = scored.where("hash is not null").distinct().join(counts, "hash")
+    rest = rest.groupBy("doc_id", "mark").agg(F.sum("times").alias("k"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("s")).alias("r")
+    own = scored.where("hash is null").alias("o").join(rest, F.expr("o.doc_id <=> r.doc_id and o.mark = r.mark"), "left")
+    known, add = F.col("n_known") + F.coalesce("k", F.lit(0)), F.coalesce("s", F.lit(0.0))
+    scored = own.select("o.doc_id", "n_tokens", known.alias("n_known"), (F.col("base") + add).alias("base"), (F.col("model") + add).alias("model"))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(vocab.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("model").alias("score"))

@@ -57,7 +57,7 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     df = score_texts(spark.createDataFrame(rows + probe, DOCS), F.col("doc_id") < 1000, rounds=1)
     score = {r.doc_id: r.score for r in df.collect()}
     whole = {t: score[1000 + i] for i, t in enumerate(texts)}
-    vocab, _, _ = lm_score.read_vocabulary(spark.createDataFrame(rows, DOCS).select("text"))
+    vocab, _ = lm_score.read_vocabulary(spark.createDataFrame(rows, DOCS).select("text"))
     weights, bias = lm_score.train(spark.createDataFrame(rows, DOCS).select("text", F.lit(0).alias("part")), vocab, 1)
     seq, _, place = lm_score.sequences(pa.array(["a b x"]))
     _, cls = vocab.look_up(seq)
