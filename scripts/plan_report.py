@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical shape of every registered query.
+"""Write PLANS.md: the physical shape of every query of the base library.
 
 Usage: python scripts/plan_report.py [sf_dir]
 
@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tessera.plans import registry  # noqa: E402
 from tessera.plans.inspect import plan_text  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 
@@ -40,11 +40,11 @@ def summarize(text: str) -> tuple[str, list[str]]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session()
-    qs = entry.queries()
+    qs = registry.queries()
     lines = [
         "# PLANS",
         "",
-        f"Physical plan shape of every registered query at `{sf}` (adaptive plans before execution;",
+        f"Physical plan shape of every query of the base library at `{sf}` (adaptive plans before execution;",
         "generated by `scripts/plan_report.py`).",
         "",
         "| query | operators | scans (columns read, pushed filters) |",
