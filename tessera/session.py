@@ -118,7 +118,7 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no job to infer what is known
 
 
 def staged(spark: SparkSession, name: str, write) -> str:
