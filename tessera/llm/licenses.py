@@ -11,11 +11,19 @@ bigram is looked up, and a segment meets only the templates whose bounds it is i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+import re
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import ship_package
+
 THRESHOLD = 0.8
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: On lower-cased UTF-8: ASCII letters and digits, and the bytes of non-ASCII characters.
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+BLANK_LINE = re.compile(rb"\n[ \t\r]*\n")
 
 # Customary licence notices (public texts), by SPDX-like id.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -41,22 +49,48 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "all-rights-reserved": ("All rights reserved.",),
 }
 
-_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+def bigrams(words: list[bytes]) -> set[tuple[bytes, ...]]:
+    """Distinct pairs of neighbouring words (the only word of a one-word text)."""
+    return set(zip(words, words[1:], strict=False)) if len(words) > 1 else {(w,) for w in words}
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct pairs of neighbouring words (the only word of a one-word text)."""
-    w = F.regexp_extract_all(F.translate(text, _CAPITALS, _SMALL), F.lit(WORD), F.lit(0))
-    return F.transform(F.array(w), lambda a: F.when(F.size(a) < 2, a).otherwise(F.array_distinct(F.zip_with(F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))), F.slice(a, F.lit(2), F.greatest(F.size(a) - 1, F.lit(0))), lambda x, y: F.concat(x, F.lit(" "), y)))))[0]
+class Templates:
+    """Template texts with their size bounds, and the templates of every bigram."""
 
+    def __init__(self, templates: dict[str, tuple[str, ...]], threshold: float):
+        self.threshold = threshold
+        self.rows: list[tuple[str, int, int, int]] = []  # licence, size, fewest and most bigrams of a match
+        self.of: dict[tuple[bytes, ...], list[int]] = {}
+        for name, texts in templates.items():
+            for text in texts:
+                grams = bigrams(WORD.findall(text.encode().lower()))
+                low, high = threshold / (2 - threshold) * len(grams), (2 - threshold) / threshold * len(grams)
+                for g in grams:
+                    self.of.setdefault(g, []).append(len(self.rows))
+                self.rows.append((name, len(grams), math.ceil(low - 1e-9), math.floor(high + 1e-9)))
+        self.fewest = min((r[2] for r in self.rows), default=0)
+        self.most = max((r[3] for r in self.rows), default=-1)
+        self.known = set(self.of)
 
-def template_table(spark: SparkSession, templates: dict[str, tuple[str, ...]], threshold: float) -> DataFrame:
-    """``license, variant, size, fewest, most, grams``: one row per template text (the caller's, so of bounded size)."""
-    rows = [(name, i, text) for name, texts in templates.items() for i, text in enumerate(texts)]
-    t = spark.createDataFrame(rows, "license string, variant int, text string").withColumn("grams", bigrams(F.col("text")))
-    size = F.size("grams")
-    least, most = F.ceil(F.lit(threshold / (2 - threshold)) * size - 1e-9), F.floor(F.lit((2 - threshold) / threshold) * size + 1e-9)
-    return t.select("license", "variant", size.alias("size"), least.alias("fewest"), most.alias("most"), "grams")
+    def match(self, words: list[bytes]) -> dict[str, float]:
+        """Best dice per licence that reaches the threshold, for the words of one segment."""
+        # n words have at most n - 1 bigrams, and at least one less than there are different words.
+        if max(len(words) - 1, 1) < self.fewest or len(set(words)) - 1 > self.most:
+            return {}
+        grams = bigrams(words)
+        n = len(grams)
+        if not self.fewest <= n <= self.most:
+            return {}
+        both: dict[int, int] = {}
+        for g in grams & self.known:
+            for t in self.of[g]:
+                both[t] = both.get(t, 0) + 1
+        best: dict[str, float] = {}
+        for t, k in both.items():
+            name, size, fewest, most = self.rows[t]
+            if fewest <= n <= most and 2 * k >= self.threshold * (n + size):
+                best[name] = max(best.get(name, 0.0), 2.0 * k / (n + size))
+        return best
 
 
 def find_licenses(
@@ -69,23 +103,29 @@ def find_licenses(
     Null and empty texts have no segments with words; repeated rows give one
     set of matches; other columns are ignored.
     """
-    spark = docs.sparkSession
-    table = template_table(spark, templates or TEMPLATES, threshold)
-    bounds = table.agg(F.min("fewest").alias("fewest"), F.max("most").alias("most")).first()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = rows.select("doc_id", "mark", F.lit("line").alias("kind"), F.posexplode(F.split("text", "\n")).alias("pos", "segment"))
-    paragraphs = rows.select("doc_id", "mark", F.lit("paragraph").alias("kind"), F.posexplode(F.split("text", r"\n[ \t\r]*\n")).alias("pos", "segment"))
-    segments = lines.unionByName(paragraphs.where(F.contains("segment", F.lit("\n"))))
-    # A segment of more words than bigrams allowed may repeat bigrams, but never has fewer words than bigrams.
-    segments = segments.where(F.length("segment") >= bounds["fewest"]).withColumn("grams", bigrams(F.col("segment")))
-    segments = segments.withColumn("n", F.size("grams")).where(F.col("n").between(bounds["fewest"], bounds["most"]))
-    grams = segments.select("doc_id", "mark", "kind", "pos", "segment", "n", F.explode("grams").alias("gram"))
-    wanted = table.select("license", "variant", "size", "fewest", "most", F.explode("grams").alias("gram"))
-    shared = grams.join(F.broadcast(wanted), "gram").where("n between fewest and most")
-    counted = shared.groupBy("doc_id", "mark", "kind", "pos", "segment", "n", "license", "variant", "size").agg(F.count_distinct("gram").alias("both"))
-    dice = F.round(2.0 * F.col("both") / (F.col("n") + F.col("size")), 6)
-    hits = counted.withColumn("dice", dice).where(2 * F.col("both") >= threshold * (F.col("n") + F.col("size")))
-    return hits.groupBy("doc_id", "mark", "kind", "pos", "segment", "license").agg(F.max("dice").alias("dice"))
+    ship_package(docs.sparkSession)
+    index = Templates(templates or TEMPLATES, threshold)
+
+    def scan(batches):
+        for batch in batches:
+            out = []
+            for doc, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                raw = text.as_buffer()
+                low = raw.to_pybytes().lower() if raw else b""  # bytes.lower() touches A-Z only
+                segments = [("line", i, x) for i, x in enumerate(low.split(b"\n"))]
+                segments += [("paragraph", i, x) for i, x in enumerate(BLANK_LINE.split(low)) if b"\n" in x]
+                for kind, pos, segment in segments:
+                    for name, dice in index.match(WORD.findall(segment)).items():
+                        own = raw.to_pybytes()
+                        part = (own.split(b"\n") if kind == "line" else BLANK_LINE.split(own))[pos]
+                        out.append((doc, mark, kind, pos, part.decode(), name, round(dice, 6)))
+            cols = list(zip(*out, strict=True)) if out else [()] * 7
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "mark", "kind", "pos", "segment", "license", "dice"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
+    found = rows.mapInArrow(scan, "doc_id long, mark long, kind string, pos int, segment string, license string, dice double")
+    return found.distinct()
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
