@@ -8,10 +8,11 @@
 3. In every band bucket all members are compared with one hub (a pair per
    member, never all pairs).  The odd sketch drops hopeless pairs, the rest is
    confirmed on the full sets, and connected components are formed.
-4. Buckets whose members are still in different components are compared block
-   by block; inside a task only pairs of different components are looked at,
-   each in the first band that both share, and only a spanning forest of the
-   confirmed links leaves the task.
+4. Buckets whose members are still in different components are compared part
+   by part, never the members of the largest component with each other; inside
+   a task only pairs of different components are looked at, each in the first
+   band that both share, and only a spanning forest of the confirmed links
+   leaves the task.
 
 So no candidate pair is skipped unless its ends are connected already.
 """
@@ -31,7 +32,7 @@ from tessera.llm.graph import connected_components
 from tessera.llm.text import BLANK_WORDS, U64, mix, text_bytes, words
 
 BANDS, ROWS, SAMPLES, SKETCH_BITS = 24, 4, 128, 512
-BLOCK = 256  # members of a bucket that one task compares with as many others
+BLOCK = 512  # members of a bucket that one task compares with as many others
 
 _rng = np.random.default_rng(20240229)
 _MUL = (_rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint64) | U64(1)).astype(np.uint32)[:, None]
@@ -179,18 +180,24 @@ class _Forest:
 
 
 def _finish(percent: int, least: float):
-    """Links between different components in one pair of blocks of a bucket."""
+    """Pairs of components that are linked, from one group of :func:`_layout`."""
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("node").drop_duplicates("node").reset_index(drop=True)
-        node, comp, own = part["node"].to_numpy(), part["comp"].to_numpy(), part["own"].to_numpy()
+        comp, own = part["comp"].to_numpy(), part["own"].to_numpy()
         band = np.stack(part["bands"].to_list()).astype(np.int64)
         odd = np.frombuffer(b"".join(bytes(x) for x in part["odd"]), np.uint64).reshape(len(part), -1)
         sets = [np.frombuffer(bytes(x), U64) for x in part["shingles"]]
-        here, lo, hi = int(part["bucket"].iloc[0]), int(part["lo"].iloc[0]), int(part["hi"].iloc[0])
+        top = part["top"].to_numpy()
+        here, kind, lo, hi = (int(part[c].iloc[0]) for c in ("bucket", "kind", "lo", "hi"))
         forest, found = _Forest(), []
         for i in range(len(part)):
-            j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((own[i + 1 :] != own[i]) if lo != hi else True)) + i + 1
+            wanted = comp[i + 1 :] != comp[i]
+            if kind == TOP_OTHER:
+                wanted &= top[i + 1 :] != top[i]
+            elif kind == OTHER_OTHER and lo != hi:
+                wanted &= own[i + 1 :] != own[i]
+            j = np.flatnonzero(wanted) + i + 1
             if not len(j):
                 continue
             j = j[estimate(np.bitwise_count(odd[j] ^ odd[i]).sum(axis=1)) >= least]
@@ -199,12 +206,41 @@ def _finish(percent: int, least: float):
             for k in j.tolist():
                 if forest.root(comp[i]) != forest.root(comp[k]) and is_link(sets[i], sets[k], percent):
                     forest.join(comp[i], comp[k])
-                    found.append((node[i], node[k]))
+                    found.append((comp[i], comp[k]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return compare
 
 
+#: Groups of members that are compared in one task: a whole bucket, parts of its largest component and of the others, two parts of the others.
+WHOLE, TOP_OTHER, OTHER_OTHER = 0, 1, 2
+
+
+def _layout(placed: DataFrame, block: int) -> DataFrame:
+    """Members of buckets that hold several components, once per group in which they are compared.
+
+    ``placed (bucket, node, comp)``.  A bucket of at most ``block`` members is
+    one group.  In a larger one, members of the largest component are never
+    compared with each other: parts of it meet parts of the others, and parts
+    of the others meet each other, so a hot bucket that is settled but for a
+    few members is sent about once.
+    """
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("m")).groupBy("bucket")
+    sizes = sizes.agg(F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("comp", F.struct("m", "comp")).alias("top_comp"), F.count("*").alias("comps"))
+    parts = lambda n: F.greatest(F.ceil(n / block), F.lit(1)).cast("int")
+    sizes = sizes.where("comps > 1").select("bucket", "all", "top_comp", parts(F.col("most")).alias("n_top"), parts(F.col("all") - F.col("most")).alias("n_other"))
+    rows = placed.join(sizes, "bucket").withColumn("top", F.col("comp") == F.col("top_comp"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("top"), F.col("n_top")).otherwise(F.col("n_other"))).cast("int")
+    rows = rows.withColumn("own", own)
+    group = lambda kind, lo, hi: F.struct(F.lit(kind).alias("kind"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    met = F.transform(upto("n_other"), lambda j: group(TOP_OTHER, F.col("own"), j))
+    meets = F.transform(upto("n_top"), lambda k: group(TOP_OTHER, k, F.col("own")))
+    others = F.transform(upto("n_other"), lambda j: group(OTHER_OTHER, F.least("own", j), F.greatest("own", j)))
+    groups = F.when(F.col("all") <= block, F.array(group(WHOLE, F.lit(0), F.lit(0)))).when(F.col("top"), met).otherwise(F.concat(meets, others))
+    return rows.select("bucket", "node", "comp", "top", "own", F.explode(groups).alias("g")).select("bucket", "node", "comp", "top", "own", "g.*")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80, margin: float = 0.25, block: int = BLOCK
 ) -> DataFrame:
@@ -247,17 +283,13 @@ def near_duplicates(
 
     roots = connected_components(first)
     placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("comp"))
-    unsettled = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).where("low < high")
-    unsettled = unsettled.select("bucket", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    placed = store(placed.join(unsettled, "bucket"), "unsettled")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = placed.select("bucket", "node", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = placed.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other")
-    second = placed.join(sets, "node").groupBy("bucket", "lo", "hi").applyInPandas(_finish(percent, least), "a long, b long")
-    links = store(first.unionByName(second), "links")
-
-    roots = connected_components(links)
+    placed = store(_layout(placed, block), "unsettled")
+    second = placed.join(sets, "node").groupBy("bucket", "kind", "lo", "hi").applyInPandas(_finish(percent, least), "a long, b long")
+    # The components of the first links, joined by the second ones.
+    joined = connected_components(store(second, "links")).select(F.col("node").alias("root"), F.col("root").alias("final"))
     rooted = classes.join(roots, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
+    rooted = rooted.join(joined, "root", "left").select("node", "first_id", F.coalesce("final", "root").alias("root"))
+    rooted = store(rooted, "roots")
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     rooted = rooted.join(smallest, "root").select("node", "component_id")
     out = sketches.select("doc_id", "n_shingles", "node").join(rooted, "node", "left")
