@@ -220,7 +220,9 @@ def with_rank_columns(
     tie-breakers); ``rank`` and ``dense_rank`` follow the order column alone,
     so ties share a rank.
     """
-    lags, added = list(lags), [*lag_aliases, row_number_alias, rank_alias, dense_rank_alias]
+    lags = list(lags)
+    lag_aliases = list(lag_aliases)[: len(lags)]
+    added = [*lag_aliases, row_number_alias, rank_alias, dense_rank_alias]
 
     def plain(rows: DataFrame) -> DataFrame:
         w_rows = Window.partitionBy(*keys).orderBy(*order.full_exprs())
