@@ -1,18 +1,24 @@
 """Licence scan: text segments compared with licence templates by Dice coefficient over word bigrams.
 
 A segment is a line, or a paragraph (a run of lines without a blank line
-between them) of several lines.  Words are runs of ASCII letters and digits and
+between them) of several lines.  In a paragraph that is no match as a whole,
+the runs of words that lie in no matching line are searched for windows of any
+size that reach the same Dice: a notice may be a sentence of a longer line, or
+be wrapped inside a longer comment.  Words are runs of ASCII letters and digits and
 non-ASCII characters after lower-casing A-Z; a segment's set holds its distinct
 pairs of neighbouring words (its only word, if it has one).  Since
 dice = 2 |A and B| / (|A| + |B|) >= t needs |A| between t / (2 - t) * |B| and
-(2 - t) / t * |B|, segments whose size fits no template are dropped before any
-bigram is looked up, and a segment meets only the templates whose bounds it is in.
+(2 - t) / t * |B|, segments whose size fits no template are not compared as a
+whole, and a segment meets only the templates whose bounds it is in.  For the
+same reason a match holds at least t / (2 - t) * |B| of the template's bigrams;
+texts without any word of a set that leaves fewer bigrams are passed over.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,6 +30,8 @@ THRESHOLD = 0.8
 #: On lower-cased UTF-8: ASCII letters and digits, and the bytes of non-ASCII characters.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 BLANK_LINE = re.compile(rb"\n[ \t\r]*\n")
+#: Words that are taken last when texts are picked by a template's words.
+COMMON = frozenset(b"a an and any are as at by do following for from in is it may not of on or that the this to under use with without work you".split())
 
 # Customary licence notices (public texts), by SPDX-like id.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -54,6 +62,19 @@ def bigrams(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return set(zip(words, words[1:], strict=False)) if len(words) > 1 else {(w,) for w in words}
 
 
+def anchors(grams: set[tuple[bytes, ...]], fewest: int) -> set[bytes]:
+    """Words without which a text has less than ``fewest`` of the bigrams."""
+    left, out = set(grams), set()
+    while len(left) >= fewest:
+        held: dict[bytes, int] = {}
+        for w in {(w, g) for g in left for w in g}:
+            held[w[0]] = held.get(w[0], 0) + 1
+        word = min(held, key=lambda w: (w in COMMON or w.isdigit(), -held[w], -len(w), w))
+        left = {g for g in left if word not in g}
+        out.add(word)
+    return out
+
+
 class Templates:
     """Template texts with their size bounds, and the templates of every bigram."""
 
@@ -61,6 +82,7 @@ class Templates:
         self.threshold = threshold
         self.rows: list[tuple[str, int, int, int]] = []  # licence, size, fewest and most bigrams of a match
         self.of: dict[tuple[bytes, ...], list[int]] = {}
+        picked: set[bytes] = set()
         for name, texts in templates.items():
             for text in texts:
                 grams = bigrams(WORD.findall(text.encode().lower()))
@@ -68,9 +90,11 @@ class Templates:
                 for g in grams:
                     self.of.setdefault(g, []).append(len(self.rows))
                 self.rows.append((name, len(grams), math.ceil(low - 1e-9), math.floor(high + 1e-9)))
+                picked |= anchors(grams, math.ceil(low - 1e-9))
         self.fewest = min((r[2] for r in self.rows), default=0)
         self.most = max((r[3] for r in self.rows), default=-1)
         self.known = set(self.of)
+        self.anchor = re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(sorted(picked)) + rb")(?![0-9a-z\x80-\xff])" if picked else rb"(?!)")
 
     def match(self, words: list[bytes]) -> dict[str, float]:
         """Best dice per licence that reaches the threshold, for the words of one segment."""
@@ -92,14 +116,85 @@ class Templates:
                 best[name] = max(best.get(name, 0.0), 2.0 * k / (n + size))
         return best
 
+    def windows(self, words: list[bytes]) -> list[tuple[float, str, int, int]]:
+        """(dice, licence, first word, end) of the windows that reach the threshold, best first, without overlaps."""
+        pairs = list(zip(words, words[1:], strict=False))
+        found = [(1.0, self.rows[t][0], p, p + 1) for p, w in enumerate(words) for t in self.of.get((w,), ())]
+        places: dict[int, list[int]] = {}
+        for p, g in enumerate(pairs):
+            for t in self.of.get(g, ()):
+                places.setdefault(t, []).append(p)
+        for t, own in places.items():
+            name, size, fewest, most = self.rows[t]
+            if len({pairs[p] for p in own}) < fewest:
+                continue
+            shared = set(own)
+            for i in own:  # the best window begins and ends with a bigram of the template
+                seen, k, best = set(), 0, None
+                for j in range(i, len(pairs)):
+                    if j > i and pairs[j] == pairs[i]:  # without its first word the window holds the same bigrams
+                        break
+                    if pairs[j] not in seen:
+                        seen.add(pairs[j])
+                        k += j in shared
+                        if len(seen) > most:
+                            break
+                        dice = 2.0 * k / (len(seen) + size)
+                        if j in shared and 2 * k >= self.threshold * (len(seen) + size) and (best is None or dice > best[0]):
+                            best = (dice, name, i, j + 2)
+                        if k == size:
+                            break
+                if best:
+                    found.append(best)
+        taken, out = bytearray(len(words)), []
+        for dice, name, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2], x[3])):
+            if not any(taken[i:j]):
+                taken[i:j] = b"\1" * (j - i)
+                out.append((dice, name, i, j))
+        return out
+
+    def scan(self, low: bytes) -> list[tuple[str, int, str, float, int, int]]:
+        """(kind, pos, licence, dice, first byte, end) of all matches in a lower-cased text."""
+        if not self.anchor.search(low):
+            return []
+        out, starts, ends = [], [], []
+        start = 0
+        for pos, line in enumerate(low.split(b"\n")):
+            end = start + len(line)
+            if self.anchor.search(line) and (found := self.match(WORD.findall(line))):
+                out += [("line", pos, name, dice, start, end) for name, dice in found.items()]
+                starts.append(start)
+                ends.append(end)
+            start = end + 1
+        start = 0
+        for pos, blank in enumerate([*BLANK_LINE.finditer(low), None]):
+            end = blank.start() if blank else len(low)
+            if self.anchor.search(low, start, end):
+                spans = [m.span() for m in WORD.finditer(low, start, end)]
+                whole = self.match([low[a:b] for a, b in spans]) if low.find(b"\n", start, end) >= 0 else {}
+                out += [("paragraph", pos, name, dice, start, end) for name, dice in whole.items()]
+                run: list[tuple[int, int]] = []
+                for a, b in [] if whole else [*spans, (end, end)]:
+                    at = bisect_right(starts, a) - 1
+                    if a < b and not (at >= 0 and a < ends[at]):
+                        run.append((a, b))
+                    elif run:
+                        found = self.windows([low[x:y] for x, y in run])
+                        out += [("part", run[i][0], name, dice, run[i][0], run[j - 1][1]) for dice, name, i, j in found]
+                        run = []
+            start = blank.end() if blank else end
+        return out
+
 
 def find_licenses(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
     """``doc_id, mark, kind, pos, segment, license, dice``: every segment's best template of each licence that reaches the threshold.
 
-    ``kind`` is line or paragraph, ``pos`` its number in the text (from 0),
-    ``mark`` a hash of the text (rows that share an id are told apart by it).
+    ``kind`` is line or paragraph, ``pos`` its number in the text (from 0); or
+    kind is part, a window inside a paragraph, and pos its first byte in the
+    text (parts don't overlap each other or matching lines and paragraphs).
+    ``mark`` is a hash of the text (rows that share an id are told apart by it).
     Null and empty texts have no segments with words; repeated rows give one
     set of matches; other columns are ignored.
     """
@@ -112,13 +207,8 @@ def find_licenses(
             for doc, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 raw = text.as_buffer()
                 low = raw.to_pybytes().lower() if raw else b""  # bytes.lower() touches A-Z only
-                segments = [("line", i, x) for i, x in enumerate(low.split(b"\n"))]
-                segments += [("paragraph", i, x) for i, x in enumerate(BLANK_LINE.split(low)) if b"\n" in x]
-                for kind, pos, segment in segments:
-                    for name, dice in index.match(WORD.findall(segment)).items():
-                        own = raw.to_pybytes()
-                        part = (own.split(b"\n") if kind == "line" else BLANK_LINE.split(own))[pos]
-                        out.append((doc, mark, kind, pos, part.decode(), name, round(dice, 6)))
+                for kind, pos, name, dice, start, end in index.scan(low):
+                    out.append((doc, mark, kind, pos, raw.to_pybytes()[start:end].decode(), name, round(dice, 6)))
             cols = list(zip(*out, strict=True)) if out else [()] * 7
             types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "mark", "kind", "pos", "segment", "license", "dice"])

@@ -1,8 +1,11 @@
+import random
+
 import duckdb
 import pandas as pd
+import pytest
 
 from tessera.llm import queries
-from tessera.llm.licenses import TEMPLATES, find_licenses, license_report
+from tessera.llm.licenses import TEMPLATES, Templates, find_licenses, license_report
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import DOCS, alnum_words, odd_rows, with_clashes
 
@@ -39,6 +42,50 @@ def test_dice_matches_brute_force(spark):
     assert got == want and want
 
 
+def test_embedded_notices_are_found_with_the_same_bounds(spark):
+    mit = TEMPLATES["mit"][2].split()
+    header = "# Copyright 2020 Foo\n#\n" + "\n".join("# " + " ".join(mit[k : k + 9]) for k in range(0, len(mit), 9)) + "\n#\n# The above notice is to be kept in all copies of it.\nimport os"
+    texts = {
+        1: ("This file is part of Foo. Licensed under CC BY 4.0. See LICENSE for details.", ["cc-by-4.0"]),
+        2: (header, ["mit"]),
+        3: ("Some long text of one line. Released today under the MIT License, and some more text. Text. All rights reserved. The end of it.", ["all-rights-reserved", "mit"]),
+        4: ("a line with many words before the notice\nof two lines, licensed under\nthe MIT License, and so on and on and on", ["mit"]),
+        5: ("Licensed for the use under all the rights of the MIT and of the License of 2020, of the reserved kind", []),
+        6: ("Äpfel.\nLicensed under the MIT License.\nbananas and many other kinds of fruit", ["mit"]),
+    }
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, (t, _) in texts.items()], DOCS)
+    hits = find_licenses(docs).collect()
+    got = {r.doc_id: r for r in license_report(docs).collect()}
+    for i, (_, want) in texts.items():
+        assert got[i].licenses == ",".join(want) and got[i].n_matches == len(want)
+    for r in hits:
+        if r.kind == "part":
+            assert texts[r.doc_id][0].encode()[r.pos :].startswith(r.segment.encode())
+    assert {r.kind for r in hits if r.doc_id == 6} == {"line"}  # a matching line is no part besides
+    assert {r.segment for r in hits if r.doc_id == 1} == {"Licensed under CC BY 4.0"}
+
+
+def test_repeated_words_take_linear_time():
+    index = Templates(TEMPLATES, 0.8)
+    for text in [b"all rights " * 50_000 + b"reserved", b"all rights reserved " * 30_000, b"licensed under cc by " * 30_000 + b"4 0"]:
+        assert index.scan(text)
+
+
+def test_windows_are_the_best_of_all():
+    rng = random.Random(5)
+    index = Templates({"x": ("a b c d e",), "y": ("b c a",)}, 0.8)
+    for _ in range(3000):
+        words = [rng.choice("abcdef") for _ in range(rng.randrange(1, 14))]
+        best = 0.0
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                for t in ("a b c d e", "b c a"):
+                    g, x = grams(" ".join(words[i:j])), grams(t)
+                    best = max(best, 2 * len(g & x) / (len(g) + len(x)))
+        found = index.windows([w.encode() for w in words])
+        assert (found[0][0] if found else 0.0) == pytest.approx(best if best >= 0.8 else 0.0)
+
+
 def test_odd_rows_and_empty_table(spark):
     docs = spark.createDataFrame(odd_rows(), DOCS)
     got = license_report(docs).collect()
