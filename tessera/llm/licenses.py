@@ -57,6 +57,26 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "all-rights-reserved": ("All rights reserved.",),
 }
 
+# Words that tell sibling licences apart, by a word of their template: a match has one of each group that the template has, and none of the others.
+SIBLINGS: tuple[tuple[frozenset[bytes], tuple[frozenset[bytes], ...]], ...] = (
+    (frozenset([b"cc", b"creative"]), (frozenset([b"noncommercial", b"commercial", b"nc"]), frozenset([b"sharealike", b"alike", b"sa"]), frozenset([b"noderivatives", b"noderivs", b"derivatives", b"nd"]))),
+    (frozenset([b"gnu", b"gpl"]), (frozenset([b"lesser", b"library", b"lgpl"]), frozenset([b"affero", b"agpl"]))),
+)
+VERSION = re.compile(r"-([0-9]+)(?:\.[0-9]+)*$")  # of an id; a match has its first number if the template has it
+
+
+def telling(name: str, words: set[bytes]) -> tuple[tuple[frozenset[bytes], ...], frozenset[bytes]]:
+    """(groups of which a match has a word each, words that no match has) of a template."""
+    need, never = [], frozenset()
+    for family, groups in SIBLINGS:
+        if family & words:
+            need += [g for g in groups if g & words]
+            never = never.union(*[g for g in groups if not g & words])
+    if (m := VERSION.search(name)) and m.group(1).encode() in words:
+        need.append(frozenset([m.group(1).encode()]))
+    return tuple(need), never
+
+
 def bigrams(words: list[bytes]) -> set[tuple[bytes, ...]]:
     """Distinct pairs of neighbouring words (the only word of a one-word text)."""
     return set(zip(words, words[1:], strict=False)) if len(words) > 1 else {(w,) for w in words}
@@ -82,10 +102,13 @@ class Templates:
         self.threshold = threshold
         self.rows: list[tuple[str, int, int, int]] = []  # licence, size, fewest and most bigrams of a match
         self.of: dict[tuple[bytes, ...], list[int]] = {}
+        self.telling: list[tuple[tuple[frozenset[bytes], ...], frozenset[bytes]]] = []
         picked: set[bytes] = set()
         for name, texts in templates.items():
             for text in texts:
-                grams = bigrams(WORD.findall(text.encode().lower()))
+                words = WORD.findall(text.encode().lower())
+                grams = bigrams(words)
+                self.telling.append(telling(name, set(words)))
                 low, high = threshold / (2 - threshold) * len(grams), (2 - threshold) / threshold * len(grams)
                 for g in grams:
                     self.of.setdefault(g, []).append(len(self.rows))
@@ -96,28 +119,36 @@ class Templates:
         self.known = set(self.of)
         self.anchor = re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(sorted(picked)) + rb")(?![0-9a-z\x80-\xff])" if picked else rb"(?!)")
 
-    def match(self, words: list[bytes]) -> dict[str, float]:
-        """Best dice per licence that reaches the threshold, for the words of one segment."""
+    def told(self, t: int, words) -> bool:
+        """Whether the words that tell template ``t`` from its siblings are there, and none of theirs."""
+        need, never = self.telling[t]
+        return not never.intersection(words) and all(not g.isdisjoint(words) for g in need)
+
+    def match(self, words: list[bytes]) -> tuple[dict[str, float], str | None]:
+        """Best dice per licence that reaches the threshold, and the best licence told from its siblings, for the words of one segment."""
         # n words have at most n - 1 bigrams, and at least one less than there are different words.
         if max(len(words) - 1, 1) < self.fewest or len(set(words)) - 1 > self.most:
-            return {}
+            return {}, None
         grams = bigrams(words)
         n = len(grams)
         if not self.fewest <= n <= self.most:
-            return {}
+            return {}, None
         both: dict[int, int] = {}
         for g in grams & self.known:
             for t in self.of[g]:
                 both[t] = both.get(t, 0) + 1
         best: dict[str, float] = {}
+        told: dict[str, float] = {}
         for t, k in both.items():
             name, size, fewest, most = self.rows[t]
             if fewest <= n <= most and 2 * k >= self.threshold * (n + size):
                 best[name] = max(best.get(name, 0.0), 2.0 * k / (n + size))
-        return best
+                if self.told(t, words):
+                    told[name] = max(told.get(name, 0.0), 2.0 * k / (n + size))
+        return best, min(told, key=lambda name: (-told[name], name), default=None)
 
     def windows(self, words: list[bytes]) -> list[tuple[float, str, int, int]]:
-        """(dice, licence, first word, end) of the windows that reach the threshold, best first, without overlaps."""
+        """(dice, licence, first word, end) of the told windows that reach the threshold, best first, without overlaps."""
         pairs = list(zip(words, words[1:], strict=False))
         found = [(1.0, self.rows[t][0], p, p + 1) for p, w in enumerate(words) for t in self.of.get((w,), ())]
         places: dict[int, list[int]] = {}
@@ -144,7 +175,7 @@ class Templates:
                             best = (dice, name, i, j + 2)
                         if k == size:
                             break
-                if best:
+                if best and self.told(t, words[i : best[3]]):
                     found.append(best)
         taken, out = bytearray(len(words)), []
         for dice, name, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2], x[3])):
@@ -153,34 +184,36 @@ class Templates:
                 out.append((dice, name, i, j))
         return out
 
-    def scan(self, low: bytes) -> list[tuple[str, int, str, float, int, int]]:
-        """(kind, pos, licence, dice, first byte, end) of all matches in a lower-cased text."""
+    def scan(self, low: bytes) -> list[tuple[str, int, str, float, bool, int, int]]:
+        """(kind, pos, licence, dice, chosen, first byte, end) of all matches in a lower-cased text."""
         if not self.anchor.search(low):
             return []
         out, starts, ends = [], [], []
         start = 0
         for pos, line in enumerate(low.split(b"\n")):
             end = start + len(line)
-            if self.anchor.search(line) and (found := self.match(WORD.findall(line))):
-                out += [("line", pos, name, dice, start, end) for name, dice in found.items()]
-                starts.append(start)
-                ends.append(end)
+            if self.anchor.search(line):
+                found, chosen = self.match(WORD.findall(line))
+                out += [("line", pos, name, dice, name == chosen, start, end) for name, dice in found.items()]
+                if chosen:
+                    starts.append(start)
+                    ends.append(end)
             start = end + 1
         start = 0
         for pos, blank in enumerate([*BLANK_LINE.finditer(low), None]):
             end = blank.start() if blank else len(low)
             if self.anchor.search(low, start, end):
                 spans = [m.span() for m in WORD.finditer(low, start, end)]
-                whole = self.match([low[a:b] for a, b in spans]) if low.find(b"\n", start, end) >= 0 else {}
-                out += [("paragraph", pos, name, dice, start, end) for name, dice in whole.items()]
+                whole, chosen = self.match([low[a:b] for a, b in spans]) if low.find(b"\n", start, end) >= 0 else ({}, None)
+                out += [("paragraph", pos, name, dice, name == chosen, start, end) for name, dice in whole.items()]
                 run: list[tuple[int, int]] = []
-                for a, b in [] if whole else [*spans, (end, end)]:
+                for a, b in [] if chosen else [*spans, (end, end)]:
                     at = bisect_right(starts, a) - 1
                     if a < b and not (at >= 0 and a < ends[at]):
                         run.append((a, b))
                     elif run:
                         found = self.windows([low[x:y] for x, y in run])
-                        out += [("part", run[i][0], name, dice, run[i][0], run[j - 1][1]) for dice, name, i, j in found]
+                        out += [("part", run[i][0], name, dice, True, run[i][0], run[j - 1][1]) for dice, name, i, j in found]
                         run = []
             start = blank.end() if blank else end
         return out
@@ -189,11 +222,16 @@ class Templates:
 def find_licenses(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``doc_id, mark, kind, pos, segment, license, dice``: every segment's best template of each licence that reaches the threshold.
+    """``doc_id, mark, kind, pos, segment, license, dice, chosen``: every segment's best template of each licence that reaches the threshold.
+
+    ``chosen`` is true for one licence of a segment at most: the one of highest
+    dice (ties by name) among those whose telling words are there (version,
+    noncommercial, ...) without words that tell a sibling.
 
     ``kind`` is line or paragraph, ``pos`` its number in the text (from 0); or
     kind is part, a window inside a paragraph, and pos its first byte in the
-    text (parts don't overlap each other or matching lines and paragraphs).
+    text (parts are chosen, and don't overlap each other or lines and
+    paragraphs with a chosen licence).
     ``mark`` is a hash of the text (rows that share an id are told apart by it).
     Null and empty texts have no segments with words; repeated rows give one
     set of matches; other columns are ignored.
@@ -207,20 +245,20 @@ def find_licenses(
             for doc, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 raw = text.as_buffer()
                 low = raw.to_pybytes().lower() if raw else b""  # bytes.lower() touches A-Z only
-                for kind, pos, name, dice, start, end in index.scan(low):
-                    out.append((doc, mark, kind, pos, raw.to_pybytes()[start:end].decode(), name, round(dice, 6)))
-            cols = list(zip(*out, strict=True)) if out else [()] * 7
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "mark", "kind", "pos", "segment", "license", "dice"])
+                for kind, pos, name, dice, chosen, start, end in index.scan(low):
+                    out.append((doc, mark, kind, pos, raw.to_pybytes()[start:end].decode(), name, round(dice, 6), chosen))
+            cols = list(zip(*out, strict=True)) if out else [()] * 8
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.float64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "mark", "kind", "pos", "segment", "license", "dice", "chosen"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(scan, "doc_id long, mark long, kind string, pos int, segment string, license string, dice double")
+    found = rows.mapInArrow(scan, "doc_id long, mark long, kind string, pos int, segment string, license string, dice double, chosen boolean")
     return found.distinct()
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``doc_id, n_matches, licenses, best_dice`` for every row of ``docs`` (licences sorted, comma-joined)."""
-    hits = find_licenses(docs, id_col, text_col, **options)
+    """``doc_id, n_matches, licenses, best_dice`` for every row of ``docs``, over the chosen licences (sorted, comma-joined)."""
+    hits = find_licenses(docs, id_col, text_col, **options).where("chosen")
     found = hits.groupBy("doc_id", "mark").agg(
         F.count("*").alias("n_matches"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"), F.max("dice").alias("best_dice")
     )

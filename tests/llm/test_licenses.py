@@ -65,6 +65,23 @@ def test_embedded_notices_are_found_with_the_same_bounds(spark):
     assert {r.segment for r in hits if r.doc_id == 1} == {"Licensed under CC BY 4.0"}
 
 
+def test_siblings_are_told_apart(spark):
+    cc = "This work is licensed under a Creative Commons {} 4.0 International License."
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    texts = {
+        1: (cc.format("Attribution-NonCommercial"), "cc-by-nc-4.0"), 2: (cc.format("Attribution"), "cc-by-4.0"), 3: (cc.format("Attribution-ShareAlike"), "cc-by-sa-4.0"),
+        4: (cc.format("Attribution-NonCommercial-ShareAlike"), ""), 5: (cc.format("Attribution-NoDerivatives"), ""), 6: (cc.format("Attribution").replace("4.0", "3.0"), ""),
+        7: (gnu.format("", 2), ""), 8: (gnu.format("", 3), "gpl-3.0"), 9: (gnu.format("Lesser ", 3), ""),
+        10: ("Licensed under CC BY-SA 4.0.", "cc-by-sa-4.0"), 11: ("Licensed under CC BY-NC-SA 4.0.", ""), 12: ("Licensed under the Apache License, Version 1.0.", ""),
+    }
+    rows = [(i, t, "en", "s", 0) for i, (t, _) in texts.items()]
+    rows += [(100 + i, f"Some words before it, and more of them, and more of them. {t} And after it more words, and more of them.", "en", "s", 0) for i, (t, _) in texts.items()]
+    got = {r.doc_id: r for r in license_report(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, (_, want) in texts.items():
+        assert (got[i].licenses, got[i].n_matches) == (want, int(bool(want))), i
+        assert (got[100 + i].licenses, got[100 + i].n_matches) == (want, int(bool(want))), i
+
+
 def test_repeated_words_take_linear_time():
     index = Templates(TEMPLATES, 0.8)
     for text in [b"all rights " * 50_000 + b"reserved", b"all rights reserved " * 30_000, b"licensed under cc by " * 30_000 + b"4 0"]:
