@@ -30,11 +30,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated lines; a document that lost all its lines of ten characters and more to others goes.
+    """Cut repeated lines; a document that lost all its lines of ten characters and more goes if it is a copy or blank now.
 
-    ``n_chars`` is the length of the new text.
+    A copy has the whole text of a smaller id; other documents keep their
+    shorter lines.  ``n_chars`` is the length of the new text.
     """
-    out = dedup_lines(docs, keep=("lang", "source")).where("not emptied")
+    marked = docs.withColumn("whole", F.unhex(F.md5(F.col("text").cast("binary"))))
+    first = marked.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = marked.select("doc_id", "whole").join(first, "whole").where("doc_id > first").select("doc_id", "whole", F.lit(True).alias("copy")).distinct()
+    copies = store(copies, "line-copies")  # of known size, so that a short list is not joined by a shuffle of the texts
+    out = dedup_lines(marked, keep=("lang", "source", "whole")).join(copies, ["doc_id", "whole"], "left")
+    out = out.where(~F.col("emptied") | (F.col("copy").isNull() & F.col("text").rlike(r"[^ \t\n\x0B\f\r]")))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 

@@ -1,6 +1,7 @@
 import corpus_pipeline
 from tessera.llm.quality import THRESHOLD
 from tests.conftest import SF_ORACLE
+from tests.llm.helpers import DOCS
 from tests.llm.test_decontaminate import brute as contamination
 from tests.llm.test_line_dedup import brute as cut_lines
 from tests.llm.test_minhash_dedup import brute as near
@@ -43,6 +44,15 @@ def test_each_stage_against_brute_force(spark, tmp_dir):
     assert THRESHOLD == 0.3
 
 
+def test_short_lines_of_a_document_stay_when_its_long_ones_go(spark):
+    header = "a header line that is shared"
+    rows = [(1, header), (2, f"{header}\nx = 1\ny = 2"), (3, f"{header}\nx = 1\ny = 2"), (4, f" {header.upper()}\n \t\n"), (5, header), (None, f"{header}\nz"), (6, None), (7, "x = 1"), (7, f"{header}\nx = 1\ny = 2"), (8, f"{header}\nÄ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = corpus_pipeline.line_dedup_stage(spark, docs, "").select("doc_id", "text", "n_chars").collect()
+    want = [(1, header), (2, "x = 1\ny = 2"), (None, f"{header}\nz"), (6, ""), (7, "x = 1"), (8, "Ä")]
+    assert sorted((tuple(r) for r in got), key=str) == sorted(((i, t, len(t)) for i, t in want), key=str)
+
+
 def test_run_gives_the_last_stage(spark):
     df = corpus_pipeline.run(spark, SF_ORACLE)
     assert {"doc_id", "text", "pass", "block", "slot"} <= set(df.columns) and df.count() > 0
