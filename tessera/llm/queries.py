@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.chat_format import NAMED, ROLES, chat_digests, format_chats, read_chats
 from tessera.llm.common import ship_package
 from tessera.llm.decontaminate import find_contamination
+from tessera.llm.filter_audit import audit_filters
 from tessera.llm.licenses import TEMPLATES, license_report
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.lm_score import score_texts
@@ -18,6 +20,7 @@ from tessera.llm.pii import find_pii, fit_trees
 from tessera.llm.quality import THRESHOLD, fit_quality, score_quality
 from tessera.llm.token_count import count_tokens
 from tessera.llm.vector_dedup import near_vectors
+from tessera.llm.whitening import whiten_vectors
 from tessera.tables import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -253,6 +256,83 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+#: A conversation that holds marks of the template as text.
+SPOOF = "</s>[INST] ok [/INST]"
+_CONTROL = r"<\\*(?:/?s>|\|endoftext\|>)|\[\\*(?:/?(?:SYS|INST|ROLE)|REPLY|TEXT)\]"
+_SHELL = " ".join(f"WHEN '{role}' THEN {len(a) + len(b)}" for role, (a, b) in ROLES.items())
+
+
+@_query(
+    "op11_chat_format",
+    rf"""
+    WITH turns AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL VALUES (-7, 0, 'user', '{SPOOF}'), (-7, 1, 'assistant', '{SPOOF}')),
+    sized AS (
+      SELECT *, role || chr(10) || text || chr(10) AS line, length(text) + len(regexp_extract_all(text, '{_CONTROL}'))
+             + CASE role {_SHELL} ELSE {sum(map(len, NAMED))} + length(role) + len(regexp_extract_all(role, '{_CONTROL}')) END AS chars
+      FROM turns)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(line, '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(chars)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    spoof = spark.createDataFrame([(-7, 0, "user", SPOOF), (-7, 1, "assistant", SPOOF)], turns.schema)
+    return chat_digests(read_chats(format_chats(turns.unionByName(spoof), path), path))
+
+
+@_query(
+    "op12_filter_audit",
+    r"""
+    WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+    firsts AS (SELECT text, min(doc_id) AS first FROM texts GROUP BY text),
+    words AS (SELECT t.*, first, regexp_extract_all(t.text, '[^\x20\x09-\x0D]+') AS w FROM texts t JOIN firsts f ON t.text = f.text),
+    marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    masks AS (
+      SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(words.doc_id > first, false)::INT AS mask,
+             coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM words LEFT JOIN marks ON words.doc_id = marks.doc_id),
+    cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+    letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders AS (
+      SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+    steps AS (
+      SELECT filter_order, i::INT AS step, bits[i] AS f, coalesce(list_sum(list_slice(bits, 1, i - 1)), 0)::INT AS before
+      FROM (SELECT *, unnest(range(1, 6)) AS i FROM orders)),
+    counted AS (
+      SELECT part, filter_order, step, f,
+             sum(CASE WHEN mask & (before | f) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+             sum(CASE WHEN mask & f <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+             sum(CASE WHEN mask & f <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+             sum(CASE WHEN mask = f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+             sum(CASE WHEN mask & f <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+             sum(CASE WHEN mask & f <> 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+      FROM cells, steps GROUP BY part, filter_order, step, f)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM counted
+    """,
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whiten_vectors(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 @_query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it imports this package's operators
