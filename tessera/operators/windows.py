@@ -10,13 +10,14 @@ operator here therefore has two plans:
 
 ``"split"``
     the rows of *hot* keys are range-partitioned on (key, window order,
-    tie-breakers), so a hot key and even a heavy tie group is cut into ordered
-    parts whatever the column types, and stored.  Windows then run per
-    ``(key, part)``.  One aggregate per (key, part, order value) gives a small
-    summary per part: rows, sums, distinct order values, the first and last
-    order value and what is tied with them.  Windows over that summary supply
-    what other parts contribute.  Offsets that reach back across a part's edge
-    (``lag``, a ROWS frame) read a "halo": the at most K rows just before it.
+    tie-breakers) and stored, so a hot key and even a heavy tie group is cut
+    into ordered parts whatever the column types, while small hot keys share a
+    part; the number of parts has a ceiling.  Windows then run per
+    ``(key, part)``.  For keys that lie in several parts, one aggregate per
+    (key, part, order value) gives a small summary per part, and windows over
+    that summary supply what other parts contribute.  Offsets that reach back
+    across a part's edge (``lag``, a ROWS frame) find copies of the at most K
+    rows before it, the "halo".
 
 Both plans give the same results.  Floating-point sums may differ in the last
 bits, as they do between two runs of any plan; with ``scale`` given, amounts
@@ -95,103 +96,154 @@ def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Co
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
-class _Split:
-    """Rows of hot keys cut into ordered parts, the other rows, and the summary of the parts."""
+#: Ordered parts in all, at most so many times the shuffle width; small hot keys share parts.
+PARTS_PER_SHUFFLE_PARTITION = 4
 
-    def __init__(self, df: DataFrame, keys: list[str], order: OrderSpec, bound: int, hot: DataFrame, prefix: str):
+
+def part_count(spark, hot_rows: int, bound: int) -> int:
+    """Ordered parts for so many hot rows: about half the bound each, but never more than the ceiling."""
+    wanted = -(-2 * hot_rows // max(1, bound))
+    return max(1, min(wanted, PARTS_PER_SHUFFLE_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+class _Parts:
+    """All rows with a part number: hot keys cut into ordered parts, other keys whole in part -1.
+
+    Range partitions don't know keys, so a small hot key lies in one part with
+    many others and a large one runs through several.  Only keys of several
+    parts need anything from other parts.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str], order: OrderSpec, bound: int, hot: DataFrame, hot_rows: int, prefix: str):
         self.df, self.keys, self.order, self.p = df, keys, order, prefix
-        renamed = hot.select(*[F.col(k).alias(f"{prefix}k{i}") for i, k in enumerate(keys)])
-        pairs = [(k, f"{prefix}k{i}") for i, k in enumerate(keys)]
-        self.cold = df.join(renamed, _same(df, renamed, pairs), "left_anti")
-        hot_rows = hot.agg(F.coalesce(F.sum(f"{prefix}n"), F.lit(0))).first()[0]
-        parts = max(1, -(-2 * int(hot_rows) // max(1, bound)))
+        p = prefix
+        self.part, self.own, self.tie = f"{p}part", f"{p}own", f"{p}tie"
+        self.group = [*keys, self.part]
+        renamed = hot.select(*[F.col(k).alias(f"{p}k{i}") for i, k in enumerate(keys)])
+        pairs = [(k, f"{p}k{i}") for i, k in enumerate(keys)]
         sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        tie = f"{prefix}tie"
-        rows = df.join(renamed, _same(df, renamed, pairs), "left_semi").withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in sortable]))
-        self.full = [*order.full_exprs(), F.col(tie).asc()]
-        self.back = [*order.reversed_exprs(), F.col(tie).desc()]
-        ranged = rows.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *self.full)
+        rows = df.join(renamed, _same(df, renamed, pairs), "left_semi").withColumn(self.tie, F.xxhash64(*[F.col(f"`{c}`") for c in sortable]))
+        self.full = [*order.full_exprs(), F.col(self.tie).asc()]
+        ranged = rows.repartitionByRange(part_count(df.sparkSession, hot_rows, bound), *[F.col(k).asc() for k in keys], *self.full)
         # Stored, so that the parts stay what they are when a task runs again.
-        self.rows = materialize(ranged.withColumn(f"{prefix}part", F.spark_partition_id()), "ordered_parts")
-        self.group = [*keys, f"{prefix}part"]
-        self.by_row = Window.partitionBy(*self.group).orderBy(*self.full)
-        self.by_value = Window.partitionBy(*self.group).orderBy(*order.value_exprs())
+        self.hot = materialize(ranged.withColumn(self.part, F.spark_partition_id()), "ordered_parts")
+        cold = df.join(renamed, _same(df, renamed, pairs), "left_anti")
+        self.cold = cold.withColumns({self.tie: F.lit(0).cast("long"), self.part: F.lit(-1)})
 
     def col(self, name: str) -> Column:
         return F.col(self.p + name)
 
-    def summary(self, amount: Column | None, halo: Column | None = None, reach: int = 0) -> DataFrame:
-        """One row per (key, part) with what the parts before and after it contribute."""
+    def halos(self, reach: int) -> DataFrame:
+        """Copies of the at most ``reach`` rows before each part that goes on with a key, numbered as that part's rows."""
+        p, r = self.p, f"{self.p}r"
+        back = Window.partitionBy(*self.group).orderBy(*self.order.reversed_exprs(), F.col(self.tie).desc())
+        # A group limit before the shuffle: only the tails of the parts move.
+        tails = self.hot.withColumn(r, F.row_number().over(back)).where(F.col(r) <= reach)
+        tails = tails.select(*self.group, r, F.struct(*[F.col(f"`{c}`") for c in self.df.columns], self.tie).alias(f"{p}row"))
+        upto = Window.partitionBy(*self.keys).orderBy(self.part, F.col(r).desc()).rowsBetween(-(reach - 1), 0)
+        ends = tails.withColumn(f"{p}rows", F.collect_list(f"{p}row").over(upto)).where(F.col(r) == 1)
+        after = F.lead(self.part).over(Window.partitionBy(*self.keys).orderBy(self.part))
+        ends = ends.select(after.alias(self.part), f"{p}rows").where(F.col(self.part).isNotNull())
+        return ends.select(self.part, F.explode(f"{p}rows").alias(f"{p}row")).select(f"{p}row.*", self.part)
+
+    def carries(self, amount: Column | None) -> DataFrame:
+        """One row per (key, part) of the keys of several parts: what the parts before and after contribute."""
         p, order = self.p, self.order
         s = F.sum(amount) if amount is not None else F.sum(F.lit(0))
-        c = F.count(amount) if amount is not None else F.count(F.lit(1))
-        values = self.rows.groupBy(*self.group, F.struct(F.col(order.column).alias("o")).alias(f"{p}o")).agg(
-            F.count(F.lit(1)).alias(f"{p}n"), s.alias(f"{p}s"), c.alias(f"{p}c")
-        )
-        tied = F.struct(f"{p}n", f"{p}s", f"{p}c")
+        values = self.hot.groupBy(*self.group, F.struct(F.col(order.column).alias("o")).alias(f"{p}o")).agg(F.count(F.lit(1)).alias(f"{p}n"), s.alias(f"{p}s"))
+        tied = F.struct(f"{p}n", f"{p}s")
         low, high = F.min_by(tied, f"{p}o"), F.max_by(tied, f"{p}o")
         low_o, high_o = F.min(f"{p}o"), F.max(f"{p}o")
         if order.descending:
             low, high, low_o, high_o = high, low, high_o, low_o
         parts = values.groupBy(*self.group).agg(
-            F.sum(f"{p}n").alias(f"{p}n"), F.sum(f"{p}s").alias(f"{p}s"), F.sum(f"{p}c").alias(f"{p}c"), F.count(F.lit(1)).alias(f"{p}d"),
+            F.sum(f"{p}n").alias(f"{p}n"), F.sum(f"{p}s").alias(f"{p}s"), F.count(F.lit(1)).alias(f"{p}d"),
             low_o.alias(f"{p}first"), high_o.alias(f"{p}last"), low.alias(f"{p}first_tied"), high.alias(f"{p}last_tied"),
         )
-        if reach:
-            r = f"{p}r"
-            tails = self.rows.withColumn(r, F.row_number().over(Window.partitionBy(*self.group).orderBy(*self.back))).where(F.col(r) <= reach)
-            tails = tails.select(*self.group, r, F.struct(halo.alias("v")).alias(f"{p}v"))
-            back = Window.partitionBy(*self.keys).orderBy(f"{p}part", F.col(r).desc()).rowsBetween(-(reach - 1), 0)
-            ends = tails.withColumn(f"{p}h", F.collect_list(f"{p}v").over(back)).where(F.col(r) == 1).drop(r, f"{p}v")
-            renamed = ends.select(*[F.col(k).alias(f"{p}e{i}") for i, k in enumerate(self.group)], f"{p}h")
-            pairs = [(k, f"{p}e{i}") for i, k in enumerate(self.group)]
-            parts = parts.join(renamed, _same(parts, renamed, pairs)).drop(*[y for _, y in pairs])
-        w = Window.partitionBy(*self.keys).orderBy(f"{p}part")
+        w = Window.partitionBy(*self.keys).orderBy(self.part)
         earlier, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*self.keys)
-        same_last = Window.partitionBy(*self.keys, f"{p}last").orderBy(f"{p}part").rowsBetween(Window.unboundedPreceding, 0)
-        same_first = Window.partitionBy(*self.keys, f"{p}first").orderBy(F.col(f"{p}part").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        same_last = Window.partitionBy(*self.keys, f"{p}last").orderBy(self.part).rowsBetween(Window.unboundedPreceding, 0)
+        same_first = Window.partitionBy(*self.keys, f"{p}first").orderBy(F.col(self.part).desc()).rowsBetween(Window.unboundedPreceding, 0)
         parts = parts.withColumns({
             f"{p}tied_upto": F.sum(f"{p}last_tied.{p}n").over(same_last),
             f"{p}tied_s_from": F.sum(f"{p}first_tied.{p}s").over(same_first),
-            f"{p}tied_c_from": F.sum(f"{p}first_tied.{p}c").over(same_first),
             f"{p}goes_on": F.lag(f"{p}last").over(w).eqNullSafe(F.col(f"{p}first")),
             f"{p}goes_after": F.lead(f"{p}first").over(w).eqNullSafe(F.col(f"{p}last")),
         })
-        none = F.lit(0)
+        none, whole = F.lit(0), Window.partitionBy(*self.keys)
         out = parts.select(
-            *[F.col(k).alias(f"{p}j{i}") for i, k in enumerate(self.group)],
-            F.coalesce(F.sum(f"{p}n").over(earlier), none).alias(f"{p}n_before"),
-            F.sum(f"{p}s").over(earlier).alias(f"{p}s_before"), F.coalesce(F.sum(f"{p}c").over(earlier), none).alias(f"{p}c_before"),
-            (F.coalesce(F.sum(f"{p}d").over(earlier), none) - F.sum(F.col(f"{p}goes_on").cast("long")).over(upto)).alias(f"{p}d_before"),
+            *[F.col(k).alias(f"{p}j{i}") for i, k in enumerate(self.group)], F.count(F.lit(1)).over(whole).alias(f"{p}parts"),
+            F.coalesce(F.sum(f"{p}n").over(earlier), none).alias(f"{p}rows_before"),
+            (F.coalesce(F.sum(f"{p}d").over(earlier), none) - F.sum(F.col(f"{p}goes_on").cast("long")).over(upto)).alias(f"{p}values_before"),
             F.when(F.col(f"{p}goes_on"), F.lag(f"{p}tied_upto").over(w)).otherwise(none).alias(f"{p}tied_before"),
-            F.when(F.col(f"{p}goes_after"), F.lead(f"{p}tied_s_from").over(w)).alias(f"{p}s_after"),
-            F.when(F.col(f"{p}goes_after"), F.lead(f"{p}tied_c_from").over(w)).otherwise(none).alias(f"{p}c_after"),
-            F.sum(f"{p}s").over(whole).alias(f"{p}s_all"), f"{p}last",
-            *([F.lag(f"{p}h").over(w).alias(f"{p}halo")] if reach else []),
+            F.sum(f"{p}s").over(earlier).alias(f"{p}sum_before"),
+            F.when(F.col(f"{p}goes_after"), F.lead(f"{p}tied_s_from").over(w)).alias(f"{p}sum_after"),
+            F.sum(f"{p}s").over(whole).alias(f"{p}key_sum"), f"{p}last",
         )
-        return materialize(out, "part_summary")
-
-    def joined(self, local: DataFrame, summary: DataFrame) -> DataFrame:
-        return local.join(summary, _same(local, summary, [(k, f"{self.p}j{i}") for i, k in enumerate(self.group)]))
+        return materialize(out.where(F.col(f"{p}parts") > 1).drop(f"{p}parts"), "part_carries")
 
-    def finish(self, hot: DataFrame, cold: DataFrame, added: list[str]) -> DataFrame:
-        """The user's columns and the added ones, of both halves."""
-        names = [f"`{c}`" for c in self.df.columns if c not in added] + [f"`{c}`" for c in added]
-        return hot.select(*names).unionByName(cold.select(*names))
-
-
-def _plan(df: DataFrame, keys: list[str], order: OrderSpec, strategy: str, max_rows_per_key: int | None) -> _Split | None:
-    """None for the plain window plan, else the split rows.  The keys are counted once."""
+    def rows(self, *, reach: int = 0, carry: bool = False, amount: Column | None = None) -> DataFrame:
+        """Every row with its part; with ``reach``, halo copies too; with ``carry``, the carries (0 or NULL where nothing is carried)."""
+        p = self.p
+        out = self.hot.unionByName(self.cold).withColumn(self.own, F.lit(True))
+        if reach:
+            out = out.unionByName(self.halos(reach).withColumn(self.own, F.lit(False)))
+        if not carry:
+            return out
+        carried = self.carries(amount)
+        names = [f"{p}j{i}" for i in range(len(self.group))]
+        out = out.join(carried, _same(out, carried, list(zip(self.group, names, strict=True))), "left").drop(*names)
+        return out.withColumns({p + c: F.coalesce(F.col(p + c), F.lit(0)) for c in ("rows_before", "values_before", "tied_before")})
+
+    def in_order(self, own: bool = False):
+        """Window over a part's rows in full order, halo copies first; ``own``: without them.  One sort serves both."""
+        if own:
+            return Window.partitionBy(*self.group, self.own).orderBy(*self.full)
+        return Window.partitionBy(*self.group).orderBy(F.col(self.own).asc(), *self.full)
+
+    def by_value(self):
+        """Window over a part's own rows by the order column, ties together."""
+        return Window.partitionBy(*self.group, self.own).orderBy(*self.order.value_exprs())
+
+    def finish(self, rows: DataFrame, added: list[str]) -> DataFrame:
+        """The user's columns and the added ones, without the halo copies."""
+        return rows.where(F.col(self.own)).select(*[f"`{c}`" for c in self.df.columns if c not in added], *[f"`{c}`" for c in added])
+
+
+def _plan(df: DataFrame, keys: list[str], order: OrderSpec, strategy: str, max_rows_per_key: int | None, prefix: str | None = None) -> _Parts | None:
+    """None for the plain window plan, else the rows in parts.  The keys are counted once."""
     if strategy not in ("auto", "window", "split"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "window":
         return None
-    bound, prefix = max_rows_per_key_for(df, max_rows_per_key), _prefix(df)
+    bound, prefix = max_rows_per_key_for(df, max_rows_per_key), prefix or _prefix(df)
     hot = materialize(hot_keys(df, keys, bound, f"{prefix}n"), "hot_keys")
-    if strategy == "auto" and hot.isEmpty():
+    hot_rows = int(hot.agg(F.coalesce(F.sum(f"{prefix}n"), F.lit(0))).first()[0])
+    if strategy == "auto" and not hot_rows:
         return None
-    return _Split(df, keys, order, bound, hot, prefix)
+    return _Parts(df, keys, order, bound, hot, hot_rows, prefix)
+
+
+def ordered_parts(
+    df: DataFrame, keys: list[str], order: OrderSpec, amount: Column | None = None, *, reach: int = 0, max_rows_per_key: int | None = None, prefix: str = "w_"
+) -> DataFrame:
+    """All rows of ``df`` laid out so that windows written per (key, part), in SQL text too, stand hot keys.
+
+    Adds, under ``prefix``: ``part`` (-1: the whole key), ``own`` (false: a copy
+    of one of the at most ``reach`` rows before the part, for ``lag`` and ROWS
+    frames; to be filtered out after them), ``tie`` (ends the order of rows
+    that tie-breakers leave tied), and what other parts contribute:
+    ``rows_before``, ``values_before`` (distinct order values),
+    ``tied_before`` (earlier rows tied with the part's first), ``sum_before``,
+    ``sum_after`` (of later rows tied with the part's last, ``last``) and
+    ``key_sum`` of ``amount``.  A window runs over ``PARTITION BY key, w_part
+    ORDER BY w_own, order, w_tie``; ranks and running totals over ``PARTITION
+    BY key, w_part, w_own``.
+    """
+    clash = [c for c in df.columns if c.lower().startswith(prefix.lower())]
+    if clash:
+        raise ValueError(f"columns {clash} begin with {prefix!r}; choose another prefix")
+    return _plan(df, keys, order, "split", max_rows_per_key, prefix).rows(reach=reach, carry=True, amount=amount)
 
 
 def _plus(*parts: Column) -> Column:
@@ -236,25 +288,15 @@ def with_rank_columns(
     split = _plan(df, keys, order, strategy, max_rows_per_key)
     if split is None:
         return plain(df)
-    p, reach = split.p, max((k for k, _ in lags), default=0)
-    local = split.rows.withColumns({
-        f"{p}rn": F.row_number().over(split.by_row), f"{p}rank": F.rank().over(split.by_value), f"{p}dense": F.dense_rank().over(split.by_value),
-        **{f"{p}lag{k}": F.lag(value, k).over(split.by_row) for k, _ in lags},
-    })
-    out = split.joined(local, split.summary(None, F.col(value), reach))
-    cols, rn = {}, split.col("rn")
-    kind = df.schema[value].dataType
-    for (k, default), alias in zip(lags, lag_aliases, strict=False):
-        back = F.lit(k) - rn + 1  # k rows back is so far from the halo's end
-        held = F.coalesce(F.size(split.col("halo")), F.lit(0))
-        outside = F.when(held >= back, F.try_element_at(split.col("halo"), -back)["v"]).otherwise(F.lit(default).cast(kind))
-        cols[alias] = F.when(rn > k, split.col(f"lag{k}")).otherwise(outside)
-    cols[row_number_alias] = (split.col("n_before") + rn).cast("long")
+    rows = split.rows(reach=max((k for k, _ in lags), default=0), carry=True)
+    own, by_value, before = split.in_order(own=True), split.by_value(), split.col("rows_before")
+    cols = {a: F.lag(F.col(value), k, default).over(split.in_order()) for (k, default), a in zip(lags, lag_aliases, strict=False)}
+    cols[row_number_alias] = (before + F.row_number().over(own)).cast("long")
     # Rows tied with the part's first may continue a tie of earlier parts.
-    tied = F.when(split.col("rank") == 1, split.col("tied_before")).otherwise(F.lit(0))
-    cols[rank_alias] = (split.col("n_before") + split.col("rank") - tied).cast("long")
-    cols[dense_rank_alias] = (split.col("d_before") + split.col("dense")).cast("long")
-    return split.finish(out.withColumns(cols), plain(split.cold), added)
+    tied = F.when(F.rank().over(by_value) == 1, split.col("tied_before")).otherwise(F.lit(0))
+    cols[rank_alias] = (before + F.rank().over(by_value) - tied).cast("long")
+    cols[dense_rank_alias] = (split.col("values_before") + F.dense_rank().over(by_value)).cast("long")
+    return split.finish(rows.withColumns(cols), added)
 
 
 def with_rolling_mean(
@@ -282,20 +324,9 @@ def with_rolling_mean(
     split = _plan(df, keys, order, strategy, max_rows_per_key)
     if split is None:
         return plain(df)
-    p, frame = split.p, split.by_row.rowsBetween(-preceding, 0)
-    local = split.rows.withColumns({f"{p}rn": F.row_number().over(split.by_row), f"{p}s": F.sum(amount).over(frame), f"{p}n": F.count(amount).over(frame)})
-    out = split.joined(local, split.summary(None, amount, preceding))
-    out = out.withColumn(f"{p}halo", F.coalesce(split.col("halo"), F.array().cast(out.schema[f"{p}halo"].dataType))) if preceding else out
-    if preceding:
-        size, need = F.size(split.col("halo")), F.greatest(F.lit(preceding + 1) - split.col("rn"), F.lit(0))
-        seen = F.transform(F.slice(split.col("halo"), F.greatest(size - need, F.lit(0)) + 1, need), lambda x: x["v"])
-        seen = F.filter(seen, lambda x: x.isNotNull())
-        kind = local.schema[f"{p}s"].dataType
-        before = F.aggregate(seen, F.lit(0).cast(kind), lambda a, x: (a + x).cast(kind))
-        out = out.withColumn(alias, mean(F.coalesce(split.col("s"), F.lit(0)) + before, split.col("n") + F.size(seen)))
-    else:
-        out = out.withColumn(alias, mean(split.col("s"), split.col("n")))
-    return split.finish(out, plain(split.cold), [alias])
+    w = split.in_order().rowsBetween(-preceding, 0)
+    rows = split.rows(reach=preceding)
+    return split.finish(rows.withColumn(alias, mean(F.sum(amount).over(w), F.count(amount).over(w))), [alias])
 
 
 def with_income_ranking(
@@ -332,18 +363,17 @@ def with_income_ranking(
     split = _plan(df, keys, order, strategy, max_rows_per_key)
     if split is None:
         return plain(df)
-    p = split.p
-    local = split.rows.withColumns({f"{p}rn": F.row_number().over(split.by_row), f"{p}s": F.sum(amount).over(split.by_value)})
-    out = split.joined(local, split.summary(amount))
+    rows, kinds = split.rows(carry=True, amount=amount), plain(df).schema
+    whole = F.sum(amount).over(Window.partitionBy(*split.group, split.own))
     # Rows tied with the part's last may go on into later parts.
     on_last = F.struct(F.col(order.column).alias("o")).eqNullSafe(split.col("last"))
-    cold = plain(split.cold)
-    out = out.withColumns({
-        row_number_alias: (split.col("n_before") + split.col("rn")).cast("long"),
-        total_alias: typed(split.col("s_all")).cast(cold.schema[total_alias].dataType),
-        running_alias: typed(_plus(split.col("s_before"), split.col("s"), F.when(on_last, split.col("s_after")))).cast(cold.schema[running_alias].dataType),
+    running = _plus(split.col("sum_before"), F.sum(amount).over(split.by_value()), F.when(on_last, split.col("sum_after")))
+    out = rows.withColumns({
+        row_number_alias: (split.col("rows_before") + F.row_number().over(split.in_order(own=True))).cast("long"),
+        total_alias: typed(F.coalesce(split.col("key_sum"), whole)).cast(kinds[total_alias].dataType),
+        running_alias: typed(running).cast(kinds[running_alias].dataType),
     })
-    return split.finish(out, cold, added)
+    return split.finish(out, added)
 
 
 def with_group_aggregate(df: DataFrame, keys: list[str], agg: Column, alias: str) -> DataFrame:

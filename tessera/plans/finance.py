@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import array_profile
 from tessera.operators import aggregates as agg
 from tessera.operators import sorting
-from tessera.operators.windows import OrderSpec, with_income_ranking, with_rank_columns, with_rolling_mean
+from tessera.operators.windows import OrderSpec, ordered_parts, with_income_ranking, with_rank_columns, with_rolling_mean
 from tessera.plans.registry import register
 from tessera.plans.standins import MOVIES, finances
 from tessera.sinks.files import register_view
@@ -252,8 +252,8 @@ def rolling_avg_split(spark: SparkSession, sf: str) -> DataFrame:
 def rolling_avg_sql(spark: SparkSession, sf: str) -> DataFrame:
     """Text dates parsed in SQL, then the window in SQL (``0 following`` = current row).
 
-    SQL text keeps Spark's plain window plan; accounts that may be hot want the
-    operator form (``rolling_avg``), which splits them.
+    SQL text keeps Spark's plain window plan; where accounts may be hot, write
+    it over ordered parts (``rolling_avg_sql_split``).
     """
     raw = finances(spark, sf).withColumn("Date", F.date_format("Date", "MM/dd/yyyy"))
     dated = spark.sql(
@@ -276,6 +276,25 @@ def rolling_avg_sql(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("rolling_avg_sql_split", _ROLLING_SQL)
+def rolling_avg_sql_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same SQL window over a view of ordered parts: accounts of more than 10
+    orders are cut, and each part has copies of the 4 rows before it."""
+    f = finances(spark, sf).withColumn("Date", F.to_date("Date"))
+    parts = ordered_parts(f, ["AccountNumber"], BY_DATE, reach=4, max_rows_per_key=10)
+    return spark.sql(
+        """
+        SELECT TxnId, AccountNumber, Amount, Date, Description, RollingAvg
+        FROM (SELECT *, CAST(sum(CAST(Amount AS DECIMAL(18,2))) OVER w AS DOUBLE) / count(Amount) OVER w AS RollingAvg
+              FROM {parts}
+              WINDOW w AS (PARTITION BY AccountNumber, w_part ORDER BY w_own, Date, TxnId, w_tie
+                           ROWS BETWEEN 4 PRECEDING AND 0 FOLLOWING))
+        WHERE w_own
+        """,
+        parts=parts,
+    )
+
+
 # Windows whose value is not the ordering column: amounts by date.
 
 _RANK_SQL = """

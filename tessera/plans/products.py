@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators.windows import OrderSpec, with_rank_columns
+from tessera.operators.windows import OrderSpec, ordered_parts, with_rank_columns
 from tessera.plans.registry import register
 from tessera.plans.standins import products
 
@@ -50,7 +50,7 @@ def product_windows_split(spark: SparkSession, sf: str) -> DataFrame:
 @register("product_windows_sql", _PRODUCTS_SQL)
 def product_windows_sql(spark: SparkSession, sf: str) -> DataFrame:
     """SQL text keeps Spark's plain window plan: each category in one task.  Where
-    categories are large, use the operator form (``product_windows``)."""
+    categories are large, write it over ordered parts (``product_windows_sql_split``)."""
     return spark.sql(
         """
         SELECT p_partkey, product, category, revenue,
@@ -65,3 +65,28 @@ def product_windows_sql(spark: SparkSession, sf: str) -> DataFrame:
         """,
         products=products(spark, sf),
     )
+
+
+@register("product_windows_sql_split", _PRODUCTS_SQL)
+def product_windows_sql_split(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL windows per (category, part): ``lag`` sees copies of the 2 rows before a part,
+    ranks run over a part's own rows and add what earlier parts hold."""
+    parts = ordered_parts(products(spark, sf), ["category"], CATEGORY_REVENUE, reach=2, max_rows_per_key=200)
+    return spark.sql(
+        """
+        SELECT p_partkey, product, category, revenue, prevRevenue, prev2Revenue, row_number,
+               first_rank - IF(first_rank = w_rows_before + 1, w_tied_before, 0) AS rev_rank, rev_dense_rank
+        FROM (SELECT *,
+                     lag(revenue, 1) OVER w AS prevRevenue,
+                     lag(revenue, 2, 0) OVER w AS prev2Revenue,
+                     w_rows_before + row_number() OVER own AS row_number,
+                     w_rows_before + rank() OVER ties AS first_rank,
+                     w_values_before + dense_rank() OVER ties AS rev_dense_rank
+              FROM {parts}
+              WINDOW w AS (PARTITION BY category, w_part ORDER BY w_own, revenue, p_partkey, w_tie),
+                     own AS (PARTITION BY category, w_part, w_own ORDER BY revenue, p_partkey, w_tie),
+                     ties AS (PARTITION BY category, w_part, w_own ORDER BY revenue))
+        WHERE w_own
+        """,
+        parts=parts,
+    )

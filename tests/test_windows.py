@@ -98,7 +98,7 @@ def test_split_equals_window_on_skewed_data(spark):
 def _parts(df, keys, order, bound):
     """Rows per (key, part) of the hot keys."""
     split = windows._plan(df, keys, order, "split", bound)
-    return split, split.rows.groupBy(*split.group).count()
+    return split, split.hot.groupBy(*split.group).count()
 
 
 def test_split_spreads_hot_key(spark):
@@ -148,7 +148,7 @@ def test_heavy_tie_group_is_split_and_exact(spark):
     df = _copies_frame(spark)
     order = OrderSpec("value", tiebreak=["id"])
     split, parts = _parts(df, ["key"], order, 100)
-    copies = split.rows.where((F.col("key") == "hot") & (F.col("value") == 10.0))
+    copies = split.hot.where((F.col("key") == "hot") & (F.col("value") == 10.0))
     assert copies.select(split.group[-1]).distinct().count() >= 8
     assert parts.agg(F.max("count")).first()[0] < 200  # the copies alone are ~800 rows; parts aim at 50
 
@@ -206,7 +206,7 @@ def test_null_ordering_values_as_heavy_group_are_split(spark):
     for desc in (False, True):
         order = OrderSpec("value", descending=desc, tiebreak=["id"])
         split, _ = _parts(df, ["key"], order, 100)
-        nulls = split.rows.where((F.col("key") == "hot") & F.col("value").isNull())
+        nulls = split.hot.where((F.col("key") == "hot") & F.col("value").isNull())
         assert nulls.select(split.group[-1]).distinct().count() >= 6  # ~720 NULL rows, ~50 per part
         cols = ["id", "ranked", "windowedSum", "windowedRunningTotal"]
         a = with_income_ranking(df, ["key"], order, "value", strategy="window")
@@ -304,3 +304,77 @@ def test_plain_means_are_not_rounded(spark):
     for strategy in ("window", "split"):
         got = with_rolling_mean(df, ["k"], OrderSpec("t"), "v", preceding=1, strategy=strategy, max_rows_per_key=10).collect()
         assert all(abs(r.RollingAvg - r.v) < 1e-9 * r.v for r in got)
+
+
+def test_thousands_of_hot_keys_share_few_parts(spark):
+    """6,251 hot keys of 13 rows and one of 3,000: the parts have a ceiling, no (key, part) group grows, results stay."""
+    df = spark.range(6251 * 13 + 3000).select(
+        "id", F.when(F.col("id") < 6251 * 13, F.col("id") % 6251).otherwise(-1).alias("key"), (F.col("id") * 7919 % 1013).alias("v")
+    )
+    order = OrderSpec("v", tiebreak=["id"])
+    split, parts = _parts(df, ["key"], order, 10)
+    ceiling = windows.PARTS_PER_SHUFFLE_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert split.hot.rdd.getNumPartitions() <= ceiling
+    assert split.hot.select(split.part).distinct().count() <= ceiling
+    in_part = split.hot.groupBy(split.part).count().agg(F.max("count")).first()[0]
+    assert in_part < 3 * split.hot.count() / ceiling  # parts are even, so a (key, part) group is bounded too
+    assert parts.agg(F.max("count")).first()[0] <= in_part
+    cols = ["id", "prevRevenue", "prev2Revenue", "row_number", "rev_rank", "rev_dense_rank"]
+    a = with_rank_columns(df, ["key"], order, "v", strategy="window").select(*cols)
+    b = with_rank_columns(df, ["key"], order, "v", strategy="split", max_rows_per_key=10).select(*cols)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_part_count_follows_rows_up_to_the_ceiling(spark):
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert windows.part_count(spark, 0, 100) == 1 and windows.part_count(spark, 1000, 1000) == 2
+    assert windows.part_count(spark, 10**12, 10) == windows.PARTS_PER_SHUFFLE_PARTITION * width
+
+
+def test_one_exchange_and_one_sort_serve_all_windows_of_the_parts(spark):
+    df = _skewed_frame(spark)
+    split = windows._plan(df, ["key"], OrderSpec("value", tiebreak=["id"]), "split", 100)
+    rows = split.rows(carry=True)
+    w = split.in_order()
+    out = rows.withColumns({"a": F.lag("value").over(w), "b": F.row_number().over(split.in_order(own=True)), "c": F.rank().over(split.by_value())})
+    assert count_nodes(out, "Exchange hashpartitioning(key") == 1
+    assert count_nodes(out, "Sort [key") == 1
+
+
+def test_sql_text_over_ordered_parts(spark):
+    """Rolling means, ranks, ties and a running total in SQL text equal the plain windows, and no group exceeds the bound."""
+    df = _copies_frame(spark)
+    order = OrderSpec("value", tiebreak=["id"])
+    parts = windows.ordered_parts(df, ["key"], order, F.col("value"), reach=4, max_rows_per_key=200)
+    groups = parts.groupBy("key", "w_part").agg(F.count_if("w_own").alias("own"), F.count_if(~F.col("w_own")).alias("copies"))
+    most = groups.agg(F.max("own").alias("own"), F.max("copies").alias("copies")).first()
+    assert most["own"] <= 200 and most["copies"] == 4  # the hot key has about 1,200 rows
+    got = spark.sql(
+        """
+        SELECT id, mean, n, r, d, total FROM (
+          SELECT id, w_own, avg(value) OVER w AS mean, w_rows_before + row_number() OVER own AS n,
+                 w_rows_before + rank() OVER ties - IF(rank() OVER ties = 1, w_tied_before, 0) AS r,
+                 w_values_before + dense_rank() OVER ties AS d,
+                 coalesce(w_sum_before, 0) + coalesce(sum(value) OVER ties, 0) + IF(struct(value AS o) <=> w_last, coalesce(w_sum_after, 0), 0) AS total
+          FROM {parts}
+          WINDOW w AS (PARTITION BY key, w_part ORDER BY w_own, value, id, w_tie ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+                 own AS (PARTITION BY key, w_part, w_own ORDER BY value, id, w_tie), ties AS (PARTITION BY key, w_part, w_own ORDER BY value))
+        WHERE w_own""",
+        parts=parts,
+    )
+    want = spark.sql(
+        """
+        SELECT id, avg(value) OVER (PARTITION BY key ORDER BY value, id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS mean,
+               row_number() OVER (PARTITION BY key ORDER BY value, id) AS n, rank() OVER v AS r, dense_rank() OVER v AS d,
+               coalesce(sum(value) OVER v, 0) AS total
+        FROM {df} WINDOW v AS (PARTITION BY key ORDER BY value)""",
+        df=df,
+    )
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_ordered_parts_refuses_columns_under_its_prefix(spark):
+    df = spark.createDataFrame([(1, 2)], "w_part int, k int")
+    with pytest.raises(ValueError, match="prefix"):
+        windows.ordered_parts(df, ["k"], OrderSpec("w_part"))
+    assert "x_part" in windows.ordered_parts(df, ["k"], OrderSpec("w_part"), prefix="x_").columns
