@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 _CAPITAL = "w -> concat(upper(substring(w, 1, 1)), lower(substring(w, 2)))"
 
+# A quoted pattern that takes the delimiter literally; an end-of-quote mark inside it is quoted apart.
+_LITERAL = r"concat('\\Q', replace(delimiter, '\\E', '\\E\\\\E\\Q'), '\\E')"
+
 #: Name -> (parameters, body).  The delimiter is taken literally, not as a pattern.
 TEXT_FUNCTIONS = {
     "title_case": ("text STRING", f"array_join(transform(split(text, ' ', -1), {_CAPITAL}), ' ')"),
     "title_case_delim": (
         "text STRING, delimiter STRING",
-        f"array_join(transform(split(text, concat('\\\\Q', delimiter, '\\\\E'), -1), {_CAPITAL}), delimiter)",
+        f"array_join(transform(split(text, {_LITERAL}, -1), {_CAPITAL}), delimiter)",
     ),
 }
 

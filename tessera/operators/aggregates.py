@@ -15,6 +15,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from tessera.functions.arrays import sorted_text
 from tessera.functions.scalar import exact, exact_mean
+from tessera.operators.windows import OrderSpec, free_prefix, with_rank_columns
 
 
 def summarize_by_key(
@@ -66,6 +67,42 @@ def distinct_values_by(df: DataFrame, key: str, value: Column, *, alias: str = "
     return df.select(key, value.alias(alias)).distinct()
 
 
+def distinct_arrays_by(
+    df: DataFrame,
+    key: str,
+    value: Column,
+    *,
+    chunk_size: int = 100_000,
+    alias: str = "Zips",
+    count_alias: str = "ZipCount",
+    total_alias: str = "TotalZips",
+    **window_options,
+) -> DataFrame:
+    """The distinct values of each key as sorted arrays of at most ``chunk_size``, with their sizes.
+
+    One row per (key, ``chunk``): the sorted set is cut into numbered chunks, so
+    no set is gathered whole whatever its size.  The distinct rows are numbered
+    by the hot-safe row number (``window_options``: strategy, bound), and
+    ``total_alias`` is the exact size of the whole set.  NULL values don't
+    count; a key that has nothing else keeps one empty array.
+    """
+    p = free_prefix(df)
+    rows = df.select(F.col(key), value.alias(f"{p}v")).distinct()
+    known = rows.where(F.col(f"{p}v").isNotNull())
+    numbered = with_rank_columns(
+        known, [key], OrderSpec(f"{p}v"), f"{p}v", lags=[], row_number_alias=f"{p}n", rank_alias=f"{p}r", dense_rank_alias=f"{p}d", **window_options
+    )
+    chunk = F.floor((F.col(f"{p}n") - 1) / chunk_size)
+    arrays = numbered.groupBy(F.col(key).alias(f"{p}k"), chunk.alias("chunk")).agg(F.array_sort(F.collect_list(f"{p}v")).alias(alias))
+    totals = rows.groupBy(key).agg(F.count(f"{p}v").alias(total_alias))
+    out = totals.join(arrays, F.col(key).eqNullSafe(F.col(f"{p}k")), "left")
+    empty = F.array().cast(arrays.schema[alias].dataType)
+    return out.select(
+        key, F.coalesce("chunk", F.lit(0)).alias("chunk"), F.coalesce(alias, empty).alias(alias),
+        F.greatest(F.size(alias), F.lit(0)).cast("long").alias(count_alias), total_alias,
+    )
+
+
 def distinct_set_by(
     df: DataFrame, key: str, value: Column, *, list_alias: str = "ZipList", count_alias: str = "ZipCount"
 ) -> DataFrame:
@@ -125,30 +162,29 @@ def column_stats(df: DataFrame, digits: int | None = None) -> DataFrame:
 
     ``column, n, mean, stddev, min_value, max_value`` (numbers) and ``min_text,
     max_text`` (text); n counts values that are not NULL, stddev is the sample
-    deviation.  One aggregate over one scan; ``digits`` rounds mean and stddev.
+    deviation; ``digits`` rounds mean and stddev.  Numbers and text are
+    aggregated apart: least and greatest texts have no fixed size, and one of
+    them would turn the hash aggregate of all the numbers into a sort.
     """
     rounded = (lambda c: c) if digits is None else (lambda c: F.round(c, digits))
-    stats = []
+    numbers, texts = [], []
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     for f in df.schema.fields:
-        c, number = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType)
-        if not number and not isinstance(f.dataType, StringType):
-            continue
-        none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
-        stats.append(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.count(c).alias("n"),
-                (rounded(F.avg(c).cast("double")) if number else none).alias("mean"),
-                (rounded(F.stddev_samp(c)) if number else none).alias("stddev"),
-                (F.min(c).cast("double") if number else none).alias("min_value"),
-                (F.max(c).cast("double") if number else none).alias("max_value"),
-                (text if number else F.min(c)).alias("min_text"),
-                (text if number else F.max(c)).alias("max_text"),
-            )
-        )
-    if not stats:
+        c, name = F.col(f"`{f.name}`"), F.lit(f.name).alias("column")
+        if isinstance(f.dataType, NumericType):
+            values = [rounded(F.avg(c).cast("double")), rounded(F.stddev_samp(c)), F.min(c).cast("double"), F.max(c).cast("double"), text, text]
+            numbers.append((name, F.count(c), values))
+        elif isinstance(f.dataType, StringType):
+            texts.append((name, F.count(c), [none, none, none, none, F.min(c), F.max(c)]))
+    if not numbers and not texts:
         raise ValueError("no numeric or text column")
-    return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
+    fields = ("mean", "stddev", "min_value", "max_value", "min_text", "max_text")
+    parts = []
+    for group in (numbers, texts):
+        if group:
+            stats = [F.struct(name, n.alias("n"), *[v.alias(a) for v, a in zip(values, fields, strict=True)]) for name, n, values in group]
+            parts.append(df.agg(F.array(*stats).alias("stats")).select(F.inline("stats")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def describe_table(df: DataFrame, *cols: str) -> DataFrame:

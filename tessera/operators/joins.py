@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.windows import free_prefix
+
 JOIN_TYPES = {
     "inner": "inner",
     "left": "left",
@@ -134,15 +136,18 @@ def salted_join(
 
     if how not in ("inner", "left", "left_outer", "left_anti"):
         raise ValueError("salted_join supports inner, left and left_anti joins")
+    p = free_prefix(big, small)
+    salt, is_hot, n = f"{p}salt", f"{p}hot", f"{p}n"
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     if hot_keys is None:
-        counts = big.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        hot_keys = materialize(counts.where(F.col("__n") > max_rows_per_key).select(*keys), "join_hot_keys")
-    hot = broadcast_if_small(hot_keys.select(*keys).withColumn("__hot", F.lit(True)), DEFAULT_BROADCAST_ROWS)
+        counts = big.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+        hot_keys = materialize(counts.where(F.col(n) > max_rows_per_key).select(*keys), "join_hot_keys")
+    hot = broadcast_if_small(hot_keys.select(*keys).distinct().withColumn(is_hot, F.lit(True)), DEFAULT_BROADCAST_ROWS)
     hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]), F.lit(salts)).cast("int")
-    salted_big = big.withColumn("__row_salt", row_salt).join(hot, on=keys, how="left")
-    salted_big = salted_big.withColumn("__salt", F.when(F.col("__hot") | ~present, F.col("__row_salt")).otherwise(F.lit(0))).drop("__hot", "__row_salt")
-    spread = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_small = small.join(hot, on=keys, how="left").withColumn("__salt", F.explode(spread)).drop("__hot")
-    return salted_big.join(salted_small, on=[*keys, "__salt"], how=JOIN_TYPES[how]).drop("__salt")
+    # The salt is drawn from the row as it came, before any column is added to it.
+    drawn = big.withColumn(f"{p}row_salt", row_salt).join(hot, on=keys, how="left")
+    salted_big = drawn.withColumn(salt, F.when(F.col(is_hot) | ~present, F.col(f"{p}row_salt")).otherwise(F.lit(0))).drop(is_hot, f"{p}row_salt")
+    spread = F.when(F.col(is_hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = small.join(hot, on=keys, how="left").withColumn(salt, F.explode(spread)).drop(is_hot)
+    return salted_big.join(salted_small, on=[*keys, salt], how=JOIN_TYPES[how]).drop(salt)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.windows import OrderSpec, with_rank_columns
+from tessera.operators.windows import OrderSpec, free_prefix, with_rank_columns
 
 
 def nest_children(
@@ -35,13 +35,18 @@ def nest_children(
     no parent is gathered whole.  ``first_alias`` is the position of a record's
     first child in the whole parent.
     """
-    numbered = with_rank_columns(df, [parent], OrderSpec(order, tiebreak=fields), order, lags=[], row_number_alias="__position", **window_options)
-    first = F.floor((F.col("__position") - 1) / chunk_size) * chunk_size
+    p = free_prefix(df)
+    position, children = f"{p}position", f"{p}children"
+    numbered = with_rank_columns(
+        df, [parent], OrderSpec(order, tiebreak=fields), order, lags=[],
+        row_number_alias=position, rank_alias=f"{p}rank", dense_rank_alias=f"{p}dense", **window_options,
+    )
+    first = F.floor((F.col(position) - 1) / chunk_size) * chunk_size
     element = F.struct(F.col(order), *[F.col(f) for f in fields])
     packed = numbered.groupBy(F.col(parent).alias(parent_alias), first.alias(first_alias)).agg(
-        F.array_sort(F.collect_list(F.struct("__position", element.alias("child")))).alias("__children")
+        F.array_sort(F.collect_list(F.struct(position, element.alias(f"{p}child")))).alias(children)
     )
-    return packed.select(parent_alias, first_alias, F.transform("__children", lambda x: x["child"]).alias(array_alias))
+    return packed.select(parent_alias, first_alias, F.transform(children, lambda x: x[f"{p}child"]).alias(array_alias))
 
 
 def explode_field(df: DataFrame, keep: list[str], array_col: str, alias: str) -> DataFrame:
@@ -59,5 +64,6 @@ def posexplode_field(
     """
     if first is None:
         return df.select(*keep, F.posexplode(F.col(array_col)).alias(pos_alias, alias))
-    rows = df.select(*keep, F.col(first).alias("__first"), F.posexplode(F.col(array_col)).alias("__at", alias))
-    return rows.select(*keep, (F.col("__first") + F.col("__at")).cast("long").alias(pos_alias), alias)
+    p = free_prefix(df)
+    rows = df.select(*keep, F.col(first).alias(f"{p}first"), F.posexplode(F.col(array_col)).alias(f"{p}at", alias))
+    return rows.select(*keep, (F.col(f"{p}first") + F.col(f"{p}at")).cast("long").alias(pos_alias), alias)

@@ -83,9 +83,9 @@ def choose_strategy(df: DataFrame, keys: list[str], max_rows_per_key: int | None
     return "window" if hot_keys(df, keys, max_rows_per_key_for(df, max_rows_per_key)).isEmpty() else "split"
 
 
-def _prefix(df: DataFrame) -> str:
-    """A name prefix that no column of ``df`` has (names are case-insensitive)."""
-    taken, prefix = [c.lower() for c in df.columns], "__w_"
+def free_prefix(*frames: DataFrame) -> str:
+    """A name prefix that no column of the frames has (names are case-insensitive)."""
+    taken, prefix = [c.lower() for df in frames for c in df.columns], "__w_"
     while any(c.startswith(prefix) for c in taken):
         prefix = "_" + prefix
     return prefix
@@ -216,7 +216,7 @@ def _plan(df: DataFrame, keys: list[str], order: OrderSpec, strategy: str, max_r
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "window":
         return None
-    bound, prefix = max_rows_per_key_for(df, max_rows_per_key), prefix or _prefix(df)
+    bound, prefix = max_rows_per_key_for(df, max_rows_per_key), prefix or free_prefix(df)
     hot = materialize(hot_keys(df, keys, bound, f"{prefix}n"), "hot_keys")
     hot_rows = int(hot.agg(F.coalesce(F.sum(f"{prefix}n"), F.lit(0))).first()[0])
     if strategy == "auto" and not hot_rows:
@@ -385,7 +385,7 @@ def with_group_aggregate(df: DataFrame, keys: list[str], agg: Column, alias: str
     adaptive execution broadcasts it when its measured size is small, and
     otherwise splits skewed partitions of the shuffled join.
     """
-    p = _prefix(df)
+    p = free_prefix(df)
     per_key = df.groupBy(*keys).agg(agg.alias(alias))
     renamed = per_key.select(*[F.col(k).alias(f"{p}g{i}") for i, k in enumerate(keys)], alias)
     return df.join(renamed, _same(df, renamed, [(k, f"{p}g{i}") for i, k in enumerate(keys)]), "inner").drop(*[f"{p}g{i}" for i in range(len(keys))])

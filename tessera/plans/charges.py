@@ -16,6 +16,7 @@ from tessera.operators.windows import with_group_aggregate
 from tessera.plans.registry import register
 from tessera.session import scratch_path, staged
 from tessera.sinks.files import write_parquet, write_partitioned
+from tessera.sinks.layout import write_clustered
 from tessera.sources.files import read_parquet
 from tessera.tables import table
 
@@ -57,6 +58,25 @@ def zip_count_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return order_charges(spark, sf).groupBy("Boro").agg(F.count_distinct(safe_cast("Zip", "long")).alias("ZipCount"))
 
 
+# Zip codes a chunk holds here; small, so that the test tables have several chunks.
+ZIP_CHUNK = 64
+
+
+@register(
+    "zip_arrays_by_group",
+    f"""
+    WITH zips AS (SELECT DISTINCT l_returnflag AS Boro, l_suppkey AS z FROM lineitem),
+    cut AS (SELECT *, (row_number() OVER (PARTITION BY Boro ORDER BY z) - 1) // {ZIP_CHUNK} AS chunk, count(*) OVER (PARTITION BY Boro) AS total FROM zips)
+    SELECT Boro, CAST(chunk AS BIGINT) AS chunk, array_to_string(list(z ORDER BY z), ',') AS Zips, count(*) AS ZipCount, total AS TotalZips
+    FROM cut GROUP BY Boro, chunk, total
+    """,
+)
+def zip_arrays_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    """The set of zip codes of each district as arrays of bounded size, with the exact size of the whole."""
+    out = agg.distinct_arrays_by(order_charges(spark, sf), "Boro", safe_cast("Zip", "long"), chunk_size=ZIP_CHUNK)
+    return out.withColumn("Zips", F.concat_ws(",", F.col("Zips").cast("array<string>")))
+
+
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
     charges = order_charges(spark, sf)
     return with_group_aggregate(charges, ["OMOCreateDate"], F.count("l_orderkey"), "OMODailyFreq")
@@ -99,7 +119,7 @@ def _stat_sql(c: str, number: bool) -> str:
 
 @register("describe_stats", " UNION ALL ".join([_stat_sql(c, True) for c in _NUMERIC] + [_stat_sql(c, False) for c in _TEXT]))
 def describe_stats(spark: SparkSession, sf: str) -> DataFrame:
-    """Every numeric and text column described in one pass."""
+    """Every numeric and text column described, numbers and text in an aggregate each."""
     return agg.column_stats(table(spark, sf, "lineitem"), digits=4)
 
 
@@ -170,3 +190,31 @@ def partition_pruned_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Reads the year layout with pruning."""
     path = staged(spark, "orders_by_year_layout", lambda p: _write_year_layout(spark, sf, p))
     return pruned_orders(read_parquet(spark, path))
+
+
+# Fixed values of the two-column filter.
+CLUSTER_CUSTOMERS = (100, 220)
+CLUSTER_PRICES = (120000.0, 180000.0)
+
+
+def write_order_clusters(spark: SparkSession, sf: str, path: str, row_group_bytes: int | None = None) -> str:
+    """Orders by year, clustered by customer and price within it, with Bloom filters on the order key."""
+    o = table(spark, sf, "orders").withColumn("OrderYear", F.year("o_orderdate"))
+    return write_clustered(
+        o, path, ["o_custkey", "o_totalprice"], partition_cols=["OrderYear"], bloom_cols={"o_orderkey": 100_000}, row_group_bytes=row_group_bytes
+    )
+
+
+@register(
+    "clustered_two_column_filter",
+    f"""
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+    WHERE o_custkey BETWEEN {CLUSTER_CUSTOMERS[0]} AND {CLUSTER_CUSTOMERS[1]}
+      AND o_totalprice BETWEEN {CLUSTER_PRICES[0]} AND {CLUSTER_PRICES[1]} AND year(o_orderdate) >= {PRUNE_YEAR - 4}
+    """,
+)
+def clustered_two_column_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter on two data columns and the year over the clustered layout: directories, then row groups are skipped."""
+    orders = read_parquet(spark, write_order_clusters(spark, sf, scratch_path(spark, "orders_clustered")))
+    wanted = F.col("o_custkey").between(*CLUSTER_CUSTOMERS) & F.col("o_totalprice").between(*CLUSTER_PRICES)
+    return orders.where((F.col("OrderYear") >= PRUNE_YEAR - 4) & wanted).select("o_orderkey", "o_custkey", "o_totalprice")

@@ -14,8 +14,8 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 from tessera.operators.nested import explode_field, nest_children, posexplode_field
 from tessera.plans.registry import register
 from tessera.session import scratch_path, staged
-from tessera.sinks.files import append_json
-from tessera.sources.files import read_json
+from tessera.sinks.files import append_json, write_text_lines
+from tessera.sources.files import read_json, read_records, record_audit, record_fields
 from tessera.tables import table
 
 CHUNK = 64
@@ -140,3 +140,53 @@ def json_append(spark: SparkSession, sf: str) -> DataFrame:
     append_json(c.filter(F.col("c_acctbal") >= 0), path)
     append_json(c.filter(~(F.col("c_acctbal") >= 0) | F.col("c_acctbal").isNull()), path)
     return read_json(spark, path, STUDENT_SCHEMA)
+
+
+# Student records: the number is text for every third one, the school is missing for every
+# second, and every eleventh line is cut off.
+_RECORDS_SQL = """
+    SELECT c_custkey, c_name AS lastname, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS school, c_custkey % 3 = 0 AS as_text
+    FROM customer WHERE c_custkey % 11 <> 0
+"""
+
+
+def stage_student_records(spark: SparkSession, sf: str) -> str:
+    key = F.col("c_custkey")
+    school = F.when(key % 2 == 0, F.col("c_mktsegment")).alias("school")
+    record = lambda number: F.to_json(F.struct(F.col("c_name").alias("lastname"), school, number.alias("studentno")))
+    whole = F.when(key % 3 == 0, record(F.concat(F.lit("S-"), key))).otherwise(record(key))
+    cut = F.when(key % 11 == 0, F.expr("left(line, length(line) - 1)")).otherwise(F.col("line"))
+    lines = table(spark, sf, "customer").select("c_custkey", whole.alias("line")).select(cut.alias("value"))
+    return staged(spark, "student_records", lambda path: write_text_lines(lines, path))
+
+
+@register(
+    "documents_variant_json",
+    f"""
+    SELECT lastname, school, CASE WHEN NOT as_text THEN c_custkey END AS studentno,
+           CASE WHEN as_text THEN 'S-' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS studentno_text,
+           CASE WHEN as_text THEN 'STRING' ELSE 'BIGINT' END AS studentno_type
+    FROM ({_RECORDS_SQL}) r
+    """,
+)
+def documents_variant_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose ``studentno`` is a number in some and text in others: both are kept, with the type each has."""
+    records = read_records(spark, stage_student_records(spark, sf)).where("record is not null")
+    fields = record_fields(records, {"lastname": "string", "school": "string", "studentno": "variant"})
+    return fields.select(
+        "lastname", "school", F.try_variant_get("studentno", "$", "long").alias("studentno"),
+        F.try_variant_get("studentno", "$", "string").alias("studentno_text"), F.schema_of_variant("studentno").alias("studentno_type"),
+    )
+
+
+@register(
+    "documents_variant_audit",
+    """
+    SELECT count(*) AS n_lines, count(*) FILTER (WHERE c_custkey % 11 <> 0) AS n_records, count(*) FILTER (WHERE c_custkey % 11 = 0) AS n_broken,
+           'OBJECT<lastname: STRING, school: STRING, studentno: VARIANT>' AS record_schema
+    FROM customer
+    """,
+)
+def documents_variant_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines, records, broken lines, and the schema found by one aggregate: the field of changing type is VARIANT."""
+    return record_audit(read_records(spark, stage_student_records(spark, sf)))

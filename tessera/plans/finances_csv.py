@@ -20,7 +20,7 @@ from tessera.plans.registry import register
 from tessera.plans.standins import DEBT_STATUS, DEPENDENTS_PRIORITY, LOANS_INCOME_OVER
 from tessera.session import scratch_path, staged
 from tessera.sinks.files import write_csv, write_text_lines
-from tessera.sources.files import read_csv, read_delimited
+from tessera.sources.files import load_new_files, read_csv, read_delimited
 from tessera.tables import table
 
 # The finance layout's names and types (id widened to long: order
@@ -215,3 +215,15 @@ def csv_dropmalformed_inferred(spark: SparkSession, sf: str) -> DataFrame:
     or ``n/a`` become text, so only the short lines are malformed."""
     path = stage_finance_csv(spark, sf)
     return read_csv(spark, path, None, mode="DROPMALFORMED", infer_schema=True, names=FIN_NAMES)
+
+
+@register("drop_folder_incremental", _DELIM_SQL)
+def drop_folder_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings and three loads (the last finds nothing new): every row is taken once."""
+    folder, taken, ledger = (scratch_path(spark, name) for name in ("drop_folder", "drop_taken", "drop_ledger"))
+    receipts = _receipts(spark, sf).select("*", (F.col("l_orderkey") % 3 == 0).alias("late"))
+    schema = ", ".join(f"{c} string" for c in receipts.columns if c != "late")
+    for late in (False, True):
+        write_csv(receipts.where(F.col("late") == late).drop("late"), folder, header=True, sep="|", mode="append")
+        load_new_files(spark, folder, taken, ledger, schema)
+    return load_new_files(spark, folder, taken, ledger, schema)

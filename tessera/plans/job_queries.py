@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans import jobs, standins
-from tessera.plans.charges import order_charges
+from tessera.operators.nested import nest_children
+from tessera.plans.charges import PRUNE_PRICE, PRUNE_YEAR, order_charges, pruned_orders
+from tessera.plans.finances_csv import _PERMISSIVE_SQL, _RANKED_SQL, FIN_NAMES, FIN_SCHEMA, stage_finance_csv
 from tessera.plans.products import _PRODUCTS_SQL
 from tessera.plans.registry import register
 from tessera.plans.scholarship import _RECIPIENTS_SQL
 from tessera.plans.standins import MOVIES, SWITZERLAND, finances, products
 from tessera.plans.transactions import load_transactions, stage_transaction_text
+from tessera.session import scratch_path, staged
+from tessera.sources.files import read_json
 from tessera.tables import table
 
 
@@ -102,7 +106,7 @@ def job_scholarship(spark: SparkSession, sf: str) -> DataFrame:
 _PERSON_SQL = """
     SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN upper(c_mktsegment) WHEN 1 THEN ' ' || c_mktsegment ELSE c_mktsegment || ' ' END AS firstName,
            c_name AS lastName, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS weightInLbs,
-           CASE c_custkey % 4 WHEN 0 THEN 'Chemical Engineer' WHEN 1 THEN 'Teacher' WHEN 2 THEN 'Baker' END AS jobType
+           CASE c_custkey % 4 WHEN 0 THEN 'Crane Operator' WHEN 1 THEN 'Gardener' WHEN 2 THEN 'Optician' END AS jobType
     FROM customer
 """
 
@@ -115,12 +119,12 @@ def _persons(spark: SparkSession, sf: str) -> DataFrame:
         F.when(form == 0, F.upper(segment)).when(form == 1, F.concat(F.lit(" "), segment)).otherwise(F.concat(segment, F.lit(" "))).alias("firstName"),
         F.col("c_name").alias("lastName"),
         F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("weightInLbs"),
-        F.when(job == 0, "Chemical Engineer").when(job == 1, "Teacher").when(job == 2, "Baker").alias("jobType"),
+        F.when(job == 0, "Crane Operator").when(job == 1, "Gardener").when(job == 2, "Optician").alias("jobType"),
     )
 
 
 def _cleaned(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return jobs.people_cleaning(_persons(spark, sf), order=["id"], needle="engineer", listed=["Chemical Engineer", "Teacher"])
+    return jobs.people_cleaning(_persons(spark, sf), order=["id"], needle="operator", listed=["Crane Operator", "Gardener"])
 
 
 @register(
@@ -136,14 +140,101 @@ def job_people_first(spark: SparkSession, sf: str) -> DataFrame:
     return out["first"].join(out["first_non_null"].withColumnRenamed("first_weight", "first_known_weight"), "name_key")
 
 
-@register(
-    "job_people_clean",
-    f"""
+_CLEAN_SQL = f"""
     SELECT id, upper(substring(trim(firstName), 1, 1)) || lower(substring(trim(firstName), 2)) AS firstName,
            lastName, upper(substring(trim(firstName), 1, 1)) || lower(substring(trim(firstName), 2)) || ' ' || lastName AS fullName,
            coalesce(weightInLbs, 0.0) AS weightInLbs, jobType
-    FROM ({_PERSON_SQL}) p WHERE lower(jobType) NOT IN ('chemical engineer', 'teacher')
-    """,
+    FROM ({_PERSON_SQL}) p
+"""
+
+
+@register(
+    "job_people_clean",
+    f"{_CLEAN_SQL} WHERE lower(jobType) NOT IN ('crane operator', 'gardener')",
 )
 def job_people_clean(spark: SparkSession, sf: str) -> DataFrame:
     return _cleaned(spark, sf)["not_listed"]
+
+
+@register("job_people_matching", f"{_CLEAN_SQL} WHERE contains(lower(jobType), 'operator')")
+def job_people_matching(spark: SparkSession, sf: str) -> DataFrame:
+    return _cleaned(spark, sf)["matching"]
+
+
+@register("job_people_listed", f"{_CLEAN_SQL} WHERE lower(jobType) IN ('crane operator', 'gardener')")
+def job_people_listed(spark: SparkSession, sf: str) -> DataFrame:
+    return _cleaned(spark, sf)["listed"]
+
+
+# Companies = market segments, employees = their customers.
+TIERS = {"FURNITURE": "Premium", "BUILDING": "Legacy"}
+
+
+@register(
+    "job_company_tiers",
+    f"""
+    SELECT c_mktsegment AS company, c_name AS firstName,
+           CASE c_mktsegment {" ".join(f"WHEN '{c}' THEN '{t}'" for c, t in TIERS.items())} ELSE 'Standard' END AS Tier
+    FROM customer
+    """,
+)
+def job_company_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 over nested records: a segment's customers are spread over records of 64."""
+    c = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("company"), F.col("c_custkey").alias("id"), F.col("c_name").alias("firstName"))
+    nested = nest_children(c, "company", "id", ["firstName"], parent_alias="company", array_alias="employees")
+    path = staged(spark, "segment_records", lambda p: nested.write.json(p))
+    records = read_json(spark, path, "company string, employees array<struct<id long, firstName string>>")
+    return jobs.company_tiers(records, TIERS)["tiered"]
+
+
+@register(
+    "job_year_layout",
+    f"SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE year(o_orderdate) = {PRUNE_YEAR} AND o_totalprice > {PRUNE_PRICE}",
+)
+def job_year_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """M9: the year layout written by the job, read with a partition and a data filter."""
+    return pruned_orders(jobs.year_layout(table(spark, sf, "orders"), "o_orderdate", scratch_path(spark, "job_orders_by_year")))
+
+
+@register("job_format_ranking", _RANKED_SQL)
+def job_format_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """M10: CSV to ORC, then the income ranking per debt flag over the ORC table."""
+    out = scratch_path(spark, "job_finances_orc")
+    return jobs.csv_to_format_ranking(stage_finance_csv(spark, sf), FIN_SCHEMA, out, "orc", spark=spark, scale=2)["ranked"]
+
+
+@register("job_format_filtered", f"SELECT id, income FROM ({_PERMISSIVE_SQL}) f WHERE has_debt")
+def job_format_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """M10: the filter pushed into the ORC scan."""
+    out = scratch_path(spark, "job_finances_orc")
+    return jobs.csv_to_format_ranking(stage_finance_csv(spark, sf), FIN_SCHEMA, out, "orc", spark=spark)["filtered"]
+
+
+@register(
+    "job_csv_reload",
+    f"""
+    SELECT 'permissive' AS load, id, has_debt, income FROM ({_PERMISSIVE_SQL}) f
+    UNION ALL
+    SELECT load, id, has_debt, income FROM ({_PERMISSIVE_SQL}) f, (VALUES ('strict'), ('reread')) AS l(load)
+    WHERE has_debt IS NOT NULL AND has_student_loans IS NOT NULL AND income IS NOT NULL
+    """,
+)
+def job_csv_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """M11: permissive and strict loads, and the strict one written by flag and read again."""
+    out = jobs.csv_load_repartition(spark, stage_finance_csv(spark, sf), FIN_SCHEMA, FIN_NAMES, scratch_path(spark, "job_finances_by_flag"))
+    parts = [
+        out[load].select(F.lit(load).alias("load"), F.col("id").cast("long").alias("id"), F.col("has_debt").cast("boolean").alias("has_debt"), F.col("income").cast("double").alias("income"))
+        for load in ("permissive", "strict", "reread")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register(
+    "job_document_store",
+    "SELECT c_name AS lastname, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS school, c_custkey AS studentno FROM customer",
+)
+def job_document_store(spark: SparkSession, sf: str) -> DataFrame:
+    """M13: sparse student documents appended to a collection and read back with their schema."""
+    key = F.col("c_custkey")
+    students = table(spark, sf, "customer").select(F.col("c_name").alias("lastname"), F.when(key % 2 == 0, F.col("c_mktsegment")).alias("school"), key.alias("studentno"))
+    return jobs.document_store(students, scratch_path(spark, "job_students"), students.schema)

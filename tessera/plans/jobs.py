@@ -86,10 +86,9 @@ def order_charge_profile(charges: DataFrame, out_path: str | None = None) -> dic
 
 def transaction_load(text_fields: DataFrame, *, scale: int | None = None) -> dict[str, DataFrame]:
     """M6: positional fields to typed transactions with every line accounted for, then counts and merchant totals."""
-    # The transaction file's field names and types.
-    names = ["txn_id", "created_time_str", "amount", "cust_id", "status", "merchant_id", "created_time_ist"]
-    types = ["long", "long", "double", "long", "int", "long", "string"]
-    good, rejects = typed_load(text_fields, types, names, ["txn_id", "created_time_str"])
+    from tessera.plans.transactions import NOT_NULL, TXN_NAMES, TYPED
+
+    good, rejects = typed_load(text_fields, TYPED, TXN_NAMES, NOT_NULL)
     total = F.sum(exact("amount", scale))
     typed = good.withColumn("created_time_ist", parse_timestamp("created_time_ist"))
     return {
@@ -151,7 +150,7 @@ def year_layout(orders: DataFrame, date_col: str, out_path: str) -> DataFrame:
     return orders.sparkSession.read.parquet(out_path)
 
 
-def csv_to_format_ranking(csv_path: str, schema, out_path: str, fmt: str = "orc", spark=None) -> dict[str, DataFrame]:
+def csv_to_format_ranking(csv_path: str, schema, out_path: str, fmt: str = "orc", spark=None, **window_opts) -> dict[str, DataFrame]:
     """M10: CSV with schema -> another format (ORC here; Avro where its module exists)
     -> pushed-down filter and income ranking per debt flag."""
     fin = read_csv(spark, csv_path, schema)
@@ -160,7 +159,7 @@ def csv_to_format_ranking(csv_path: str, schema, out_path: str, fmt: str = "orc"
     return {
         "csv_filtered": fin.select("id", "income", "has_debt").filter("has_debt = true").select("id", "income"),
         "filtered": back.select("id", "income", "has_debt").filter("has_debt = true").select("id", "income"),
-        "ranked": with_income_ranking(back, ["has_debt"], OrderSpec("income", True, ["id"]), "income"),
+        "ranked": with_income_ranking(back, ["has_debt"], OrderSpec("income", True, ["id"]), "income", **window_opts),
     }
 
 

@@ -25,6 +25,7 @@ from tessera.plans.standins import (
     demographics,
     finance_flags,
 )
+from tessera.sinks.layout import join_stored, write_bucketed
 
 _BASE = f"""
     SELECT c.c_custkey AS id, n.n_name AS country, c.c_acctbal < 0 AS negative_balance,
@@ -109,8 +110,32 @@ def scholarship_join_salted(spark: SparkSession, sf: str) -> DataFrame:
     """Filter both sides, then join with explicit salting of busy
     participants: every participant with more than 5 matching finance records
     is spread over 8 tasks (the demographics row is repeated per salt).
-    Filters go first because the salt (a random draw) stops the optimizer
-    from pushing predicates below it."""
+    Filters go first because the salt (a hash of the whole row) stops the
+    optimizer from pushing predicates below it."""
     fin = finance_flags(spark, sf).filter(in_need())
     demo = demographics(spark, sf).filter(in_country())
     return salted_join(fin, demo, ["id"], "inner", max_rows_per_key=5, salts=8)
+
+
+def stored_recipients(demo: DataFrame, fin: DataFrame, course: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Recipients from tables bucketed by participant, then with their course from tables bucketed by course.
+
+    Participants and finance records meet bucket by bucket, without an
+    exchange; re-keying by course is the one shuffle, paid in the write.
+    """
+    people, records = write_bucketed(demo, ["id"], name="participants"), write_bucketed(fin, ["id"], name="finance_flags")
+    recipients = join_stored(records.filter(in_need()), people.filter(in_country()), ["id"])
+    by_course = write_bucketed(recipients, ["course_id"], name="recipients")
+    return recipients, join_stored(by_course, write_bucketed(course, ["course_id"], name="courses"), ["course_id"])
+
+
+@register(
+    "scholarship_bucketed",
+    f"""
+    SELECT r.*, cn.n_name AS course_name
+    FROM ({_RECIPIENTS_SQL}) r JOIN nation cn ON r.course_id = cn.n_nationkey
+    """,
+)
+def scholarship_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Co-partitioned stored tables: no exchange on either side of either join."""
+    return stored_recipients(demographics(spark, sf), finance_flags(spark, sf), courses(spark, sf))[1]

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalar import parse_timestamp
 from tessera.operators import aggregates as agg
+from tessera.operators import sketches as sk
 from tessera.plans.registry import register
 from tessera.plans.standins import transactions
-from tessera.session import staged
+from tessera.session import materialize, staged
 from tessera.sinks.files import write_csv, write_text_lines
 from tessera.sources.files import fields_to_columns, load_audit, read_text_fields, typed_load
+from tessera.tables import table
 
 # The transaction file's field names and types.
 TXN_NAMES = ["txn_id", "created_time_str", "amount", "cust_id", "status", "merchant_id", "created_time_ist"]
@@ -147,3 +149,36 @@ def approx_distinct(spark: SparkSession, sf: str) -> DataFrame:
 @register("count_distinct_merchants", "SELECT count(DISTINCT l_suppkey) AS n_merchants FROM lineitem")
 def count_distinct_merchants(spark: SparkSession, sf: str) -> DataFrame:
     return agg.count_distinct(transactions(spark, sf), "merchant_id", "n_merchants")
+
+
+@register(
+    "approx_distinct_merged",
+    """
+    SELECT 'orders of a merchant' AS scope, CAST(l_suppkey AS VARCHAR) AS grp, count(DISTINCT l_orderkey) AS n_exact, true AS within_error, true AS merged_as_direct
+    FROM lineitem GROUP BY l_suppkey
+    UNION ALL SELECT 'orders', 'all', count(DISTINCT l_orderkey), true, true FROM lineitem
+    UNION ALL SELECT 'customers of a priority', o_orderpriority, count(DISTINCT o_custkey), true, true FROM orders GROUP BY o_orderpriority
+    UNION ALL SELECT 'customers', 'all', count(DISTINCT o_custkey), true, true FROM orders
+    """,
+)
+def approx_distinct_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored sketches merged upwards: merchant and month -> merchant -> all, priority and day -> priority -> all.
+
+    Each estimate is held against the exact count (four standard deviations)
+    and against the sketch of the group's own rows.
+    """
+    lines = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("grp"), F.trunc("l_shipdate", "month").alias("period"), F.col("l_orderkey").alias("v"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("grp"), F.to_date("o_orderdate").alias("period"), F.col("o_custkey").alias("v"))
+    out = None
+    for rows, fine, coarse in ((lines, "orders of a merchant", "orders"), (orders, "customers of a priority", "customers")):
+        stored = materialize(sk.sketch_by(rows, ["grp", "period"], "v"), "distinct_sketches")
+        by_group = materialize(sk.merge_sketches(stored, ["grp"]), "merged_sketches")
+        everything = rows.withColumn("grp", F.lit("all"))
+        for scope, merged, own in ((fine, by_group, rows), (coarse, sk.merge_sketches(by_group, []).withColumn("grp", F.lit("all")), everything)):
+            direct = sk.sketch_by(own, ["grp"], "v").select("grp", sk.estimated().alias("direct"))
+            exact = own.groupBy("grp").agg(F.count_distinct("v").alias("n_exact"))
+            got = merged.select("grp", sk.estimated().alias("estimate")).join(direct, "grp").join(exact, "grp")
+            near = F.abs(F.col("estimate") - F.col("n_exact")) <= F.ceil(F.col("n_exact") * sk.relative_error(deviations=4))
+            got = got.select(F.lit(scope).alias("scope"), "grp", "n_exact", near.alias("within_error"), (F.col("estimate") == F.col("direct")).alias("merged_as_direct"))
+            out = got if out is None else out.unionByName(got)
+    return out

@@ -85,6 +85,50 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.load(path)
 
 
+def read_records(spark: SparkSession, path: str, *, column: str = "record", raw: str = "line") -> DataFrame:
+    """JSON lines as VARIANT records, beside the line itself; a broken line's record is NULL (blank lines are left out).
+
+    No schema is needed, and a field keeps the type that each record gives it.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.try_parse_json("value").alias(column), F.col("value").alias(raw))
+
+
+def record_fields(records: DataFrame, fields: dict[str, str], column: str = "record") -> DataFrame:
+    """Typed columns from VARIANT records: name -> type; what a record lacks or can't be cast is NULL.
+
+    The type ``variant`` keeps the field as it is, whatever its type.
+    """
+    return records.select(*[F.try_variant_get(column, f"$['{name}']", kind).alias(name) for name, kind in fields.items()])
+
+
+def record_audit(records: DataFrame, column: str = "record") -> DataFrame:
+    """One row: lines, records, broken lines, and the schema all records share (``record_schema``, text).
+
+    One distributed aggregate.  A field whose type differs between records is
+    VARIANT in the schema.
+    """
+    known = F.col(column).isNotNull()
+    counts = [F.count(F.lit(1)).alias("n_lines"), F.count_if(known).alias("n_records"), F.count_if(~known).alias("n_broken")]
+    return records.agg(*counts, F.schema_of_variant_agg(column).alias("record_schema"))
+
+
+def load_new_files(
+    spark: SparkSession, folder: str, table_path: str, ledger: str, schema: StructType | str, *, sep: str = "|", header: bool = True
+) -> DataFrame:
+    """Take what has landed in a drop folder since the last call, and return all that was taken.
+
+    A file stream that runs until no new file is left: its checkpoint folder
+    (``ledger``) is the record of files already taken, and its sink commits a
+    batch as a whole.  So every file is loaded once, also if a call dies half
+    way and is made again.  All three folders must be shared by the cluster.
+    """
+    landed = spark.readStream.format("csv").schema(schema).option("sep", sep).option("header", header).load(folder)
+    stream = landed.writeStream.format("parquet").option("checkpointLocation", ledger).option("path", table_path).trigger(availableNow=True).start()
+    stream.awaitTermination()
+    return spark.read.parquet(table_path)
+
+
 def read_format(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None = None) -> DataFrame:
     """Any registered format by name (``orc``, ``avro`` when its module is present)."""
     reader = spark.read.format(fmt)
