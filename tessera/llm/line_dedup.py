@@ -10,13 +10,14 @@ level.
 from __future__ import annotations
 
 import hashlib
-import uuid
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, ship_package, shuffle_width, store
+from tessera.llm.common import ship_package, store
+from tessera.sinks.layout import bucket_count, write_bucketed
 
 #: White space that is stripped from both ends of a line.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -50,54 +51,42 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_
 
 
 class LineRuns:
-    """The levelled store.  ``add_batch`` takes ``(doc_id, key)`` rows, remembers new keys, returns the rows to drop."""
+    """The levelled store.  ``add_batch`` takes ``(doc_id, key)`` rows, remembers new keys, returns the rows to drop.
+
+    Runs are held as frames over stored, bucketed files; none leaves a name in
+    the catalog.  The number of buckets follows the shuffle width, within what
+    Spark allows.
+    """
 
     def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int | None = None):
-        self.spark, self.fanout = spark, fanout
-        self.buckets = buckets or shuffle_width(spark)
-        self.levels: list[list[str]] = [[]]
-
-    def _write_run(self, rows: DataFrame) -> str:
-        name = f"line_run_{uuid.uuid4().hex[:12]}"
-        (
-            rows.repartition(self.buckets, "key")
-            .write.bucketBy(self.buckets, "key").sortBy("key").format("parquet")
-            .option("path", scratch(self.spark, name)).saveAsTable(name)
-        )
-        return name
-
-    def _put(self, name: str, level: int = 0) -> None:
+        self.fanout, self.buckets = fanout, bucket_count(spark, buckets)
+        self.levels: list[list[DataFrame]] = [[]]
+
+    def _write_run(self, rows: DataFrame) -> DataFrame:
+        return write_bucketed(rows, ["key"], buckets=self.buckets, name="line_run")
+
+    def _put(self, run: DataFrame, level: int = 0) -> None:
         if level == len(self.levels):
             self.levels.append([])
-        self.levels[level].append(name)
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            merged = self.spark.table(runs[0])
-            for run in runs[1:]:
-                merged = merged.unionByName(self.spark.table(run))
-            self._put(self._write_run(merged), level + 1)
-            for run in runs:
-                self.spark.sql(f"DROP TABLE IF EXISTS {run}")
-
-    def runs(self) -> list[str]:
+            self._put(self._write_run(reduce(DataFrame.unionByName, runs)), level + 1)
+
+    def runs(self) -> list[DataFrame]:
         return [r for level in self.levels for r in level]
 
     def add_batch(self, rows: DataFrame) -> DataFrame:
         """Rows of this batch whose line goes: its key is in an older run, or a smaller doc_id of the batch holds it."""
         fresh = rows.groupBy("key").agg(F.min("doc_id").alias("owner"))
         for run in self.runs():
-            fresh = fresh.join(self.spark.table(run).select("key"), "key", "left_anti")
-        name = self._write_run(fresh)
-        own = self.spark.table(name).select("key", F.col("owner").alias("doc_id"))
+            fresh = fresh.join(run.select("key"), "key", "left_anti")
+        run = self._write_run(fresh)
+        own = run.select("key", F.col("owner").alias("doc_id"))
         drops = store(rows.join(own, ["key", "doc_id"], "left_anti"), "line-drops")
-        self._put(name)
+        self._put(run)
         return drops
 
-    def close(self) -> None:
-        """Forget the runs' names (the files lie in the shared checkpoint folder)."""
-        for run in self.runs():
-            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
-
 
 def dedup_lines(
     docs: DataFrame,
@@ -135,7 +124,6 @@ def dedup_lines(
             within &= F.col("doc_id") <= high
         found = runs.add_batch(keys.where(within))
         drops = found if drops is None else drops.unionByName(found)
-    runs.close()
     by_doc = drops.groupBy("doc_id").agg(F.collect_set("key").alias("gone"))
     picked: list[Column] = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c) for c in keep)]
     rows = docs.select(*picked)

@@ -121,8 +121,8 @@ def _sketch(size: int):
                     band.append(None)
                     odd.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(band, pa.list_(pa.int64())), pa.array(odd, pa.binary())],
-                ["doc_id", "n_shingles", "node", "bands", "odd"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(band, pa.list_(pa.int64())), pa.array(odd, pa.binary()), *batch.columns[2:]],
+                ["doc_id", "n_shingles", "node", "bands", "odd", *batch.schema.names[2:]],
             )
 
     return scan
@@ -242,9 +242,9 @@ def _layout(placed: DataFrame, block: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80, margin: float = 0.25, block: int = BLOCK
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80, margin: float = 0.25, block: int = BLOCK, mark: bool = False
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (with ``mark``: its text's xxhash64 too).
 
     Texts are linked if 100 * intersection >= ``percent`` * union of their sets
     of distinct ``shingle_words``-word shingles (a shorter text is one shingle
@@ -261,7 +261,9 @@ def near_duplicates(
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketches = store(rows.mapInArrow(_sketch(shingle_words), "doc_id long, n_shingles long, node long, bands array<bigint>, odd binary"), "sketches")
+    marked = rows.withColumn("mark", F.xxhash64("text")) if mark else rows
+    schema = "doc_id long, n_shingles long, node long, bands array<bigint>, odd binary" + ", mark long" * mark
+    sketches = store(marked.mapInArrow(_sketch(shingle_words), schema), "sketches")
     classes = store(sketches.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes")
     # One row per class: the row of its smallest id (repeated rows may give several equal ones).
     one = sketches.join(classes.withColumnRenamed("first_id", "doc_id"), ["node", "doc_id"]).select("node", "doc_id", "bands", "odd")
@@ -292,6 +294,6 @@ def near_duplicates(
     rooted = store(rooted, "roots")
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     rooted = rooted.join(smallest, "root").select("node", "component_id")
-    out = sketches.select("doc_id", "n_shingles", "node").join(rooted, "node", "left")
+    out = sketches.select("doc_id", "n_shingles", "node", *["mark"] * mark).join(rooted, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), *["mark"] * mark)

@@ -20,6 +20,8 @@ from tessera.llm.text import text_bytes
 CLASSES, WIDTH, FILTERS, STRIDE, HIDDEN = 64, 6, 32, 2, 16
 #: Positions per pooling block; a chunk is two neighbouring blocks (256 bytes, every 128 bytes).
 BLOCK = 64
+#: Pooling blocks handled by one numpy step.
+SLICE_BLOCKS = 2048
 #: Bound of the training sample: rows per label.
 SAMPLE_PER_LABEL = 1500
 THRESHOLD = 0.3
@@ -47,8 +49,8 @@ def blocks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     step = BLOCK * STRIDE
     n_blocks = -(-(lens + WIDTH - STRIDE) // step)  # the windows that reach past a text's last block hold padding only
     out = np.zeros(int(n_blocks.sum()) * step + WIDTH, dtype=np.uint8)
-    at = (np.cumsum(n_blocks) - n_blocks) * step
-    out[np.arange(len(data)) + np.repeat(at - offsets[:-1], lens)] = BYTE_CLASS[data]
+    for at, first, size in zip(((np.cumsum(n_blocks) - n_blocks) * step).tolist(), offsets[:-1].tolist(), lens.tolist(), strict=True):
+        out[at : at + size] = BYTE_CLASS[data[first : first + size]]
     return out, n_blocks
 
 
@@ -76,15 +78,21 @@ class ByteConvNet:
     def pooled(self, classes: np.ndarray, n_blocks: np.ndarray, tables=None, where: bool = False):
         """Largest response of every filter in each block (and its place)."""
         tables = tables or self.tables()
-        pair = classes[:-1].astype(np.int32) * CLASSES + classes[1:]
-        n = int(n_blocks.sum())
-        m = n * BLOCK
-        r = tables[0][pair[0 : STRIDE * m : STRIDE]]
-        r += tables[1][pair[2 : 2 + STRIDE * m : STRIDE]]
-        r += tables[2][pair[4 : 4 + STRIDE * m : STRIDE]]
-        r = r.reshape(n, BLOCK, FILTERS)
-        r[np.cumsum(n_blocks) - 1, BLOCK - (WIDTH - STRIDE) // STRIDE :] = -np.inf  # they reach into the next text
-        return (r.max(axis=1), r.argmax(axis=1)) if where else r.max(axis=1)
+        n, last = int(n_blocks.sum()), np.cumsum(n_blocks) - 1
+        top, place = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.int64) if where else None
+        for a in range(0, n, SLICE_BLOCKS):  # a long text's responses are never held whole
+            b = min(n, a + SLICE_BLOCKS)
+            own, m = classes[a * BLOCK * STRIDE : b * BLOCK * STRIDE + WIDTH], (b - a) * BLOCK
+            pair = own[:-1].astype(np.int32) * CLASSES + own[1:]
+            r = tables[0][pair[0 : STRIDE * m : STRIDE]]
+            r += tables[1][pair[2 : 2 + STRIDE * m : STRIDE]]
+            r += tables[2][pair[4 : 4 + STRIDE * m : STRIDE]]
+            r = r.reshape(b - a, BLOCK, FILTERS)
+            r[last[(last >= a) & (last < b)] - a, BLOCK - (WIDTH - STRIDE) // STRIDE :] = -np.inf  # they reach into the next text
+            top[a:b] = r.max(axis=1)
+            if where:
+                place[a:b] = r.argmax(axis=1)
+        return (top, place) if where else top
 
     def forward(self, block_max: np.ndarray, n_blocks: np.ndarray):
         """Probability logits per text and what the gradient needs."""
@@ -153,14 +161,18 @@ class ByteConvNet:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = SAMPLE_PER_LABEL) -> ByteConvNet:
-    """Train on at most ``per_label`` rows of each label whose crc32(doc_id as text) mod 5 is not 0."""
+    """Train on at most ``per_label`` rows of each label whose crc32(doc_id as text) mod 5 is not 0.
+
+    Where rows share an id, the text of least MD5 stands for it, so the sample is the same in every run.
+    """
     known = labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("y")).where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
     known = known.where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0)
     rank = F.xxhash64("id")
     pick = known.where("y = 1").orderBy(rank, "id").limit(per_label).unionByName(known.where("y = 0").orderBy(rank, "id").limit(per_label))
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(pick), "id")
-    sample = sorted({(r["id"], r["text"] or "", r["y"]) for r in rows.limit(4 * per_label).collect()})
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(pick), "id")
+    one = rows.groupBy("id", "y").agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text"))
+    sample = sorted((r["id"], r["text"], r["y"]) for r in one.collect())
     net, y = ByteConvNet(), np.array([r[2] for r in sample], dtype=np.float32)
     net.fit([r[1].encode() for r in sample], y)
     if net.constant is None:  # from the sample's share of labels to that of all labels

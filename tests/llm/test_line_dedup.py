@@ -57,9 +57,26 @@ def test_runs_are_disjoint_and_compacted(spark):
         rows = [(b * 10 + i, f"common line {i % 4} of batch {b % 2}") for i in range(8)]
         runs.add_batch(line_keys(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]  # 5 = 1 + 4 batches
-    held = [r.key for name in runs.runs() for r in spark.table(name).collect()]
+    held = [r.key for run in runs.runs() for r in run.collect()]
     assert len(held) == len(set(held)) == 8
-    runs.close()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
+
+
+def test_a_shuffle_width_beyond_what_buckets_allow(spark):
+    """At 400,000 shuffle partitions the runs take the 100,000 buckets that Spark allows (held to 8 here to write them)."""
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "400000")
+        assert LineRuns(spark).buckets == 100_000
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "8")
+        runs = LineRuns(spark)
+        rows = spark.createDataFrame([(1, "a line of text"), (2, "a line of text")], "doc_id long, text string")
+        keys = line_keys(rows, "doc_id", "text").coalesce(1)
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        assert runs.buckets == 8 and [r.doc_id for r in runs.add_batch(keys).collect()] == [2]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
 
 
 def test_query_against_its_sql(spark):

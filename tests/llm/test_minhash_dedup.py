@@ -79,3 +79,11 @@ def test_shingle_sets_have_the_right_sizes():
 def test_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert found(queries.queries()["op2_minhash_near_dedup"](spark, SF_SMALL)) == brute(rows, 2)
+
+
+def test_marks_tell_rows_of_one_id_apart(spark):
+    text, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    df = near_duplicates(spark.createDataFrame([(1, text), (2, text), (2, other), (None, text)], "doc_id long, text string"), mark=True)
+    marks = {t: spark.createDataFrame([(t,)], "t string").selectExpr("xxhash64(t)").first()[0] for t in (text, other)}
+    got = sorted(((r.doc_id, r.mark, r.kept) for r in df.collect()), key=str)
+    assert got == sorted([(1, marks[text], True), (2, marks[text], False), (2, marks[other], True), (None, marks[text], True)], key=str)

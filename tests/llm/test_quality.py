@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import queries
-from tessera.llm.quality import BLOCK, STRIDE, ByteConvNet, blocks, fit_quality, score_quality
+from tessera.llm.quality import BLOCK, BYTE_CLASS, STRIDE, WIDTH, ByteConvNet, blocks, fit_quality, score_quality
 from tests.conftest import SF_ORACLE
 from tests.llm.helpers import DOCS, odd_rows, with_clashes
 
@@ -88,3 +88,49 @@ def test_held_out_accuracy_of_the_query(spark):
     held = [(got[x.doc_id].predicted, x.quality) for x in labels if got[x.doc_id].held_out]
     assert len(held) > 40 and np.mean([p == q for p, q in held]) > 0.93
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in got.items())
+
+
+def plain_score(net, text):
+    """The network written out position by position."""
+    data = text.encode()
+    step, n = BLOCK * STRIDE, -(-(len(data) + WIDTH - STRIDE) // (BLOCK * STRIDE))
+    classes = [int(BYTE_CLASS[b]) for b in data] + [0] * (n * step + WIDTH - len(data))
+    pooled = []
+    for block in range(n):
+        places = BLOCK - (WIDTH - STRIDE) // STRIDE if block == n - 1 else BLOCK
+        found = [sum(net.conv[j, classes[block * step + p * STRIDE + j]].astype(float) for j in range(WIDTH)) for p in range(places)]
+        pooled.append(np.maximum(np.max(found, axis=0) + net.bias, 0))
+    chunks = [np.maximum(pooled[i], pooled[min(i + 1, n - 1)]) for i in range(n)]
+    x = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)])
+    z = np.tanh(x @ net.w1.astype(float) + net.b1)
+    return 1 / (1 + np.exp(-(z @ net.w2.astype(float) + net.b2[0] + net.shift)))
+
+
+def test_scores_equal_the_plain_forward_pass():
+    rng = random.Random(5)
+    net = ByteConvNet(4)
+    net.shift = 0.3
+    texts = ["", "a", "é!", "x" * 124, "y" * 125, "z" * 128, *("".join(rng.choice("abc XYZ#,.\n19é") for _ in range(rng.randrange(1, 900))) for _ in range(20))]
+    assert net.score(*joined(texts)) == pytest.approx([plain_score(net, t) for t in texts], abs=1e-5)
+
+
+def test_a_very_long_text_needs_bounded_memory():
+    import tracemalloc
+
+    net, text = ByteConvNet(), "some words of a text, " * 800_000  # 17.6 MB
+    data, offsets = joined([text])
+    tables = net.tables()
+    tracemalloc.start()
+    score = net.score(data, offsets, tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < score[0] < 1 and peak < 300e6
+
+
+def test_rows_that_share_an_id_give_one_sample(spark):
+    rows, labels = toy(60)
+    labels = spark.createDataFrame(labels, LABELS)
+    more = rows + [(d, f"other {t}", *rest) for d, t, *rest in rows for _ in range(6)]
+    a = fit_quality(spark.createDataFrame(more, DOCS).repartition(7), labels)
+    b = fit_quality(spark.createDataFrame(more[::-1], DOCS).repartition(3), labels)
+    assert all((x == y).all() for x, y in zip(a.params(), b.params(), strict=True))
