@@ -36,19 +36,32 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     shorter lines.  ``n_chars`` is the length of the new text.
     """
     marked = docs.withColumn("whole", F.unhex(F.md5(F.col("text").cast("binary"))))
-    first = marked.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = marked.select("doc_id", "whole").join(first, "whole").where("doc_id > first").select("doc_id", "whole", F.lit(True).alias("copy")).distinct()
-    copies = store(copies, "line-copies")  # of known size, so that a short list is not joined by a shuffle of the texts
+    first = marked.groupBy("whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("whole", "first")
+    first = store(first, "line-first")  # a row per repeated text, however many copies it has
+    copies = marked.select("doc_id", "whole").join(first, "whole").where("doc_id > first").select("doc_id", "whole")
+    copies = store(copies, "line-copies").distinct().withColumn("copy", F.lit(True))
+    copies = store(copies, "line-copy-ids")  # of known size, so that a short list is not joined by a shuffle of the texts
     out = dedup_lines(marked, keep=("lang", "source", "whole")).join(copies, ["doc_id", "whole"], "left")
     out = out.where(~F.col("emptied") | (F.col("copy").isNull() & F.col("text").rlike(r"[^ \t\n\x0B\f\r]")))
     return out.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of every group of near-duplicates (five-word shingles, similarity 0.8)."""
-    gone = near_duplicates(docs, shingle_words=5, percent=80).where("not kept").select("doc_id").distinct()
-    gone = store(gone, "near-duplicates")  # of known size, so that a short list is not joined by a shuffle of the texts
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keep one document of every group of near-duplicates (five-word shingles, similarity 0.8): the smallest doc_id.
+
+    Rows are told apart by id and text, so another text under the id of a copy
+    stays; rows alike in both are one document.  Rows without id all stay.
+    """
+    near = store(near_duplicates(docs, shingle_words=5, percent=80, mark=True).select("doc_id", "mark", "kept"), "near-duplicates")
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    # Stored, so that their size is known and the texts are not shuffled for a short list.
+    gone = store(near.where("not kept").select("doc_id", "mark").distinct(), "near-gone")
+    left = marked.join(gone, ["doc_id", "mark"], "left_anti")
+    again = store(near.where("kept and doc_id is not null").groupBy("doc_id", "mark").count().where("count > 1").drop("count"), "near-again")
+    if not again.isEmpty():
+        once = left.join(again, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+        left = left.join(again, ["doc_id", "mark"], "left_anti").unionByName(once)
+    return left.select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
