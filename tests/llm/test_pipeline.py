@@ -53,6 +53,16 @@ def test_short_lines_of_a_document_stay_when_its_long_ones_go(spark):
     assert sorted((tuple(r) for r in got), key=str) == sorted(((i, t, len(t)) for i, t in want), key=str)
 
 
+def test_near_dedup_drops_texts_not_ids(spark):
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    near = text.replace("w30", "x")
+    rows = [(1, text), (2, text), (2, other), (3, near), (4, other), (5, "alone"), (5, "alone"), (None, text), (None, None), (6, None), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = corpus_pipeline.near_dedup_stage(spark, docs, "").select("doc_id", "text").collect()
+    want = [(1, text), (2, other), (5, "alone"), (None, text), (None, None), (6, None)]
+    assert sorted((tuple(r) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_run_gives_the_last_stage(spark):
     df = corpus_pipeline.run(spark, SF_ORACLE)
     assert {"doc_id", "text", "pass", "block", "slot"} <= set(df.columns) and df.count() > 0
