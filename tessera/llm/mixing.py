@@ -11,12 +11,16 @@ the last block.  DataFrame functions only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import store
 
-STEPS = 40  # halvings of the exponent's range
+STEPS, HALVINGS = 40, 8  # halvings of the exponent's range, in all and by one job
+EXACT = "decimal(38,18)"
+SLICE_BITS = 10  # the blocks of a source are summed up in slices by the leading bits of their order
 BLOCK_TOKENS = 1_000_000
 DIGITS = 6  # decimals of the exponent and the weights, so that equal inputs give equal mixes everywhere
 
@@ -35,28 +39,35 @@ def _pow(x: Column, a: Column) -> Column:
     return F.exp(a * F.ln(x))
 
 
-def _total(groups: str, of) -> Column:
-    """Sum over (tokens, sources that have as many)."""
-    return F.aggregate(groups, F.lit(0.0), lambda acc, g: acc + of(g))
-
-
-def _entropy(groups: str, a: Column, all_tokens: Column) -> Column:
-    p = lambda g: _pow(g["tokens"] / all_tokens, a)
-    z = _total(groups, lambda g: g["sources"] * p(g))
-    return F.ln(z) - _total(groups, lambda g: g["sources"] * p(g) * a * F.ln(g["tokens"] / all_tokens)) / z
+def _exponents(groups: DataFrame, exponents: Column, all_tokens: Column) -> DataFrame:
+    """``i, a, z, entropy`` for every ``(i, a)`` of the array ``exponents``: what the sources' shares to the power ``a`` add up to, and the entropy of the mix.
 
+    One partial aggregate over ``groups (tokens, sources)``.  Terms are added
+    up as decimals, so that the order of addition doesn't matter.
+    """
+    wide = groups.select("tokens", "sources", F.explode(exponents).alias("x")).select("tokens", "sources", "x.i", "x.a")
+    log = F.ln(F.col("tokens") / all_tokens)
+    term = F.col("sources") * F.exp(F.col("a") * log)
+    sums = wide.groupBy("i", "a").agg(F.sum(term.cast(EXACT)).cast("double").alias("z"), F.sum((term * log).cast(EXACT)).cast("double").alias("e"))
+    return sums.select("i", "a", "z", (F.ln("z") - F.col("a") * F.col("e") / F.col("z")).alias("entropy"))
 
-def _bisect(ok) -> Column:
-    """The exponent at which ``ok`` (true from 0 on) stops to hold, by halving; 1 if it holds there."""
-    steps = F.sequence(F.lit(1), F.lit(STEPS))
-    start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
 
-    def halve(acc, _):
-        mid = (acc["lo"] + acc["hi"]) / 2
-        good = ok(mid)
-        return F.struct(F.when(good, mid).otherwise(acc["lo"]).alias("lo"), F.when(good, acc["hi"]).otherwise(mid).alias("hi"))
+def _largest_exponent(groups: DataFrame, all_tokens: Column, least: float) -> float:
+    """The largest exponent up to 1 at which the entropy is at least ``least`` (it falls as the exponent rises).
 
-    return F.when(ok(F.lit(1.0)), F.lit(1.0)).otherwise(F.aggregate(steps, start, halve, lambda acc: acc["lo"]))
+    The range is halved ``HALVINGS`` times a job: the points of all these
+    halvings are evaluated at once, and one number comes back.
+    """
+    cuts = 1 << HALVINGS
+    low, width = 0.0, 1.0
+    for _ in range(0, STEPS, HALVINGS):
+        width /= cuts
+        point = lambda i: F.struct(i.alias("i"), (F.lit(low) + i * F.lit(width)).alias("a"))  # noqa: E731, B023
+        points = F.transform(F.sequence(F.lit(1), F.lit(cuts)), point)
+        low += (_exponents(groups, points, all_tokens).where(F.col("entropy") >= least).agg(F.max("i")).first()[0] or 0) * width
+        if low >= 1.0:
+            return 1.0
+    return low
 
 
 def source_plan(
@@ -72,22 +83,19 @@ def source_plan(
     exactly one pass.  A source without tokens has weight 0 and one pass.
     """
     per = store(tokens.groupBy("source").agg(F.sum("n_tokens").alias("tokens")), "mix-sources")
-    groups = per.where("tokens > 0").groupBy("tokens").agg(F.count("*").alias("sources"))
-    # Sources enter as counts per distinct size: one row whatever the documents.
-    one = groups.agg(
-        F.array_sort(F.collect_list(F.struct("tokens", "sources"))).alias("g"),
-        F.sum(F.col("tokens") * F.col("sources")).cast("double").alias("all"),
-        F.sum("sources").alias("n"), F.max("tokens").alias("most"), F.min("tokens").alias("fewest"),
-    )
-    flat = lambda a: _entropy("g", a, F.col("all")) >= target_entropy * F.ln("n")
-    by_entropy = _bisect(flat)
-    # (most / fewest) ** (1 - a) passes of the smallest source for one pass of the largest.
-    spread = F.ln(F.col("most") / F.col("fewest"))
-    by_passes = F.when(spread <= F.log(F.lit(float(max_passes))), F.lit(0.0)).otherwise(1.0 - F.log(F.lit(float(max_passes))) / spread)
-    one = one.select("g", "all", "most", F.round(F.greatest(by_entropy, by_passes), DIGITS).alias("exponent"))
-    one = one.withColumn("z", _total("g", lambda g: g["sources"] * _pow(g["tokens"] / F.col("all"), F.col("exponent")))).drop("g")
-    found = one.select("all", "most", "exponent", "z").first()  # four numbers
-    whole, most, exponent, z = (F.lit(float(x or 1)) for x in (found["all"], found["most"], found["exponent"], found["z"]))
+    # Sources enter as counts per distinct size; the list of sizes stays a table.
+    groups = store(per.where("tokens > 0").groupBy("tokens").agg(F.count("*").alias("sources")), "mix-sizes")
+    sums = F.sum(F.col("tokens") * F.col("sources")), F.coalesce(F.sum("sources"), F.lit(0)), F.max("tokens"), F.min("tokens")
+    all_tokens, n, top, bottom = groups.agg(*sums).first()  # four numbers
+    whole, most, exponent, z = F.lit(float(all_tokens or 1)), F.lit(float(top or 1)), F.lit(1.0), F.lit(1.0)
+    if n:
+        by_entropy = _largest_exponent(groups, whole, target_entropy * math.log(n))
+        # (most / fewest) ** (1 - a) passes of the smallest source for one pass of the largest.
+        spread = math.log(top / bottom)
+        by_passes = 0.0 if spread <= math.log(max_passes) else 1.0 - math.log(max_passes) / spread
+        point = F.struct(F.lit(1).alias("i"), F.round(F.lit(max(by_entropy, by_passes)), DIGITS).alias("a"))
+        found = _exponents(groups, F.array(point), whole).first()
+        exponent, z = F.lit(found["a"]), F.lit(found["z"])
 
     least = most / (_pow(most / whole, exponent) / z)
     planned = per
@@ -132,8 +140,14 @@ def mix_sources(
     last = F.col("full_passes")
     order = hash_number(F.lit(seed), F.lit("block"), last, name, F.col("home"))
     per_block = wide.where("rest > 0").groupBy("source", "home", "full_passes", "rest").agg(F.sum("n_tokens").alias("n"))
-    before = Window.partitionBy("source").orderBy(order, "home").rowsBetween(Window.unboundedPreceding, -1)
+    per_block = store(per_block.withColumn("order", order).withColumn("slice", F.shiftright("order", 60 - SLICE_BITS)), "mix-last-pass")
+    # Tokens before a block: those of the slices before its own, then those before it in its slice.
+    above = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = per_block.groupBy("source", "slice").agg(F.sum("n").alias("n")).select("source", "slice", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("above"))
+    before = Window.partitionBy("source", "slice").orderBy("order", "home").rowsBetween(Window.unboundedPreceding, -1)
     per_block = per_block.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    per_block = per_block.alias("b").join(slices.alias("s"), F.expr("b.source <=> s.source and b.slice = s.slice"))
+    per_block = per_block.select("b.source", "home", "rest", "n", (F.col("before") + F.col("above")).alias("before"))
     taken = store(per_block.where("before < rest").select("source", "home", (F.col("rest") - F.col("before")).alias("left"), "n"), "mix-blocks")
 
     part = wide.where("rest > 0").alias("w").join(taken.alias("t"), F.expr("w.source <=> t.source and w.home = t.home")).select("w.*", "left", "n")

@@ -39,6 +39,31 @@ def test_exponent_meets_the_target_entropy(spark):
     assert a == pytest.approx(math.log(got["b"].weight / got["hot"].weight) / math.log(1200 / 6000), abs=1e-3)
 
 
+@pytest.mark.parametrize("target", [0.9, 0.97, 0.999])
+def test_exponent_against_plain_bisection(spark, target):
+    """Thousands of sources, many of them alike in size: the exponent is what plain halving gives."""
+    rng = random.Random(8)
+    sizes = [int(rng.paretovariate(0.7) * 10) + 1 for _ in range(3000)]
+    got = plan(spark, {f"s{i}": n for i, n in enumerate(sizes)}, target_entropy=target, max_passes=1e12)
+    lo, hi, total = 0.0, 1.0, sum(sizes)
+    for _ in range(40):
+        a = (lo + hi) / 2
+        z = math.fsum((n / total) ** a for n in sizes)
+        lo, hi = (a, hi) if entropy([(n / total) ** a / z for n in sizes]) >= target * math.log(len(sizes)) else (lo, a)
+    most = max(sizes)
+    for i, n in enumerate(sizes):
+        assert got[f"s{i}"].budget == pytest.approx(most * (n / most) ** round(lo, 6), abs=0.51)
+
+
+def test_last_pass_of_many_blocks_takes_them_in_order(spark):
+    """Blocks of one document, over many slices of the order: the budget is met by a prefix of the permutation."""
+    rows = [(i, "w", "en", "big", 0) for i in range(900)] + [(2000 + i, "w", "en", "small", 0) for i in range(500)]
+    got = mix_sources(spark.createDataFrame(rows, DOCS), block_tokens=1, target_entropy=1.0, max_passes=3.0).where("source = 'small'").collect()
+    per = {r.doc_id for r in got if r["pass"] == 0}
+    last = {r.doc_id for r in got if r["pass"] == 1}
+    assert len(per) == 500 and len(last) == pytest.approx(400, abs=5) and last < per
+
+
 def test_repetitions_are_limited(spark):
     got = plan(spark, {"hot": 100000, "tiny": 100}, target_entropy=1.0, max_passes=3.0)
     assert got["tiny"].budget == pytest.approx(300, abs=2)
