@@ -33,29 +33,84 @@ BLANK_LINE = re.compile(rb"\n[ \t\r]*\n")
 #: Words that are taken last when texts are picked by a template's words.
 COMMON = frozenset(b"a an and any are as at by do following for from in is it may not of on or that the this to under use with without work you".split())
 
-# Customary licence notices (public texts), by SPDX-like id.
-TEMPLATES: dict[str, tuple[str, ...]] = {
+# Customary licence notices and paragraphs of licence texts (public texts), by SPDX-like id.
+NOTICES: dict[str, tuple[str, ...]] = {
     "mit": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "See the License for the specific language governing permissions and limitations under the License.",
+        "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+    ),
+    "gpl-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+    ),
+    "lgpl-2.1": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",),
+    "lgpl-3.0": ("This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "agpl-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software.",
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    "epl-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",),
+    "bsd": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    "bsd-3-clause": ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",),
+    "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
+    "zlib": ("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",),
+    "bsl-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "cc-by-4.0": (
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ),
+    "cc-by-nc-4.0": (
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ),
+    "cc-by-sa-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    "cc0-1.0": (
+        "This work is dedicated to the public domain under CC0 1.0.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ),
-    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",),
-    "cc-by-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "cc-by-sa-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "cc0-1.0": ("This work is dedicated to the public domain under CC0 1.0.",),
     "all-rights-reserved": ("All rights reserved.",),
 }
+# The identifiers that source headers name a licence by.
+IDENTIFIERS: dict[str, tuple[str, ...]] = {
+    "mit": ("MIT",), "apache-2.0": ("Apache-2.0",), "mpl-2.0": ("MPL-2.0",), "epl-2.0": ("EPL-2.0",),
+    "gpl-2.0": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"), "gpl-3.0": ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "lgpl-2.1": ("LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"), "lgpl-3.0": ("LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "agpl-3.0": ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"), "bsd": ("BSD-2-Clause",), "bsd-3-clause": ("BSD-3-Clause",),
+    "isc": ("ISC",), "zlib": ("Zlib",), "bsl-1.0": ("BSL-1.0",), "unlicense": ("Unlicense",),
+    "cc-by-4.0": ("CC-BY-4.0",), "cc-by-nc-4.0": ("CC-BY-NC-4.0",), "cc-by-sa-4.0": ("CC-BY-SA-4.0",), "cc0-1.0": ("CC0-1.0",),
+}
+TAG = "SPDX-License-Identifier:"
+TEMPLATES: dict[str, tuple[str, ...]] = {name: texts + tuple(f"{TAG} {x}" for x in IDENTIFIERS.get(name, ())) for name, texts in NOTICES.items()}
 
 # Words that tell sibling licences apart, by a word of their template: a match has one of each group that the template has, and none of the others.
 SIBLINGS: tuple[tuple[frozenset[bytes], tuple[frozenset[bytes], ...]], ...] = (
@@ -74,6 +129,9 @@ def telling(name: str, words: set[bytes]) -> tuple[tuple[frozenset[bytes], ...],
             never = never.union(*[g for g in groups if not g & words])
     if (m := VERSION.search(name)) and m.group(1).encode() in words:
         need.append(frozenset([m.group(1).encode()]))
+    tag = frozenset(WORD.findall(TAG.encode().lower()))
+    if tag <= words:  # the tag alone reaches the dice of a short identifier
+        need += [frozenset([w]) for w in sorted(words - tag)]
     return tuple(need), never
 
 

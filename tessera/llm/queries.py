@@ -11,7 +11,7 @@ from tessera.llm.chat_format import NAMED, ROLES, chat_digests, format_chats, re
 from tessera.llm.common import ship_package
 from tessera.llm.decontaminate import find_contamination
 from tessera.llm.filter_audit import audit_filters
-from tessera.llm.licenses import TEMPLATES, license_report
+from tessera.llm.licenses import TEMPLATES, WORD, license_report, telling
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.lm_score import score_texts
 from tessera.llm.minhash_dedup import near_duplicates
@@ -85,18 +85,22 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
-def _text_rows(rows) -> str:
+def _license_rows() -> str:
+    """(license, variant, text, need, never): a chosen match has a word of every list in need, and none of never."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    return ", ".join(f"({quoted(name)}, {i}, {quoted(text)})" for name, i, text in rows)
-
-
-_LICENSE_ROWS = _text_rows((name, i, text) for name, texts in TEMPLATES.items() for i, text in enumerate(texts))
+    listed = lambda words: "[" + ", ".join(quoted(w.decode()) for w in sorted(words)) + "]::VARCHAR[]"
+    out = []
+    for name, texts in TEMPLATES.items():
+        for i, text in enumerate(texts):
+            need, never = telling(name, set(WORD.findall(text.encode().lower())))
+            out.append(f"({quoted(name)}, {i}, {quoted(text)}, [{', '.join(map(listed, need))}]::VARCHAR[][], {listed(never)})")
+    return ", ".join(out)
 
 
 @_query(
     "op4_license_scan",
     rf"""
-    WITH templates(license, variant, text) AS (VALUES {_LICENSE_ROWS}),
+    WITH templates(license, variant, text, need, never) AS (VALUES {_license_rows()}),
     segments AS (
       SELECT doc_id, 'line' AS kind, unnest(range(len(p))) AS pos, unnest(p) AS segment
       FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)
@@ -108,15 +112,21 @@ _LICENSE_ROWS = _text_rows((name, i, text) for name, texts in TEMPLATES.items()
     worded AS (
       SELECT *, regexp_extract_all(translate(segment, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM segments),
     grams AS (
-      SELECT doc_id, kind, pos, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM worded WHERE len(w) > 0),
+      SELECT doc_id, kind, pos, w, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM worded WHERE len(w) > 0),
     known AS (
-      SELECT license, variant, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS t
-      FROM (SELECT license, variant, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM templates)),
+      SELECT license, variant, need, never, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS t
+      FROM (SELECT license, variant, need, never, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM templates)),
     hits AS (
-      SELECT doc_id, kind, pos, license, max(round(2.0 * len(list_intersect(g, t)) / (len(g) + len(t)), 6)::DOUBLE) AS dice
-      FROM grams, known WHERE 2 * len(list_intersect(g, t)) >= 0.8 * (len(g) + len(t)) GROUP BY ALL),
+      SELECT doc_id, kind, pos, license, 2.0 * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice,
+             len(list_filter(need, lambda x: NOT list_has_any(x, w))) = 0 AND NOT list_has_any(never, w) AS told
+      FROM grams, known
+      WHERE 3 * len(g) >= 2 * len(t) AND 2 * len(g) <= 3 * len(t) AND 2 * len(list_intersect(g, t)) >= 0.8 * (len(g) + len(t))),
+    best AS (
+      SELECT doc_id, kind, pos, license, round(max(dice), 6)::DOUBLE AS dice, max(dice) FILTER (told) AS told FROM hits GROUP BY ALL),
+    chosen AS (
+      SELECT * FROM best WHERE told IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, kind, pos ORDER BY told DESC, license) = 1),
     found AS (
-      SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice FROM hits GROUP BY doc_id)
+      SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice FROM chosen GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, coalesce(best_dice, 0.0)::DOUBLE AS best_dice
     FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
     """,

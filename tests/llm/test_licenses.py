@@ -82,6 +82,42 @@ def test_siblings_are_told_apart(spark):
         assert (got[100 + i].licenses, got[100 + i].n_matches) == (want, int(bool(want))), i
 
 
+def test_identifiers_of_source_headers(spark):
+    texts = {
+        1: ("// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", "gpl-2.0"), 2: ("# SPDX-License-Identifier: LGPL-2.1-only", "lgpl-2.1"), 3: ("/* SPDX-License-Identifier: MIT */", "mit"),
+        4: ("SPDX-License-Identifier: Foo-1.0", ""), 5: ("the SPDX-License-Identifier: line of a header", ""), 6: ("SPDX-License-Identifier: CC-BY-NC-4.0", "cc-by-nc-4.0"),
+        7: ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"), 8: ("SPDX-License-Identifier: AGPL-3.0-only", "agpl-3.0"), 9: ("SPDX-License-Identifier: GPL-9.0", ""),
+    }
+    got = {r.doc_id: r.licenses for r in license_report(spark.createDataFrame([(i, t, "en", "s", 0) for i, (t, _) in texts.items()], DOCS)).collect()}
+    assert got == {i: want for i, (_, want) in texts.items()}
+
+
+def test_versions_of_the_same_notice(spark):
+    notice = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    texts = {1: (("program", "", 2), "gpl-2.0"), 2: (("program", "", 3), "gpl-3.0"), 3: (("library", "Lesser ", 2.1), "lgpl-2.1"), 4: (("program", "Lesser ", 3), "lgpl-3.0"), 5: (("program", "Affero ", 3), "agpl-3.0")}
+    rows = [(i, notice.format(*x), "en", "s", 0) for i, (x, _) in texts.items()]
+    rows += [(10 + i, "\n".join(" * " + " ".join(t.split()[k : k + 8]) for k in range(0, 60, 8)), *rest) for i, t, *rest in rows]
+    got = {r.doc_id: r.licenses for r in license_report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {k + i: want for i, (_, want) in texts.items() for k in (0, 10)}
+
+
+def test_siblings_against_the_sql(spark, tmp_dir):
+    """Lines and paragraphs in which several licences reach the threshold: the SQL states which one is chosen."""
+    rows = [(10 * i + j, f"first line\n{x}\n\nlast line", "en", "s", 0) for i, (_, texts) in enumerate(TEMPLATES.items()) for j, x in enumerate(texts)]
+    rows += [(1000 + d, t.replace("version 2 ", "version 4 ").replace("License", "Licence", 1).replace("4.0", "3.0"), *rest) for d, t, *rest in rows]
+    spark.createDataFrame(rows, DOCS).coalesce(1).write.parquet(f"{tmp_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_dir}/documents.parquet/*.parquet'")
+    want = con.execute(queries.oracle_sql()["op4_license_scan"]).df().sort_values("doc_id", ignore_index=True)
+    whole = find_licenses(spark.read.parquet(f"{tmp_dir}/documents.parquet")).where("chosen and kind <> 'part'").groupBy("doc_id").count().collect()
+    got = queries.queries()["op4_license_scan"](spark, tmp_dir).toPandas().sort_values("doc_id", ignore_index=True)
+    counts = {r.doc_id: r["count"] for r in whole}
+    assert [counts.get(d, 0) for d in want.doc_id] == list(want.n_matches)
+    same = got.n_matches == want.n_matches  # others hold embedded notices besides, which the SQL doesn't search
+    pd.testing.assert_frame_equal(got[same][list(want.columns)], want[same], check_dtype=False)
+    assert same.sum() > len(rows) // 2
+
+
 def test_repeated_words_take_linear_time():
     index = Templates(TEMPLATES, 0.8)
     for text in [b"all rights " * 50_000 + b"reserved", b"all rights reserved " * 30_000, b"licensed under cc by " * 30_000 + b"4 0"]:
