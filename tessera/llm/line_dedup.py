@@ -107,9 +107,11 @@ def dedup_lines(
     id that holds a key owns it whatever the number of batches.  A null or
     empty text is one empty line; a row without id neither owns nor loses
     lines; rows that share an id count as one document (they lose no line to
-    each other); other columns are ignored unless named in ``keep``; an empty
-    table gives an empty result.
+    each other); other columns are ignored unless named in ``keep`` (one that is
+    named like a result is a ValueError); an empty table gives an empty result.
     """
+    if taken := {"doc_id", "text", "n_lines", "n_dropped", "emptied"}.intersection(keep):
+        raise ValueError(f"columns to keep are named like results: {sorted(taken)}")
     spark = docs.sparkSession
     ship_package(spark)
     keys = store(line_keys(docs, id_col, text_col, min_chars), "line-keys")
@@ -124,7 +126,8 @@ def dedup_lines(
             within &= F.col("doc_id") <= high
         found = runs.add_batch(keys.where(within))
         drops = found if drops is None else drops.unionByName(found)
-    by_doc = drops.groupBy("doc_id").agg(F.collect_set("key").alias("gone"))
+    lost_keys = "gone" + "_" * max(map(len, keep), default=0)  # no column to keep has this name
+    by_doc = drops.groupBy("doc_id").agg(F.collect_set("key").alias(lost_keys))
     picked: list[Column] = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c) for c in keep)]
     rows = docs.select(*picked)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
@@ -149,5 +152,5 @@ def dedup_lines(
             cols += [pa.array(total, pa.int64()), pa.array(lost_n, pa.int64()), pa.array(emptied, pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols, [*names, "n_lines", "n_dropped", "emptied"])
 
-    joined = rows.join(by_doc, "doc_id", "left").select(*names, "gone")
+    joined = rows.join(by_doc, "doc_id", "left").select(*names, lost_keys)
     return joined.mapInArrow(cut, f"{schema}, n_lines long, n_dropped long, emptied boolean")

@@ -128,8 +128,13 @@ def mix_sources(
     that orders the documents of a block.  A null source is a source of its own (of null
     name); null and empty texts have no tokens and are in every whole pass;
     rows that share an id are taken each for itself; ties are ordered by id.
+    A column of ``keep`` that is named like one of the results is a ValueError.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_tokens(F.col(text_col)).alias("n_tokens"), *keep)
+    if taken := {"doc_id", "source", "n_tokens", "pass", "block", "slot"}.intersection(keep):
+        raise ValueError(f"columns to keep are named like results: {sorted(taken)}")
+    names, keep = keep, tuple(f"kept_{i}" for i in range(len(keep)))
+    kept = [F.col(name).alias(k) for name, k in zip(names, keep, strict=True)]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_tokens(F.col(text_col)).alias("n_tokens"), *kept)
     rows = store(rows, "mix-rows")
     plan = store(source_plan(rows.select("source", "n_tokens"), **plan_options), "mix-plan")
     wide = rows.alias("r").join(plan.alias("p"), F.expr("r.source <=> p.source")).select("r.*", "full_passes", "rest", "blocks")
@@ -158,7 +163,7 @@ def mix_sources(
     whole = wide.where("full_passes > 0").select("doc_id", "source", "n_tokens", *keep, "home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full_passes") - 1)).alias("pass"))
     mixed = whole.unionByName(partial)
     return mixed.select(
-        "doc_id", "source", "n_tokens", *keep, "pass",
+        "doc_id", "source", "n_tokens", *[F.col(k).alias(name) for name, k in zip(names, keep, strict=True)], "pass",
         hash_number(F.lit(seed), F.lit("block"), F.col("pass"), name, F.col("home")).alias("block"),
         hash_number(F.lit(seed), F.lit("doc"), F.col("pass"), doc).alias("slot"),
     )

@@ -3,6 +3,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import queries
 from tessera.llm.line_dedup import LineRuns, dedup_lines
@@ -86,3 +87,12 @@ def test_query_against_its_sql(spark):
     want = con.execute(queries.oracle_sql()[name]).df()
     got = queries.queries()[name](spark, SF_SMALL).toPandas()
     pd.testing.assert_frame_equal(got.sort_values("doc_id", ignore_index=True)[list(want.columns)], want.sort_values("doc_id", ignore_index=True), check_dtype=False)
+
+
+def test_kept_columns_may_have_any_other_name(spark):
+    rows = [(1, "a line of some length\nanother", "en", "s", 0), (2, "a line of some length\nthird line here", "en", "s", 0)]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.concat(F.lit(c), "doc_id") for c in ("gone", "key", "start")})
+    got = {r.doc_id: r for r in dedup_lines(df, keep=("gone", "key", "start")).collect()}
+    assert got[2].text == "third line here" and (got[2].gone, got[2].key, got[1].start) == ("gone2", "key2", "start1")
+    with pytest.raises(ValueError, match="emptied"):
+        dedup_lines(df, keep=("emptied",))

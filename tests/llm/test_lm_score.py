@@ -70,10 +70,76 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     assert all(v < 0 for v in whole.values())
 
 
+def plain_model(parts, rounds):
+    """The model in plain loops, for texts whose words are all held: ``parts (text, round)``; a function that scores a text."""
+    classes, end = lm_score.CLASSES, int(lm_score.END)
+
+    def tokens(text):
+        return [int(h) for h in lm_score.sequences(pa.array([text]))[0]]
+
+    count = collections.Counter(t for text, _ in parts for t in tokens(text))
+    total, mass, cls = sum(count.values()), 0, {}
+    for t in sorted(count, key=lambda t: (-count[t], t)):
+        cls[t] = 1 + min(mass * (classes - 2) // total, classes - 3)
+        mass += count[t]
+    cls[end] = lm_score.END_CLASS
+    inside, size = [0] * classes, [0] * classes
+    for t, n in count.items():
+        inside[cls[t]] += n
+        size[cls[t]] += n + 1
+    size[lm_score.RARE_CLASS] += 1
+    prior = [(n + 1) / (total + classes) for n in inside]
+    weights = collections.defaultdict(lambda: [0.0] * classes)
+
+    def h(x):
+        return int(lm_score.mix(np.array([x % 2**64], np.uint64))[0])
+
+    def steps(text):
+        """(token, its feature rows, its class probabilities) along the text."""
+        seq = tokens(text)
+        for i, t in enumerate(seq):
+            one, two = (seq[i - k] if i >= k else int(lm_score.BEGIN) for k in (1, 2))
+            c1, c2 = (cls.get(seq[i - k], lm_score.RARE_CLASS) if i >= k else lm_score.END_CLASS for k in (1, 2))
+            hashed = [h(one ^ 1), h(two ^ 2), h(one * 3 + h(two))]
+            rows = [("one", hashed[0] % lm_score.ROWS[0]), ("two", hashed[1] % lm_score.ROWS[1]), ("both", hashed[2] % lm_score.ROWS[2]), ("classes", c1, c2)]
+            z = [math.exp(math.log(prior[c]) + sum(weights[r][c] for r in rows)) for c in range(classes)]
+            yield t, rows, [x / sum(z) for x in z]
+
+    for k in range(rounds):
+        gradient, seen = collections.defaultdict(lambda: [0.0] * classes), collections.Counter()
+        for text, part in parts:
+            for t, rows, p in steps(text) if part == k else ():
+                for r in rows:
+                    seen[r] += 1
+                    for c in range(classes):
+                        gradient[r][c] += (c == cls[t]) - p[c]
+        for r, g in gradient.items():
+            weights[r] = [w + lm_score.RATE * x / (seen[r] * q * (1 - q) + 2.0) for w, x, q in zip(weights[r], g, prior, strict=True)]
+
+    def score(text):
+        own = [(cls.get(t, lm_score.RARE_CLASS), count[t], p) for t, _, p in steps(text)]
+        return sum(math.log10((n + 1) * p[c] / size[c]) for c, n, p in own)
+
+    return score
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_score_against_the_model_in_plain_loops(spark, rounds):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{(7 * i + j * j) % 23 if j % 3 else int(rng.integers(60))}" for j in range(i % 19)), "en", "s", 0) for i in range(60)]
+    rows += [(100, None, "en", "s", 0), (101, "never seen w1 w2 words", "en", "s", 0), (102, "w1 w2 w3", "en", "s", 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    part = {r.doc_id: r.part for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).alias("part")).collect()}
+    score = plain_model([(text or "", part[d]) for d, text, *_ in rows if d < 100], rounds)
+    got = {r.doc_id: r.score for r in score_texts(df, F.col("doc_id") < 100, rounds=rounds).collect()}
+    for d, text, *_ in rows:
+        assert got[d] == pytest.approx(score(text or ""), rel=1e-4), d
+
+
 def test_context_helps_on_held_out_texts(spark):
     rows = [(i, " ".join(["red", "house", "green", "tree"] * (3 + i % 4)), "en", "s", 0) for i in range(300)]
     got = score_texts(spark.createDataFrame(rows, DOCS), F.col("doc_id") % 5 != 0).where("doc_id % 5 = 0").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
-    assert got.s > 0.8 * got.b  # both are negative
+    assert got.s > 0.15 * got.b  # both are negative
 
 
 def test_nothing_to_learn_from_and_empty_table(spark):

@@ -4,6 +4,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import queries
 from tessera.llm.mixing import mix_sources, source_plan
@@ -115,6 +116,15 @@ def test_keep_carries_columns_and_empty_table(spark):
     assert mix_sources(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_kept_columns_may_have_any_other_name(spark):
+    inner = ("home", "rest", "blocks", "left", "n", "before", "full_passes", "order", "slice")
+    df = spark.createDataFrame(skewed(40), DOCS).withColumns({c: F.concat(F.lit(c), "doc_id") for c in inner})
+    got = mix_sources(df, keep=inner).collect()
+    assert got and all(r[c] == f"{c}{r.doc_id}" for r in got for c in inner)
+    with pytest.raises(ValueError, match="block"):
+        mix_sources(df.withColumn("block", F.lit(1)), keep=("block",))
+
+
 def test_no_python_in_the_plan(spark):
     df = mix_sources(spark.createDataFrame(skewed(20), DOCS))
     assert "Python" not in df._jdf.queryExecution().toString() and "Arrow" not in df._jdf.queryExecution().toString()
