@@ -5,12 +5,16 @@ vectors are rotated at random and cut into blocks of equal width; two vectors
 within the distance are within a block's proportional share of it in at least
 one block.  Each block is range-joined: a vector lives in the cell given by on
 which side of the mean its leading coordinates lie, and is repeated in the
-cells that its range reaches.  Inside a cell, pairs within the block's budget
-are confirmed on the whole vectors in double precision.
+lower cells that its range reaches, so a pair meets in the cell of the sides
+both have in common.  The more vectors, the more coordinates make up a cell.
+Inside a cell, halves along the widest coordinate are compared with themselves
+and, as far as their ranges reach each other, with one another, down to leaves
+that are multiplied; pairs within the block's budget are confirmed on the whole
+vectors in double precision.
 
-A pair is counted once: in the first block whose budget it keeps, in the home
-cell of its smaller node.  Tasks return counts and a spanning forest, never
-the pairs, so a large group of near copies costs comparisons but no rows.
+A pair is counted once: in the first block whose budget it keeps, in the cell
+of its common sides.  Tasks return counts and a spanning forest, never the
+pairs, so a large group of near copies costs comparisons but no rows.
 """
 
 from __future__ import annotations
@@ -20,14 +24,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tessera.llm.common import ship_package, store
 from tessera.llm.graph import connected_components
 
-BLOCK_DIMS, CELL_DIMS = 16, 4
+BLOCK_DIMS = 16
+#: Coordinates that make up a cell, at least, and the rows of a cell from which on there are more.
+CELL_DIMS, CELL_ROWS = 4, 4096
 #: Rows of a cell that one task compares with as many others; larger cells are cut into pairs of parts.
 PART_ROWS = 32_768
-TILE, PAIRS = 1024, 200_000
+#: Rows of a leaf, rows of a product at most, pairs confirmed in one step.
+LEAF, TILE, PAIRS = 256, 1024, 200_000
 SLACK = 1e-9
 
 
@@ -46,8 +54,30 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _cells(mean: dict[int, np.ndarray], budget: float):
-    """Rows (dims, block, cell, node, home, copies, vec): every vector in its home cells and the cells within reach."""
+def cell_bits(vectors: int, cell_rows: int = CELL_ROWS) -> int:
+    """Leading coordinates that make up a cell: about ``cell_rows`` vectors live in one."""
+    return max(CELL_DIMS, int(np.ceil(np.log2(max(vectors, 1) / cell_rows))))
+
+
+def reached_cells(lead: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Home cell of every row, and (row, cell) of all cells that rows must be in.
+
+    A row goes to its home cell and to those below it that lie within the squared distance ``limit``: two rows
+    that near lie on different sides only of coordinates whose upper side is that near to the middle.
+    """
+    upper, square = lead >= 0, lead * lead
+    home = (upper * (1 << np.arange(lead.shape[1]))).sum(axis=1)
+    row, cell, spent = np.arange(len(lead)), home.copy(), np.zeros(len(lead))
+    for c in range(lead.shape[1]):
+        more = np.flatnonzero(upper[row, c] & (spent + square[row, c] <= limit))
+        row, cell, spent = (
+            np.concatenate([row, row[more]]), np.concatenate([cell, cell[more] ^ (1 << c)]), np.concatenate([spent, spent[more] + square[row[more], c]]),
+        )
+    return home, row, cell
+
+
+def _cells(mean: dict[int, np.ndarray], bits: dict[int, int], budget: float, kind, whole: bool):
+    """Rows (dims, block, cell) for every cell of a vector, and (node, home, copies, vec) if ``whole``."""
 
     def scan(batches):
         for batch in batches:
@@ -58,34 +88,102 @@ def _cells(mean: dict[int, np.ndarray], budget: float):
                 raw = np.array(vec.take(pa.array(own)).to_pylist(), dtype=np.float64)
                 turn = rotation(int(dims))
                 y = (unit(raw) - mean[int(dims)]) @ turn
-                data = [r.tobytes() for r in raw]
+                data = [r.tobytes() for r in raw.astype(kind)] if whole else []
                 for b, (lo, hi) in enumerate(block_ranges(int(dims))):
-                    k = min(CELL_DIMS, hi - lo)
-                    lead = y[:, lo : lo + k]
-                    home = ((lead >= 0) * (1 << np.arange(k))).sum(axis=1)
-                    flips = (np.arange(1 << k)[:, None] >> np.arange(k)) & 1
-                    row, flip = np.nonzero((lead * lead) @ flips.T <= budget * (hi - lo) / dims + SLACK)
+                    lead = y[:, lo : lo + min(bits[int(dims)], hi - lo)]
+                    home, row, cell = reached_cells(lead, budget * (hi - lo) / dims + 2 * SLACK)
                     n = len(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, dims, np.int64)), pa.array(np.full(n, b, np.int64)), pa.array((home[row] ^ flip).astype(np.int64)),
-                            pa.array(node[own][row]), pa.array(flip == 0), pa.array(copies[own][row]), pa.array([data[i] for i in row], pa.binary()),
-                        ],
-                        ["dims", "block", "cell", "node", "home", "copies", "vec"],
-                    )
+                    columns = [pa.array(np.full(n, dims, np.int64)), pa.array(np.full(n, b, np.int64)), pa.array(cell.astype(np.int64))]
+                    if whole:
+                        columns += [pa.array(node[own][row]), pa.array(home[row].astype(np.int64)), pa.array(copies[own][row]), pa.array([data[i] for i in row], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["dims", "block", "cell", "node", "home", "copies", "vec"][: len(columns)])
 
     return scan
 
 
-def _compare(threshold: float, budget: float):
+def meeting_sets(home: np.ndarray, cell: int, first: np.ndarray, second: np.ndarray | None = None, leaf: int = LEAF):
+    """Pairs of row sets (the second None: with itself) that hold all pairs of rows whose common sides are ``cell``.
+
+    Rows on the upper side of a coordinate that is lower in the cell meet each other in another cell, so they are
+    not paired here, but for sets too small to be cut.
+    """
+    work = [(first, second, [c for c in range(int(home.max()).bit_length()) if not cell >> c & 1])]
+    while work:
+        a, b, lower = work.pop()
+        if not len(a) or (b is not None and not len(b)):
+            continue
+        if not lower or len(a) * len(a if b is None else b) <= leaf * leaf:
+            yield a, b
+            continue
+        up = (home[a] >> lower[0] & 1).astype(bool)
+        if b is None:
+            work += [(a[~up], None, lower[1:]), (a[~up], a[up], lower[1:])]
+        else:
+            high = (home[b] >> lower[0] & 1).astype(bool)
+            work += [(a[~up], b[~high], lower[1:]), (a[~up], b[high], lower[1:]), (a[up], b[~high], lower[1:])]
+
+
+def _halves(y: np.ndarray, rows: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two non-empty halves of ``rows`` along coordinate ``at``, whose values are not all equal."""
+    values = y[rows, at]
+    below = values < np.median(values)
+    if not below.any():
+        below = values <= np.median(values)
+    return rows[below], rows[~below]
+
+
+def near_blocks(y: np.ndarray, limit: float, first: np.ndarray, second: np.ndarray | None = None, leaf: int = LEAF):
+    """Pairs of row sets of ``y`` (the second None: with itself) that hold all pairs of rows within the squared distance.
+
+    Every pair of rows of ``first`` and ``second`` (of ``first``, if there is no second) lies in at most one of them.
+    """
+    work = [(first, second)]
+    while work:
+        a, b = work.pop()
+        if b is None:
+            if len(a) <= leaf:
+                yield a, None
+                continue
+            rows = y[a]
+            low, high = rows.min(axis=0), rows.max(axis=0)
+            if ((high - low) ** 2).sum() <= limit:  # nothing in it is out of reach
+                for s in range(0, len(a), TILE):
+                    yield a[s : s + TILE], None
+                    work.append((a[s : s + TILE], a[s + TILE :]))
+                continue
+            left, right = _halves(y, a, (high - low).argmax())
+            work += [(left, None), (right, None), (left, right)]
+            continue
+        for _ in range(2):  # rows out of reach of the other set's box
+            if len(a) and len(b):
+                gap = np.maximum(np.maximum(y[b].min(axis=0) - y[a], y[a] - y[b].max(axis=0)), 0)
+                a, b = b, a[(gap * gap).sum(axis=1) <= limit]
+        if not len(a) or not len(b):
+            continue
+        if len(a) * len(b) <= leaf * leaf:
+            yield a, b
+            continue
+        (low, high), (least, most) = ((y[x].min(axis=0), y[x].max(axis=0)) for x in (a, b))
+        widest = max((high - low).max(), (most - least).max())
+        if widest == 0 or ((np.maximum(high, most) - np.minimum(low, least)) ** 2).sum() <= limit:
+            for s in range(0, len(a), TILE):
+                for t in range(0, len(b), TILE):
+                    yield a[s : s + TILE], b[t : t + TILE]
+            continue
+        if (high - low).max() < (most - least).max():  # the wider set is cut
+            a, b, low, high = b, a, least, most
+        work += [(half, b) for half in _halves(y, a, (high - low).argmax())]
+
+
+def _compare(threshold: float, budget: float, kind):
     """Counts of links and a spanning forest of one pair of parts of a cell."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        dims, block = int(part["dims"].iloc[0]), int(part["block"].iloc[0])
+        dims, block, cell = int(part["dims"].iloc[0]), int(part["block"].iloc[0]), int(part["cell"].iloc[0])
         first, second = int(part["lo"].iloc[0]), int(part["hi"].iloc[0])
         part = part.sort_values("node").reset_index(drop=True)
-        node, copies, own = part["node"].to_numpy(), part["copies"].to_numpy(), part["own"].to_numpy()
-        u = unit(np.frombuffer(b"".join(bytes(v) for v in part["vec"]), np.float64).reshape(-1, dims))
+        node, copies, own, home = (part[c].to_numpy() for c in ("node", "copies", "own", "home"))
+        u = unit(np.frombuffer(b"".join(bytes(v) for v in part["vec"]), kind).reshape(-1, dims).astype(np.float64))
         part = part.drop(columns="vec")
         turn, ranges = rotation(dims), block_ranges(dims)
         limits = np.array([budget * (b - a) / dims + SLACK for a, b in ranges])
@@ -93,10 +191,8 @@ def _compare(threshold: float, budget: float):
         y = (u @ turn[:, lo:hi]).astype(np.float32)
         norm = (y * y).sum(axis=1)
         links, label = np.zeros(len(node), np.int64), np.arange(len(node))
-        home = np.flatnonzero(part["home"].to_numpy())
 
         def confirm(i, j):
-            nonlocal label
             diff = u[i] - u[j]
             good = 1.0 - 0.5 * (diff * diff).sum(axis=1) >= threshold - 1e-6
             i, j, diff = i[good], j[good], diff[good]
@@ -116,29 +212,33 @@ def _compare(threshold: float, budget: float):
                 i, j, a, b = i[apart], j[apart], a[apart], b[apart]
                 np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
                 while (label[label] != label).any():
-                    label = label[label]
+                    label[:] = label[label]
 
-        for s in range(0, len(home), TILE):
-            rows = home[s : s + TILE]
-            begin = int(rows[0]) + 1  # nodes rise, and a pair is taken at the smaller one
-            if begin >= len(node):
-                continue
-            near = norm[rows][:, None] + norm[None, begin:] - 2.0 * (y[rows] @ y[begin:].T) <= limits[block] + 1e-5
-            i, j = np.nonzero(near)
-            i, j = rows[i], j + begin
-            ok = node[j] > node[i]
-            if first != second:
-                ok &= own[i] != own[j]
-            i, j = i[ok], j[ok]
-            for k in range(0, len(i), PAIRS):
-                confirm(i[k : k + PAIRS], j[k : k + PAIRS])
+        limit = limits[block] + 1e-5
+        everyone = np.arange(len(node))
+        sides = (everyone, None) if first == second else (everyone[own == first], everyone[own == second])
+        held, waiting = [], 0
+        for a, b in (x for sets in meeting_sets(home, cell, *sides) for x in near_blocks(y, limit, *sets)):
+            c = a if b is None else b
+            near = norm[a][:, None] + norm[c][None, :] - 2.0 * (y[a] @ y[c].T) <= limit
+            i, j = np.nonzero(np.triu(near, 1) if b is None else near)
+            i, j = a[i], c[j]
+            meet = (home[i] & home[j]) == cell
+            held.append((i[meet], j[meet]))
+            waiting += int(meet.sum())
+            if waiting >= PAIRS:
+                for k in range(0, waiting, PAIRS):
+                    confirm(*(np.concatenate(x)[k : k + PAIRS] for x in zip(*held)))
+                held, waiting = [], 0
+        if waiting:
+            confirm(*(np.concatenate(x) for x in zip(*held)))
         hit = np.flatnonzero(links)
         return pd.DataFrame({"node": node[hit], "links": links[hit], "root": node[label[hit]]})
 
     return run
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, part_rows: int = PART_ROWS) -> DataFrame:
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95, part_rows: int = PART_ROWS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``.
 
     Rows are linked if the cosine of their vectors (double precision) is at
@@ -160,20 +260,24 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     length = F.sqrt(F.aggregate(F.transform("vec", lambda x: x * x), F.lit(0.0), lambda a, x: a + x))
     parts = classes.select(F.size("vec").alias("dims"), length.alias("length"), F.posexplode("vec").alias("at", "x")).where("length > 0 and isnotnull(x)")
-    mean: dict[int, np.ndarray] = {r["dims"]: np.zeros(r["dims"]) for r in classes.select(F.size("vec").alias("dims")).distinct().collect()}
+    counts = {r["dims"]: r["n"] for r in classes.groupBy(F.size("vec").alias("dims")).agg(F.count("*").alias("n")).collect()}  # one row per length
+    bits = {dims: cell_bits(n, cell_rows) for dims, n in counts.items()}
+    mean: dict[int, np.ndarray] = {dims: np.zeros(dims) for dims in counts}
     for r in parts.groupBy("dims", "at").agg(F.avg(F.col("x") / F.col("length")).alias("m")).collect():  # one row per dimension
         mean[r["dims"]][r["at"]] = r["m"] if np.isfinite(r["m"]) else 0.0
 
     budget = 2.0 - 2.0 * threshold
-    schema = "dims long, block long, cell long, node long, home boolean, copies long, vec binary"
-    cells = classes.select("node", "copies", "vec").mapInArrow(_cells(mean, budget), schema)
+    kind = np.float32 if isinstance(vectors.select(vec_col).schema[0].dataType.elementType, FloatType) else np.float64
     key = ["dims", "block", "cell"]
-    sizes = classes.select("node", "copies", "vec").mapInArrow(_cells(mean, budget), schema).select(*key).groupBy(*key).agg(F.count("*").alias("m"))
+    keyed = ", ".join(f"{c} long" for c in key)
+    source = classes.select("node", "copies", "vec")
+    cells = source.mapInArrow(_cells(mean, bits, budget, kind, True), f"{keyed}, node long, home long, copies long, vec binary")
+    sizes = source.mapInArrow(_cells(mean, bits, budget, kind, False), keyed).groupBy(*key).agg(F.count("*").alias("m"))
     sizes = store(sizes.select(*key, F.ceil(F.col("m") / part_rows).cast("int").alias("parts")), "vector-cells")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     placed = cells.join(sizes, key).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = placed.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other", "parts")
-    found = store(placed.groupBy(*key, "lo", "hi").applyInPandas(_compare(threshold, budget), "node long, links long, root long"), "vector-links")
+    found = store(placed.groupBy(*key, "lo", "hi").applyInPandas(_compare(threshold, budget, kind), "node long, links long, root long"), "vector-links")
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "node", "root")

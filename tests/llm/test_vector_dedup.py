@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import queries
-from tessera.llm.vector_dedup import near_vectors
+from tessera.llm.vector_dedup import cell_bits, meeting_sets, near_blocks, near_vectors, reached_cells
 from tests.conftest import SF_ORACLE
 from tests.llm.helpers import Forest, with_clashes
 
@@ -43,14 +43,60 @@ def families(dims, n=160, seed=2):
     return rows
 
 
-@pytest.mark.parametrize("dims,part_rows", [(64, 32768), (64, 20), (20, 32768), (3, 32768)])
-def test_matches_brute_force(spark, dims, part_rows):
+@pytest.mark.parametrize("dims,part_rows,cell_rows", [(64, 32768, 4096), (64, 20, 4096), (64, 20, 2), (64, 32768, 0.2), (20, 32768, 1), (3, 32768, 4096)])
+def test_matches_brute_force(spark, dims, part_rows, cell_rows):
     rows = families(dims)
-    df = near_vectors(with_clashes(spark.createDataFrame(rows, VECTORS)), part_rows=part_rows)
+    df = near_vectors(with_clashes(spark.createDataFrame(rows, VECTORS)), part_rows=part_rows, cell_rows=cell_rows)
     assert found(df) == brute(rows)
     assert any(r.n_links for r in df.collect())
 
 
+def test_doubles_are_not_shortened(spark):
+    rows = [(1, [1.0, 1e-9], 0), (2, [1.0, 1e-9 + 1e-17], 0), (3, [1e200, 1.0], 0), (4, [-1e200, 1e200], 0)]
+    df = near_vectors(spark.createDataFrame(rows, VECTORS.replace("float", "double")), threshold=0.9)
+    assert found(df) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)]
+
+
+@pytest.mark.parametrize("case", ["spread", "ties", "same", "lattice"])
+@pytest.mark.parametrize("split", [False, True])
+def test_every_near_pair_meets_once(case, split):
+    """Cells, sets of common sides and leaves against plain loops: no near pair is missed, none is met twice."""
+    rng = np.random.default_rng(5)
+    y = {
+        "spread": lambda: rng.standard_normal((300, 5)),
+        "ties": lambda: np.repeat(rng.standard_normal((60, 5)), 5, axis=0),
+        "same": lambda: np.zeros((120, 5)),
+        "lattice": lambda: rng.integers(-1, 2, (300, 5)).astype(float),
+    }[case]()
+    limit = 1.0
+    home, row, cell = reached_cells(y[:, :4], limit)
+    met = {}
+    for c in np.unique(cell):
+        rows = row[cell == c]
+        assert len(np.unique(rows)) == len(rows)
+        sides = (rows[rows % 2 == 0], rows[rows % 2 == 1]) if split else (rows, None)
+        for a, b in (x for sets in meeting_sets(home, int(c), *sides, leaf=4) for x in near_blocks(y, limit, *sets, leaf=4)):
+            pairs = ((i, j) for n, i in enumerate(a) for j in (a[:n] if b is None else b))
+            for i, j in pairs:
+                if home[i] & home[j] == c:
+                    key = (min(i, j), max(i, j))
+                    met[key] = met.get(key, 0) + 1
+    near = {(i, j) for j in range(len(y)) for i in range(j) if ((y[i] - y[j]) ** 2).sum() <= limit and not (split and (i - j) % 2 == 0)}
+    assert near and near <= set(met) and set(met.values()) == {1}
+
+
+def test_large_groups_of_near_copies_are_tiled():
+    y = np.random.default_rng(1).standard_normal((3000, 4)) * 1e-3
+    sets = list(near_blocks(y, 1.0, np.arange(3000), leaf=16))
+    assert max(len(a) for a, _ in sets) <= 1024
+    assert sum(len(a) * (len(a) - 1) // 2 if b is None else len(a) * len(b) for a, b in sets) == 3000 * 2999 // 2
+
+
+def test_cells_grow_with_the_vectors():
+    assert cell_bits(0) == cell_bits(2000) == cell_bits(65_536) == 4
+    assert cell_bits(65_537) == 5 and cell_bits(1 << 28) == 16
+
+
 def test_odd_vectors(spark):
     v = [0.5, 0.25, -1.0]
     rows = [
