@@ -8,10 +8,12 @@ decide.  They learn from base spans, from base spans rewritten in a looser
 shape (1) or spoiled (0), from look-alikes of sound form put in their place
 (book numbers, versions, dates, coordinates, order numbers, number lists,
 sentences that say "at" and "dot"; 0), and from the texts' own candidates that
-fail the check of their kind (0), in a bounded sample.  A sound candidate of
+fail the check of their kind (0), in every document.  A sound candidate of
 the texts that no base rule takes may be personal data and has no label.  Per
-kind, the threshold is the lowest that keeps the wanted precision on a held-out
-part of the sample, look-alikes included.
+kind, the threshold is the lowest that keeps the wanted precision on the
+held-out documents (those whose id's crc32 mod 10 is 7 or more), look-alikes
+included.  Cuts are exact quantiles, trees grow level by level from histograms
+that Spark adds up over all examples, and counts of integers set the threshold.
 Chosen spans that touch no base span are added.
 """
 
@@ -19,22 +21,26 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship_package
+from tessera.llm.common import ship_package, store
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds of the training sample: documents (about) and candidate rows.
-SAMPLE_DOCS, SAMPLE_ROWS = 20_000, 40_000
 PRECISION = 0.98
-#: Look-alikes made of each base span of the sample.
+#: Look-alikes made of each base span.
 LOOKALIKES = 3
 TREES, DEPTH, BINS, RATE = 50, 4, 32, 0.3
+#: Examples in an Arrow batch, and about as many as a task of the training holds (in bytes of bins).
+BATCH_ROWS, TASK_ROWS = 10_000, 1 << 16
+#: Sums of gradients are of integers, so the order of addition doesn't matter; log-odds are told apart to 1 / STEPS.
+UNIT, STEPS = 1 << 30, 1 << 10
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -318,115 +324,200 @@ class BoostedTrees:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> None:
         self.cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
-        share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        b = self.bins(x)
+        self.grow(y.mean(), lambda tree, level: self.level_sums(b, y, tree, level))
+
+    def grow(self, share: float, sums) -> None:
+        """All trees, level by level; ``sums(tree, level)`` gives ``level_sums`` over all examples."""
+        share = np.clip(share, 1e-3, 1 - 1e-3)
         self.base = float(np.log(share / (1 - share)))
-        b, score = self.bins(x), np.full(len(y), self.base)
         for _ in range(TREES):
-            p = 1 / (1 + np.exp(-score))
-            tree = self._grow(b, y - p, np.maximum(p * (1 - p), 1e-6))
+            size = 2 ** (DEPTH + 1)
+            tree = feature, cut, value = np.full(size, -1), np.zeros(size, int), np.zeros(size)
+            for level in range(DEPTH):
+                if level and not (feature[2 ** (level - 1) : 2**level] >= 0).any():
+                    break
+                for node, own in enumerate(sums(tree, level), 2**level):
+                    self._split(tree, node, own)
             self.trees.append(tree)
-            score += RATE * self._tree(tree, b)
-
-    def _grow(self, b, g, h):
-        size = 2 ** (DEPTH + 1)
-        feature, cut, value, place = np.full(size, -1), np.zeros(size, int), np.zeros(size), np.ones(len(g), int)
-        for node in range(1, size):
-            here = np.flatnonzero(place == node)
-            gs, hs = g[here].sum(), h[here].sum()
-            value[node] = gs / (hs + 1.0)
-            if node >= size // 2 or len(here) < 20:
-                continue
-            best = (1e-3, -1, 0)
-            for f in range(b.shape[1]):
-                gb = np.cumsum(np.bincount(b[here, f], weights=g[here], minlength=BINS))
-                hb = np.cumsum(np.bincount(b[here, f], weights=h[here], minlength=BINS))
-                gain = gb**2 / (hb + 1) + (gs - gb) ** 2 / (hs - hb + 1) - gs**2 / (hs + 1)
-                k = int(gain.argmax())
-                best = max(best, (float(gain[k]), f, k))
-            if best[1] >= 0:
-                feature[node], cut[node] = best[1], best[2]
-                place[here] = 2 * node + (b[here, best[1]] > best[2])
-        return feature, cut, value
-
-    def _tree(self, tree, b):
+
+    def level_sums(self, b: np.ndarray, y: np.ndarray, tree, level: int) -> np.ndarray:
+        """Of the examples in each node of a level, per feature and bin (as many as it has): gradients, Hessians (both in units of 1 / UNIT), examples."""
+        score, nodes = self._scores(b), 2**level
+        place = self._places(tree, b, level) - nodes
+        here = place >= 0
+        place, b, p = place[here], b[here].astype(int), 1 / (1 + np.exp(-score[here]))
+        weights = [np.rint((y[here] - p) * UNIT), np.rint(np.maximum(p * (1 - p), 1e-6) * UNIT), None]
+        parts = []
+        for f, c in enumerate(self.cuts):
+            width = len(c) + 1
+            slot = place * width + b[:, f]
+            parts.append(np.stack([np.bincount(slot, w, nodes * width).reshape(nodes, width) for w in weights], axis=1))
+        return np.concatenate(parts, axis=2).astype(np.int64)  # node, sum, slot
+
+    def _split(self, tree, node: int, sums: np.ndarray) -> None:
+        """The node's value and, where one gains, its best split, with the values of its children."""
         feature, cut, value = tree
-        node = np.ones(len(b), int)
-        for _ in range(DEPTH):
+        first = np.cumsum([0, *(len(c) + 1 for c in self.cuts)])
+        g, h, n = sums[0] / UNIT, sums[1] / UNIT, sums[2]
+        own = slice(first[0], first[1])
+        gs, hs = g[own].sum(), h[own].sum()
+        value[node] = gs / (hs + 1.0)
+        if n[own].sum() < 20:
+            return
+        best = (1e-3, -1, 0)
+        for f in range(len(self.cuts)):
+            gb, hb = np.cumsum(g[first[f] : first[f + 1]]), np.cumsum(h[first[f] : first[f + 1]])
+            gain = gb**2 / (hb + 1) + (gs - gb) ** 2 / (hs - hb + 1) - gs**2 / (hs + 1)
+            k = int(gain.argmax())
+            best = max(best, (float(gain[k]), f, k))
+        if best[1] >= 0:
+            _, f, k = best
+            feature[node], cut[node] = f, k
+            left_g, left_h = g[first[f] : first[f] + k + 1].sum(), h[first[f] : first[f] + k + 1].sum()
+            value[2 * node], value[2 * node + 1] = left_g / (left_h + 1.0), (gs - left_g) / (hs - left_h + 1.0)
+
+    def _places(self, tree, b, levels: int):
+        """The node each example reaches."""
+        feature, cut, _ = tree
+        node, at = np.ones(len(b), int), np.arange(len(b))
+        for _ in range(levels):
             f = feature[node]
-            goes = 2 * node + (b[np.arange(len(b)), np.maximum(f, 0)] > cut[node])
+            goes = 2 * node + (b[at, np.maximum(f, 0)] > cut[node])
             node = np.where(f >= 0, goes, node)
-        return value[node]
+        return node
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        b, score = self.bins(x), np.full(len(x), self.base)
+    def _scores(self, b):
+        score = np.full(len(b), self.base)
         for tree in self.trees:
-            score += RATE * self._tree(tree, b)
-        return 1 / (1 + np.exp(-score))
+            score += RATE * tree[2][self._places(tree, b, DEPTH)]
+        return score
 
-    def calibrate(self, kind: np.ndarray, p: np.ndarray, y: np.ndarray, precision: float) -> None:
-        """Per kind the lowest threshold (halfway to the next lower candidate, 0.5 at least) at and above which ``precision`` of the held-out candidates are right."""
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.rint(self._scores(self.bins(x)) * STEPS) / STEPS))
+
+    def calibrate(self, kind: np.ndarray, p: np.ndarray, y: np.ndarray, precision: float, count: np.ndarray | None = None) -> None:
+        """Per kind the lowest threshold (halfway to the next lower candidate, 0.5 at least) at and above which ``precision`` of the held-out candidates are right.
+
+        A row may stand for ``count`` candidates of one kind and probability, ``y`` of them right.
+        """
+        count = np.ones(len(p), int) if count is None else count
         for k, name in enumerate(KINDS):
             own = kind == k
             self.floor[name] = 2.0
             order = np.argsort(-p[own], kind="stable")
-            ps, right = p[own][order], np.cumsum(y[own][order])
-            good = np.flatnonzero((right >= precision * np.arange(1, len(ps) + 1)) & (ps >= 0.5) & (np.append(ps[1:], -1) < ps))
+            ps, right, every = p[own][order], np.cumsum(y[own][order]), np.cumsum(count[own][order])
+            good = np.flatnonzero((right >= precision * every) & (ps >= 0.5) & (np.append(ps[1:], -1) < ps))
             if len(good) and right[good[-1]] >= 20:
                 self.floor[name] = max(0.5, float(ps[good[-1]] + np.append(ps, 0.0)[good[-1] + 1]) / 2)
 
 
-def examples(text: str, seed: int) -> list[tuple[list[float], int]]:
+def examples(text: str, seed: int) -> Iterator[tuple[list[float], int]]:
     """(features, label) of one text's base spans, their looser and spoiled shapes, look-alikes, and the candidates that fail their check."""
     rng = np.random.default_rng(seed)
     base = base_spans(text)
     taken = [(s, e) for _, s, e in base]
-    out = []
     for span in base:
-        out.append((span_features(text, span), 1))
+        yield span_features(text, span), 1
         other, at = loosened(text, span, rng)
-        out.append((span_features(other, at), 1))
+        yield span_features(other, at), 1
         other, at = spoiled(text, span, rng)
-        out.append((span_features(other, at), 0))
+        yield span_features(other, at), 0
         for _ in range(LOOKALIKES):
             other, start, end = lookalike(text, span, rng)
             around = [(s, e) for _, s, e in base_spans(other)]
-            found = [c for c in candidates(other) if c[1] < end and c[2] > start and all(c[2] <= s or c[1] >= e for s, e in around)]
-            out += [(span_features(other, c), 0) for c in found]
+            for c in candidates(other):
+                if c[1] < end and c[2] > start and all(c[2] <= s or c[1] >= e for s, e in around):
+                    yield span_features(other, c), 0
     for span in candidates(text):
         if all(span[2] <= s or span[1] >= e for s, e in taken) and not well_formed(text, span):
-            out.append((span_features(text, span), 0))
-    return out
+            yield span_features(text, span), 0
 
 
-def fit_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, sample_rows: int = SAMPLE_ROWS) -> BoostedTrees:
-    """Trees learned from the candidates of about ``sample_docs`` documents, at most ``sample_rows`` of them."""
-    total = docs.count()
-    every = max(1, total // sample_docs)
-    some = docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("pii")), F.lit(every)) == 0).select(F.col(id_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")))
+def all_examples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``x`` (features), ``y`` (label) and ``part`` (0 to 9, by document) of every row's examples; a null text is empty."""
 
     def scan(batches):
         for batch in batches:
-            x, y, part = [], [], []
+            held = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seed = zlib.crc32((doc or "").encode())
-                for f, label in examples(text, seed):
-                    x.append(f)
-                    y.append(label)
-                    part.append(seed % 10)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(part, pa.int32())], ["x", "y", "part"])
-
-    rows = some.mapInArrow(scan, "x array<double>, y int, part int")
-    got = rows.orderBy(F.xxhash64("x", "y")).limit(sample_rows).collect()
+                for x, y in examples(text or "", seed):
+                    held.append((x, y, seed % 10))
+                    if len(held) == BATCH_ROWS:
+                        yield batch_of(held)
+                        held = []
+            if held:
+                yield batch_of(held)
+
+    def batch_of(held):
+        x, y, part = zip(*held, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(part, pa.int32())], ["x", "y", "part"])
+
+    return docs.select(F.col(id_col).cast("string"), F.col(text_col)).mapInArrow(scan, "x array<double>, y int, part int")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def fit_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> BoostedTrees:
+    """Trees learned from the examples of all rows of ``docs``.
+
+    To the driver come the cuts, per level the sums of each node, feature and
+    bin, and the held-out counts of each kind and probability.
+    """
+    ship_package(docs.sparkSession)
+    rows = store(all_examples(docs, id_col, text_col), "pii")
     trees = BoostedTrees()
-    x, y, part = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], dtype=float), np.array([r["part"] for r in got])
-    if len(set(y.tolist())) < 2:
+    sizes = {(r["fit"], r["y"]): r["n"] for r in rows.groupBy((F.col("part") < 7).alias("fit"), "y").agg(F.count("*").alias("n")).collect()}
+    if len({y for _, y in sizes}) < 2:
         trees.floor = dict.fromkeys(KINDS, 2.0)  # nothing to tell apart: base spans only
         return trees
-    fit = part < 7
-    fit = fit if len(set(y[fit].tolist())) == 2 else np.ones(len(y), bool)
-    trees.fit(x[fit], y[fit])
-    test = ~fit if (~fit).any() else fit
-    trees.calibrate(x[test, 0].astype(int), trees.predict(x[test]), y[test], PRECISION)
+    split = (True, 0) in sizes and (True, 1) in sizes
+    learned = rows.where("part < 7") if split else rows
+    held_out = rows.where("part >= 7") if split and any(not fit for fit, _ in sizes) else learned
+    n = {label: sum(c for (fit, y), c in sizes.items() if y == label and (fit or not split)) for label in (0, 1)}
+
+    width = len(span_features("0", ("ip", 0, 1)))
+    places = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
+    cuts = learned.agg(*[F.percentile(F.col("x")[f], F.array(*map(F.lit, places))).alias(f"f{f}") for f in range(width)]).first()
+    trees.cuts = [np.unique(c) for c in cuts]
+
+    def binned(batches):
+        for batch in batches:
+            if len(batch):
+                b, y = trees.bins(_matrix(batch.column(0))).astype(np.uint8), batch.column(1).to_numpy().astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([b.tobytes()]), pa.array([y.tobytes()])], ["b", "y"])
+
+    def block(row):
+        return np.frombuffer(row["b"], np.uint8).reshape(-1, width), np.frombuffer(row["y"], np.uint8).astype(float)
+
+    tasks = (n[0] + n[1]) // TASK_ROWS + 1
+    blocks = learned.select("x", "y").coalesce(tasks).mapInArrow(binned, "b binary, y binary").rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def sums(tree, level):
+        def part(own):
+            total = None
+            for b, y in own:
+                one = trees.level_sums(b, y, tree, level)
+                total = one if total is None else total + one
+            return [] if total is None else [total]
+
+        return blocks.mapPartitions(part).treeReduce(np.add)
+
+    trees.grow(n[1] / (n[0] + n[1]), sums)
+    blocks.unpersist()
+
+    def scored(batches):
+        for batch in batches:
+            if len(batch):
+                x = _matrix(batch.column(0))
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].astype(np.int32)), pa.array(trees.predict(x)), batch.column(1)], ["kind", "p", "y"])
+
+    counts = held_out.select("x", "y").mapInArrow(scored, "kind int, p double, y int").groupBy("kind", "p").agg(F.sum("y").alias("right"), F.count("*").alias("n")).toArrow()
+    kind, p, right, every = (counts.column(c).to_numpy() for c in ("kind", "p", "right", "n"))
+    trees.calibrate(kind, p, right, PRECISION, every)
     return trees
 
 

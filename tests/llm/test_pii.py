@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tessera.llm import pii, queries
 from tessera.llm.pii import BoostedTrees, base_spans, find_pii, fit_trees, luhn, redact, spell
@@ -169,3 +171,52 @@ def test_query_against_brute_force(spark):
         assert got[doc].base_sha256 == hashlib.sha256(spell(base).encode()).hexdigest()
         assert [got[doc][f"n_{k}"] for k in PATTERNS] == [sum(b[0] == k for b in base) for k in PATTERNS]
         assert {f"{k}:{s}:{e}" for k, s, e in base} <= set(got[doc].spans.split(",")) | ({""} if not base else set())
+
+
+def test_every_document_is_learned_from(spark, monkeypatch):
+    """One document in a hundred holds a shape of its own; cuts, sums and thresholds are those of all examples, in numpy."""
+    rows = sample_docs(3000, seed=9)
+    rows = [(i, f"order {i} 12.34.56.{300 + i} failed" if i % 100 == 0 else t, *rest) for i, t, *rest in rows]
+    docs = spark.createDataFrame(rows, DOCS).repartition(7)
+    monkeypatch.setattr(pii, "TREES", 4)
+    monkeypatch.setattr(pii, "TASK_ROWS", 2000)
+    trees = fit_trees(docs)
+    every = [(x, y, seed % 10) for i, t, *_ in rows for seed in [zlib.crc32(str(i).encode())] for x, y in pii.examples(t, seed)]
+    x, y, part = (np.array(v, float) for v in zip(*every, strict=True))
+    assert len(y) > 3 * pii.TASK_ROWS and pii.all_examples(docs).count() == len(y)
+    plain = BoostedTrees()
+    plain.fit(x[part < 7], y[part < 7])
+    plain.calibrate(x[part >= 7, 0].astype(int), plain.predict(x[part >= 7]), y[part >= 7], pii.PRECISION)
+    assert all(np.allclose(a, b) for a, b in zip(trees.cuts, plain.cuts, strict=True)) and np.isclose(trees.base, plain.base)
+    assert len(trees.trees) == 4 and all(np.allclose(a, b) for one, other in zip(trees.trees, plain.trees, strict=True) for a, b in zip(one, other, strict=True))
+    assert trees.floor == plain.floor and min(plain.floor.values()) <= 1
+
+
+def test_documents_outside_the_former_sample_are_learned_from(spark):
+    """60,000 documents; a sample of a third, by hash of the id, held no personal data at all."""
+    some = F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(3)) != 0
+    call = F.concat(F.lit("call +1 (212) 555-"), F.lpad(F.col("doc_id").cast("string"), 4, "0"), F.lit(" today"))
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id")).withColumn("text", F.when(some & (F.col("doc_id") < 1200), call).otherwise("plain words"))
+    trees = fit_trees(docs)
+    assert trees.floor["phone"] <= 1 and trees.floor["card"] == 2.0
+    text = "please call 212-555-0187 today"
+    assert spell(pii.added_spans(text, [], trees)) == "phone:12:24"
+
+
+def test_one_text_may_give_more_than_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(pii, "BATCH_ROWS", 100)
+    docs = spark.createDataFrame([(1, "x@y.zz " * 300), (2, None), (None, "a@b.cc"), (None, "a@b.cc")], "doc_id long, text string")
+    got = pii.all_examples(docs)
+    want = sum(len(list(pii.examples(t, zlib.crc32(seed)))) for t, seed in [("x@y.zz " * 300, b"1"), ("a@b.cc", b""), ("a@b.cc", b"")])
+    assert got.where("y = 1").count() == 2 * 302 and got.count() == want
+
+
+def test_counted_rows_calibrate_as_single_ones():
+    rng = np.random.default_rng(5)
+    p, kind = rng.integers(40, 100, 4000) / 100, rng.integers(0, 4, 4000)
+    y = (rng.random(4000) < np.where(p > 0.7, 0.995, 0.6)).astype(int)
+    one, other = BoostedTrees(), BoostedTrees()
+    one.calibrate(kind, p, y, 0.98)
+    keys, at = np.unique(np.stack([kind, p]), axis=1, return_inverse=True)
+    other.calibrate(keys[0].astype(int), keys[1], np.bincount(at.ravel(), y), 0.98, np.bincount(at.ravel()))
+    assert one.floor == other.floor and min(one.floor.values()) < 1
